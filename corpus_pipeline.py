@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from taxaspark.llm import decontaminate, exact_dedup, mixing, toxicity
+from taxaspark.llm import decontaminate, exact_dedup, mixing, near_dedup, toxicity
 from taxaspark.llm.common import read, shared_dir
 
 
@@ -25,6 +25,11 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays, the one with the smallest doc_id."""
+    return near_dedup.drop_near_copies(docs)
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
@@ -38,6 +43,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [
     ("toxicity", toxicity_stage),
     ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
     ("decontamination", decontamination_stage),
     ("mixing", mixing_stage),
 ]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from taxaspark.llm import decontaminate, exact_dedup, html_extract, mixing, toxicity, url_filter
+from taxaspark.llm import decontaminate, exact_dedup, html_extract, language_crf, mixing, near_dedup, pii, toxicity, url_filter, warc_bundles
 from taxaspark.llm.common import read
 
 
@@ -27,10 +27,27 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(read(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(read(spark, sf_dir, "documents"))
+
+
+def op6_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_bundles.archive(spark, read(spark, sf_dir, "pages")).drop("html")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(read(spark, sf_dir, "documents"))
+
+
+def op9_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return language_crf.identify(docs, language_crf.fit(docs))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
