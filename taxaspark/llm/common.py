@@ -8,6 +8,7 @@ counted, lineage is cut by reliable checkpoints in the folder that the cluster n
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +68,11 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, salt: Column, size: str
     return dealt.join(wide.drop("_hot"), [key, "_salt"]).drop("_salt")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the rows that no model may learn from: crc32 of the id as text, modulo 3, is 1."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxaspark.llm.common import cut, fits, join_checked
+from taxaspark.llm.common import cut, fits, join_checked, let
 
 KEY = "surrogate-1"
 
@@ -95,7 +95,10 @@ def _pick(values: list[str], stream: Column, i: int) -> Column:
 
 def surrogate(kind: Column, name: Column, attempt: Column, key: str = KEY) -> Column:
     """Canonical form of the surrogate of an entity."""
-    s = _stream(kind, name, attempt, key)
+    return let(_stream(kind, name, attempt, key), lambda s: _surrogate(kind, name, attempt, key, s))
+
+
+def _surrogate(kind: Column, name: Column, attempt: Column, key: str, s: Column) -> Column:
     digits = lambda text: F.array_join(F.transform(F.split(text, ""), lambda c, i: F.when(c.rlike("[0-9]"), _number(s, i, 10).cast("string")).otherwise(c)), "")
     local, domain = F.substring_index(name, "@", 1), F.substring_index(name, "@", -1)
     host = F.concat(F.lit("mx"), F.substring(F.sha2(F.concat(F.lit(key + "@"), domain), 256), 1, 6), F.lit(".example.org"))
@@ -121,7 +124,10 @@ def surrogate(kind: Column, name: Column, attempt: Column, key: str = KEY) -> Co
 
 def render(kind: Column, mention: Column, found: Column) -> Column:
     """The surrogate written as the mention is: separators, letter case and form of address stay."""
-    digits = F.regexp_replace(found, r"[^0-9]", "")
+    return let(found, lambda own: let(F.regexp_replace(own, r"[^0-9]", ""), lambda digits: _rendered(kind, mention, own, digits)))
+
+
+def _rendered(kind: Column, mention: Column, found: Column, digits: Column) -> Column:
     at = lambda i: F.length(F.regexp_replace(F.substr(mention, F.lit(1), i + 1), r"[^0-9]", ""))
     spaced = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike("[0-9]"), F.substr(digits, at(i), F.lit(1))).otherwise(c)), "")
     place = lambda i: F.length(F.replace(F.substr(mention, F.lit(1), i + 1), F.lit(" "), F.lit("")))
