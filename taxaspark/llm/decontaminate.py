@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxaspark.llm.common import cut, fits, join_checked
+from taxaspark.llm.common import cut, fits, join_checked, let
 
 WINDOW = 8
 # Unit words that follow a number.
@@ -52,12 +52,21 @@ def window_hashes(template_tokens: Column, window: int = WINDOW) -> Column:
     hashes, width = F.transform(template_tokens, lambda x: F.xxhash64(x)), 1
     while width < window:
         step = min(width, window - width)
-        pairs = F.zip_with(hashes, F.slice(hashes, F.lit(step + 1), F.greatest(F.size(hashes) - step, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-        hashes = F.slice(pairs, F.lit(1), F.greatest(F.size(pairs) - step, F.lit(0)))
+        hashes = let(hashes, _joiner(step))
         width += step
     return hashes
 
 
+def _joiner(step: int):
+    """Joins each hash with the one ``step`` places on, as far as there is one."""
+    return lambda hashes: _joined(hashes, step)
+
+
+def _joined(hashes: Column, step: int) -> Column:
+    both = F.zip_with(hashes, F.slice(hashes, F.lit(step + 1), F.greatest(F.size(hashes) - step, F.lit(0))), lambda a, b: F.xxhash64(a, b))
+    return F.slice(both, F.lit(1), F.greatest(F.size(hashes) - step, F.lit(0)))
+
+
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, min_tokens: int = 4) -> DataFrame:
     """item_id, width, n_windows, ipos, h and the window's slots for every window of every item.
 
