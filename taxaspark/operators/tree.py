@@ -14,10 +14,10 @@ MAX_DEPTH = 40
 
 
 def link(tree: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Add ancestors (array of idx from the top), parent_idx and end_idx (first row outside).
+    """Add ancestors (idx of the rows whose subtree it is in, from the top), parent_idx and end_idx (first row outside).
 
-    A row whose depth skips a level, or whose level above was closed by a shallower row, has no
-    parent and no ancestors.
+    The parent is the open row one level up; a row whose depth skips a level has none, but still
+    lies in the subtrees of the open rows above it.
     """
     before = Window.partitionBy("sample").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("sample").orderBy("idx").rowsBetween(1, Window.unboundedFollowing)
@@ -27,21 +27,23 @@ def link(tree: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     names |= {f"_a{k}": F.first(at(k), ignorenulls=True).over(after) for k in range(max_depth + 1)}
     names["_end"] = F.max("idx").over(whole) + 1
     rows = tree.withColumns(names)
-    lists, ends = F.when(F.lit(False), F.array().cast("array<long>")), F.when(F.lit(False), F.lit(None).cast("long"))
+    lists = F.when(F.lit(False), F.array().cast("array<long>"))
+    ends = parents = F.when(F.lit(False), F.lit(None).cast("long"))
     for d in range(max_depth + 1):
         here = F.col("depth") == d
         if d:
-            chain = F.array(*[F.col(f"_b{k}").cast("long") for k in range(d)])
-            ordered = F.lit(True)
+            around = []
             for k in range(d):
-                ordered = ordered & F.col(f"_b{k}").isNotNull()
-                if k:
-                    ordered = ordered & (F.col(f"_b{k}") > F.col(f"_b{k - 1}"))
-            lists = lists.when(here & ordered, chain)
+                open_ = F.col(f"_b{k}").isNotNull()
+                for above in range(k):  # a shallower row after it closed it
+                    open_ = open_ & (F.col(f"_b{above}").isNull() | (F.col(f"_b{above}") < F.col(f"_b{k}")))
+                around.append(F.when(open_, F.col(f"_b{k}").cast("long")))
+            lists = lists.when(here, F.array_compact(F.array(*around)))
+            parents = parents.when(here, around[-1])
         nearest = F.least(*[F.col(f"_a{k}") for k in range(d + 1)]) if d else F.col("_a0")
         ends = ends.when(here, F.coalesce(nearest, F.col("_end")))
-    rows = rows.withColumns({"ancestors": F.coalesce(lists, F.array().cast("array<long>")), "end_idx": ends.cast("long")})
-    return rows.withColumn("parent_idx", F.get("ancestors", F.size("ancestors") - 1)).drop(*names)
+    rows = rows.withColumns({"ancestors": F.coalesce(lists, F.array().cast("array<long>")), "end_idx": ends.cast("long"), "parent_idx": parents})
+    return rows.drop(*names)
 
 
 def clade_sums(linked: DataFrame, values: dict[str, str]) -> DataFrame:

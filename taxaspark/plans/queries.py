@@ -270,7 +270,7 @@ def extract_taxon_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = b.table(spark, sf_dir, "nation").agg(F.min("n_name")).first()[0]
     rows = b.linked(spark, sf_dir)
     taxa = tree.with_descendants(rows, tree.first_named(rows, name))
-    li = b.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.year("l_shipdate").cast("string").alias("sample"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("taxid"), F.struct("l_orderkey", "l_linenumber").alias("read_id"))
+    li = b.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.year("l_shipdate").cast("string").alias("sample"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("taxid"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("read_id"))
     return taxonomy.extract_reads(li, taxa, li.select("sample", "read_id", "taxid")).drop("read_id")
 
 
