@@ -1,13 +1,14 @@
 """Helpers that the training-data operators share.
 
 Every helper keeps work on the executors: small sides are broadcast only after their size was
-counted, lineage is cut by reliable checkpoints in the folder that the cluster names in
+counted, lineage is cut by tables written to the folder that the cluster names in
 ``spark.checkpoint.dir``, and joins on a hot key are spread over several partitions.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,9 +37,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage by a reliable checkpoint."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Compute ``df`` once into a table in the shared folder and read it from there.
+
+    The table has no lineage but its files, which all executors see; it is removed when the
+    application ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:

@@ -8,9 +8,9 @@ signatures agree in a register with the probability Jaccard of the weighted shin
 registers make candidates, and exact Jaccard of the shingle sets of at least 0.8 verifies them.
 
 Texts with the same word sequence are one node. Within a bucket nodes are compared with a few
-leaders only; verified links are closed to components, and buckets that still hold several
-components are searched again for pairs that share two bands, so a large group costs no quadratic
-number of pairs and no link between components is given up.
+leaders only; verified links are closed to components, and where a bucket still holds several components,
+what lies outside its largest one is compared with all of it in blocks, so pairs within a group are
+never emitted and no link between components is given up.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ WORDS = 5
 REGISTERS = 64
 ROWS = 4  # registers in a band
 SIMILARITY = 0.8
-LEADERS = 3
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -198,20 +197,68 @@ def verify(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) ->
     return rows.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of common elements of every set of ``left`` with every set of ``right`` (sorted, distinct)."""
+    sizes = [len(x) for x in [*left, *right]]
+    if sum(sizes) > 80_000:  # long texts: pair by pair, only where the sizes allow a link
+        out = np.zeros((len(left), len(right)), np.int64)
+        for i, p in enumerate(left):
+            for j, q in enumerate(right):
+                if min(len(p), len(q)) >= SIMILARITY * max(len(p), len(q)):
+                    both = np.sort(np.concatenate([p, q]), kind="stable")
+                    out[i, j] = (both[1:] == both[:-1]).sum()
+        return out
+    values, codes = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    table = np.zeros((len(sizes), len(values)), np.float32)
+    table[np.repeat(np.arange(len(sizes)), sizes), codes] = 1
+    return (table[: len(left)] @ table[len(left) :].T).round().astype(np.int64)
+
+
+def search_mixed(member: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, block: int = 64) -> DataFrame:
+    """Links (a, b) between components within the buckets that hold several.
+
+    ``member`` has bucket, node, root, n. What isn't in a bucket's largest component is compared with all
+    the bucket, block by block: a row holds two blocks of sets, never a pair, and only links come
+    out. The blocks' number follows the bucket's size, so no task holds a whole bucket.
+    """
+    per = member.groupBy("bucket", "root").agg(F.count("*").alias("m"))
+    mixed = per.groupBy("bucket").agg(F.max(F.struct("m", "root"))["root"].alias("main"), F.count("*").alias("roots")).where("roots > 1").select("bucket", "main")
+    rows = cut(member.join(mixed, "bucket")).join(sets, "node")
+    spread = lambda n: F.pmod(F.xxhash64("node"), F.ceil(n / block)).cast("int")
+    item = F.struct("node", "root", "shingles")
+    blocks = cut(rows.withColumn("blk", spread(F.col("n"))).groupBy("bucket", "blk").agg(F.collect_list(item).alias("right"), F.collect_list(F.when(F.col("root") != F.col("main"), item)).alias("left")))
+    met = blocks.where(F.size("left") > 0).select("bucket", "left").join(blocks.select("bucket", "right"), "bucket")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found: list[tuple[int, int]] = []
+            for k in range(b.num_rows):
+                left, right = b.column("left")[k].as_py(), b.column("right")[k].as_py()
+                p, q = ([np.frombuffer(x["shingles"], np.uint32) for x in side] for side in (left, right))
+                np_, nq = np.array([len(x) for x in p])[:, None], np.array([len(x) for x in q])[None, :]
+                rp, rq = np.array([x["root"] for x in left])[:, None], np.array([x["root"] for x in right])[None, :]
+                common = common_counts(p, q)
+                good = (common >= similarity * (np_ + nq - common)) & (rp != rq) & (np_ > 0)
+                found += [(left[i]["node"], right[j]["node"]) for i, j in zip(*np.nonzero(good), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
+
+    return met.select("left", "right").mapInArrow(run, "a long, b long").distinct()
+
+
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """node, root (smallest node of the component) for all nodes of ``edges`` (a, b).
 
-    Large-star and small-star steps until the edges stay the same; a hub's edges are dealt over
-    many partitions by the number of its neighbours.
+    Large-star and small-star steps until the edges stay the same. The joins on a hub have one row
+    on the other side and no aggregate above them, so Spark may split a hub's edges.
     """
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
     for _ in range(rounds):
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("_n"))
-        large = attach(both.where("v > u"), low, "u", F.xxhash64("v"), "_n").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("_n"))
-        small = attach(large, low, "u", F.xxhash64("v"), "_n").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
+        both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.u", "e.v")
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = cut(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         edges = cut(small.select("e.u", "e.v").where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
@@ -229,39 +276,37 @@ def _leader_pairs(buckets: DataFrame, stats: DataFrame) -> DataFrame:
     return pairs.distinct()
 
 
-def link(nodes: DataFrame, docs: DataFrame, leaders: int = LEADERS, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
+def link(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
     """node, root for every node that has a verified link; ``nodes`` has node, rep (a doc_id), bands."""
     bucket = F.xxhash64(F.col("_b"), F.col("_key"))
     buckets = cut(nodes.select("node", F.posexplode("bands").alias("_b", "_key")).select("node", bucket.alias("bucket")))
-    order = [F.min(F.struct(F.xxhash64("node", F.lit(i)), F.col("node")))["node"] for i in range(leaders)]
-    stats = cut(buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.array(*order).alias("leaders")).where("n > 1"))
-    pairs = cut(_leader_pairs(buckets, stats))
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = cut(attach(buckets, cut(sizes), "bucket", F.xxhash64("node"), "n"))
+    # How crowded a node's buckets are: highest for what is nearest to the middle of a large group.
+    crowd = shared.groupBy("node").agg(F.sum("n").alias("crowd"))
+    shared = cut(shared.join(crowd, "node"))
+    first = F.max(F.struct("crowd", F.xxhash64("node", F.lit(0)), "node"))["node"]
+    other = F.min(F.struct(F.xxhash64("node", F.lit(1)), "node"))["node"]
+    stats = cut(shared.groupBy("bucket").agg(F.count("*").alias("n"), F.array(first, other, F.min("node"), F.max("node")).alias("leaders")))
+    pairs = cut(_leader_pairs(shared.select("node", "bucket"), stats))
 
     reps = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select(F.coalesce("rep", F.lit(-(1 << 62))).alias("_id"))
     own = docs.select("text", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("_id"))
-    sets = shingle_sets(join_checked(own, reps.distinct(), ["_id"], "left_semi"), words)
-    sets = cut(sets)
+    sets = cut(shingle_sets(join_checked(own, cut(reps.distinct()), ["_id"], "left_semi"), words))
     edges = cut(verify(pairs, sets, similarity))
     roots = cut(components(edges))
 
-    # Buckets whose pairs weren't all tried and that still hold several components.
-    wide = stats.where(F.col("n") > leaders + 1)
-    if wide.limit(1).count():
-        member = attach(buckets, wide.select("bucket", "n"), "bucket", F.xxhash64("node"), "n")
-        member = member.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = member.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("_n")).where("lo <> hi").select("bucket", "_n")
-        open_ = cut(attach(member.drop("n"), mixed, "bucket", F.xxhash64("node"), "_n").select("node", "root", "bucket"))
-        lists = open_.groupBy("node", "root").agg(F.sort_array(F.collect_set("bucket")).alias("bs")).where(F.size("bs") > 1)
-        two = F.flatten(F.transform("bs", lambda x, i: F.transform(F.slice("bs", i + 2, F.greatest(F.size("bs") - i - 1, F.lit(0))), lambda y: F.xxhash64(x, y))))
-        both = cut(lists.select("node", "root", F.explode(two).alias("bucket")))
-        several = both.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-        both = both.join(several, "bucket", "left_semi")
-        left, right = both.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra")), both.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"))
-        rest = left.join(right, "bucket").where("ra < rb").select("a", "b").distinct()
-        rest = rest.join(pairs, ["a", "b"], "left_anti").join(pairs.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-        more = cut(verify(cut(rest), sets, similarity))
-        if more.limit(1).count():
-            roots = cut(components(edges.unionByName(more)))
+    # Two leaders try all pairs of up to three nodes; larger buckets may still hold several components.
+    member = attach(shared.select("node", "bucket"), stats.where("n > 3").select("bucket", "n"), "bucket", F.xxhash64("node"), "n")
+    member = cut(member.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    more = cut(search_mixed(member, sets, similarity))
+    if more.limit(1).count():
+        of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias("r" + c))
+        ends = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+        higher = cut(components(ends).withColumnRenamed("root", "_higher"))
+        nodes_ = roots.unionByName(higher.select("node", F.col("node").alias("root"))).distinct()
+        nodes_ = nodes_.groupBy("node").agg(F.min("root").alias("root"))
+        roots = cut(nodes_.join(higher.select(F.col("node").alias("root"), "_higher"), "root", "left").select("node", F.coalesce("_higher", "root").alias("root")))
     return roots
 
 
