@@ -67,6 +67,10 @@ def _joined(hashes: Column, step: int) -> Column:
     return F.slice(both, F.lit(1), F.greatest(F.size(hashes) - step, F.lit(0)))
 
 
+def _of_width(hashes: Column, width: int) -> Column:
+    return F.transform(hashes, lambda h: F.struct(F.lit(width).alias("width"), h.alias("h")))
+
+
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, min_tokens: int = 4) -> DataFrame:
     """item_id, width, n_windows, ipos, h and the window's slots for every window of every item.
 
@@ -107,7 +111,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_share:
     keys = bench.select("h", "width").distinct()
     small = fits(keys, max_windows)
 
-    hashed = F.concat(*[F.transform(window_hashes(F.col("_t"), w), lambda h, w=w: F.struct(F.lit(w).alias("width"), h.alias("h"))) for w in widths]) if len(widths) > 1 else None
+    hashed = F.concat(*[_of_width(window_hashes(F.col("_t"), w), w) for w in widths]) if len(widths) > 1 else None
     probe = rows.select("_k", template(F.col("_c")).alias("_t"))
     if not widths:
         met = probe.select("_k").limit(0)
