@@ -17,8 +17,8 @@ from taxaspark.llm.common import cut, fits, join_checked, let
 KEY = "surrogate-1"
 
 # Forms of address by the gender they tell, in the languages of the corpus.
-MALE = "Mr|Herr|Herrn|Monsieur|Señor|Sr|Г-н|Господин"
-FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Г-жа|Госпожа"
+MALE = "Mr|Herr|Herrn|Monsieur|Señor|Sr|Г-н|г-н|Господин|господин"
+FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Г-жа|г-жа|Госпожа|госпожа"
 # Surrogate names by gender and script.
 FIRST = {
     "male-latin": "Adrian Bruno Carl David Emil Felix Gustav Hugo Ivan Jonas Karl Leo Martin Nils Oscar Paul Rafael Simon Thomas Victor".split(),
