@@ -28,7 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
-        if not sc.master.startswith("local["):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="taxaspark-")
     if sc.getCheckpointDir() is None:
@@ -36,6 +36,13 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """Full URI of a path, as the cluster's file systems name it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+    return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into a table in the shared folder and read it from there.
 

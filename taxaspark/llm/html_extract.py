@@ -63,6 +63,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
     """The page's text blocks as (path, boilerplate, text); inline tags are no part of a path."""
     out: list[tuple[tuple[str, ...], bool, str]] = []
     stack: list[tuple[str, str, bool]] = []  # tag, step, boilerplate here or above
+    opened = False  # an article has begun
     text: list[str] = []
 
     def flush() -> None:
@@ -96,8 +97,14 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
             stack.pop()
         name, marked = _step(tag, m.group("attrs") or "")
         if tag == "header":  # of the page; an article's own header keeps its headings
-            marked = marked or not any(s[0] in ARTICLE for s in stack)
-        stack.append((tag, name, marked or (bool(stack) and stack[-1][2])))
+            marked = not any(s[0] in ARTICLE for s in stack)
+        inherited = bool(stack) and stack[-1][2]
+        if tag in ARTICLE and not opened and not any(s[0] in BOILERPLATE for s in stack):
+            inherited = False  # a wrapper's class, such as "has-sidebar", doesn't condemn the page's article
+        opened = opened or tag in ARTICLE
+        if tag in HEADING and not inherited and any(s[0] in ARTICLE for s in stack):
+            marked = False  # nor does a heading's own class, such as "header"
+        stack.append((tag, name, marked or inherited))
     if at < len(page):
         text.append(page[at:])
     flush()

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaspark.llm.common import cut, join_checked, shared_dir
+from taxaspark.llm.common import cut, join_checked, qualified, shared_dir
 
 # Fixed values of the seekable format: magic numbers of the skippable frame and of its footer.
 SKIPPABLE = 0x184D2A5E
@@ -131,6 +131,8 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
 
         def close() -> pa.RecordBatch:
             bundle.close()
+            if fs.get_file_info(f"{root}/{name}").type != pafs.FileType.NotFound:  # left by a lost try of this task
+                fs.delete_file(f"{root}/{name}")
             fs.move(f"{root}/.{name}.{token}", f"{root}/{name}")
             done = pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], t) for i, t in enumerate((pa.int64(), pa.string(), pa.int32(), pa.int64()))], ["page_id", "bundle", "frame", "offset"])
             kept.clear()
@@ -198,8 +200,7 @@ def archive(spark: SparkSession, pages: DataFrame, folder: str | None = None, mi
     are ignored. An empty table writes nothing and gives an empty result.
     """
     if folder is None:
-        home = shared_dir(spark)
-        folder = f"{home.rstrip('/') if '://' in home or home.startswith('file:') else 'file://' + home.rstrip('/')}/warc-{uuid.uuid4().hex}"
+        folder = qualified(spark, f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}").replace("s3a://", "s3://")
     return read_back(folder, write(pages, folder, min_bytes))
 
 

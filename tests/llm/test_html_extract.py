@@ -11,6 +11,16 @@ def test_article_without_boilerplate():
     assert H.main_text(PAGE) == "Title & more\nFirst line.\nSecond line, with spaces é.\none\ntwo"
 
 
+def test_wrappers_and_nested_articles():
+    p = """<body class="has-sidebar"><div class="page header-fixed has-sidebar"><main><article class="post"><header class="entry-header"><h1 class="header">Title</h1>
+    <p class="byline">by X</p></header><p>Body text.</p><div class="notice">Note!</div><section id="comments"><article><p>I disagree.</p></article></section></article></main>
+    <div class="sidebar"><p>More to read, friends.</p></div></div><div id="footer">foot</div></body>"""
+    assert H.main_text(p) == "Title\nBody text."
+    q = """<body><div id="header">Site</div><div class="menu"><a>One</a> <a>Two</a></div><div class="content"><h1>Head</h1><p>Some text, with marks.</p><p>Be.</p></div>
+    <div class="widget">w</div><div class="footer">f</div></body>"""
+    assert H.main_text(q) == "Head\nSome text, with marks.\nBe."
+
+
 def test_page_without_article_takes_the_dense_container():
     p = "<html><body><div id=x><a href=1>a</a></div><div id=main2><p>" + "A long sentence, with commas, and dots. " * 5 + "</p><p>Another one, also long, with marks, yes. " * 3 + "</p></div><div id=y><a>b</a></div></body></html>"
     text = H.main_text(p)
