@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,13 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller pieces, so that few texts are Python objects at once."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """Full URI of a path, as the cluster's file systems name it."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taxaspark.llm.common import slices
+
 # Element names of the HTML standard by the role they play here.
 RAW = "script|style|textarea|title|iframe|noembed|noframes|noscript|template|xmp|svg|math|object|select|button"
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -178,11 +180,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(0, b.num_rows, 500):
-                part = b.slice(k, 500)
-                texts = [main_text(x) for x in part.column("html").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+        for part in slices(batches):
+            texts = [main_text(x) for x in part.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaspark.llm.common import attach, cut, join_checked
+from taxaspark.llm.common import attach, cut, join_checked, slices
 
 WORDS = 5
 REGISTERS = 64
@@ -123,11 +123,6 @@ def signatures(owner: np.ndarray, shingle: np.ndarray, weight: np.ndarray, texts
     return who.reshape(texts, registers)
 
 
-def _batches(b: pa.RecordBatch, rows: int = 400) -> Iterator[pa.RecordBatch]:
-    for k in range(0, b.num_rows, rows):
-        yield b.slice(k, rows)
-
-
 def _node(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """One 64-bit key for each word sequence."""
     raw = np.ascontiguousarray(hashes).view(np.uint8).tobytes()
@@ -139,17 +134,16 @@ def sketch(docs: DataFrame, words: int = WORDS, registers: int = REGISTERS, rows
     """doc_id, node (key of the word sequence), bands of every row; bands is empty without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for part in _batches(b):
-                hashes, offsets = word_hashes(part.column("text"))
-                owner, shingle, count = shingles(hashes, offsets, words)
-                sig = signatures(owner, shingle, 1 + np.log(count), part.num_rows, registers)
-                bands = np.zeros((part.num_rows, registers // rows), np.uint64)
-                for r in range(rows):
-                    bands = _mix(bands + sig[:, r::rows] + _GOLD)
-                full = np.diff(offsets) > 0
-                lists = [x if ok else [] for x, ok in zip(bands.view(np.int64).tolist(), full, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_node(hashes, offsets)), pa.array(lists, pa.list_(pa.int64()))], ["doc_id", "node", "bands"])
+        for part in slices(batches):
+            hashes, offsets = word_hashes(part.column("text"))
+            owner, shingle, count = shingles(hashes, offsets, words)
+            sig = signatures(owner, shingle, 1 + np.log(count), part.num_rows, registers)
+            bands = np.zeros((part.num_rows, registers // rows), np.uint64)
+            for r in range(rows):
+                bands = _mix(bands + sig[:, r::rows] + _GOLD)
+            full = np.diff(offsets) > 0
+            lists = [x if ok else [] for x, ok in zip(bands.view(np.int64).tolist(), full, strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_node(hashes, offsets)), pa.array(lists, pa.list_(pa.int64()))], ["doc_id", "node", "bands"])
 
     rows_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows_.mapInArrow(run, "doc_id long, node long, bands array<long>")
@@ -159,14 +153,13 @@ def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """node and its sorted distinct shingles (32 bits each, as bytes), one row for each node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for part in _batches(b):
-                hashes, offsets = word_hashes(part.column("text"))
-                owner, shingle, _ = shingles(hashes, offsets, words)
-                cuts = np.searchsorted(owner, np.arange(part.num_rows + 1))
-                top = (shingle >> np.uint64(32)).astype(np.uint32)
-                sets = [top[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(_node(hashes, offsets)), pa.array(sets, pa.binary())], ["node", "shingles"])
+        for part in slices(batches):
+            hashes, offsets = word_hashes(part.column("text"))
+            owner, shingle, _ = shingles(hashes, offsets, words)
+            cuts = np.searchsorted(owner, np.arange(part.num_rows + 1))
+            top = (shingle >> np.uint64(32)).astype(np.uint32)
+            sets = [top[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(_node(hashes, offsets)), pa.array(sets, pa.binary())], ["node", "shingles"])
 
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
 
@@ -182,7 +175,7 @@ def verify(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) ->
     rows = rows.select("a", "b", "right").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             good = []
             for x, y in zip(b.column("left").to_pylist(), b.column("right").to_pylist(), strict=True):
                 p, q = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)

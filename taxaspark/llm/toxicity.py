@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaspark.llm.common import held_out, join_checked, unit_hash
+from taxaspark.llm.common import held_out, join_checked, slices, unit_hash
 
 #: Symbols: 0 separator, 1-26 letters, 27 digit, 28 any other letter.
 SYMBOLS = 29
@@ -161,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, calibration_rows
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = [np.zeros(size, np.int64), np.zeros(size, np.int64)]
-        for b in batches:
+        for b in slices(batches):
             for text, y in zip(b.column("text").to_pylist(), b.column("_y").to_pylist(), strict=True):
                 codes = grams(text, order)
                 if len(codes) * 8 < size:
@@ -188,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, calibration_rows
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             pairs = [sent.value.evidence(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.float64()), pa.array([p[1] for p in pairs], pa.int64()), b.column("_y").cast(pa.int64())], ["total", "n", "y"])
 
@@ -212,7 +212,7 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> Data
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             pairs = [sent.value.evidence(t) for t in b.column("text").to_pylist()]
             total, n = np.array([p[0] for p in pairs], float), np.array([p[1] for p in pairs], np.int64)
             s = sent.value.score(total, n)
@@ -231,7 +231,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Da
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             pairs = [sent.value.evidence(t) for t in b.column("text").to_pylist()]
             s = sent.value.score(np.array([p[0] for p in pairs], float), np.array([p[1] for p in pairs], np.int64))
             yield b.filter(pa.array(s < threshold))

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaspark.llm.common import cut, join_checked, qualified, shared_dir
+from taxaspark.llm.common import cut, join_checked, qualified, shared_dir, slices
 
 # Fixed values of the seekable format: magic numbers of the skippable frame and of its footer.
 SKIPPABLE = 0x184D2A5E
@@ -139,7 +139,7 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
             return done
 
         token = uuid.uuid4().hex
-        for b in batches:
+        for b in slices(batches):
             for page_id, url, html, first, part in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html", "first_id", "_part")), strict=True):
                 if bundle is None:
                     name, number = f"bundle-{part:06d}-{number:04d}.warc.zst", number + 1
