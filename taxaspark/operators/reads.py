@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from taxaspark.functions import dna
 from taxaspark.functions.expr import let
+from taxaspark.operators.joins import if_small
 
 
 def pair_mates(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -207,7 +208,7 @@ def contaminant_hits(reads: DataFrame, refs: DataFrame, k: int = 31, distance: i
     elif distance:
         raise ValueError("distance is 0 or 1")
     own = reads.select("read_id", F.explode(F.array_distinct(dna.kmers(F.col("seq"), k))).alias("kmer"))
-    return own.join(known, "kmer", "left_semi").groupBy("read_id").agg(F.count("*").alias("hits"))
+    return own.join(if_small(known), "kmer", "left_semi").groupBy("read_id").agg(F.count("*").alias("hits"))
 
 
 def remove_contaminants(reads: DataFrame, refs: DataFrame, k: int = 31, min_share: float | None = None, distance: int = 0) -> DataFrame:

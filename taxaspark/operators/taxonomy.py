@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaspark.functions import dna
+from taxaspark.functions.expr import let
 from taxaspark.functions.lineage import segments
+from taxaspark.operators.joins import if_small
 
 
 def token_list(value: str | list[str] | None) -> list[str]:
@@ -57,14 +59,14 @@ def classify_reads(reads: DataFrame, database: DataFrame, k: int, l: int, confid
     moves up until its clade holds ``confidence`` of the read's k-mers, and needs ``min_groups``
     runs of k-mers with one minimizer. Reads without a call have an empty path and null taxon.
     """
-    rows = reads.select("read_id", F.posexplode(dna.minimizers(F.col("seq"), k, l)).alias("pos", "m"))
-    rows = rows.select("read_id", "pos", dna.canonical(F.col("m")).alias("minimizer"))
-    w = Window.partitionBy("read_id").orderBy("pos")
-    rows = rows.withColumn("_new", F.coalesce((F.lag("minimizer").over(w) != F.col("minimizer")).cast("int"), F.lit(1)))
-    per = rows.groupBy("read_id", "minimizer").agg(F.count("*").alias("n"), F.sum("_new").alias("groups"))
-    hit = per.join(database, "minimizer", "left")
-    totals = hit.groupBy("read_id").agg(F.sum("n").alias("n_kmers"), F.coalesce(F.sum(F.when(F.col("path").isNotNull(), F.col("n"))), F.lit(0)).alias("n_hits"), F.coalesce(F.sum(F.when(F.col("path").isNotNull(), F.col("groups"))), F.lit(0)).alias("n_groups"))
-    taxa = hit.where("path IS NOT NULL").groupBy("read_id", "path").agg(F.sum("n").alias("n"))
+    mins = F.transform(dna.minimizers(F.col("seq"), k, l), dna.canonical)
+    runs = let(mins, lambda a: F.transform(a, lambda m, i: F.struct(m.alias("minimizer"), F.when((i > 0) & (F.get(a, i - 1) == m), 0).otherwise(1).alias("first"))))
+    each = reads.select("read_id", F.explode(runs).alias("e")).select("read_id", "e.minimizer", "e.first")
+    # Only k-mers of the database go on, so what is shuffled is the hits.
+    taxa = each.join(if_small(database), "minimizer").groupBy("read_id", "path").agg(F.count("*").alias("n"), F.sum("first").alias("groups"))
+    hits = taxa.groupBy("read_id").agg(F.sum("n").alias("n_hits"), F.sum("groups").alias("n_groups"))
+    totals = reads.select("read_id", (F.length("seq") - (k - 1)).cast("long").alias("n_kmers")).where("n_kmers > 0").groupBy("read_id").agg(F.sum("n_kmers").alias("n_kmers"))
+    totals = totals.join(hits, "read_id", "left").fillna(0, ["n_hits", "n_groups"])
     lists = taxa.groupBy("read_id").agg(F.collect_list(F.struct("path", "n")).alias("found"))
     on_path = lambda p: F.aggregate(F.filter("found", lambda f: F.slice(p, F.lit(1), F.size(f["path"])) == f["path"]), F.lit(0).cast("long"), lambda a, f: a + f["n"])
     scored = F.transform("found", lambda f: F.struct(on_path(f["path"]).alias("score"), f["path"].alias("path")))
@@ -186,5 +188,5 @@ def reestimate(linked: DataFrame, rank: str, threshold: DataFrame, kmer_share: D
 
 def extract_reads(reads: DataFrame, taxa: DataFrame, assigned: DataFrame) -> DataFrame:
     """Reads whose assigned taxid is among ``taxa``; all columns are kept."""
-    ids = assigned.join(F.broadcast(taxa.select("sample", "taxid").distinct()) if taxa.limit(1_000_001).count() <= 1_000_000 else taxa.select("sample", "taxid").distinct(), ["sample", "taxid"], "left_semi")
+    ids = assigned.join(if_small(taxa.select("sample", "taxid").distinct()), ["sample", "taxid"], "left_semi")
     return reads.join(ids.select("sample", "read_id"), ["sample", "read_id"], "left_semi")

@@ -356,3 +356,26 @@ def manifest_paired_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = b.table(spark, sf_dir, "orders")
     runs = o.select(F.when(F.col("o_custkey") % 7 > 0, F.concat(F.lit("R"), "o_custkey")).otherwise("").alias("Run"), F.when(F.col("o_orderstatus") == "F", F.when(F.col("o_orderkey") % 2 == 0, "paired").otherwise("PAIRED")).otherwise("SINGLE").alias("LibraryLayout"))
     return tables.paired_runs(runs)
+
+
+@query(f"WITH {b.REPORT_SQL} SELECT sample, 0::BIGINT AS unclassified, max(CASE WHEN rank = 'R' THEN clade_reads END) AS classified FROM rep GROUP BY sample")
+def report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree.unclassified_and_root(b.report(spark, sf_dir)).withColumn("unclassified", F.col("unclassified").cast("long"))
+
+
+@query(f"WITH {b.REPORT_SQL} SELECT s.sample, s.taxid, 'p__' || p.name || ';g__' || g.name || ';s__' || s.name AS lineage FROM links s JOIN links g ON g.sample = s.sample AND g.idx = s.parent_idx JOIN links p ON p.sample = s.sample AND p.idx = g.parent_idx WHERE s.rank = 'S'")
+def taxon_lineages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tables.lineage_of(b.linked(spark, sf_dir), {"P": "p__", "G": "g__", "S": "s__"}).where("taxid LIKE 's%'")
+    return rows.withColumn("lineage", F.array_join("lineage", ";"))
+
+
+@query("SELECT 1 - (sum(CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END)::BIGINT / count(*)) AS fraction FROM lineitem")
+def chimera_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = b.table(spark, sf_dir, "lineitem").select("l_returnflag", F.lit(1).alias("n"))
+    return tables.chimera_fraction(li, li.where("l_returnflag <> 'R'"))
+
+
+@query("SELECT s_suppkey, regexp_replace(regexp_replace(s_name, '^Supplier#0*', 'S'), '9$', '_nine') AS sample FROM supplier")
+def sample_renames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [("^Supplier#0*", "S"), ("9$", "_nine")]
+    return b.table(spark, sf_dir, "supplier").select("s_suppkey", lineage.rename_sample(F.col("s_name"), rules).alias("sample"))

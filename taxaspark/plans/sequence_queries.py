@@ -33,8 +33,8 @@ def kmer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {b.SEQS_SQL}, k AS (SELECT DISTINCT doc_id, unnest({KMERS('seq', 8)}) AS kmer FROM seqs WHERE length(seq) >= 8) SELECT doc_id, count(DISTINCT least(kmer, {RC('kmer')}))::BIGINT AS n FROM k GROUP BY doc_id")
 def kmer_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = b.seqs(spark, sf_dir).select("doc_id", F.explode(F.array_distinct(dna.kmers(F.col("seq"), 8))).alias("kmer"))
-    return k.select("doc_id", dna.canonical(F.col("kmer")).alias("kmer")).distinct().groupBy("doc_id").agg(F.count("*").alias("n"))
+    s = b.seqs(spark, sf_dir).where(F.length("seq") >= 8)
+    return s.select("doc_id", F.size(F.array_distinct(F.transform(dna.kmers(F.col("seq"), 8), dna.canonical))).cast("long").alias("n"))
 
 
 @query(f"""WITH {b.SEQS_SQL}, s AS (SELECT doc_id, substr(seq, 1, 60) AS seq FROM seqs), p AS (SELECT doc_id, seq, unnest(generate_series(1, length(seq) - 11)) AS i FROM s WHERE length(seq) >= 12)
