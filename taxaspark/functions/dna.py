@@ -46,9 +46,27 @@ def canonical(kmer: Column) -> Column:
 
 def minimizers(seq: Column, k: int, l: int) -> Column:
     """Smallest l-mer of each window of k bases, one for each k-mer."""
-    width = k - l + 1
-    windows = lambda small: F.transform(F.sequence(F.lit(1), F.size(small) - width + 1), lambda i: F.array_min(F.slice(small, i, width)))
-    return let(kmers(seq, l), lambda small: F.when(F.size(small) >= width, windows(small)).otherwise(F.array().cast("array<string>")))
+    return sliding_min(kmers(seq, l), k - l + 1)
+
+
+def sliding_min(values: Column, width: int) -> Column:
+    """Smallest of every ``width`` neighbours of an array, by doubling; none for shorter arrays."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        values = let(values, _least_of_two(step))
+        have += step
+    return values
+
+
+def _least_of_two(step: int):
+    """Each value or the one ``step`` places on, whichever is smaller, as far as both exist."""
+
+    def join(a: Column) -> Column:
+        n = F.greatest(F.size(a) - step, F.lit(0))
+        return F.slice(F.zip_with(a, F.slice(a, F.lit(step + 1), n), lambda x, y: F.least(x, y)), F.lit(1), n)
+
+    return join
 
 
 def phred(qual: Column) -> Column:
