@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxaspark.llm.common import SPACE, attach, cut
+from taxaspark.llm.common import SPACE, attach, cut, join_checked
 
 RANGE_DIGITS = 3
 
@@ -78,8 +78,6 @@ def drop_copies(docs: DataFrame, fan_in: int = 8) -> DataFrame:
     per = marked.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("_kept"), F.count("*").alias("_n"))
     gone = cut(per.where(~F.col("_kept") | (F.col("_n") > 1)))
     own = docs.withColumn("_sha", F.sha2(normalised(F.col("text")), 256))
-    from taxaspark.llm.common import join_checked
-
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "_kept", "_n")
     gone = gone.withColumn("_id", F.coalesce(F.col("_id"), F.lit(-(1 << 62))))
     own = own.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))))

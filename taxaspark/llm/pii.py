@@ -176,6 +176,8 @@ def collisions(entities: DataFrame, key: str = KEY, rounds: int = 50) -> DataFra
         done = again.join(left.select("kind", "name"), ["kind", "name"], "left_anti")
         settled = done.select("kind", "name", "attempt") if settled is None else settled.unionByName(done.select("kind", "name", "attempt"))
         taken = cut(taken.unionByName(done.select("kind", "found")))
+    else:
+        raise ValueError("surrogates still collide: there are more entities of a kind than surrogates")
     if settled is None:
         return left
     return cut(settled)
