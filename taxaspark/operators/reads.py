@@ -71,6 +71,24 @@ def _between_low(read: Column, means: Column, mean: int) -> Column:
     return F.struct(*[F.substr(read[f], F.greatest(start, F.lit(1)).cast("int"), length.cast("int")).alias(f) for f in ("seq", "qual")])
 
 
+def trim_readthrough(pairs: DataFrame, min_overlap: int = 30) -> DataFrame:
+    """Cut adapters off pairs whose fragment is shorter than the reads.
+
+    Such mates are reverse complements of each other up to the fragment's end; the longest such
+    length short of the reads is the fragment, and what follows in either mate is adapter.
+    """
+    length = let(F.struct(F.col("r1.seq").alias("a"), F.col("r2.seq").alias("b")), lambda p: _fragment(p["a"], p["b"], min_overlap))
+    rows = pairs.withColumn("_n", length)
+    cut = lambda r: F.when(F.col("_n").isNull(), F.col(r)).otherwise(F.struct(*[F.substr(F.col(f"{r}.{f}"), F.lit(1), F.col("_n")).alias(f) for f in ("seq", "qual")]))
+    return rows.withColumns({"r1": cut("r1"), "r2": cut("r2")}).drop("_n")
+
+
+def _fragment(a: Column, b: Column, least: int) -> Column:
+    top = F.least(F.length(a), F.length(b)) - 1
+    sizes = F.when(top >= least, F.sequence(top, F.lit(least), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    return F.get(F.filter(sizes, lambda n: F.substr(a, F.lit(1), n) == dna.reverse_complement(F.substr(b, F.lit(1), n))), F.lit(0))
+
+
 def mismatches(seq: Column, at: Column, primer: str) -> Column:
     """Number of positions of ``seq`` from ``at`` that the IUPAC primer doesn't stand for."""
     each = [F.when(F.lit(dna.MEANING[c]).contains(F.substr(seq, at + i, F.lit(1))) & (F.substr(seq, at + i, F.lit(1)) != ""), 0).otherwise(1) for i, c in enumerate(primer)]
@@ -220,10 +238,17 @@ def remove_contaminants(reads: DataFrame, refs: DataFrame, k: int = 31, min_shar
     return reads.join(hits.select("read_id"), "read_id", "left_anti")
 
 
-def remove_contaminant_pairs(pairs: DataFrame, refs: DataFrame, k: int = 31, need: str = "either", distance: int = 0) -> DataFrame:
-    """Pairs (pair_id, r1, r2) of which ``either`` or only if ``both`` mates hit a reference go."""
+def remove_contaminant_pairs(pairs: DataFrame, refs: DataFrame, k: int = 31, need: str = "either", distance: int = 0, min_share: float | None = None) -> DataFrame:
+    """Pairs (pair_id, r1, r2) of which ``either`` or only if ``both`` mates hit a reference go.
+
+    A mate hits by one k-mer, or with ``min_share`` by that share of its k-mers.
+    """
     mates = pairs.select(F.explode(F.array(*[F.struct(F.col("pair_id"), F.lit(i).alias("mate"), F.col(f"r{i}.seq").alias("seq")) for i in (1, 2)])).alias("m")).select("m.*")
-    hits = contaminant_hits(mates.withColumn("read_id", F.struct("pair_id", "mate")), refs, k, distance)
+    mates = mates.withColumn("read_id", F.struct("pair_id", "mate"))
+    hits = contaminant_hits(mates, refs, k, distance)
+    if min_share is not None:
+        sizes = mates.select("read_id", F.size(F.array_distinct(dna.kmers(F.col("seq"), k))).alias("all"))
+        hits = hits.join(sizes, "read_id").where(F.col("hits") >= F.col("all") * min_share)
     bad = hits.groupBy("read_id.pair_id").agg(F.count("*").alias("mates")).where(F.col("mates") >= (1 if need == "either" else 2))
     return pairs.join(bad, "pair_id", "left_anti")
 

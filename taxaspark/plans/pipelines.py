@@ -67,6 +67,34 @@ def amplicon(pairs: DataFrame, refs: DataFrame, settings: dict, work: str, forwa
     return out
 
 
+def clean_shotgun_reads(pairs: DataFrame, settings: dict, work: str, contaminants: DataFrame | None = None, host: DataFrame | None = None, min_length: int = 100) -> dict[str, DataFrame]:
+    """Stages before classification, on pairs (sample, pair_id, r1, r2): spike-in, host, adapters and quality.
+
+    A stage without references doesn't exist. ``decontamination.host_min_id`` is the identity at which a
+    mate counts as host; with k-mers of 31 that is the share of a read's k-mers that such a read keeps.
+    """
+
+    def kept(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{work}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{work}/{name}")
+
+    out, now = {"raw": pairs}, pairs
+    if contaminants is not None:
+        now = out["no_spike"] = kept("no_spike", reads.remove_contaminant_pairs(now, contaminants, need="either", distance=1))
+    if host is not None:
+        identity = settings.get("decontamination", {}).get("host_min_id", 0.95)
+        now = out["no_host"] = kept("no_host", reads.remove_contaminant_pairs(now, host, need="either", min_share=identity**31))
+    now = reads.trim_readthrough(now)
+    now = out["trimmed"] = kept("trimmed", now.withColumns({r: reads.quality_trim(F.col(r)) for r in ("r1", "r2")}))
+    out["clean"] = now.where((F.length("r1.seq") >= min_length) & (F.length("r2.seq") >= min_length))
+    steps = None
+    for name, rows in out.items():
+        per = rows.groupBy("sample").agg(F.count("*").alias("n")).select("sample", F.lit(name).alias("stage"), "n")
+        steps = per if steps is None else steps.unionByName(per)
+    out["tracking"] = tables.tracking(pairs.select("sample").distinct(), steps, [n for n in out])
+    return out
+
+
 def shotgun(report: DataFrame, settings: dict, reads_: DataFrame | None = None, calls: DataFrame | None = None, max_depth: int = tree.MAX_DEPTH) -> dict[str, DataFrame]:
     """Stages of a shotgun run from tree reports; ``calls`` (sample, read_id, taxid) serve read extraction."""
     c = cf.merge(cf.DEFAULTS, settings)

@@ -163,3 +163,20 @@ def test_shotgun_pipeline_and_stream(spark, sf_dir, tmp_path):
     q.awaitTermination()
     streamed = spark.read.parquet(str(tmp_path / "out/gated"))
     assert streamed.count() == out["gated"].count()
+
+
+def test_shotgun_reads_are_cleaned(spark, tmp_path):
+    rng = random.Random(13)
+    seq = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    rc = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    spike, host, own = seq(400), seq(400), seq(400)
+    near = "".join(c if i % 60 else "ACGT"[("ACGT".index(c) + 1) % 4] for i, c in enumerate(host))
+    pair = lambda i, s, at, n: (i, "s", (s[at : at + n], "I" * n), (rc(s[at + 40 : at + 40 + n]), "I" * n))
+    short = own[:110]
+    rows = [pair(1, spike, 10, 150), pair(2, near, 20, 150), pair(3, own, 30, 150), (4, "s", (short + "A" * 40, "I" * 150), (rc(short) + "C" * 40, "I" * 150)), (5, "s", (own[:150], "I" * 90 + "#" * 60), (rc(own[40:190]), "I" * 150))]
+    df = spark.createDataFrame(rows, "pair_id int, sample string, r1 struct<seq: string, qual: string>, r2 struct<seq: string, qual: string>")
+    one = lambda s: spark.createDataFrame([(s,)], "seq string")
+    out = pipelines.clean_shotgun_reads(df, {}, str(tmp_path), one(spike), one(host))
+    got = {r["pair_id"]: (r["r1"]["seq"], r["r2"]["seq"]) for r in out["clean"].collect()}
+    assert sorted(got) == [3, 4] and got[4] == (short, rc(short))
+    assert tuple(out["tracking"].first()) == ("s", "5", "4", "3", "3", "2")
