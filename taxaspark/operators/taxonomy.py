@@ -45,11 +45,11 @@ def lca(paths: Column) -> Column:
 def kmer_database(refs: DataFrame, k: int, l: int) -> DataFrame:
     """(minimizer, path): each canonical minimizer with the common path of all references that have it.
 
-    ``refs`` has seq and path (array of taxa from the root). Paths are reduced to the distinct ones
-    of each minimizer first, so a minimizer of very many references stays small.
+    ``refs`` has seq and path (array of taxa from the root). The common prefix of many paths is that
+    of the smallest and the largest, so a minimizer of very many references needs two of them only.
     """
-    each = refs.select("path", F.explode(F.array_distinct(dna.minimizers(F.col("seq"), k, l))).alias("m")).select(dna.canonical(F.col("m")).alias("minimizer"), "path").distinct()
-    return each.groupBy("minimizer").agg(lca(F.collect_set("path")).alias("path"))
+    each = refs.select("path", F.explode(F.array_distinct(dna.minimizers(F.col("seq"), k, l))).alias("m")).select(dna.canonical(F.col("m")).alias("minimizer"), "path")
+    return each.groupBy("minimizer").agg(lca(F.array(F.min("path"), F.max("path"))).alias("path"))
 
 
 def classify_reads(reads: DataFrame, database: DataFrame, k: int, l: int, confidence: float = 0.15, min_groups: int = 3) -> DataFrame:
@@ -171,7 +171,7 @@ def reestimate(linked: DataFrame, rank: str, threshold: DataFrame, kmer_share: D
     reads, weighted by ``kmer_share`` (ancestor taxid, taxid, share) if it is given. Reads of an
     ancestor with nothing left below it are lost.
     """
-    taxa = linked.where(F.col("rank") == rank).join(F.broadcast(threshold), "sample").where("clade_reads >= threshold")
+    taxa = linked.where(F.col("rank") == rank).join(threshold, "sample").where("clade_reads >= threshold")
     up = taxa.select("sample", "idx", "taxid", "name", F.col("clade_reads").alias("own"), F.explode("ancestors").alias("anc"))
     direct = linked.select("sample", F.col("idx").cast("long").alias("anc"), F.col("direct_reads").alias("pool"), F.col("taxid").alias("anc_taxid"))
     pairs = up.join(direct, ["sample", "anc"]).where("pool > 0")

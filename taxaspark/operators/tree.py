@@ -69,7 +69,7 @@ def verdicts(tree: DataFrame, rank: str = "S", min_distinct: int = 333, min_read
     A taxon stays if it passes both floors, or if its share of the classified reads is above
     ``protect``; the share is 0 if nothing is classified.
     """
-    rows = tree.where(F.col("rank") == rank).join(F.broadcast(total_classified(tree)), "sample")  # one row a sample
+    rows = tree.where(F.col("rank") == rank).join(total_classified(tree), "sample")
     share = F.when(F.col("classified") > 0, F.col("clade_reads") / F.col("classified")).otherwise(F.lit(0.0))
     both = (F.col("distinct_minimizers") >= min_distinct) & (F.col("clade_reads") >= min_reads)
     rows = rows.withColumn("share", share)

@@ -15,7 +15,7 @@ def cap_bins(bins: DataFrame, caps: DataFrame | None) -> DataFrame:
     """Drop bins that start beyond their sample's and mate's cap, end the others at it; null caps do nothing."""
     if caps is None:
         return bins
-    rows = bins.join(F.broadcast(caps), ["sample", "mate"], "left")  # one row a sample and mate
+    rows = bins.join(caps, ["sample", "mate"], "left")
     rows = rows.where(F.col("cap").isNull() | (F.col("bin_start") <= F.col("cap")))
     return rows.withColumn("bin_end", F.least("bin_end", F.coalesce("cap", "bin_end"))).drop("cap")
 

@@ -49,7 +49,7 @@ COUNTS_SQL = "cnt AS (SELECT year(l_shipdate)::VARCHAR AS sample, l_suppkey AS s
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tree report of each ship year: root, regions, nations, suppliers in depth-first order."""
-    leaves = supplier_counts(spark, sf_dir).join(F.broadcast(suppliers(spark, sf_dir)), "s_suppkey")
+    leaves = supplier_counts(spark, sf_dir).join(suppliers(spark, sf_dir), "s_suppkey")
     up = leaves.withColumn("level", F.explode(F.array(*[F.lit(i) for i in range(4)])))
     key = lambda at, c: F.when(F.col("level") >= at, F.col(c))
     up = up.select("sample", "level", key(1, "r_regionkey").alias("r"), key(2, "n_nationkey").alias("na"), key(3, "s_suppkey").alias("s"), F.when(F.col("level") == 0, "root").when(F.col("level") == 1, F.col("r_name")).when(F.col("level") == 2, F.col("n_name")).otherwise(F.col("s_name")).alias("name"), "n", "parts")

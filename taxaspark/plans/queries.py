@@ -70,7 +70,7 @@ def length_window_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = b.table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     s = stats.percentiles(docs, ["lang"], "n_chars", {"q1": 25, "p95": 95})
     low, high = stats.window_columns(F.col("q1"), F.col("p95"), F.lit(None).cast("int"), 50)
-    rows = docs.join(F.broadcast(s), "lang").withColumns({"min_len": low, "max_len": high})  # one row a language
+    rows = docs.join(s, "lang").withColumns({"min_len": low, "max_len": high})
     return stats.keep_lengths(rows, F.col("n_chars"), F.col("min_len"), F.col("max_len")).drop("q1", "p95")
 
 
@@ -296,7 +296,7 @@ def otu_table_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {b.SUPPLIERS_SQL} SELECT n_name, " + ", ".join(f"count(*) FILTER (year(l_shipdate) = {y})::BIGINT AS y{y}" for y in range(1992, 1999)) + " FROM lineitem JOIN sup ON l_suppkey = s_suppkey GROUP BY n_name")
 def otu_table_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.supplier_counts(spark, sf_dir).join(F.broadcast(b.suppliers(spark, sf_dir)), "s_suppkey").select("n_name", F.concat(F.lit("y"), "sample").alias("sample"), "n")
+    rows = b.supplier_counts(spark, sf_dir).join(b.suppliers(spark, sf_dir), "s_suppkey").select("n_name", F.concat(F.lit("y"), "sample").alias("sample"), "n")
     return tables.widen(rows, "n_name", "sample", [f"y{y}" for y in range(1992, 1999)])
 
 

@@ -137,7 +137,7 @@ def matrix(spark: SparkSession, path: str, row: str = "sample", column: str = "a
     """Long form of a tab-separated matrix with an empty or missing first header cell and quoted strings."""
     rows = numbered(spark, path).where("value <> ''").withColumn("f", F.transform(F.split("value", "\t"), lambda x: F.regexp_replace(x, '^"|"$', "")))
     head = rows.where("line_no = 0").select("file", F.col("f").alias("head"))
-    body = rows.where("line_no > 0").join(F.broadcast(head), "file")  # one row a file
+    body = rows.where("line_no > 0").join(head, "file")
     shift = F.size("f") - F.size("head")
     cells = F.transform(F.slice("f", 2, F.size("f")), lambda x, i: F.struct(F.get("head", i + 1 - shift).alias("c"), x.cast("long").alias("n")))
     return body.select(F.get("f", F.lit(0)).alias(row), F.explode(cells).alias("e")).select(row, F.col("e.c").alias(column), F.col("e.n").alias(n))
