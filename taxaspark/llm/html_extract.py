@@ -33,9 +33,9 @@ ARTICLE = {"article", "main"}
 HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # Words of class, id and role attributes that mark boilerplate.
 MARKS = set(
-    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments commentlist consent contentinfo cookie cookies copyright "
-    "disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall "
-    "popup promo promoted recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar widget".split()
+    "ad ads adv advert adverts advertisement advertising adsense alert alerts announcement aside banner breadcrumb breadcrumbs byline comment comments commentlist complementary consent contentinfo cookie cookies copyright "
+    "dialog disclaimer disqus footer gdpr header login masthead menu menubar modal nav navbar navi navigation newsletter notice notices notification overlay pager pagination paywall "
+    "popup promo promoted recommended related replies reply respond search share sharing sidebar sidenav signup skip social sponsor sponsored submenu subscribe subscription tags toolbar topbar widget".split()
 )
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
