@@ -69,7 +69,13 @@ def verdicts(tree: DataFrame, rank: str = "S", min_distinct: int = 333, min_read
     A taxon stays if it passes both floors, or if its share of the classified reads is above
     ``protect``; the share is 0 if nothing is classified.
     """
-    rows = tree.where(F.col("rank") == rank).join(total_classified(tree), "sample")
+    root = F.first(F.when(F.col("taxid") == "1", F.col("clade_reads")), ignorenulls=True).over(Window.partitionBy("sample").orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    rows = tree.withColumn("classified", F.coalesce(root, F.lit(0))).where(F.col("rank") == rank)
+    return _judged(rows, min_distinct, min_reads, protect)
+
+
+def _judged(rows: DataFrame, min_distinct: int, min_reads: int, protect: float) -> DataFrame:
+    """Add share, decision and reason to rows that have ``classified``."""
     share = F.when(F.col("classified") > 0, F.col("clade_reads") / F.col("classified")).otherwise(F.lit(0.0))
     both = (F.col("distinct_minimizers") >= min_distinct) & (F.col("clade_reads") >= min_reads)
     rows = rows.withColumn("share", share)
@@ -92,6 +98,18 @@ def dropped(linked: DataFrame, verdict: DataFrame) -> DataFrame:
     return rows.withColumns({"in_drop": F.coalesce(own | above, F.lit(False)), "topmost": F.coalesce(own & ~above, F.lit(False))}).drop("_pruned")
 
 
+def mark(linked: DataFrame, rank: str = "S", min_distinct: int = 333, min_reads: int = 0, protect: float = 0.01) -> DataFrame:
+    """``dropped`` of the rows' own verdicts in one pass: windows over each sample, no join."""
+    whole = Window.partitionBy("sample").orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    root = F.first(F.when(F.col("taxid") == "1", F.col("clade_reads")), ignorenulls=True).over(whole)
+    rows = _judged(linked.withColumn("classified", F.coalesce(root, F.lit(0))), min_distinct, min_reads, protect)
+    own = (F.col("rank") == rank) & (F.col("decision") == "prune")
+    rows = rows.withColumn("_pruned", F.collect_set(F.when(own, F.col("idx").cast("long"))).over(whole))
+    above = F.arrays_overlap("ancestors", "_pruned")
+    marks = {"in_drop": own | F.coalesce(above, F.lit(False)), "topmost": own & ~F.coalesce(above, F.lit(False))}
+    return rows.withColumns(marks).drop("_pruned", "classified", "share", "decision", "reason")
+
+
 def credits(marked: DataFrame) -> DataFrame:
     """(sample, parent_idx, credit): clade reads of the topmost pruned rows; a null parent is the orphan total."""
     return marked.where("topmost").groupBy("sample", "parent_idx").agg(F.sum("clade_reads").alias("credit"), F.count("*").alias("n_pruned"))

@@ -49,15 +49,15 @@ COUNTS_SQL = "cnt AS (SELECT year(l_shipdate)::VARCHAR AS sample, l_suppkey AS s
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tree report of each ship year: root, regions, nations, suppliers in depth-first order."""
-    leaves = supplier_counts(spark, sf_dir).join(suppliers(spark, sf_dir), "s_suppkey")
-    up = leaves.withColumn("level", F.explode(F.array(*[F.lit(i) for i in range(4)])))
-    key = lambda at, c: F.when(F.col("level") >= at, F.col(c))
-    up = up.select("sample", "level", key(1, "r_regionkey").alias("r"), key(2, "n_nationkey").alias("na"), key(3, "s_suppkey").alias("s"), F.when(F.col("level") == 0, "root").when(F.col("level") == 1, F.col("r_name")).when(F.col("level") == 2, F.col("n_name")).otherwise(F.col("s_name")).alias("name"), "n", "parts")
-    rows = up.groupBy("sample", "level", "r", "na", "s", "name").agg(F.sum("n").alias("lines"), F.sum("parts").alias("parts"))
+    leaves = supplier_counts(spark, sf_dir).join(suppliers(spark, sf_dir), "s_suppkey").select("sample", F.col("r_regionkey").alias("r"), "r_name", F.col("n_nationkey").alias("na"), "n_name", F.col("s_suppkey").alias("s"), "s_name", "n", "parts")
     # Suppliers have their lines as direct reads, nations seven each; clades add up.
-    nations = up.where("level = 2").select("sample", "r", "na").distinct().groupBy("sample", "r", "na").agg(F.lit(7).cast("long").alias("extra"))
-    extra = nations.select("sample", F.explode(F.array(*[F.struct(F.lit(i).alias("level"), (F.col("r") if i else F.lit(None).cast("int")).alias("r"), (F.col("na") if i > 1 else F.lit(None).cast("int")).alias("na"), "extra") for i in range(3)])).alias("e")).select("sample", "e.*").groupBy("sample", "level", "r", "na").agg(F.sum("extra").alias("extra"))
-    rows = rows.alias("t").join(extra.alias("x"), (F.col("t.sample") == F.col("x.sample")) & (F.col("t.level") == F.col("x.level")) & F.col("t.r").eqNullSafe(F.col("x.r")) & F.col("t.na").eqNullSafe(F.col("x.na")), "left").select("t.*", F.coalesce("extra", F.lit(0)).alias("extra"))
+    nations = leaves.groupBy("sample", "r", "r_name", "na", "n_name").agg(F.sum("n").alias("n"), F.sum("parts").alias("parts"))
+    up = nations.withColumn("level", F.explode(F.array(*[F.lit(i) for i in range(3)])))
+    at = lambda k, c: F.when(F.col("level") >= k, F.col(c))
+    name = F.when(F.col("level") == 0, "root").when(F.col("level") == 1, F.col("r_name")).otherwise(F.col("n_name"))
+    up = up.groupBy("sample", "level", at(1, "r").alias("r"), at(2, "na").alias("na"), name.alias("name")).agg(F.sum("n").alias("lines"), F.sum("parts").alias("parts"), (F.count("*") * 7).alias("extra"))
+    last = leaves.select("sample", F.lit(3).alias("level"), "r", "na", F.col("s_name").alias("name"), F.col("n").alias("lines"), "parts", F.lit(0).cast("long").alias("extra"), "s")
+    rows = up.withColumn("s", F.lit(None).cast("long")).unionByName(last)
     order = Window.partitionBy("sample").orderBy(F.asc_nulls_first("r"), F.asc_nulls_first("na"), F.asc_nulls_first("s"))
     rank = F.element_at(F.array(*[F.lit(x) for x in "RPGS"]), F.col("level") + 1)
     return rows.select(

@@ -107,7 +107,7 @@ def shotgun(report: DataFrame, settings: dict, reads_: DataFrame | None = None,
     out["evidence"] = tree.verdicts(report, rank, e["min_distinct"], e["min_reads"], e["protect_frac"])
     used = linked
     if e["enabled"]:
-        marked = tree.dropped(linked, out["evidence"])
+        marked = tree.mark(linked, rank, e["min_distinct"], e["min_reads"], e["protect_frac"])
         credit = tree.credits(marked)
         used = tree.gated(marked, credit)
         out |= {"gated": used, "dead_credit": tree.dead_credits(marked, credit, rank)}

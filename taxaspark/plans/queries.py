@@ -197,8 +197,7 @@ VERDICT_SQL = b.REPORT_SQL + """, tot AS (SELECT sample, clade_reads AS classifi
 
 def _marked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = b.linked(spark, sf_dir)
-    verdict = tree.verdicts(rows, "S", **FLOORS)
-    return tree.dropped(rows, verdict), verdict
+    return tree.mark(rows, "S", **FLOORS), tree.verdicts(rows, "S", **FLOORS)
 
 
 @query(f"""WITH {VERDICT_SQL} SELECT sample, taxid, name, rank, clade_reads, direct_reads, total_minimizers, distinct_minimizers, round((total_minimizers::DOUBLE / distinct_minimizers)::DECIMAL(30, 12), 3)::DECIMAL(20, 3)::VARCHAR AS duplicity,

@@ -15,7 +15,7 @@ from taxaspark.plans import bindings, queries as _queries, sequence_queries as _
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which taxa survive, per sample: tree, evidence gate, depth-scaled threshold, re-estimation, taxon filter."""
     linked = bindings.linked(spark, sf_dir)
-    marked = tree.dropped(linked, tree.verdicts(linked, "S", min_distinct=5, min_reads=2))
+    marked = tree.mark(linked, "S", min_distinct=5, min_reads=2)
     gate = tree.gated(marked, tree.credits(marked))
     floor = tree.total_classified(gate).select("sample", fn.depth_threshold(F.col("classified"), 0.002, 2).alias("threshold"))
     found = taxonomy.reestimate(gate, "S", floor)

@@ -23,7 +23,7 @@ def gate_stream(spark: SparkSession, landing: str, out: str, checkpoint: str, ra
     def one(batch: DataFrame, number: int) -> None:
         linked = tree.link(batch, max_depth)
         evidence = tree.verdicts(batch, rank, min_distinct, min_reads, protect)
-        marked = tree.dropped(linked, evidence)
+        marked = tree.mark(linked, rank, min_distinct, min_reads, protect)
         evidence.write.mode("overwrite").parquet(f"{out}/evidence/batch={number}")
         tree.gated(marked, tree.credits(marked)).write.mode("overwrite").parquet(f"{out}/gated/batch={number}")
 

@@ -111,6 +111,8 @@ def test_tree_links_and_gate(spark):
             assert g["ancestors"] == [a for a in range(r["idx"]) if ends[a] > r["idx"]]
     verdict = tree.verdicts(df, "G", 333, 0, 0.5)
     marked = tree.dropped(linked, verdict)
+    same = tree.mark(linked, "G", 333, 0, 0.5)
+    assert sorted(map(tuple, same.select("sample", "idx", "in_drop", "topmost").collect())) == sorted(map(tuple, marked.select("sample", "idx", "in_drop", "topmost").collect()))
     credit = tree.credits(marked)
     gated = tree.gated(marked, credit)
     before = {r["sample"]: r["s"] for r in linked.groupBy("sample").agg(F.sum("direct_reads").alias("s")).collect()}
