@@ -1,11 +1,16 @@
 """Main text of web pages by tag-path ratios.
 
 Each text block of a page hangs on a root-to-leaf path of tags (with class and id). Per path the
-text length, the punctuation and the number of blocks are summed; the two ratios are smoothed over
-the paths in page order, fused and compared with a threshold. The paths above it are the content
-nodes; the smallest container of the best of them is the article, and every block inside it that is
-not boilerplate by its own tags (menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, reader comments) is kept, in page order.
+text length (without links), the punctuation and the number of blocks are summed; the two ratios
+are smoothed over the paths in page order, fused with the path's own ratio, weighed by what its tags
+say and compared with a threshold. The paths above it are the content nodes. The article is the
+outermost ``article`` or ``main`` of the best of them, or else their smallest container.
+
+Tags and words of class and id are evidence only: ``article`` doubles a score, so a story in a plain
+element outvotes teaser cards; words that mark boilerplate divide it. Inside the article an element
+that is so marked is kept if its own ratio is that of the text around it (where the word is part of
+a longer name, such as a slug) or several times as high (where the name says nothing else). Menus,
+footers, scripts, styles and hidden elements are never content.
 """
 
 from __future__ import annotations
@@ -28,7 +33,8 @@ BLOCK = set(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-BOILERPLATE = set("nav footer aside form head menu dialog fieldset label".split())
+NEVER = set("nav footer head menu label".split())
+SELDOM = set("aside form dialog fieldset".split())
 ARTICLE = {"article", "main"}
 HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # Words of class, id and role attributes that mark boilerplate.
@@ -37,6 +43,17 @@ MARKS = set(
     "dialog disclaimer disqus footer gdpr header login masthead menu menubar modal nav navbar navi navigation newsletter notice notices notification overlay pager pagination paywall "
     "popup promo promoted recommended related replies reply respond search share sharing sidebar sidenav signup skip social sponsor sponsored submenu subscribe subscription tags toolbar topbar widget".split()
 )
+# Words that say nothing beside one of MARKS ("related-posts", "share-buttons").
+FURNITURE = set(
+    "area article articles bar bars block body bottom box button buttons card cards col column container content count entry feed fixed form group icon icons inner item items "
+    "left link links list main media meta module news page panel post posts right row section site stories story strip text title top unit wrap wrapper zone".split()
+)
+#: How firmly a step is marked: its name holds a word of MARKS, or is nothing but such words.
+WEAK, STRONG = 1, 2
+WEIGHT = {0: 1.0, WEAK: 0.5, STRONG: 0.1}
+IN_ARTICLE = 2.0
+#: An element with a weak mark is kept from this share of the article's ratio on, one with a strong mark from this multiple of its best.
+ALIKE, OUTVOTES = 0.25, 4.0
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)",
@@ -48,39 +65,53 @@ WORD = re.compile(r"[a-z]+")
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？]")
 
 
-def _step(tag: str, attrs: str) -> tuple[str, bool]:
-    """Name of a path step, and whether its own tag or attributes mark boilerplate."""
-    marked, name = tag in BOILERPLATE, tag
+def _step(tag: str, attrs: str) -> tuple[str, int, bool]:
+    """Name of a path step, how firmly its tag or attributes mark boilerplate, and whether it is never content."""
+    never, name = tag in NEVER, tag
+    level = STRONG if tag in SELDOM else 0
     if attrs and not attrs.isspace():
         for _, a, b, c in ATTRIBUTE.findall(attrs):
             value = (a or b or c).lower()
             name += "." + value
             if tag not in ("html", "body", "article", "main"):
-                marked = marked or any(w in MARKS for w in WORD.findall(value))
-        marked = marked or bool(HIDDEN.search(attrs))
-    return name, marked
+                for token in value.split():
+                    words = WORD.findall(token)
+                    if any(w in MARKS for w in words):
+                        level = max(level, STRONG if all(w in MARKS or w in FURNITURE or len(w) < 3 for w in words) else WEAK)
+        never = never or bool(HIDDEN.search(attrs))
+    return name, level, never
+
 
+#: A text block: path, marks on it as (depth, level), text, and how much of the text is links.
+Block = tuple[tuple[str, ...], tuple[tuple[int, int], ...], str, int]
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
-    """The page's text blocks as (path, boilerplate, text); inline tags are no part of a path."""
-    out: list[tuple[tuple[str, ...], bool, str]] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, step, boilerplate here or above
+
+def blocks(page: str) -> list[Block]:
+    """The page's text blocks, but those never content; inline tags are no part of a path."""
+    out: list[Block] = []
+    stack: list[tuple[str, str, tuple[tuple[int, int], ...], bool]] = []  # tag, step, marks here and above, never content
     opened = False  # an article has begun
     text: list[str] = []
+    linked, link = 0, False
 
     def flush() -> None:
+        nonlocal linked
         if text:
             joined = " ".join(entities.unescape("".join(text)).split())
             text.clear()
-            if joined:
-                out.append((tuple(s[1] for s in stack), bool(stack) and stack[-1][2], joined))
+            if joined and not (stack and stack[-1][3]):
+                out.append((tuple(s[1] for s in stack), stack[-1][2] if stack else (), joined, min(linked, len(joined))))
+        linked = 0
 
     at = 0
     for m in TOKEN.finditer(page):
         if m.start() > at:
             text.append(page[at : m.start()])
+            linked += (m.start() - at) * link
         at = m.end()
         tag = (m.group("tag") or "").lower()
+        if tag == "a":
+            link = not m.group("end")
         if tag not in BLOCK:
             if tag and not m.group("end") and tag not in VOID and tag == "label":
                 flush()
@@ -97,29 +128,33 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
             stack.pop()  # a block opened inside a paragraph ends it
         if tag in ("li", "dd", "dt", "option", "tr", "td", "th") and stack and stack[-1][0] == tag:
             stack.pop()
-        name, marked = _step(tag, m.group("attrs") or "")
+        name, level, never = _step(tag, m.group("attrs") or "")
         if tag == "header":  # of the page; an article's own header keeps its headings
-            marked = not any(s[0] in ARTICLE for s in stack)
-        inherited = bool(stack) and stack[-1][2]
-        if tag in ARTICLE and not opened and not any(s[0] in BOILERPLATE for s in stack):
-            inherited = False  # a wrapper's class, such as "has-sidebar", doesn't condemn the page's article
+            level = 0 if any(s[0] in ARTICLE for s in stack) else STRONG
+        marks = stack[-1][2] if stack else ()
+        never = never or bool(stack) and stack[-1][3]
+        if tag in ARTICLE and not opened:
+            marks = ()  # a wrapper's class, such as "has-sidebar", doesn't condemn the page's article
         opened = opened or tag in ARTICLE
-        if tag in HEADING and not inherited and any(s[0] in ARTICLE for s in stack):
-            marked = False  # nor does a heading's own class, such as "header"
-        stack.append((tag, name, marked or inherited))
+        if tag in HEADING and not marks and any(s[0] in ARTICLE for s in stack):
+            level = 0  # nor does a heading's own class, such as "header"
+        stack.append((tag, name, (*marks, (len(stack), level)) if level else marks, never))
     if at < len(page):
         text.append(page[at:])
     flush()
     return out
 
 
-def path_scores(found: list[tuple[tuple[str, ...], bool, str]], sigma: float = 1.0) -> dict[tuple[str, ...], float]:
-    """Fused and smoothed ratio of each path: text per block times (1 + punctuation per block)."""
+def path_scores(found: list[tuple], sigma: float = 1.0) -> dict[tuple[str, ...], float]:
+    """Smoothed ratio of each path of ``found`` (path, marks, text, length of links if there are any).
+
+    The ratio is text outside links per block, times (1 + punctuation per block).
+    """
     length: dict[tuple[str, ...], float] = {}
     marks: dict[tuple[str, ...], float] = {}
     count: dict[tuple[str, ...], int] = {}
-    for path, _, t in found:
-        length[path] = length.get(path, 0) + len(t)
+    for path, _, t, *linked in found:
+        length[path] = length.get(path, 0) + len(t) - sum(linked)
         marks[path] = marks.get(path, 0) + len(PUNCTUATION.findall(t))
         count[path] = count.get(path, 0) + 1
     paths = list(length)
@@ -138,37 +173,93 @@ def path_scores(found: list[tuple[tuple[str, ...], bool, str]], sigma: float = 1
     return {p: t * (1 + m) for p, t, m in zip(paths, text_ratio, mark_ratio, strict=True)}
 
 
+def _tag(step: str) -> str:
+    return step.split(".", 1)[0]
+
+
+def _article(path: tuple[str, ...]) -> int:
+    """Length of the path down to its outermost article or main; 0 without one."""
+    return next((k for k, s in enumerate(path, 1) if _tag(s) in ARTICLE), 0)
+
+
+class _Sums:
+    """Ratio of several blocks together."""
+
+    def __init__(self) -> None:
+        self.length = self.marks = self.count = 0
+
+    def add(self, block: Block) -> None:
+        self.length += len(block[2]) - block[3]
+        self.marks += len(PUNCTUATION.findall(block[2]))
+        self.count += 1
+
+    def ratio(self) -> float:
+        return self.length / self.count * (1 + self.marks / self.count) if self.count else 0.0
+
+
 def main_text(page: str | None) -> str:
     """The article of one page; empty for null, empty or text-free pages."""
-    if not page:
+    found = blocks(page) if page else []
+    if not found:
         return ""
-    found = blocks(page)
-    own = [b for b in found if not b[1]]
-    region = [b for b in own if any(s.split(".")[0] in ARTICLE for s in b[0])]
-    own = region or own
-    if not own:
-        return ""
-    scores = path_scores(own)
+    level: dict[tuple[str, ...], int] = {}
+    for path, marks, _, _ in found:  # of blocks on one path the least marked counts
+        level[path] = min(level.get(path, STRONG), max((x for _, x in marks), default=0))
+    own, smooth = path_scores(found, 0.1), path_scores(found)
+    scores = {p: math.sqrt(own[p] * smooth[p]) * WEIGHT[level[p]] * (IN_ARTICLE if _article(p) else 1.0) for p in own}
     mean = sum(scores.values()) / len(scores)
     spread = math.sqrt(sum((s - mean) ** 2 for s in scores.values()) / len(scores))
-    best = max(scores.values())
-    chosen = [p for p, s in scores.items() if s >= min(best, mean + 0.5 * spread)]
-    container = max(chosen, key=lambda p: scores[p])[:-1]
-    for path in chosen:  # smallest container of all content nodes
-        k = 0
-        while k < min(len(container), len(path)) and container[k] == path[k]:
-            k += 1
-        container = container[:k]
-    if region:  # the page names its article: nothing inside it but boilerplate is dropped
-        container = ()
+    first = max(scores, key=lambda p: scores[p])
+    least = min(scores[first], mean + 0.5 * spread)
+    chosen = {p for p, s in scores.items() if s >= least and level[p] <= max(WEAK, level[first])}
+    if _article(first):
+        top = first[: _article(first)]
+    else:
+        top = first[:-1]
+        for path in chosen:  # smallest container of the content nodes outside teasers
+            if not _article(path):
+                k = 0
+                while k < min(len(top), len(path)) and top[k] == path[k]:
+                    k += 1
+                top = top[:k]
+    depth = len(top)
+
+    plain, groups, best = _Sums(), {}, 0.0
+    for block in found:
+        path, marks = block[0], block[1]
+        below = [(k, x) for k, x in marks if k >= depth]
+        if path[:depth] == top and not below:
+            plain.add(block)
+            best = max(best, own[path])
+        for k, _ in below:
+            groups.setdefault(path[: k + 1], _Sums()).add(block)
+
+    def stays(group: tuple[str, ...], strength: int) -> bool:
+        g = groups[group]
+        if strength == WEAK and g.ratio() >= ALIKE * plain.ratio():
+            return True
+        return g.ratio() >= OUTVOTES * best and g.length > plain.length
+
+    verdict: dict[tuple[tuple[str, ...], int], bool] = {}
     kept = []
-    for path, _, t in own:
-        if path[: len(container)] != container:
-            continue
-        if any(s.split(".")[0] == "header" for s in path) and path[-1].split(".")[0] not in HEADING:
+    for path, marks, t, _ in found:
+        if path[:depth] != top:
+            if path not in chosen or marks or _article(path) and not _article(first):
+                continue
+        elif _article(path) and not _article(first) and path not in chosen:
+            continue  # a teaser beside the story
+        elif any(_tag(s) == "header" for s in path[depth:]) and _tag(path[-1]) not in HEADING:
             continue
-        kept.append(t)
-    return "\n".join(kept)
+        good = True
+        for k, x in marks:
+            if good and k >= depth:
+                key = (path[: k + 1], x)
+                if key not in verdict:
+                    verdict[key] = stays(*key)
+                good = verdict[key]
+        if good:
+            kept.append(t)
+    return "\n".join(kept or [t for path, _, t, _ in found if path == first])
 
 
 def extract(pages: DataFrame) -> DataFrame:

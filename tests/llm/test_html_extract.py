@@ -49,3 +49,31 @@ def test_query_keeps_every_row(spark):
     assert sorted((r["page_id"] or 0, r["n_chars"] > 0) for r in out) == [(0, False), (1, True), (1, True)]
     assert all(r["n_chars"] == len(r["text"]) for r in out)
     assert H.extract(df.limit(0)).count() == 0
+
+
+STORY = "".join(f"<p>The {w} sentence of the story is long, has commas, and ends here. It goes on, as stories do, for a while.</p>" for w in ("first", "second", "third"))
+
+
+def test_story_in_a_plain_element_outvotes_teaser_articles():
+    cards = "".join(f'<article class="card"><h2>Card {i}</h2><p>Read more about it.</p></article>' for i in range(4))
+    for page in (f'<body><div class="story"><h1>Head</h1>{STORY}</div>{cards}</body>', f'<body>{cards}<div><div class="story"><h1>Head</h1>{STORY}</div></div></body>', f'<body><div class="wrap"><div class="story"><h1>Head</h1>{STORY}</div>{cards}</div></body>'):
+        text = H.main_text(page)
+        assert text.count("sentence of the story") == 3 and "Card" not in text and "Read more" not in text
+
+
+def test_slugs_of_headings_are_content_and_furniture_is_not():
+    for slug in ("related-work", "social-impact", "share-capital"):
+        page = f'<article><h1>Head</h1>{STORY}<section id="{slug}"><h2>Slug</h2>{STORY}<ul><li>short</li></ul></section><div class="related-posts"><a href="/x">Other story</a></div></article>'
+        text = H.main_text(page)
+        assert text.count("sentence of the story") == 6 and "Slug\n" in text and text.endswith("\nshort")
+    page = f'<article>{STORY}<div id="comments">{STORY}</div><div class="share-buttons"><a>Post</a></div></article>'
+    assert H.main_text(page).count("sentence of the story") == 3
+
+
+def test_without_article_wrapper_names_do_not_empty_the_page():
+    page = f'<body><div class="page has-sidebar"><div class="content"><h1>Head</h1>{STORY}</div><div class="sidebar"><p>Side text.</p></div></div><div>Imprint</div></body>'
+    text = H.main_text(page)
+    assert text.count("sentence of the story") == 3 and "Side text" not in text and "Imprint" not in text
+    form = f'<body><form id="aspnetForm"><div>{STORY}</div></form></body>'
+    assert H.main_text(form).count("sentence of the story") == 3
+    assert H.main_text('<div class="notice"><p>All there is.</p></div>') == "All there is."
