@@ -1,15 +1,16 @@
-"""Toxicity by class-conditional Kneser-Ney character models.
-
-Two character models are counted on the labelled rows, one on toxic and one on ordinary texts.
-Each is interpolated Kneser-Ney (absolute discount) at the top order and backs off to one chain of
-lower orders whose continuation counts are shared by both classes, so that a rare expression is
-smoothed alike under both and adds no evidence by its rarity alone. A text's evidence is the
-difference of the two log-likelihoods divided by its length; a logistic curve fitted on labelled
-rows kept out of the counts turns it into a score.
-
-Characters are folded to a fixed alphabet of 29 symbols, so the counts of order N are at most
-29**N cells whatever the corpus: that bound is what makes the model safe to collect and broadcast.
-The counts themselves are taken over all labelled texts, whole.
+"""Toxicity by class-conditional language models of expressions and of characters.
+
+Expressions are the words and word pairs of the texts, in any alphabet (scripts written without
+spaces count by the character). Their counts per class are grouped over all labelled rows into a
+table that grows with the corpus. Counts are brought to the size of the smaller class, discounted by
+one and backed off to one common occurrence, so an expression expected there but once is no
+evidence. While the table is small it is broadcast; a larger one is joined by shuffle.
+
+Beside them stand two interpolated Kneser-Ney models of characters at order 4, which know new forms
+of words. Characters are folded to 29 symbols there, so these counts are at most 29**4 cells.
+Each text's evidence is the two differences of log-likelihoods by its length. A logistic curve turns
+them into a score; it is fitted on labelled rows whose own counts are taken out of the models
+(leave-one-out), so every labelled row is counted and can serve the curve as well.
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxaspark.llm.common import held_out, join_checked, slices, unit_hash
+from taxaspark.llm.common import attach, cut, fits, held_out, join_checked, slices, unit_hash
 
 #: Symbols: 0 separator, 1-26 letters, 27 digit, 28 any other letter.
 SYMBOLS = 29
@@ -117,28 +120,88 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
     return w
 
 
+def expressions(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, key, count) of the distinct words and word pairs of each text, and the words of every text."""
+    plain = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"[^\pL\pM\pN]+", " ")
+    plain = pc.replace_substring_regex(plain, r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])", r" \1 ")
+    lists = pc.split_pattern_regex(plain, " +")
+    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = pc.dictionary_encode(lists.flatten())
+    words = coded.dictionary.to_pylist()
+    own = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
+    codes = coded.indices.to_numpy()
+    full = np.fromiter((w != "" for w in words), bool, len(words))[codes]
+    owner, hashes = np.repeat(np.arange(len(texts)), lengths)[full], own[codes][full]
+    n = np.bincount(owner, minlength=len(texts))
+    next_ = owner[1:] == owner[:-1]
+    pairs = (hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ (hashes[1:] + np.uint64(0x632BE59BD9B4E019)))[next_]
+    keys = np.concatenate([hashes, pairs * np.uint64(0xD6E8FEB86659FD93) ^ (pairs >> np.uint64(32))]).view(np.int64)
+    owner = np.concatenate([owner, owner[:-1][next_]])
+    order = np.lexsort((keys, owner))
+    owner, keys = owner[order], keys[order]
+    first = np.ones(len(keys), bool)
+    first[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+    at = np.flatnonzero(first)
+    return owner[at], keys[at], np.diff(np.append(at, len(keys))), n
+
+
+def expression_ratio(toxic: np.ndarray, plain: np.ndarray, size: tuple[float, float]) -> np.ndarray:
+    """Log ratio of expressions by their counts: scaled to the smaller class, discounted by one, plus one."""
+    least = min(size)
+    x, y = (np.log1p(np.maximum(c * (least / s if s else 0.0) - 1, 0)) for c, s in zip((toxic, plain), size, strict=True))
+    return x - y
+
+
+def _ratio_column(toxic: Column, plain: Column, size: tuple[float, float]) -> Column:
+    least = min(size)
+    x, y = (F.log1p(F.greatest(c * F.lit(least / s if s else 0.0) - 1, F.lit(0.0))) for c, s in zip((toxic, plain), size, strict=True))
+    return x - y
+
+
 @dataclass
 class ToxicityModel:
-    """Log-likelihood ratios of all n-grams (29**order floats) and the fitted curve."""
+    """Log-likelihood ratios of all character n-grams (29**order floats), counts of expressions and the fitted curve.
+
+    ``keys`` (sorted), ``toxic`` and ``plain`` hold the expressions' counts, or ``keys`` is None and
+    the counts are looked up by a join with a table (key, toxic, plain).
+    """
 
     ratios: np.ndarray
     curve: np.ndarray
     order: int = ORDER
+    keys: np.ndarray | None = None
+    toxic: np.ndarray | None = None
+    plain: np.ndarray | None = None
+    size: tuple[float, float] = (0.0, 0.0)
 
     def evidence(self, text: str | None) -> tuple[float, int]:
-        """Sum of log ratios over the text, and its length in folded characters."""
+        """Sum of log ratios over the text's characters, and its length in folded characters."""
         codes = grams(text, self.order)
         return (float(self.ratios[codes].sum(dtype=np.float64)), len(codes))
 
-    def score(self, total: np.ndarray, n: np.ndarray) -> np.ndarray:
-        x = features(total, n)
+    def expression_evidence(self, texts: pa.Array, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Sum of log ratios over each text's expressions, and its words; with ``label`` without the text's own counts."""
+        owner, key, count, n = expressions(texts)
+        if self.keys is None or not len(self.keys):
+            return np.zeros(len(n)), n
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        there = self.keys[at] == key
+        owner, count, at = owner[there], count[there], at[there]
+        toxic, plain = self.toxic[at], self.plain[at]
+        if label is not None:
+            mine = label[owner] > 0
+            toxic, plain = toxic - count * mine, plain - count * ~mine
+        return np.bincount(owner, count * expression_ratio(toxic, plain, self.size), len(n)), n
+
+    def score(self, total: np.ndarray, n: np.ndarray, said: np.ndarray, words: np.ndarray) -> np.ndarray:
+        x = features(total, n, said, words)
         return 1 / (1 + np.exp(-np.clip(self.curve[0] + x @ self.curve[1:], -30, 30)))
 
 
-def features(total: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """What the curve sees: the length-normalised ratio, and the ratio against the noise of a sum."""
-    n = np.maximum(n, 1)
-    return np.column_stack([total / n, total / np.sqrt(n)])
+def features(total: np.ndarray, n: np.ndarray, said: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """What the curve sees of characters and of expressions: the length-normalised ratio, and the ratio against the noise of a sum."""
+    n, words = np.maximum(n, 1), np.maximum(words, 1)
+    return np.column_stack([total / n, total / np.sqrt(n), said / words, said / np.sqrt(words)])
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, max_label_rows: int) -> DataFrame:
@@ -147,16 +210,108 @@ def _labelled(docs: DataFrame, labels: DataFrame, max_label_rows: int) -> DataFr
     return join_checked(rows, labels, ["doc_id"], "inner", max_label_rows)
 
 
-def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, calibration_rows: int = 20_000, max_label_rows: int = 5_000_000) -> ToxicityModel:
+def count_expressions(rows: DataFrame, flush: int = 400_000) -> DataFrame:
+    """key, toxic, plain: how often each expression stands in the toxic and the other ``rows`` (text, _y)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            key, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            sums = [np.bincount(at, np.concatenate([p[k] for p in parts]), len(key)).astype(np.int64) for k in (1, 2)]
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(sums[0]), pa.array(sums[1])], ["key", "toxic", "plain"])
+
+        held, n = [], 0
+        for b in slices(batches):
+            owner, key, count, _ = expressions(b.column("text"))
+            mine = b.column("_y").to_numpy(zero_copy_only=False)[owner] > 0
+            held.append((key, count * mine, count * ~mine))
+            n += len(key)
+            if n > flush:
+                yield summed(held)
+                held, n = [], 0
+        if held:
+            yield summed(held)
+
+    return rows.select("text", "_y").mapInArrow(count, "key long, toxic long, plain long").groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
+
+
+def joined_evidence(rows: DataFrame, table: DataFrame, size: tuple[float, float]) -> DataFrame:
+    """_k (hash and length of a text), _said: the expressions' evidence of all ``rows`` (_k, text, perhaps _y), by a shuffled lookup.
+
+    With ``_y`` the text's own counts are taken out. Words that stand in many texts are salted.
+    """
+    label = "_y" in rows.columns
+    own = rows.dropDuplicates(["_k"])
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 100):
+            owner, key, count, _ = expressions(b.column("text"))
+            y = b.column("_y").cast(pa.int64()).to_numpy(zero_copy_only=False)[owner] if label else np.zeros(len(owner), np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("_k").take(pa.array(owner)), pa.array(key), pa.array(count.astype(np.int64)), pa.array(y)], ["_k", "key", "count", "y"])
+
+    each = own.mapInArrow(explode, f"_k {own.schema['_k'].dataType.simpleString()}, key long, count long, y long")
+    met = attach(each, table.withColumn("_n", F.col("toxic") + F.col("plain")), "key", F.xxhash64("_k"), "_n")
+    mine = F.when(F.col("y") > 0, F.col("count")).otherwise(0) if label else F.lit(0)
+    other = F.when(F.col("y") > 0, 0).otherwise(F.col("count")) if label else F.lit(0)
+    return met.groupBy("_k").agg(F.sum(F.col("count") * _ratio_column(F.col("toxic") - mine, F.col("plain") - other, size)).alias("_said"))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.withColumn("_k", F.concat_ws(":", F.xxhash64(text), F.octet_length(text)))
+
+
+def with_said(rows: DataFrame, table: DataFrame, model: ToxicityModel) -> DataFrame:
+    """``rows`` (with text, perhaps _y) and ``_said``, the evidence of expressions; null where a broadcast model gives it."""
+    if model.keys is not None:
+        return rows.withColumn("_said", F.lit(None).cast("double"))
+    keyed = _keyed(rows)
+    own = joined_evidence(keyed.select("_k", "text", *(["_y"] if "_y" in rows.columns else [])), table, model.size)
+    return keyed.join(own, "_k", "left").withColumn("_said", F.coalesce("_said", F.lit(0.0))).drop("_k")
+
+
+def _measured(model: ToxicityModel, b: pa.RecordBatch, label: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """total, n, said, words of a batch's texts."""
+    pairs = [model.evidence(t) for t in b.column("text").to_pylist()]
+    said, words = model.expression_evidence(b.column("text"), label)
+    if model.keys is None:
+        said = b.column("_said").to_numpy(zero_copy_only=False)
+    return np.array([p[0] for p in pairs], float), np.array([p[1] for p in pairs], np.int64), said, words
+
+
+def without_own(codes: np.ndarray, own: np.ndarray, other: np.ndarray, contexts: tuple[np.ndarray, ...], backoff: np.ndarray) -> float:
+    """Sum of log p(own class) - log p(other class) of a text's character n-grams, its own counts taken out of its class."""
+    at, n = np.unique(codes, return_inverse=True)
+    mine = np.bincount(n)
+    context = at // SYMBOLS
+    which, part = np.unique(context, return_inverse=True)
+    gone = np.bincount(part, mine)
+    low = backoff[at % len(backoff)]
+    total, types, total2, types2 = contexts
+    left = own[at] - mine
+    kept = np.maximum(types[context] - np.bincount(part, left <= 0)[part], 0)
+    p = (np.maximum(left - DISCOUNT, 0) + (PULL + DISCOUNT * kept) * low) / (PULL + total[context] - gone[part])
+    q = (np.maximum(other[at] - DISCOUNT, 0) + (PULL + DISCOUNT * types2[context]) * low) / (PULL + total2[context])
+    return float((mine * (np.log(p) - np.log(q))).sum())
+
+
+@dataclass
+class _Fitted:
+    """A model with the table of its expressions."""
+
+    model: ToxicityModel
+    table: DataFrame
+
+
+def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, calibration_rows: int = 20_000, max_label_rows: int = 5_000_000, max_expressions: int = 2_000_000) -> _Fitted:
     """Fit on labelled rows that are not held out.
 
-    All labelled rows but a tenth are counted, whole; from that tenth (by a hash of the id) at most
-    about ``calibration_rows`` rows fit the logistic curve. Labels are read from ``labels.toxic``;
+    All of them are counted, whole. At most about ``calibration_rows`` of them (by a hash of the id,
+    half of them toxic if there are enough) fit the logistic curve, each without its own counts.
+    Expressions whose log ratio is zero by ``expression_ratio`` need no row in the table. Labels are read from ``labels.toxic``;
     null labels, null ids and unlabelled rows are skipped, and a document labelled twice is toxic
     if any label says so. With no usable labels every score is 0.5 or the label rate.
     """
     rows = _labelled(docs, labels, max_label_rows)
-    spread = unit_hash(F.col("doc_id"))
     size = SYMBOLS**order
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,67 +328,87 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, calibration_rows
             part = seen[k : k + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(both[1][part]), pa.array(both[0][part])], ["code", "toxic", "plain"])
 
-    counted = rows.where(spread >= 0.1).select("text", "_y").mapInArrow(count, "code long, toxic long, plain long").groupBy("code").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
+    counted = rows.select("text", "_y").mapInArrow(count, "code long, toxic long, plain long").groupBy("code").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
     got = counted.toPandas()  # at most 29**order rows
     toxic, plain = np.zeros(size), np.zeros(size)
     toxic[got["code"]], plain[got["code"]] = got["toxic"], got["plain"]
     backoff = shared_backoff(toxic + plain, order)
     ratios = (np.log(class_model(toxic, backoff)) - np.log(class_model(plain, backoff))).astype(np.float32)
-    model = ToxicityModel(ratios, np.array([0.0, 0.0, 0.0]), order)
 
-    keep = rows.where(spread < 0.1)
-    share = calibration_rows / max(1, keep.select("doc_id").count())
-    if share < 1:
-        keep = keep.where(unit_hash(F.col("doc_id"), F.lit(7)) < share)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    classes = (float(toxic.sum()), float(plain.sum()))  # sizes in characters
+    scaled = [F.col(c) * F.lit(min(classes) / x if x else 0.0) for c, x in zip(("toxic", "plain"), classes, strict=True)]
+    table = cut(count_expressions(rows).where((scaled[0] > 1) | (scaled[1] > 1)))
+    model = ToxicityModel(ratios, np.zeros(5), order, size=classes)
+    if fits(table, max_expressions):
+        small = table.toArrow().sort_by("key")
+        model.keys, model.toxic, model.plain = (small.column(c).to_numpy() for c in ("key", "toxic", "plain"))
+
+    numbers = {r["y"]: r["n"] for r in rows.groupBy((F.col("_y") > 0).alias("y")).agg(F.count("*").alias("n")).collect()}
+    share = {y: min(1.0, max(calibration_rows / 2, calibration_rows - numbers.get(not y, 0)) / max(1, numbers.get(y, 0))) for y in (True, False)}
+    keep = rows.where(unit_hash(F.col("doc_id"), F.lit(7)) < F.when(F.col("_y") > 0, share[True]).otherwise(share[False]))
+    sent = docs.sparkSession.sparkContext.broadcast((model, toxic.astype(np.float32), plain.astype(np.float32), backoff.astype(np.float32)))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted, toxic, plain, backoff = sent.value
+        sums = [(c.reshape(-1, SYMBOLS).sum(1), (c.reshape(-1, SYMBOLS) > 0).sum(1)) for c in (toxic, plain)]
         for b in slices(batches):
-            pairs = [sent.value.evidence(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.float64()), pa.array([p[1] for p in pairs], pa.int64()), b.column("_y").cast(pa.int64())], ["total", "n", "y"])
+            y = b.column("_y").to_numpy(zero_copy_only=False) > 0
+            said, words = fitted.expression_evidence(b.column("text"), y)
+            if fitted.keys is None:
+                said = b.column("_said").to_numpy(zero_copy_only=False)
+            total, n = [], []
+            for t, bad in zip(b.column("text").to_pylist(), y, strict=True):
+                codes = grams(t, fitted.order)
+                n.append(len(codes))
+                if bad:
+                    total.append(without_own(codes, toxic, plain, (*sums[0], *sums[1]), backoff))
+                else:
+                    total.append(-without_own(codes, plain, toxic, (*sums[1], *sums[0]), backoff))
+            yield pa.RecordBatch.from_arrays([pa.array(total, pa.float64()), pa.array(n, pa.int64()), pa.array(said, pa.float64()), pa.array(words, pa.int64()), pa.array(y)], ["total", "n", "said", "words", "y"])
 
-    seen = keep.select("text", "_y").mapInArrow(measure, "total double, n long, y long").toPandas()
-    y = (seen["y"].to_numpy() > 0).astype(float)
+    seen = with_said(keep.select("text", "_y"), table, model).mapInArrow(measure, "total double, n long, said double, words long, y boolean").toPandas()
+    y = seen["y"].to_numpy().astype(float)
     if len(y) and 0 < y.sum() < len(y):
-        model.curve = fit_logistic(features(seen["total"].to_numpy(), seen["n"].to_numpy()), y)
+        model.curve = fit_logistic(features(*(seen[c].to_numpy() for c in ("total", "n", "said", "words"))), y)
+        model.curve[0] -= np.log(share[True] / share[False])  # toxic rows may be more of the sample than of the labels
     elif len(y):
         model.curve[0] = -2.0 if y.sum() == 0 else 2.0
         model.curve[1] = 20.0
-    return model
+    return _Fitted(model, table)
 
 
-def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
+def score(docs: DataFrame, fitted: _Fitted, threshold: float = 0.7) -> DataFrame:
     """Score every whole text: doc_id, held_out, score, predicted, log_ratio, n_symbols.
 
     Null and empty texts get the score of no evidence (the curve's intercept). Repeated rows are
     scored alike, one output row each; columns of ``docs`` other than doc_id and text are ignored.
-    An empty table gives an empty result.
+    ``log_ratio`` is the evidence of characters and expressions. An empty table gives an empty result.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(fitted.model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            pairs = [sent.value.evidence(t) for t in b.column("text").to_pylist()]
-            total, n = np.array([p[0] for p in pairs], float), np.array([p[1] for p in pairs], np.int64)
-            s = sent.value.score(total, n)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32)), pa.array(total), pa.array(n)], ["doc_id", "held_out", "score", "predicted", "log_ratio", "n_symbols"])
+            total, n, said, words = _measured(sent.value, b)
+            s = sent.value.score(total, n, said, words)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32)), pa.array(total + said), pa.array(n)], ["doc_id", "held_out", "score", "predicted", "log_ratio", "n_symbols"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held_out"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, log_ratio double, n_symbols long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out(F.col("doc_id")).alias("held_out"))
+    return with_said(rows, fitted.table, fitted.model).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, log_ratio double, n_symbols long")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
     """``docs`` without the rows whose text scores at least ``threshold``; all columns are kept.
 
-    The text is scored where it stands, so no row is shuffled. Null texts stay.
+    While the expressions can be broadcast the text is scored where it stands, so no row is
+    shuffled. Null texts stay.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    fitted = fit(docs, labels, **options)
+    sent = docs.sparkSession.sparkContext.broadcast(fitted.model)
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            pairs = [sent.value.evidence(t) for t in b.column("text").to_pylist()]
-            s = sent.value.score(np.array([p[0] for p in pairs], float), np.array([p[1] for p in pairs], np.int64))
-            yield b.filter(pa.array(s < threshold))
+            s = sent.value.score(*_measured(sent.value, b))
+            yield b.filter(pa.array(s < threshold)).select(schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return with_said(docs, fitted.table, fitted.model).mapInArrow(run, schema)

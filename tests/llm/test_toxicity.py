@@ -59,3 +59,37 @@ def test_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert T.score(docs([(1, "a b")]), T.fit(docs([(1, "a b")]), none)).first()["predicted"] == 0
     assert T.score(docs([]), T.fit(docs([]), none)).count() == 0
+
+
+def test_other_alphabets_and_rare_labels(spark, docs):
+    # Same word lengths in both classes; the folded characters can't tell them apart.
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(600):
+        words = ["".join(rng.choice("абвгдежзик") for _ in range(4)) for _ in range(30)]
+        bad = i % 5 == 0
+        words[7], words[19] = ("щщщщ", "ыыыы") if bad else ("лллл", "мммм")
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(bad)))
+    truth = {i: y for i, _, y in labels}
+    d, known = docs(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    small = {r["doc_id"]: r for r in T.score(d, T.fit(d, known)).collect()}
+    assert np.mean([r["predicted"] == truth[i] for i, r in small.items() if r["held_out"]]) > 0.97
+    # a table of expressions too large for a broadcast is joined, with the same scores
+    joined = {r["doc_id"]: r for r in T.score(d, T.fit(d, known, max_expressions=0)).collect()}
+    assert len(joined) == len(small) and all(abs(joined[i]["score"] - small[i]["score"]) < 1e-6 for i in small)
+    assert sorted(r["doc_id"] for r in T.drop_toxic(d, known, max_expressions=0).select("doc_id").collect()) == sorted(i for i, r in small.items() if not r["predicted"])
+
+
+def test_expressions_of_all_scripts():
+    import pyarrow as pa
+
+    owner, key, count, n = T.expressions(pa.array(["One two one two", None, "你好 你好", "!?", "\U00010400\U00010401 x"]))
+    assert n.tolist() == [4, 0, 4, 0, 2] and len(set(key.tolist())) == 4 + 4 + 3
+    assert np.bincount(owner, count, 5).tolist() == [7, 0, 7, 0, 3]
+
+
+def test_every_labelled_row_is_counted(spark, docs):
+    rows = [(i, f"word{i} word{i}") for i in range(60)]
+    fitted = T.fit(docs(rows), spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int"))
+    assert fitted.table.count() == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(60))
