@@ -6,6 +6,8 @@ a register keeps the shingle that arrives first. A shingle stops as soon as its
 later than the latest register of its document, so most make one step (early termination). Two
 signatures agree in a register with the probability Jaccard of the weighted shingles. Bands of
 registers make candidates, and exact Jaccard of the shingle sets of at least 0.8 verifies them.
+Repeated lines part the weighted sets of texts whose plain sets agree, so bands of a second signature
+with weight 1 make candidates by the plain sets too.
 
 Texts with the same word sequence are one node. Within a bucket nodes are compared with a few
 leaders only; verified links are closed to components, and where a bucket still holds several components,
@@ -138,9 +140,10 @@ def sketch(docs: DataFrame, words: int = WORDS, registers: int = REGISTERS, rows
             hashes, offsets = word_hashes(part.column("text"))
             owner, shingle, count = shingles(hashes, offsets, words)
             sig = signatures(owner, shingle, 1 + np.log(count), part.num_rows, registers)
-            bands = np.zeros((part.num_rows, registers // rows), np.uint64)
+            plain = signatures(owner, shingle, np.ones(len(shingle)), part.num_rows, registers)
+            bands = np.zeros((part.num_rows, 2 * (registers // rows)), np.uint64)
             for r in range(rows):
-                bands = _mix(bands + sig[:, r::rows] + _GOLD)
+                bands = _mix(bands + np.hstack([sig[:, r::rows], plain[:, r::rows]]) + _GOLD)
             full = np.diff(offsets) > 0
             lists = [x if ok else [] for x, ok in zip(bands.view(np.int64).tolist(), full, strict=True)]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_node(hashes, offsets)), pa.array(lists, pa.list_(pa.int64()))], ["doc_id", "node", "bands"])

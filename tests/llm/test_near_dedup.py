@@ -100,3 +100,15 @@ def test_common_counts_both_ways():
     assert N.common_counts(a, b).tolist() == want
     big = [make(60_000, 70_000), make(60_000, 70_000)]
     assert N.common_counts(big[:1], big[1:])[0, 0] == len(np.intersect1d(*big))
+
+
+def test_repeated_lines_keep_their_links(docs):
+    rng = random.Random(4)
+    rows = []
+    for i in range(40):
+        base, line = ([f"{w}{i}x{rng.randrange(10**6)}" for _ in range(n)] for w, n in (("a", 104), ("b", 18)))
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base + line * 200))]
+    want = plain(rows)
+    linked = [i for i in range(40) if want[2 * i + 1] == 2 * i]
+    out = {r["doc_id"]: r["class_id"] for r in N.classes(docs(rows)).collect()}
+    assert len(linked) == 40 and out == want
