@@ -92,6 +92,40 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, salt: Column, size: str
     return dealt.join(wide.drop("_hot"), [key, "_salt"]).drop("_salt")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have (in any letter case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def text_key(text: Column) -> Column:
+    """128 bits that stand for a text; null counts as empty."""
+    text = F.coalesce(text, F.lit(""))
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("second"), text).alias("b"))
+
+
+def anti_by_key(rows: DataFrame, key: Column, gone: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
+    """``rows`` whose ``key`` isn't in the one column of ``gone``; columns and names of ``rows`` stay as they are."""
+    k = fresh(rows, "_key")
+    gone = gone.toDF(k)
+    return rows.withColumn(k, key).join(F.broadcast(gone) if fits(gone, max_rows) else gone, k, "left_anti").select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], salt: Column, hot: int = 2_000, salts: int = 64) -> DataFrame:
+    """Inner join by shuffle in which both sides may repeat a key.
+
+    Keys that stand in more than ``hot`` rows of ``left`` are spread over ``salts`` partitions by ``salt``, and
+    the rows of ``right`` with such a key are repeated once for each.
+    """
+    often = cut(left.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > hot).select(*on, F.lit(True).alias("_hot")))
+    mark = lambda df: df.join(F.broadcast(often) if fits(often, 200_000) else often, on, "left")
+    dealt = mark(left).withColumn("_salt", F.when(F.col("_hot"), F.pmod(salt, F.lit(salts)).cast("int")).otherwise(0)).drop("_hot")
+    wide = mark(right).withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
+    return dealt.join(wide, [*on, "_salt"]).drop("_salt")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often the body names it."""
     return F.element_at(F.transform(F.array(value), body), 1)
