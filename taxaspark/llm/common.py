@@ -37,11 +37,19 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The batches in smaller pieces, so that few texts are Python objects at once."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller pieces, so that few texts are Python objects at once.
+
+    A piece has at most ``rows`` rows and about ``max_bytes`` of data, or a single row that is longer.
+    """
     for b in batches:
-        for k in range(0, b.num_rows, rows):
-            yield b.slice(k, rows)
+        many = max(1, min(rows, int(b.num_rows * max_bytes / max(1, b.nbytes))))
+        for k in range(0, b.num_rows, many):
+            part = b.slice(k, many)
+            if part.num_rows > 1 and part.nbytes > 2 * max_bytes:
+                yield from slices([part], max(1, part.num_rows // 2), max_bytes)
+            else:
+                yield part
 
 
 def qualified(spark: SparkSession, path: str) -> str:

@@ -35,5 +35,32 @@ def test_large_group_and_drop(docs):
     assert sorted(small, key=str) == sorted([3, 9, 2, 7, 5, 1, 10, 11], key=str)
 
 
+def test_runs_are_sorted_and_merged_in_rounds(spark, docs):
+    rows = [(i, f"text {i % 97}") for i in range(1000)]
+    runs = E.cut(E.sorted_runs(E.digests(docs(rows).repartition(6))))
+    by_run = {}
+    for r in runs.collect():
+        by_run.setdefault(r["run"], []).append(r)
+    assert len(by_run) > 1 and sum(r["group_size"] for r in runs.collect()) == 1000
+    for own in by_run.values():
+        keys = [r["text_sha256"] for r in own]
+        assert keys == sorted(set(keys))  # sorted, one row for each digest
+    merged = E.merge_runs(runs, max(by_run), 2, 8)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    rounds, last = 1, max(by_run) // 2
+    while last:
+        rounds, last = rounds + 1, last // 2
+    assert plan.count("Sort [") == rounds == plan.count("MapInArrow") == plan.count("RepartitionByExpression")
+    assert sorted((r["keep_id"], r["group_size"]) for r in merged.collect()) == [(k, len(range(k, 1000, 97))) for k in range(97)]
+
+
+def test_clashing_names(spark):
+    rows = [(i, "t", *range(7)) for i in (2, 1, -(1 << 62), None, None)] + [(7, "other", *range(7))] * 2
+    names = ["_id", "_sha", "_k", "_n", "_kept", "_text", "_stays"]
+    d = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} long" for n in names))
+    kept = E.drop_copies(d)
+    assert kept.columns == d.columns and sorted(tuple(r) for r in kept.collect()) == [(-(1 << 62), "t", *range(7)), (7, "other", *range(7))]
+
+
 def test_empty(docs):
     assert E.deduplicate(docs([])).count() == 0 and E.drop_copies(docs([])).count() == 0
