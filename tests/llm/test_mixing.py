@@ -50,6 +50,31 @@ def test_targets_and_totals(mixed):
     assert sorted(map(str, out)) == sorted(map(str, again))
 
 
+def test_longer_documents_have_better_odds(mixed):
+    rng = random.Random(6)
+    rows = [(i, "ab"[i % 2], "w " * rng.choice([5, 20, 80])) for i in range(600)]
+    times = {i: 0 for i in range(600)}
+    for k in range(6):
+        out = M.mix(mixed(rows), key=f"k{k}").collect()
+        for r in out:
+            times[r["doc_id"]] += r["copies"]
+    by = {}
+    for r in out:  # plain computation of the expected copies
+        own = [x for x in out if x["source"] == r["source"]]
+        usual = sum(x["size"] for x in own) // len(own)
+        grades = {x["doc_id"]: x["size"] * 1000 // (x["size"] + usual) for x in own}
+        each, middle = r["target"] / r["source_size"], sum(x["size"] * grades[x["doc_id"]] for x in own) / r["source_size"]
+        want = each * (1 + min(1, (3 - each) / each) * (grades[r["doc_id"]] - middle) / 1000)
+        assert abs(want - r["expected"]) < 1e-9 and r["copies"] in (int(want), int(want) + 1)
+        by.setdefault((r["source"], r["size"]), []).append((want, times[r["doc_id"]] / 6))
+    for source in "ab":
+        wants = [by[source, n][0][0] for n in (5, 20, 80)]
+        assert wants[0] < wants[1] < wants[2] < 3
+        for n, want in zip((5, 20, 80), wants):  # drawn about as often as expected
+            got = [x for _, x in by[source, n]]
+            assert abs(sum(got) / len(got) - want) < 0.12
+
+
 def test_empty_and_wordless(mixed):
     assert M.mix(mixed([])).count() == 0
     r = M.mix(mixed([(1, "a", ""), (2, None, None)])).collect()
