@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaspark.llm.common import cut, join_checked, qualified, shared_dir, slices
+from taxaspark.llm.common import attach, cut, fits, qualified, shared_dir, slices
 
 # Fixed values of the seekable format: magic numbers of the skippable frame and of its footer.
 SKIPPABLE = 0x184D2A5E
@@ -117,13 +117,18 @@ def plan_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
     """Write all pages to bundles under ``folder``; returns the index.
 
-    The index has page_id, bundle, frame, offset for each record. A bundle's name depends on its
-    partition alone and it is written under another name first, so a task that runs again after a
-    lost executor replaces its own bundles and nothing else.
+    The index has page_id, bundle, frame, offset for each record. Every try of a task writes bundles of its
+    own, and the index names those of the try that succeeded, whatever the order in which its rows came; bundles that
+    lost tries left are removed.
     """
     repeated = cut(plan_revisits(pages, min_bytes))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), digest_hex(F.col("html")).alias("_digest"))
-    rows = join_checked(rows, repeated.select("_digest", "first_id"), ["_digest"], "left").withColumn("_part", F.spark_partition_id())
+    if fits(repeated, 2_000_000):
+        rows = rows.join(F.broadcast(repeated.select("_digest", "first_id")), "_digest", "left")
+    else:  # Pages are joined by their own ids, so that a payload of very many pages, such as the empty one, is no hot key.
+        same = cut(attach(rows.select("page_id", "_digest"), repeated, "_digest", F.xxhash64("page_id"), "n").select("page_id", "_digest", "first_id").distinct())
+        rows = rows.withColumn("_id", F.coalesce("page_id", F.lit(0))).join(same.withColumn("_id", F.coalesce("page_id", F.lit(0))).drop("page_id").distinct(), ["_id", "_digest"], "left").drop("_id")
+    rows = rows.withColumn("_part", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
@@ -131,9 +136,6 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
 
         def close() -> pa.RecordBatch:
             bundle.close()
-            if fs.get_file_info(f"{root}/{name}").type != pafs.FileType.NotFound:  # left by a lost try of this task
-                fs.delete_file(f"{root}/{name}")
-            fs.move(f"{root}/.{name}.{token}", f"{root}/{name}")
             done = pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], t) for i, t in enumerate((pa.int64(), pa.string(), pa.int32(), pa.int64()))], ["page_id", "bundle", "frame", "offset"])
             kept.clear()
             return done
@@ -142,8 +144,8 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
         for b in slices(batches):
             for page_id, url, html, first, part in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html", "first_id", "_part")), strict=True):
                 if bundle is None:
-                    name, number = f"bundle-{part:06d}-{number:04d}.warc.zst", number + 1
-                    bundle = Bundle(fs.open_output_stream(f"{root}/.{name}.{token}", compression=None))
+                    name, number = f"bundle-{part:06d}-{number:04d}-{token}.warc.zst", number + 1
+                    bundle = Bundle(fs.open_output_stream(f"{root}/{name}", compression=None))
                 revisit = first is not None and (page_id is None or page_id > first)
                 kept.append((page_id, name, *bundle.add(record(page_id, url, html.encode("utf-8", "surrogatepass"), first, revisit))))
                 if bundle.size >= BUNDLE_BYTES:
@@ -152,24 +154,42 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
         if bundle is not None:
             yield close()
 
-    pafs_, root = pafs.FileSystem.from_uri(folder)
-    pafs_.create_dir(root, recursive=True)
-    return cut(rows.select("page_id", "url", "html", "first_id", "_part").mapInArrow(run, "page_id long, bundle string, frame int, offset long"))
+    fs, root = pafs.FileSystem.from_uri(folder)
+    fs.create_dir(root, recursive=True)
+    index = cut(rows.select("page_id", "url", "html", "first_id", "_part").mapInArrow(run, "page_id long, bundle string, frame int, offset long"))
+    named = {r["bundle"] for r in index.select("bundle").distinct().collect()}  # one name for up to BUNDLE_BYTES of pages
+    for left in fs.get_file_info(pafs.FileSelector(root)):
+        if left.base_name.startswith("bundle-") and left.base_name not in named:
+            fs.delete_file(left.path)
+    return index
+
+
+def _checked(headers: dict[str, str], body: bytes) -> tuple[int, str]:
+    """Length and digest of a record's full payload, computed from the bytes read; a revisit's are those it names."""
+    said = int(headers["X-Payload-Length"]), headers["WARC-Payload-Digest"][5:]
+    if headers["WARC-Type"] != "response":
+        return said
+    found = len(body), base64.b32encode(hashlib.sha1(body).digest()).decode()
+    if found != said:
+        raise ValueError(f"damaged record {headers['WARC-Record-ID']}")
+    return found
 
 
 def read_back(folder: str, index: DataFrame, frames_per_task: int = 16) -> DataFrame:
     """Read every record that the index names: page_id, payload_bytes, payload_digest, record_type, refers_to, html.
 
-    The index's (bundle, frame) pairs are dealt to tasks; each reads the seek table and only its
-    frames. Records are found by their offsets; html is null for revisits.
+    The index's (bundle, frame) pairs are dealt to tasks, ``frames_per_task`` to each on average; each reads the seek
+    table and only its frames. Records are found by their offsets; digests and lengths of responses are
+    computed again from what was read, and must be those of the header; html is null for revisits.
     """
-    spots = index.groupBy("bundle", "frame").agg(F.sort_array(F.collect_list("offset")).alias("offsets"))
+    spots = cut(index.groupBy("bundle", "frame").agg(F.sort_array(F.collect_list("offset")).alias("offsets")))
+    spots = spots.repartition(max(1, -(-spots.count() // frames_per_task)), "bundle", "frame")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
         unpack = zstandard.ZstdDecompressor()
+        tables: dict[str, list[tuple[int, int, int]]] = {}
         for b in batches:
-            tables: dict[str, list[tuple[int, int, int]]] = {}
             for name, frame, offsets in zip(*(b.column(c).to_pylist() for c in ("bundle", "frame", "offsets")), strict=True):
                 with fs.open_input_file(f"{root}/{name}") as source:
                     if name not in tables:
@@ -181,9 +201,10 @@ def read_back(folder: str, index: DataFrame, frames_per_task: int = 16) -> DataF
                 for at in offsets:
                     h, body = found[at]
                     ident = lambda x: int(x[10:-1]) if x and x[10:-1] else None
+                    n, digest = _checked(h, body)
                     out["page_id"].append(ident(h["WARC-Record-ID"]))
-                    out["payload_bytes"].append(int(h["X-Payload-Length"]))
-                    out["payload_digest"].append(h["WARC-Payload-Digest"][5:])
+                    out["payload_bytes"].append(n)
+                    out["payload_digest"].append(digest)
                     out["record_type"].append(h["WARC-Type"])
                     out["refers_to"].append(ident(h.get("WARC-Refers-To")))
                     out["html"].append(body.decode("utf-8", "surrogatepass") if h["WARC-Type"] == "response" else None)
@@ -202,6 +223,3 @@ def archive(spark: SparkSession, pages: DataFrame, folder: str | None = None, mi
     if folder is None:
         folder = qualified(spark, f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}").replace("s3a://", "s3://")
     return read_back(folder, write(pages, folder, min_bytes))
-
-
-__all__ = ["archive", "parse", "plan_revisits", "read_back", "record", "seek_table", "write"]
