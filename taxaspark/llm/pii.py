@@ -1,10 +1,15 @@
 """Surrogates for personal data, with SQL functions alone.
 
 Entities are found by one pattern; every entity gets a keyed surrogate of its own kind: digits stay
-digits and letters letters, separators and letter case stay as written, addresses stay valid, and
-names keep gender and script. An entity has one surrogate wherever it is written (coreference). The
-distinct entities of all documents are checked against each other: no two share a surrogate and no
-surrogate is another's original; those that collide draw again until none does.
+digits and letters letters of their script, separators and letter case stay as written, country codes stay, check digits
+of cards and IBANs stay right, and names keep gender and script. An entity has one surrogate wherever it is
+written. Names are replaced word by word, a family name by one surrogate whatever stands before it, so "Mr John
+Smith" and "Mrs Smith" stay a family; where a form of address has told a name, the text's other
+mentions of it are replaced too. The distinct entities of all documents are checked against each other: no two share a
+surrogate and no surrogate is another's original; those that collide draw again until none does.
+
+Not found: names in texts that never put a form of address before them, names in capitals, scripts
+other than Latin and Cyrillic, addresses and dates.
 """
 
 from __future__ import annotations
@@ -12,62 +17,95 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxaspark.llm.common import cut, fits, join_checked, let
+from taxaspark.llm.common import cut, fits, join_checked, let, text_key
 
 KEY = "surrogate-1"
 
 # Forms of address by the gender they tell, in the languages of the corpus.
-MALE = "Mr|Herr|Herrn|Monsieur|Señor|Sr|Г-н|г-н|Господин|господин"
+MALE = "Mr|Sir|Herr|Herrn|Monsieur|Señor|Sr|Г-н|г-н|Господин|господин"
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Г-жа|г-жа|Госпожа|госпожа"
-# Surrogate names by gender and script.
+EITHER = "Dr|Doctor|Doktor|Docteur|Prof|Professor|Professeur|Д-р|Доктор|Профессор|профессор"
+# Words that stand within a name as they are.
+PARTICLES = "von|van|vom|zu|zum|zur|de|der|den|del|della|di|da|du|des|la|le|ter|ten"
+# Surrogate given names by gender and script; family names are a stem and an ending.
 FIRST = {
     "male-latin": "Adrian Bruno Carl David Emil Felix Gustav Hugo Ivan Jonas Karl Leo Martin Nils Oscar Paul Rafael Simon Thomas Victor".split(),
     "female-latin": "Alma Berta Clara Diana Elena Frida Greta Hanna Irene Julia Klara Lena Maria Nora Olga Paula Rosa Sofia Teresa Vera".split(),
     "male-cyrillic": "Андрей Борис Виктор Глеб Денис Егор Захар Игорь Кирилл Лев Максим Никита Олег Павел Роман Сергей Тимур Фёдор".split(),
     "female-cyrillic": "Алла Вера Галина Дарья Елена Жанна Зоя Инна Клара Лидия Мария Нина Ольга Полина Раиса София Тамара Юлия".split(),
 }
+FIRST |= {f"either-{script}": FIRST[f"male-{script}"] + FIRST[f"female-{script}"] for script in ("latin", "cyrillic")}
 LAST = {
-    "latin": "Adler Bauer Conti Duval Engel Fuchs Garcia Hansen Ibarra Jansen Keller Lorenz Moreau Novak Ortega Perrin Quint Romero Sander Torres Ulrich Vidal Weber Ximenes York Zeller".split(),
-    "cyrillic": "Белов Волков Громов Дроздов Ежов Жуков Зимин Исаев Котов Лапин Морозов Носов Орлов Попов Рыков Седов Титов Уваров Фомин Шилов".split(),
+    "latin": ("Ad Bal Con Dor El Fel Gar Han Ib Jan Kel Lor Mar Nor Ol Per Quin Ros San Tor Ul Vid Wel Zan".split(), "ler den ti val gel man sen ero ard ker mann ström ini ette ley son etti ik well berg".split()),
+    "cyrillic": ("Бел Волк Гром Дрозд Еж Жук Зим Исай Кот Лап Мороз Нос Орл Рык Сед Тит Увар Фом Шил Ястреб".split(), "ов ев ин".split()),
 }
+# The country codes of telephone numbers that have one or two digits; all others have three.
+COUNTRY = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+# Letters to draw from, by script.
+LETTERS = {"Cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "Greek": "αβγδεζηθικλμνξοπρστυφχψω", "Latin": "abcdefghijklmnopqrstuvwxyz"}
 
 EMAIL = r"(?<![\p{L}\p{N}_.+-])[\p{L}\p{N}_.+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
 ADDRESS = r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"
+ADDRESS6 = r"(?<![\p{L}\p{N}:.])(?=[a-fA-F:]*[0-9])(?:(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}|(?:[0-9a-fA-F]{1,4}:){1,6}(?::[0-9a-fA-F]{1,4}){1,6})(?![\p{L}\p{N}:])"
 TOKEN = r"(?<![\p{L}\p{N}])(?=[0-9a-fA-F]{0,31}[0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])"
-PHONE = r"(?<![\p{L}\p{N}])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])|(?<![\p{L}\p{N}.])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![\p{L}\p{N}.-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])"
+PHONE = r"(?<![\p{L}\p{N}])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])|(?<![\p{L}\p{N}.])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![\p{L}\p{N}.-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])|(?<![\p{L}\p{N}.+/-])(?=0(?:[ /-]?[0-9]){7,14}(?![0-9]))0[0-9]{1,4}[ /-][0-9]{3,8}(?:[ -][0-9]{2,6}){0,2}(?![0-9-])"
 NATIONAL = r"(?<![\p{L}\p{N}.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = r"(?<![\p{L}\p{N}.])[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}0-9])"
 IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
-NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{MALE}|{FEMALE})\.? \p{{Lu}}[\p{{Ll}}'’-]+(?: \p{{Lu}}[\p{{Ll}}'’-]+)?"
-PATTERN = "|".join([EMAIL, ADDRESS, TOKEN, IBAN, PHONE, NATIONAL, CARD, NAME])
+WORD = r"\p{Lu}[\p{Ll}'’]+(?:-\p{Lu}[\p{Ll}'’]+)*"
+TITLE = rf"(?:{MALE}|{FEMALE}|{EITHER})\.? "
+NAME = rf"(?<![\p{{L}}\p{{N}}]){TITLE}(?:(?:{PARTICLES}) ){{0,2}}{WORD}(?: (?:(?:{PARTICLES}) ){{0,2}}{WORD}){{0,2}}"
+PATTERN = "|".join([EMAIL, ADDRESS, ADDRESS6, TOKEN, IBAN, PHONE, NATIONAL, CARD, NAME])
 
 
 def kind_of(mention: Column) -> Column:
+    """Kind of a mention that ``PATTERN`` found."""
+    gender = F.when(mention.rlike(rf"^(?:{MALE})\.? "), "male").when(mention.rlike(rf"^(?:{FEMALE})\.? "), "female").otherwise("either")
     return (
         F.when(mention.contains("@"), "email")
         .when(mention.rlike(r"^(?:[0-9]{1,3}\.){3}[0-9]{1,3}$"), "ip")
+        .when(mention.rlike(r"^[0-9a-fA-F]*:[0-9a-fA-F:]+$"), "ip6")
         .when(mention.rlike(r"^[0-9a-fA-F]{32,}$"), "token")
         .when(mention.rlike(r"^[A-Z]{2}[0-9]{2}"), "iban")
         .when(mention.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "national")
-        .when(mention.rlike(r"^(?:\+|\(|[0-9]{3}-[0-9]{3}-[0-9]{4}$)"), "phone")
+        .when(mention.rlike(r"^(?:\+|\(|0[0-9]{1,4}[ /-][0-9]{3,8}(?: |-|$)|[0-9]{3}-[0-9]{3}-[0-9]{4}$)"), "phone")
         .when(mention.rlike(r"^[0-9]"), "card")
-        .when(mention.rlike(r"^\P{L}*\p{IsCyrillic}"), F.when(mention.rlike(rf"^(?:{MALE})\.? "), "male-cyrillic").otherwise("female-cyrillic"))
-        .otherwise(F.when(mention.rlike(rf"^(?:{MALE})\.? "), "male-latin").otherwise("female-latin"))
+        .otherwise(F.concat(gender, F.when(mention.rlike(r"\p{IsCyrillic}+$"), "-cyrillic").otherwise("-latin")))
     )
 
 
 def canonical(kind: Column, mention: Column) -> Column:
-    """What is the same however the entity is written."""
+    """What is the same however the entity (other than a name) is written."""
     digits = F.regexp_replace(mention, r"[^0-9]", "")
     return (
-        F.when(kind.isin("email", "token", "ip"), F.lower(mention))
+        F.when(kind.isin("email", "token", "ip", "ip6"), F.lower(mention))
         .when(kind == "phone", F.concat(F.when(mention.startswith("+"), "+").otherwise(""), digits))
         .when(kind == "iban", F.replace(mention, F.lit(" "), F.lit("")))
-        .when(kind.isin("national", "card"), digits)
-        .otherwise(F.lower(F.regexp_replace(mention, r"^\S+ ", "")))
+        .otherwise(digits)
     )
 
 
+def is_name(kind: Column) -> Column:
+    return kind.rlike("^(?:male|female|either|first|last)-")
+
+
+def _parts(kind: Column, mention: Column) -> Column:
+    """Entities of a mention: itself, or the words of a name; kind, name, word, tail (an ending that is no part of the name) and what follows it in the mention."""
+    words = F.split(F.regexp_replace(mention, rf"^{TITLE}", ""), " ")
+
+    def word(x: Column, i: Column, n: Column, all_: Column) -> Column:
+        last = i == n - 1
+        # Family names of women in -ова, -ева, -ина are those of men with an ending.
+        tail = F.when(last & (kind == "female-cyrillic") & x.rlike("[оеиы][вн]а$"), "а").otherwise("")
+        script = F.substring_index(kind, "-", -1)
+        own = F.when(last, F.concat(F.lit("last-"), script)).otherwise(F.concat(F.lit("first-"), kind))
+        return F.struct(own.alias("kind"), F.lower(F.substr(x, F.lit(1), F.length(x) - F.length(tail))).alias("name"), x.alias("word"), tail.alias("tail"), F.array_join(F.slice(all_, i + 2, F.greatest(n - i - 1, F.lit(0))), " ").alias("rest"))
+
+    named = let(words, lambda w: F.filter(F.transform(w, lambda x, i: word(x, i, F.size(w), w)), lambda e: ~e["word"].isin(PARTICLES.split("|"))))
+    alone = F.array(F.struct(kind.alias("kind"), canonical(kind, mention).alias("name"), mention.alias("word"), F.lit("").alias("tail"), F.lit("").alias("rest")))
+    return F.when(is_name(kind), named).otherwise(alone)
+
+
 def _stream(kind: Column, name: Column, attempt: Column, key: str) -> Column:
     seed = F.concat_ws("\u0001", F.lit(key), kind, attempt.cast("string"), name)
     return F.concat(F.sha2(seed, 256), F.sha2(F.concat(F.lit("2"), seed), 256))
@@ -78,19 +116,33 @@ def _number(stream: Column, i: Column, base: int) -> Column:
     return (F.conv(F.substr(stream, F.pmod(i * 5, F.lit(121)) + 1, F.lit(4)), 16, 10).cast("int") % base).cast("int")
 
 
+def _letter(stream: Column, i: Column, script: str) -> Column:
+    return F.substr(F.lit(LETTERS[script]), _number(stream, i, len(LETTERS[script])) + 1, F.lit(1))
+
+
 def _like(text: Column, stream: Column) -> Column:
-    """Digits for digits and letters for letters (lower case), other characters as they are."""
-    letter = lambda i: F.substr(F.lit("abcdefghijklmnopqrstuvwxyz"), _number(stream, i, 26) + 1, F.lit(1))
-    digit = lambda i: _number(stream, i, 10).cast("string")
-    return F.array_join(F.transform(F.split(text, ""), lambda c, i: F.when(c.rlike("[0-9]"), digit(i)).when(c.rlike(r"\p{L}"), letter(i)).otherwise(c)), "")
+    """Digits for digits and letters of their script for letters (lower case), other characters as they are."""
+    letter = lambda c, i: F.when(c.rlike(r"\p{IsCyrillic}"), _letter(stream, i, "Cyrillic")).when(c.rlike(r"\p{IsGreek}"), _letter(stream, i, "Greek")).otherwise(_letter(stream, i, "Latin"))
+    return F.array_join(F.transform(F.split(text, ""), lambda c, i: F.when(c.rlike("[0-9]"), _number(stream, i, 10).cast("string")).when(c.rlike(r"\p{L}"), letter(c, i)).otherwise(c)), "")
+
+
+def _digits(text: Column, stream: Column) -> Column:
+    return F.array_join(F.transform(F.split(text, ""), lambda c, i: F.when(c.rlike("[0-9]"), _number(stream, i, 10).cast("string")).otherwise(c)), "")
+
+
+def _pick(values: list[str], stream: Column, i: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), _number(stream, i, len(values)) + 1)
 
 
-def _drawer(values: list[str], stream: Column):
-    return lambda i: F.element_at(F.array(*[F.lit(v) for v in values]), _number(stream, i + 3, len(values)) + 1)
+def luhn(digits: Column) -> Column:
+    """Sum of a card number's digits, every second from the right doubled; right numbers have a multiple of ten."""
+    doubled = F.transform(F.split(F.reverse(digits), ""), lambda c, i: (F.ascii(c) - 48) * (1 + i % 2))
+    return F.aggregate(doubled, F.lit(0), lambda a, x: a + F.when(x > 9, x - 9).otherwise(x))
 
 
-def _pick(values: list[str], stream: Column, i: int) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), _number(stream, F.lit(i), len(values)) + 1)
+def mod97(text: Column) -> Column:
+    """Remainder of an IBAN's characters read as one number, letters as 10 to 35."""
+    return F.aggregate(F.split(text, ""), F.lit(0), lambda r, c: F.when(c < ":", (r * 10 + F.ascii(c) - 48) % 97).otherwise((r * 100 + F.ascii(c) - 55) % 97))
 
 
 def surrogate(kind: Column, name: Column, attempt: Column, key: str = KEY) -> Column:
@@ -99,32 +151,60 @@ def surrogate(kind: Column, name: Column, attempt: Column, key: str = KEY) -> Co
 
 
 def _surrogate(kind: Column, name: Column, attempt: Column, key: str, s: Column) -> Column:
-    digits = lambda text: F.array_join(F.transform(F.split(text, ""), lambda c, i: F.when(c.rlike("[0-9]"), _number(s, i, 10).cast("string")).otherwise(c)), "")
     local, domain = F.substring_index(name, "@", 1), F.substring_index(name, "@", -1)
     host = F.concat(F.lit("mx"), F.substring(F.sha2(F.concat(F.lit(key + "@"), domain), 256), 1, 6), F.lit(".example.org"))
     hexed = F.array_join(F.transform(F.split(name, ""), lambda c, i: F.when(c.rlike("[0-9]"), _number(s, i, 10).cast("string")).otherwise(F.substr(F.lit("abcdef"), _number(s, i, 6) + 1, F.lit(1)))), "")
     octets = F.concat_ws(".", F.lit("10"), *[_number(s, F.lit(i), 256).cast("string") for i in (1, 2, 3)])
-    plus = F.concat(F.substring(name, 1, 2), digits(F.substr(name, F.lit(3))))
-    iban = F.concat(F.substring(name, 1, 2), F.upper(_like(F.substr(name, F.lit(3)), s)))
+    groups = F.concat_ws(":", F.lit("2001:db8"), *[F.substring(s, 5 * i + 1, 4) for i in range(6)])
+    code = F.when(name.startswith("+"), F.regexp_extract(name, COUNTRY, 0)).when(name.startswith("0"), "0").otherwise("")
+    phone = F.concat(code, _digits(F.substr(name, F.length(code) + 1), s))
+    # The first digit tells the issuer; the last is the check digit of numbers that had a right one.
+    body = F.concat(F.substring(name, 1, 1), _digits(F.substr(name, F.lit(2), F.length(name) - 2), s))
+    check = F.when(luhn(name) % 10 == 0, (10 - luhn(F.concat(body, F.lit("0"))) % 10) % 10).otherwise(_number(s, F.length(name), 10))
+    account = F.upper(_like(F.substr(name, F.lit(5)), s))
+    iban = let(account, lambda a: F.concat(F.substring(name, 1, 2), F.lpad((98 - mod97(F.concat(a, F.substring(name, 1, 2), F.lit("00")))).cast("string"), 2, "0"), a))
     out = (
         F.when(kind == "email", F.concat(_like(local, s), F.lit("@"), host))
         .when(kind == "ip", octets)
+        .when(kind == "ip6", groups)
         .when(kind == "token", hexed)
         .when(kind == "iban", iban)
-        .when((kind == "phone") & name.startswith("+"), plus)
-        .when(kind.isin("phone", "national", "card"), digits(name))
+        .when(kind == "phone", phone)
+        .when(kind == "national", _digits(name, s))
+        .when(kind == "card", F.concat(body, check.cast("string")))
     )
-    for k, first in FIRST.items():
-        last = LAST[k.split("-")[1]]
-        # Every further attempt adds a part to the family name, so names can't run out.
-        family = F.array_join(F.transform(F.sequence(F.lit(0), attempt), _drawer(last, s)), "-")
-        out = out.when(kind == k, F.lower(F.when(name.contains(" "), F.concat(_pick(first, s, 1), F.lit(" "), family)).otherwise(family)))
+    # Every further attempt adds a part to a name, so names can't run out.
+    times = F.sequence(F.lit(0), attempt)
+    for k, values in FIRST.items():
+        out = out.when(kind == f"first-{k}", F.lower(F.array_join(F.transform(times, _picker(values, s)), "-")))
+    for k, (stems, endings) in LAST.items():
+        out = out.when(kind == f"last-{k}", F.lower(F.array_join(F.transform(times, _picker([a + b for a in stems for b in endings], s)), "-")))
     return out
 
 
-def render(kind: Column, mention: Column, found: Column) -> Column:
-    """The surrogate written as the mention is: separators, letter case and form of address stay."""
-    return let(found, lambda own: let(F.regexp_replace(own, r"[^0-9]", ""), lambda digits: _rendered(kind, mention, own, digits)))
+def _picker(values: list[str], stream: Column):
+    return lambda i: _pick(values, stream, i + 3)
+
+
+def render(kind: Column, mention: Column, parts: Column) -> Column:
+    """The surrogate written as the mention is: separators, letter case, form of address and particles stay.
+
+    ``parts`` are the mention's entities with their surrogates in ``found``.
+    """
+    first = F.element_at(parts, 1)["found"]
+    return F.when(is_name(kind), _named(mention, parts)).otherwise(let(first, lambda own: let(F.regexp_replace(own, r"[^0-9]", ""), lambda digits: _rendered(kind, mention, own, digits))))
+
+
+def _capitalised(name: Column) -> Column:
+    return F.replace(F.initcap(F.replace(name, F.lit("-"), F.lit("- "))), F.lit("- "), F.lit("-"))
+
+
+def _named(mention: Column, parts: Column) -> Column:
+    written = F.transform(parts, lambda e: F.struct(e["word"].alias("word"), F.concat(_capitalised(e["found"]), e["tail"]).alias("to")))
+    words = F.split(F.regexp_replace(mention, rf"^{TITLE}", ""), " ")
+    # The k-th word that is no particle is the k-th part.
+    at = lambda all_, i: F.size(F.filter(F.slice(all_, F.lit(1), i + 1), lambda x: ~x.isin(PARTICLES.split("|"))))
+    return F.concat(F.regexp_extract(mention, rf"^{TITLE}", 0), F.array_join(let(words, lambda w: F.transform(w, lambda x, i: F.when(x.isin(PARTICLES.split("|")), x).otherwise(F.get(written, at(w, i) - 1)["to"]))), " "))
 
 
 def _rendered(kind: Column, mention: Column, found: Column, digits: Column) -> Column:
@@ -135,19 +215,31 @@ def _rendered(kind: Column, mention: Column, found: Column, digits: Column) -> C
     return (
         F.when(kind.isin("phone", "national", "card"), spaced)
         .when(kind == "iban", grouped)
-        .when(kind.isin("email", "token"), F.when(mention == F.upper(mention), F.upper(found)).otherwise(found))
-        .when(kind == "ip", found)
-        .otherwise(F.concat(F.regexp_extract(mention, r"^\S+ ", 0), F.initcap(F.replace(found, F.lit("-"), F.lit("- "))).substr(F.lit(1), F.lit(10_000))))
+        .when(kind.isin("email", "token", "ip6"), F.when(mention == F.upper(mention), F.upper(found)).otherwise(found))
+        .otherwise(found)
     )
 
 
-def mentions(text: Column) -> Column:
-    """Array of (kind, name, mention) in text order; empty for null texts."""
-    text = F.coalesce(text.cast("string"), F.lit(""))
-    likely = text.rlike(rf"[0-9@]|(?:{MALE}|{FEMALE})\.? \p{{Lu}}")
-    found = F.when(likely, F.regexp_extract_all(text, F.lit(PATTERN), 0)).otherwise(F.array().cast("array<string>"))
+def _detailed(found: Column) -> Column:
     kinds = F.transform(found, lambda m: F.struct(kind_of(m).alias("kind"), m.alias("mention")))
-    return F.transform(kinds, lambda m: F.struct(m["kind"].alias("kind"), canonical(m["kind"], m["mention"]).alias("name"), m["mention"].alias("mention")))
+    return F.transform(kinds, lambda m: F.struct(m["kind"].alias("kind"), m["mention"].alias("mention"), _parts(m["kind"], m["mention"]).alias("parts")))
+
+
+def with_mentions(rows: DataFrame) -> DataFrame:
+    """Add ``mentions`` (kind, mention, parts, in text order) and ``pattern`` (what finds them) to ``rows`` with text.
+
+    ``pattern`` is null for texts without a form of address; in the others it also finds the names told by these where they stand alone.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    likely = text.rlike(rf"[0-9@]|{TITLE}")
+    rows = rows.withColumn("mentions", F.when(likely, _detailed(F.regexp_extract_all(text, F.lit(PATTERN), 0))).otherwise(_detailed(F.array().cast("array<string>"))))
+    told = F.flatten(F.transform(F.filter("mentions", lambda m: is_name(m["kind"])), lambda m: m["parts"]))
+    # A given name alone may be any word; with the rest of its name behind it, it is the name.
+    alone = lambda e: F.concat(e["word"], F.when(e["rest"] != "", F.concat(F.lit("(?= "), e["rest"], F.lit(r"(?![\p{L}\p{N}]))"))).otherwise(r"(?![\p{L}\p{N}])"))
+    rows = rows.withColumn("told", told).withColumn("pattern", F.when(F.size("told") > 0, F.concat(F.lit(PATTERN + r"|(?<![\p{L}\p{N}])(?:"), F.array_join(F.array_distinct(F.transform("told", alone)), "|"), F.lit(")"))))
+    again = F.transform(F.regexp_extract_all(text, F.col("pattern"), F.lit(0)), lambda m: let(F.get(F.filter("told", lambda e: e["word"] == m), F.lit(0)), lambda e: F.when(e.isNotNull() & ~m.contains(" "), F.struct(e["kind"].alias("kind"), m.alias("mention"), F.array(e).alias("parts")))))
+    whole = F.zip_with(again, _detailed(F.regexp_extract_all(text, F.col("pattern"), F.lit(0))), lambda a, b: F.coalesce(a, b))
+    return rows.withColumn("mentions", F.when(F.col("pattern").isNotNull(), whole).otherwise(F.col("mentions"))).drop("told")
 
 
 def collisions(entities: DataFrame, key: str = KEY, rounds: int = 50) -> DataFrame:
@@ -190,19 +282,20 @@ def replace(docs: DataFrame, key: str = KEY, max_overrides: int = 500_000) -> Da
     null and have none; repeated rows give repeated results; columns other than doc_id and text
     are ignored; an empty table gives an empty result.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = rows.select(F.xxhash64("text").alias("_h"), F.explode(mentions(F.col("text"))).alias("m")).select("_h", "m.kind", "m.name")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("k", text_key(F.col("text")))
+    found = with_mentions(rows.select("k", "text")).select("k", F.explode(F.flatten(F.transform("mentions", lambda m: m["parts"]))).alias("e")).select("k", "e.kind", "e.name")
     seen = cut(found.distinct())
     over = cut(collisions(seen.select("kind", "name").distinct(), key))
-    # Which texts (by hash) name an entity that had to draw again.
-    near = join_checked(seen, over, ["kind", "name"], "inner", max_overrides).groupBy("_h")
-    near = cut(near.agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "kind", "name"), "attempt"))).alias("_over")))
-    rows = rows.withColumn("_h", F.xxhash64("text"))
-    rows = rows.join(F.broadcast(near) if fits(near, max_overrides) else near, "_h", "left").withColumn("_m", mentions(F.col("text")))
-    attempt = lambda m: F.coalesce(F.try_element_at("_over", F.concat_ws(":", m["kind"], m["name"])), F.lit(0))
-    said = F.transform("_m", lambda m: F.struct(m["kind"].alias("kind"), render(m["kind"], m["mention"], surrogate(m["kind"], m["name"], attempt(m), key)).alias("surrogate"), F.substring(F.sha2(F.concat(F.lit(key), m["name"]), 256), 1, 16).alias("original_hash")))
+    # Which texts name an entity that had to draw again.
+    near = join_checked(seen, over, ["kind", "name"], "inner", max_overrides).groupBy("k")
+    near = cut(near.agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "kind", "name"), "attempt"))).alias("over")))
+    rows = with_mentions(rows.join(F.broadcast(near) if fits(near, max_overrides) else near, "k", "left"))
+    attempt = lambda e: F.coalesce(F.try_element_at("over", F.concat_ws(":", e["kind"], e["name"])), F.lit(0))
+    drawn = lambda m: F.transform(m["parts"], lambda e: F.struct(e["word"].alias("word"), e["tail"].alias("tail"), surrogate(e["kind"], e["name"], attempt(e), key).alias("found")))
+    hashed = lambda m: F.substring(F.sha2(F.concat(F.lit(key), F.array_join(F.transform(m["parts"], lambda e: e["name"]), " ")), 256), 1, 16)
+    said = F.transform("mentions", lambda m: F.struct(m["kind"].alias("kind"), render(m["kind"], m["mention"], drawn(m)).alias("surrogate"), hashed(m).alias("original_hash")))
     rows = rows.withColumn("entities", said)
-    parts = F.split("text", PATTERN, -1)
+    parts = F.when(F.col("pattern").isNull(), F.split("text", PATTERN, -1)).otherwise(F.split("text", F.col("pattern"), -1))
     spliced = F.array_join(F.flatten(F.transform(parts, lambda p, i: F.array(p, F.coalesce(F.get("entities", i)["surrogate"], F.lit(""))))), "")
     text = F.when(F.size("entities") > 0, spliced).otherwise(F.col("text"))
     return rows.select("doc_id", text.alias("text"), F.size("entities").alias("n_entities"), "entities")
