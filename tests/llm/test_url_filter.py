@@ -24,7 +24,7 @@ def plain(url):
 
 @pytest.fixture(scope="module")
 def model(spark):
-    return U.fit(U.labelled_urls(spark))
+    return U.fit(U.labelled_urls(spark), measure=True)
 
 
 def test_rules_against_plain_code(spark, model):
@@ -36,10 +36,46 @@ def test_rules_against_plain_code(spark, model):
     assert U.judge(df.limit(0), model).count() == 0
 
 
-def test_trees_learn_the_labels(spark, model):
-    rows = U.labelled_urls(spark).select(F.monotonically_increasing_id().alias("page_id"), "url", "label")
-    out = U.judge(rows, model, rules=[]).join(rows.select("page_id", "label"), "page_id")
-    right = out.where((F.col("verdict") == "block") == (F.col("label") == 1)).count()
-    assert right >= 0.95 * rows.count()
-    new = spark.createDataFrame([(1, "http://www.free-bonus.org/en/5"), (2, "https://thther.example.org/en/5")], "page_id long, url string")
-    assert [r["verdict"] for r in U.judge(new, model, rules=[]).orderBy("page_id").collect()] == ["block", "allow"]
+def test_trees_learn_from_several_features(spark, model):
+    assert model.n_held_out > 1000 and model.accuracy >= 0.85
+    importance = model.importances()
+    assert abs(sum(importance.values()) - 1) < 1e-6 and max(importance.values()) < 0.6 and sum(v > 0.02 for v in importance.values()) >= 5
+    new = ["http://www.free-bonus.xyz/3a5f9c0d1e2b/5?id=1&ref=2&page=3", "https://casino24.info/en/77?id=9&ref=8", "https://museum.org/en/5", "http://blog.citygarden.de/en/", "https://thther.example.org/en/5"]
+    rows = spark.createDataFrame(list(enumerate(new)), "page_id long, url string")
+    assert [r["verdict"] for r in U.judge(rows, model, rules=[]).orderBy("page_id").collect()] == ["block", "block", "allow", "allow", "allow"]
+
+
+def test_trees_against_a_plain_walk(spark, model):
+    """Features and boosted trees computed one by one from the model's saved nodes."""
+    import math
+
+    rows = [r["url"] for r in U.labelled_urls(spark, 60).collect()] + [u for u in URLS if u]
+    table = {r["key"]: (r["bad"], r["n"]) for r in model.rates.table.collect()}
+    d, w = model.rates.default, model.rates.weight
+    rate = lambda key: (table[key][0] + w * d) / (table[key][1] + w) if key in table else d
+
+    def features(url):
+        host, path, _, _ = plain(url)
+        n = max(1, len(url))
+        labels = host.split(".")
+        query = re.search(r"\?([^#]*)", url)
+        query = query[1] if query else ""
+        entropy = -sum(url.count(c) / n * math.log2(url.count(c) / n) for c in set(url))
+        digits = lambda t: len(re.findall("[0-9]", t))
+        words = [x for x in re.findall(r"[^\W\d_]+", ".".join(labels[:-1]))]
+        known = [rate(x) for x in words if x in table]
+        return [len(url), len(host), len(path), path.count("/"), digits(url) / n, entropy, query.count("&") + 1 if query else 0, len(labels), host.count("-"), digits(host) / max(1, len(host)), rate("." + labels[-1]), rate("." + ".".join(labels[-2:])), max(known, default=d)]
+
+    def score(x):
+        total = 0.0
+        for tree, weight in zip(model.trees.trees, model.trees.treeWeights):
+            node = tree._call_java("rootNode")
+            while node.numDescendants() > 0:
+                split = node.split()
+                node = node.leftChild() if x[split.featureIndex()] <= split.threshold() else node.rightChild()
+            total += weight * node.prediction()
+        return 1 / (1 + math.exp(-2 * total))
+
+    out = U.judge(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string"), model, rules=[])
+    for r in out.collect():
+        assert abs(r["block_probability"] - score(features(rows[r["page_id"]]))) < 1e-9
