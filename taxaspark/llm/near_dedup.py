@@ -9,7 +9,8 @@ registers make candidates, and exact Jaccard of the shingle sets of at least 0.8
 Repeated lines part the weighted sets of texts whose plain sets agree, so bands of a second signature
 with weight 1 make candidates by the plain sets too.
 
-Texts with the same word sequence are one node. Within a bucket nodes are compared with a few
+Texts with the same word sequence are one node; its 64-bit key is verified by a second one, and a key that
+two sequences share is parted. Within a bucket nodes are compared with a few
 leaders only; verified links are closed to components, and where a bucket still holds several components,
 what lies outside its largest one is compared with all of it in blocks, so pairs within a group are
 never emitted and no link between components is given up.
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaspark.llm.common import attach, cut, join_checked, slices
+from taxaspark.llm.common import anti_by_key, attach, cut, join_checked, slices
 
 WORDS = 5
 REGISTERS = 64
@@ -125,15 +126,19 @@ def signatures(owner: np.ndarray, shingle: np.ndarray, weight: np.ndarray, texts
     return who.reshape(texts, registers)
 
 
-def _node(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """One 64-bit key for each word sequence."""
+def _node(hashes: np.ndarray, offsets: np.ndarray, shared: frozenset[int] = frozenset()) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit keys of each word sequence; of those whose first is ``shared`` by several, it is made of both."""
     raw = np.ascontiguousarray(hashes).view(np.uint8).tobytes()
-    keys = [xxhash.xxh3_64_intdigest(raw[8 * a : 8 * b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-    return np.array(keys, np.uint64).view(np.int64)
+    keys = [xxhash.xxh3_128_intdigest(raw[8 * a : 8 * b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    first, second = (np.array([k >> by & (2**64 - 1) for k in keys], np.uint64) for by in (0, 64))
+    if shared:
+        twice = np.array([k in shared for k in first.view(np.int64).tolist()], bool)
+        first[twice] = _mix(first[twice] ^ _mix(second[twice]))
+    return first.view(np.int64), second.view(np.int64)
 
 
-def sketch(docs: DataFrame, words: int = WORDS, registers: int = REGISTERS, rows: int = ROWS) -> DataFrame:
-    """doc_id, node (key of the word sequence), bands of every row; bands is empty without words."""
+def sketch(docs: DataFrame, words: int = WORDS, registers: int = REGISTERS, rows: int = ROWS, shared: frozenset[int] = frozenset()) -> DataFrame:
+    """doc_id, node (key of the word sequence), second (another key), bands of every row; bands is empty without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -146,13 +151,13 @@ def sketch(docs: DataFrame, words: int = WORDS, registers: int = REGISTERS, rows
                 bands = _mix(bands + np.hstack([sig[:, r::rows], plain[:, r::rows]]) + _GOLD)
             full = np.diff(offsets) > 0
             lists = [x if ok else [] for x, ok in zip(bands.view(np.int64).tolist(), full, strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_node(hashes, offsets)), pa.array(lists, pa.list_(pa.int64()))], ["doc_id", "node", "bands"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *map(pa.array, _node(hashes, offsets, shared)), pa.array(lists, pa.list_(pa.int64()))], ["doc_id", "node", "second", "bands"])
 
     rows_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows_.mapInArrow(run, "doc_id long, node long, bands array<long>")
+    return rows_.mapInArrow(run, "doc_id long, node long, second long, bands array<long>")
 
 
-def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def shingle_sets(docs: DataFrame, words: int = WORDS, shared: frozenset[int] = frozenset()) -> DataFrame:
     """node and its sorted distinct shingles (32 bits each, as bytes), one row for each node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +167,7 @@ def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
             cuts = np.searchsorted(owner, np.arange(part.num_rows + 1))
             top = (shingle >> np.uint64(32)).astype(np.uint32)
             sets = [top[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(_node(hashes, offsets)), pa.array(sets, pa.binary())], ["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(_node(hashes, offsets, shared)[0]), pa.array(sets, pa.binary())], ["node", "shingles"])
 
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
 
@@ -210,20 +215,25 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return (table[: len(left)] @ table[len(left) :].T).round().astype(np.int64)
 
 
-def search_mixed(member: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, block: int = 64) -> DataFrame:
+def search_mixed(member: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, block: int = 64, block_bytes: int = 4 << 20) -> DataFrame:
     """Links (a, b) between components within the buckets that hold several.
 
-    ``member`` has bucket, node, root, n. What isn't in a bucket's largest component is compared with all
+    ``member`` has bucket, node, root. What isn't in a bucket's largest component is compared with all
     the bucket, block by block: a row holds two blocks of sets, never a pair, and only links come
-    out. The blocks' number follows the bucket's size, so no task holds a whole bucket.
+    out. The blocks' number follows the bucket's size in sets and in bytes, and each pair of blocks
+    is dealt by itself, so no task holds a whole bucket or does all of its work.
     """
     per = member.groupBy("bucket", "root").agg(F.count("*").alias("m"))
     mixed = per.groupBy("bucket").agg(F.max(F.struct("m", "root"))["root"].alias("main"), F.count("*").alias("roots")).where("roots > 1").select("bucket", "main")
-    rows = cut(member.join(mixed, "bucket")).join(sets, "node")
-    spread = lambda n: F.pmod(F.xxhash64("node"), F.ceil(n / block)).cast("int")
+    rows = cut(member.join(mixed, "bucket").join(sets, "node").select("bucket", "node", "root", "main", "shingles"))
+    blocks = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum(F.octet_length("shingles")) / block_bytes))
+    size = cut(rows.groupBy("bucket").agg(blocks.cast("int").alias("blocks"), F.count("*").alias("n")))
     item = F.struct("node", "root", "shingles")
-    blocks = cut(rows.withColumn("blk", spread(F.col("n"))).groupBy("bucket", "blk").agg(F.collect_list(item).alias("right"), F.collect_list(F.when(F.col("root") != F.col("main"), item)).alias("left")))
-    met = blocks.where(F.size("left") > 0).select("bucket", "left").join(blocks.select("bucket", "right"), "bucket")
+    rows = attach(rows, size, "bucket", F.xxhash64("node"), "n").withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    right = rows.groupBy("bucket", "blk").agg(F.collect_list(item).alias("right"))
+    left = rows.where("root <> main").groupBy("bucket", "blk", "blocks").agg(F.collect_list(item).alias("left"))
+    left = left.select("bucket", "left", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("blk"))
+    met = left.join(right, ["bucket", "blk"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -241,25 +251,28 @@ def search_mixed(member: DataFrame, sets: DataFrame, similarity: float = SIMILAR
     return met.select("left", "right").mapInArrow(run, "a long, b long").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     """node, root (smallest node of the component) for all nodes of ``edges`` (a, b).
 
-    Large-star and small-star steps until the edges stay the same. The joins on a hub have one row
-    on the other side and no aggregate above them, so Spark may split a hub's edges.
+    Large-star and small-star steps until the edges stay the same; if they don't in ``rounds`` rounds, that is an
+    error (their number grows with the square of the logarithm of the component). The least neighbours are a table of their own before
+    they are joined, so the joins stand alone and Spark may split a hub's edges.
     """
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
     for _ in range(rounds):
         both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.u", "e.v")
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = cut(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         edges = cut(small.select("e.u", "e.v").where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
+    else:
+        raise ValueError(f"the components aren't settled after {rounds} rounds")
     roots = edges.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
@@ -272,28 +285,28 @@ def _leader_pairs(buckets: DataFrame, stats: DataFrame) -> DataFrame:
     return pairs.distinct()
 
 
-def link(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
+def link(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, shared: frozenset[int] = frozenset()) -> DataFrame:
     """node, root for every node that has a verified link; ``nodes`` has node, rep (a doc_id), bands."""
     bucket = F.xxhash64(F.col("_b"), F.col("_key"))
     buckets = cut(nodes.select("node", F.posexplode("bands").alias("_b", "_key")).select("node", bucket.alias("bucket")))
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = cut(attach(buckets, cut(sizes), "bucket", F.xxhash64("node"), "n"))
+    met = cut(attach(buckets, cut(sizes), "bucket", F.xxhash64("node"), "n"))
     # How crowded a node's buckets are: highest for what is nearest to the middle of a large group.
-    crowd = shared.groupBy("node").agg(F.sum("n").alias("crowd"))
-    shared = cut(shared.join(crowd, "node"))
+    crowd = met.groupBy("node").agg(F.sum("n").alias("crowd"))
+    met = cut(met.join(crowd, "node"))
     first = F.max(F.struct("crowd", F.xxhash64("node", F.lit(0)), "node"))["node"]
     other = F.min(F.struct(F.xxhash64("node", F.lit(1)), "node"))["node"]
-    stats = cut(shared.groupBy("bucket").agg(F.count("*").alias("n"), F.array(first, other, F.min("node"), F.max("node")).alias("leaders")))
-    pairs = cut(_leader_pairs(shared.select("node", "bucket"), stats))
+    stats = cut(met.groupBy("bucket").agg(F.count("*").alias("n"), F.array(first, other, F.min("node"), F.max("node")).alias("leaders")))
+    pairs = cut(_leader_pairs(met.select("node", "bucket"), stats))
 
-    reps = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select(F.coalesce("rep", F.lit(-(1 << 62))).alias("_id"))
-    own = docs.select("text", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("_id"))
-    sets = cut(shingle_sets(join_checked(own, cut(reps.distinct()), ["_id"], "left_semi"), words))
+    needed = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select(F.struct("rep").alias("id"))
+    own = docs.select(F.col("text").alias("text"), F.struct(F.col("doc_id").cast("long").alias("rep")).alias("id"))
+    sets = cut(shingle_sets(join_checked(own, cut(needed.distinct()), ["id"], "left_semi").select("text"), words, shared))
     edges = cut(verify(pairs, sets, similarity))
     roots = cut(components(edges))
 
     # Two leaders try all pairs of up to three nodes; larger buckets may still hold several components.
-    member = attach(shared.select("node", "bucket"), stats.where("n > 3").select("bucket", "n"), "bucket", F.xxhash64("node"), "n")
+    member = attach(met.select("node", "bucket"), stats.where("n > 3").select("bucket", "n"), "bucket", F.xxhash64("node"), "n")
     member = cut(member.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     more = cut(search_mixed(member, sets, similarity))
     if more.limit(1).count():
@@ -315,10 +328,16 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS)
     Null ids are larger than any other; repeated rows are copies of one another. Columns other than
     doc_id and text are ignored; an empty table gives an empty result.
     """
-    rows = cut(sketch(docs, words))
-    filled = rows.where(F.size("bands") > 0)
-    nodes = cut(filled.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.count("*").alias("n")))
-    roots = link(nodes.select("node", "rep", "bands"), docs, similarity=similarity, words=words)
+    rows, shared = cut(sketch(docs, words)), frozenset()
+    while True:
+        filled = rows.where(F.size("bands") > 0)
+        nodes = cut(filled.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.count("*").alias("n"), F.min("second").alias("lo"), F.max("second").alias("hi")))
+        more = {r["node"] for r in nodes.where("lo <> hi").select("node").collect()}  # by chance some 3 of 10**10 texts
+        if not more:
+            break
+        shared |= more
+        rows = cut(sketch(docs, words, shared=shared))
+    roots = link(nodes.select("node", "rep", "bands"), docs, similarity=similarity, words=words, shared=shared)
     known = nodes.select("node", "rep", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     known = cut(known)
     totals = known.groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size"), F.count("*").alias("_m"))
@@ -329,9 +348,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS)
 
 
 def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each class, the one with the smallest doc_id; all columns are kept.
+    """``docs`` with one document of each class, the one with the smallest doc_id; all columns are kept, whatever their names.
 
     Rows without an id stay, and rows that repeat an id are one document.
     """
     gone = cut(classes(docs, similarity).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct())
-    return join_checked(docs, gone, ["doc_id"], "left_anti").select(*docs.columns)
+    return anti_by_key(docs, F.col("doc_id").cast("long"), gone)

@@ -3,6 +3,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from taxaspark.llm import near_dedup as N
 
@@ -85,8 +87,6 @@ def test_signature_estimates_probability_jaccard():
 
 
 def test_shingles_of_short_and_repeated_texts():
-    import pyarrow as pa
-
     h, o = N.word_hashes(pa.array(["a b c", "", None, "x y z x y z x y z x y z", "a b c d e"]))
     owner, sh, count = N.shingles(h, o)
     assert np.bincount(owner, minlength=5).tolist() == [1, 0, 0, 3, 1] and count.sum() == 1 + 8 + 1
@@ -112,3 +112,44 @@ def test_repeated_lines_keep_their_links(docs):
     linked = [i for i in range(40) if want[2 * i + 1] == 2 * i]
     out = {r["doc_id"]: r["class_id"] for r in N.classes(docs(rows)).collect()}
     assert len(linked) == 40 and out == want
+
+
+def test_a_key_that_two_texts_share_is_parted(docs, monkeypatch):
+    h, o = N.word_hashes(pa.array(["a b", "a b", "c d"]))
+    first, _ = N._node(h, o)
+    again, _ = N._node(h, o, frozenset(first.tolist()))
+    assert first[0] == first[1] != first[2] and again[0] == again[1] != again[2] and not set(again.tolist()) & set(first.tolist())
+    # all second keys of a first one must agree, or the texts are read again with that key parted
+    seen = []
+    own = N.sketch
+
+    def sketch(d, words, shared=frozenset()):
+        seen.append(shared)
+        out = own(d, words, shared=shared)
+        return out if shared else out.withColumn("second", F.xxhash64("doc_id"))
+
+    monkeypatch.setattr(N, "sketch", sketch)
+    rows = [(i, " ".join(f"w{i // 2}x{k}" for k in range(40))) for i in range(6)]
+    out = {r["doc_id"]: r["class_id"] for r in N.classes(docs(rows)).collect()}
+    assert [len(x) for x in seen] == [0, 3] and out == {i: i // 2 * 2 for i in range(6)}
+
+
+def test_recall_against_exact_search(spark, sf_dir):
+    """Queries are all rows whose id is divisible by 50; every row of exact Jaccard 0.8 or more counts."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    known = {i: sets(t) for i, t in rows}
+    out = {r["doc_id"]: r["class_id"] for r in N.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    pairs = [(a, b) for a in known if a % 50 == 0 and known[a] for b in known if a != b and known[b] and len(known[a] & known[b]) >= 0.8 * len(known[a] | known[b])]
+    found = sum(out[a] == out[b] for a, b in pairs)
+    assert len(pairs) and found >= 0.9 * len(pairs)
+
+
+def test_mixed_buckets_in_small_blocks(spark):
+    rng = np.random.default_rng(5)
+    base = [np.unique(rng.integers(0, 2**32, 40)).astype(np.uint32) for _ in range(6)]
+    sets_ = [np.sort(np.concatenate([base[i % 6][: 40 - i // 30], rng.integers(0, 2**32, i // 30)]).astype(np.uint32)) for i in range(90)]
+    member = spark.createDataFrame([(7, i, i) for i in range(90)], "bucket long, node long, root long")
+    table = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets_)], "node long, shingles binary")
+    for block, size in ((64, 1 << 20), (7, 1 << 20), (64, 1000)):
+        got = {tuple(sorted(r)) for r in N.search_mixed(member, table, block=block, block_bytes=size).collect()}
+        assert got == {(i, j) for i in range(90) for j in range(i + 1, 90) if len(np.intersect1d(sets_[i], sets_[j])) >= 0.8 * len(np.union1d(sets_[i], sets_[j]))}
