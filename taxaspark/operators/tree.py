@@ -1,49 +1,74 @@
 """Taxonomy trees given as depth-first rows: links, clades, evidence gate and credit.
 
-A tree is rows (sample, idx, depth, ...) in depth-first order. Windows over one sample find for
-each row the last row of every depth before it, hence its ancestors, and the first row after it
-that isn't deeper, hence the end of its subtree. No range join is needed.
+A tree is rows (sample, idx, depth, ...) in depth-first order. One pass over a sample's rows in order
+keeps the open path, at any depth; what it closes knows its ancestors and where its subtree ends. The rest is
+windows and joins on these links; no range join is needed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-MAX_DEPTH = 40
+LINKS = [StructField("ancestors", ArrayType(LongType())), StructField("end_idx", LongType()), StructField("parent_idx", LongType())]
 
 
-def link(tree: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def link(tree: DataFrame) -> DataFrame:
     """Add ancestors (idx of the rows whose subtree it is in, from the top), parent_idx and end_idx (first row outside).
 
     The parent is the open row one level up; a row whose depth skips a level has none, but still
-    lies in the subtrees of the open rows above it.
+    lies in the subtrees of the open rows above it. Rows are dealt by sample, and only the open path is held in memory.
     """
-    before = Window.partitionBy("sample").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("sample").orderBy("idx").rowsBetween(1, Window.unboundedFollowing)
-    whole = Window.partitionBy("sample")
-    at = lambda k: F.when(F.col("depth") == k, F.col("idx"))
-    names = {f"_b{k}": F.last(at(k), ignorenulls=True).over(before) for k in range(max_depth)}
-    names |= {f"_a{k}": F.first(at(k), ignorenulls=True).over(after) for k in range(max_depth + 1)}
-    names["_end"] = F.max("idx").over(whole) + 1
-    rows = tree.withColumns(names)
-    lists = F.when(F.lit(False), F.array().cast("array<long>"))
-    ends = parents = F.when(F.lit(False), F.lit(None).cast("long"))
-    for d in range(max_depth + 1):
-        here = F.col("depth") == d
-        if d:
-            around = []
-            for k in range(d):
-                open_ = F.col(f"_b{k}").isNotNull()
-                for above in range(k):  # a shallower row after it closed it
-                    open_ = open_ & (F.col(f"_b{above}").isNull() | (F.col(f"_b{above}") < F.col(f"_b{k}")))
-                around.append(F.when(open_, F.col(f"_b{k}").cast("long")))
-            lists = lists.when(here, F.array_compact(F.array(*around)))
-            parents = parents.when(here, around[-1])
-        nearest = F.least(*[F.col(f"_a{k}") for k in range(d + 1)]) if d else F.col("_a0")
-        ends = ends.when(here, F.coalesce(nearest, F.col("_end")))
-    rows = rows.withColumns({"ancestors": F.coalesce(lists, F.array().cast("array<long>")), "end_idx": ends.cast("long"), "parent_idx": parents})
-    return rows.drop(*names)
+    schema = StructType([*tree.schema.fields, *LINKS])
+    rows = tree.repartition("sample").sortWithinPartitions("sample", "idx")
+    return rows.mapInArrow(_close_rows, schema)
+
+
+def _close_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in the order in which the next row closes them. An open row is (depth, idx, ancestors, where it is)."""
+    path: list[tuple] = []
+    sample, last = None, -1
+    for b in batches:
+        taken: list[int] = []  # rows of this batch that are closed
+        carried: list[pa.RecordBatch] = []  # closed rows of earlier ones
+        links: tuple[list, list] = ([], [])
+
+        def close(end: int, taken: list = taken, carried: list = carried, links: tuple = links) -> None:
+            depth, idx, above, row = path.pop()
+            parent = above[-1][1] if above and above[-1][0] == depth - 1 else None
+            found = ([x for _, x in above], end, parent)
+            if isinstance(row, int):
+                taken.append(row)
+                links[1].append(found)
+            else:
+                carried.append(row)
+                links[0].append(found)
+
+        for k, (s, idx, depth) in enumerate(zip(*(b.column(c).to_pylist() for c in ("sample", "idx", "depth")), strict=True)):
+            while path and (s != sample or path[-1][0] >= depth):
+                close(idx if s == sample else last + 1)
+            path.append((depth, idx, tuple((d, i) for d, i, _, _ in path), k))
+            sample, last = s, idx
+        path[:] = [(d, i, above, b.slice(row, 1) if isinstance(row, int) else row) for d, i, above, row in path]
+        yield from _linked(carried, links[0])
+        yield from _linked([b.take(pa.array(taken, pa.int64()))], links[1])
+    rest, found = [], []
+    for depth, idx, above, row in path:
+        rest.append(row)
+        found.append(([x for _, x in above], last + 1, above[-1][1] if above and above[-1][0] == depth - 1 else None))
+    yield from _linked(rest, found)
+
+
+def _linked(rows: list[pa.RecordBatch], found: list[tuple]) -> Iterator[pa.RecordBatch]:
+    if found:
+        table = pa.Table.from_batches(rows).combine_chunks()
+        for k, (field, kind) in enumerate(zip(LINKS, (pa.list_(pa.int64()), pa.int64(), pa.int64()), strict=True)):
+            table = table.append_column(field.name, pa.array([f[k] for f in found], kind))
+        yield from table.to_batches()
 
 
 def clade_sums(linked: DataFrame, values: dict[str, str]) -> DataFrame:
@@ -89,25 +114,19 @@ def _judged(rows: DataFrame, min_distinct: int, min_reads: int, protect: float)
     return rows.withColumns({"decision": decision, "reason": reason})
 
 
-def dropped(linked: DataFrame, verdict: DataFrame) -> DataFrame:
-    """Linked rows with ``in_drop`` (the row or an ancestor is pruned) and ``topmost`` (no ancestor is)."""
-    pruned = verdict.where("decision = 'prune'").groupBy("sample").agg(F.collect_set(F.col("idx").cast("long")).alias("_pruned"))
-    rows = linked.join(pruned, "sample", "left").withColumn("_pruned", F.coalesce("_pruned", F.array().cast("array<long>")))
-    above = F.arrays_overlap("ancestors", "_pruned")
-    own = F.array_contains("_pruned", F.col("idx").cast("long"))
-    return rows.withColumns({"in_drop": F.coalesce(own | above, F.lit(False)), "topmost": F.coalesce(own & ~above, F.lit(False))}).drop("_pruned")
-
-
 def mark(linked: DataFrame, rank: str = "S", min_distinct: int = 333, min_reads: int = 0, protect: float = 0.01) -> DataFrame:
-    """``dropped`` of the rows' own verdicts in one pass: windows over each sample, no join."""
-    whole = Window.partitionBy("sample").orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    root = F.first(F.when(F.col("taxid") == "1", F.col("clade_reads")), ignorenulls=True).over(whole)
+    """Linked rows with ``in_drop`` (the row or an ancestor is pruned) and ``topmost`` (it is pruned and no ancestor is).
+
+    One pass over each sample: a row lies below a pruned one if the furthest end of the subtrees
+    pruned before it lies behind it.
+    """
+    order = Window.partitionBy("sample").orderBy("idx")
+    root = F.first(F.when(F.col("taxid") == "1", F.col("clade_reads")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     rows = _judged(linked.withColumn("classified", F.coalesce(root, F.lit(0))), min_distinct, min_reads, protect)
     own = (F.col("rank") == rank) & (F.col("decision") == "prune")
-    rows = rows.withColumn("_pruned", F.collect_set(F.when(own, F.col("idx").cast("long"))).over(whole))
-    above = F.arrays_overlap("ancestors", "_pruned")
-    marks = {"in_drop": own | F.coalesce(above, F.lit(False)), "topmost": own & ~F.coalesce(above, F.lit(False))}
-    return rows.withColumns(marks).drop("_pruned", "classified", "share", "decision", "reason")
+    reach = F.max(F.when(own, F.col("end_idx"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    below = F.coalesce(reach > F.col("idx"), F.lit(False))
+    return rows.withColumns({"in_drop": own | below, "topmost": own & ~below}).drop("classified", "share", "decision", "reason")
 
 
 def credits(marked: DataFrame) -> DataFrame:
@@ -131,10 +150,15 @@ def gated(marked: DataFrame, credit: DataFrame) -> DataFrame:
 
 
 def gate_summary(marked: DataFrame, verdict: DataFrame) -> DataFrame:
-    """One row a sample: rows kept and pruned at the rank, rows dropped, reads under pruned taxa."""
-    v = verdict.groupBy("sample").agg(F.count_if(F.col("decision") == "keep").alias("kept"), F.count_if(F.col("decision") == "prune").alias("pruned"))
+    """One row a sample: rows kept and pruned at the rank, rows dropped, reads under pruned taxa, their share of the rank's and of all reads, and the protected taxa."""
+    kept = F.col("decision") == "keep"
+    v = verdict.groupBy("sample").agg(
+        F.count_if(kept).alias("kept"), F.count_if(~kept).alias("pruned"), F.sum("clade_reads").alias("_rank"), F.max("classified").alias("_all"),
+        F.sort_array(F.collect_list(F.when(F.col("reason").startswith("protected"), F.col("name")))).alias("protected"),
+    )
     m = marked.groupBy("sample").agg(F.count_if("in_drop").alias("rows_dropped"), F.coalesce(F.sum(F.when(F.col("topmost"), F.col("clade_reads"))), F.lit(0)).alias("reads_pruned"))
-    return v.join(m, "sample")
+    share = lambda of: F.when(F.col(of) > 0, 100.0 * F.col("reads_pruned") / F.col(of)).otherwise(0.0)
+    return v.join(m, "sample").withColumns({"pct_of_rank": share("_rank"), "pct_of_all": share("_all")}).drop("_rank", "_all")
 
 
 def first_named(tree: DataFrame, text: str) -> DataFrame:
@@ -147,7 +171,3 @@ def with_descendants(linked: DataFrame, start: DataFrame) -> DataFrame:
     roots = start.select("sample", F.col("idx").cast("long").alias("_root"))
     own = linked.select("sample", "taxid", F.explode(F.concat("ancestors", F.array(F.col("idx").cast("long")))).alias("_root"))
     return own.join(roots, ["sample", "_root"], "left_semi").select("sample", "taxid").distinct()
-
-
-def column_ratio(a: Column, b: Column) -> Column:
-    return F.when(b > 0, a / b)

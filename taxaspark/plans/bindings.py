@@ -47,46 +47,69 @@ def supplier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 COUNTS_SQL = "cnt AS (SELECT year(l_shipdate)::VARCHAR AS sample, l_suppkey AS s_suppkey, count(*)::BIGINT AS n, count(DISTINCT l_partkey)::BIGINT AS parts FROM lineitem GROUP BY 1, 2)"
 
 
+def strain_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(sample, s_suppkey, k: part key modulo 4, n lines, parts: distinct parts)."""
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), "l_partkey", F.year("l_shipdate").cast("string").alias("sample"))
+    per = li.groupBy("sample", "s_suppkey", "l_partkey").agg(F.count("*").alias("n"))
+    return per.groupBy("sample", "s_suppkey", (F.col("l_partkey") % 4).cast("int").alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("parts"))
+
+
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tree report of each ship year: root, regions, nations, suppliers in depth-first order."""
-    leaves = supplier_counts(spark, sf_dir).join(suppliers(spark, sf_dir), "s_suppkey").select("sample", F.col("r_regionkey").alias("r"), "r_name", F.col("n_nationkey").alias("na"), "n_name", F.col("s_suppkey").alias("s"), "s_name", "n", "parts")
-    # Suppliers have their lines as direct reads, nations seven each; clades add up.
-    nations = leaves.groupBy("sample", "r", "r_name", "na", "n_name").agg(F.sum("n").alias("n"), F.sum("parts").alias("parts"))
+    """A tree report of each ship year in depth-first order: root, regions, nations, suppliers, and strains below these.
+
+    Strains are a supplier's lines by part; the first of them has the suppliers' rank, the others one below. Every
+    seventh supplier stands a level too deep: below the supplier before it, or, as a nation's first, below a
+    missing level. Nations have seven direct reads and an unclassified row comes first.
+    """
+    leaves = strain_counts(spark, sf_dir).join(suppliers(spark, sf_dir), "s_suppkey").select("sample", F.col("r_regionkey").alias("r"), "r_name", F.col("n_nationkey").alias("na"), "n_name", F.col("s_suppkey").alias("s"), "s_name", "k", "n", "parts")
+    taxa = leaves.groupBy("sample", "r", "r_name", "na", "n_name", "s", "s_name").agg(F.sum("n").alias("n"), F.sum("parts").alias("parts"), F.coalesce(F.sum(F.when(F.col("k") == 3, F.col("n"))), F.lit(0)).alias("own"))
+    nations = taxa.groupBy("sample", "r", "r_name", "na", "n_name").agg(F.sum("n").alias("n"), F.sum("parts").alias("parts"))
     up = nations.withColumn("level", F.explode(F.array(*[F.lit(i) for i in range(3)])))
     at = lambda k, c: F.when(F.col("level") >= k, F.col(c))
     name = F.when(F.col("level") == 0, "root").when(F.col("level") == 1, F.col("r_name")).otherwise(F.col("n_name"))
     up = up.groupBy("sample", "level", at(1, "r").alias("r"), at(2, "na").alias("na"), name.alias("name")).agg(F.sum("n").alias("lines"), F.sum("parts").alias("parts"), (F.count("*") * 7).alias("extra"))
-    last = leaves.select("sample", F.lit(3).alias("level"), "r", "na", F.col("s_name").alias("name"), F.col("n").alias("lines"), "parts", F.lit(0).cast("long").alias("extra"), "s")
-    rows = up.withColumn("s", F.lit(None).cast("long")).unionByName(last)
-    order = Window.partitionBy("sample").orderBy(F.asc_nulls_first("r"), F.asc_nulls_first("na"), F.asc_nulls_first("s"))
-    rank = F.element_at(F.array(*[F.lit(x) for x in "RPGS"]), F.col("level") + 1)
+    nothing = F.lit(None).cast("long")
+    up = up.select("sample", "level", F.col("r").cast("long").alias("r"), F.col("na").cast("long").alias("na"), nothing.alias("s"), nothing.alias("k"), "name", (F.col("lines") + F.col("extra")).alias("clade"), F.when(F.col("level") == 2, 7).otherwise(0).cast("long").alias("own"), "parts")
+    mid = taxa.select("sample", F.lit(3).alias("level"), F.col("r").cast("long").alias("r"), F.col("na").cast("long").alias("na"), "s", nothing.alias("k"), F.col("s_name").alias("name"), F.col("n").alias("clade"), "own", "parts")
+    low = leaves.where("k < 3").select("sample", F.lit(4).alias("level"), F.col("r").cast("long").alias("r"), F.col("na").cast("long").alias("na"), "s", F.col("k").cast("long").alias("k"), F.concat("s_name", F.lit(" strain "), "k").alias("name"), F.col("n").alias("clade"), F.col("n").alias("own"), "parts")
+    none = taxa.groupBy("sample").agg(F.count("*").alias("n")).select("sample", F.lit(-1).alias("level"), nothing.alias("r"), nothing.alias("na"), nothing.alias("s"), nothing.alias("k"), F.lit("unclassified").alias("name"), F.col("n").alias("clade"), F.col("n").alias("own"), F.lit(0).cast("long").alias("parts"))
+    rows = none.unionByName(up).unionByName(mid).unionByName(low)
+    order = Window.partitionBy("sample").orderBy(F.col("level") >= 0, *[F.asc_nulls_first(c) for c in ("r", "na", "s", "k")])
+    deeper = F.when(F.col("s") % 7 == 3, 1).otherwise(0)
+    level = F.col("level")
     return rows.select(
-        "sample", (F.row_number().over(order) - 1).cast("long").alias("idx"), F.col("level").alias("depth"), rank.alias("rank"),
-        F.when(F.col("level") == 0, "1").when(F.col("level") == 1, F.concat(F.lit("r"), "r")).when(F.col("level") == 2, F.concat(F.lit("n"), "na")).otherwise(F.concat(F.lit("s"), "s")).alias("taxid"),
-        "name", (F.col("lines") + F.col("extra")).alias("clade_reads"), F.when(F.col("level") == 3, F.col("lines")).when(F.col("level") == 2, F.lit(7)).otherwise(0).cast("long").alias("direct_reads"),
-        (F.col("parts") * 2).alias("total_minimizers"), F.col("parts").alias("distinct_minimizers"),
+        "sample", (F.row_number().over(order) - 1).cast("long").alias("idx"), F.when(level < 0, 0).otherwise(level + deeper).cast("int").alias("depth"),
+        F.when(level < 0, "U").when(level == 4, F.when(F.col("k") == 0, "S").otherwise("S1")).otherwise(F.element_at(F.array(*[F.lit(x) for x in "RPGS"]), F.greatest(level, F.lit(0)).cast("int") % 4 + 1)).alias("rank"),
+        F.when(level < 0, "0").when(level == 0, "1").when(level == 1, F.concat(F.lit("r"), "r")).when(level == 2, F.concat(F.lit("n"), "na")).when(level == 3, F.concat(F.lit("s"), "s")).otherwise(F.concat_ws(".", F.concat(F.lit("t"), "s"), "k")).alias("taxid"),
+        "name", F.col("clade").alias("clade_reads"), F.col("own").alias("direct_reads"), (F.col("parts") * 2).alias("total_minimizers"), F.col("parts").alias("distinct_minimizers"),
     )
 
 
-REPORT_SQL = f"""{SUPPLIERS_SQL}, {COUNTS_SQL}, leaf AS (SELECT * FROM cnt JOIN sup USING (s_suppkey)), flat AS (
-  SELECT sample, 0 AS depth, NULL::INT AS r, NULL::INT AS na, NULL::BIGINT AS s, 'root' AS name, sum(n)::BIGINT AS lines, sum(parts)::BIGINT AS parts, 7 * count(DISTINCT n_nationkey) AS extra FROM leaf GROUP BY sample
-  UNION ALL SELECT sample, 1, r_regionkey, NULL, NULL, r_name, sum(n)::BIGINT, sum(parts)::BIGINT, 7 * count(DISTINCT n_nationkey) FROM leaf GROUP BY sample, r_regionkey, r_name
-  UNION ALL SELECT sample, 2, r_regionkey, n_nationkey, NULL, n_name, sum(n)::BIGINT, sum(parts)::BIGINT, 7 FROM leaf GROUP BY sample, r_regionkey, n_nationkey, n_name
-  UNION ALL SELECT sample, 3, r_regionkey, n_nationkey, s_suppkey, s_name, n, parts, 0 FROM leaf
+REPORT_SQL = f"""{SUPPLIERS_SQL}, strain AS (SELECT year(l_shipdate)::VARCHAR AS sample, l_suppkey AS s_suppkey, (l_partkey % 4)::INT AS k, count(*)::BIGINT AS n, count(DISTINCT l_partkey)::BIGINT AS parts FROM lineitem GROUP BY 1, 2, 3),
+leaf AS (SELECT * FROM strain JOIN sup USING (s_suppkey)), taxon AS (
+  SELECT sample, r_regionkey, r_name, n_nationkey, n_name, s_suppkey, s_name, sum(n)::BIGINT AS n, sum(parts)::BIGINT AS parts, coalesce(sum(n) FILTER (k = 3), 0)::BIGINT AS own FROM leaf GROUP BY ALL
+), flat AS (
+  SELECT sample, -1 AS level, NULL::INT AS r, NULL::INT AS na, NULL::BIGINT AS s, NULL::INT AS k, 'unclassified' AS name, count(*)::BIGINT AS clade, count(*)::BIGINT AS own, 0::BIGINT AS parts FROM taxon GROUP BY sample
+  UNION ALL SELECT sample, 0, NULL, NULL, NULL, NULL, 'root', (sum(n) + 7 * count(DISTINCT n_nationkey))::BIGINT, 0, sum(parts)::BIGINT FROM taxon GROUP BY sample
+  UNION ALL SELECT sample, 1, r_regionkey, NULL, NULL, NULL, r_name, (sum(n) + 7 * count(DISTINCT n_nationkey))::BIGINT, 0, sum(parts)::BIGINT FROM taxon GROUP BY sample, r_regionkey, r_name
+  UNION ALL SELECT sample, 2, r_regionkey, n_nationkey, NULL, NULL, n_name, sum(n)::BIGINT + 7, 7, sum(parts)::BIGINT FROM taxon GROUP BY sample, r_regionkey, n_nationkey, n_name
+  UNION ALL SELECT sample, 3, r_regionkey, n_nationkey, s_suppkey, NULL, s_name, n, own, parts FROM taxon
+  UNION ALL SELECT sample, 4, r_regionkey, n_nationkey, s_suppkey, k, s_name || ' strain ' || k, n, n, parts FROM leaf WHERE k < 3
 ), rep AS (
-  SELECT sample, row_number() OVER (PARTITION BY sample ORDER BY r NULLS FIRST, na NULLS FIRST, s NULLS FIRST) - 1 AS idx, depth, CASE depth WHEN 0 THEN 'R' WHEN 1 THEN 'P' WHEN 2 THEN 'G' ELSE 'S' END AS rank,
-    CASE depth WHEN 0 THEN '1' WHEN 1 THEN 'r' || r WHEN 2 THEN 'n' || na ELSE 's' || s END AS taxid, name, (lines + extra)::BIGINT AS clade_reads,
-    CASE depth WHEN 3 THEN lines WHEN 2 THEN 7 ELSE 0 END::BIGINT AS direct_reads, (parts * 2)::BIGINT AS total_minimizers, parts AS distinct_minimizers FROM flat
+  SELECT sample, row_number() OVER (PARTITION BY sample ORDER BY level >= 0, r NULLS FIRST, na NULLS FIRST, s NULLS FIRST, k NULLS FIRST) - 1 AS idx,
+    (CASE WHEN level < 0 THEN 0 ELSE level + CASE WHEN s % 7 = 3 THEN 1 ELSE 0 END END)::INT AS depth,
+    CASE level WHEN -1 THEN 'U' WHEN 0 THEN 'R' WHEN 1 THEN 'P' WHEN 2 THEN 'G' WHEN 3 THEN 'S' ELSE CASE k WHEN 0 THEN 'S' ELSE 'S1' END END AS rank,
+    CASE level WHEN -1 THEN '0' WHEN 0 THEN '1' WHEN 1 THEN 'r' || r WHEN 2 THEN 'n' || na WHEN 3 THEN 's' || s ELSE 't' || s || '.' || k END AS taxid, name, clade AS clade_reads,
+    own AS direct_reads, parts * 2 AS total_minimizers, parts AS distinct_minimizers FROM flat
+), ends AS (
+  SELECT c.*, coalesce((SELECT min(e.idx) FROM rep e WHERE e.sample = c.sample AND e.idx > c.idx AND e.depth <= c.depth), (SELECT max(e.idx) + 1 FROM rep e WHERE e.sample = c.sample)) AS end_idx FROM rep c
 ), links AS (
-  SELECT c.*, (SELECT max(p.idx) FROM rep p WHERE p.sample = c.sample AND p.idx < c.idx AND p.depth = c.depth - 1) AS parent_idx,
-    coalesce((SELECT min(e.idx) FROM rep e WHERE e.sample = c.sample AND e.idx > c.idx AND e.depth <= c.depth), (SELECT max(e.idx) + 1 FROM rep e WHERE e.sample = c.sample)) AS end_idx FROM rep c
+  SELECT c.*, (SELECT max(p.idx) FROM ends p WHERE p.sample = c.sample AND p.idx < c.idx AND p.depth = c.depth - 1 AND p.end_idx > c.idx) AS parent_idx FROM ends c
 )"""
 
-DEPTH = 3
-
 
 def linked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tree.link(report(spark, sf_dir), DEPTH)
+    return tree.link(report(spark, sf_dir))
 
 
 def lineages(spark: SparkSession, sf_dir: str) -> DataFrame:

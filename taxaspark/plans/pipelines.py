@@ -95,12 +95,12 @@ def clean_shotgun_reads(pairs: DataFrame, settings: dict, work: str, contaminant
     return out
 
 
-def shotgun(report: DataFrame, settings: dict, reads_: DataFrame | None = None, calls: DataFrame | None = None, max_depth: int = tree.MAX_DEPTH) -> dict[str, DataFrame]:
+def shotgun(report: DataFrame, settings: dict, reads_: DataFrame | None = None, calls: DataFrame | None = None) -> dict[str, DataFrame]:
     """Stages of a shotgun run from tree reports; ``calls`` (sample, read_id, taxid) serve read extraction."""
     c = cf.merge(cf.DEFAULTS, settings)
     cf.validate(c)
     s = c["shotgun"]
-    linked = tree.link(report, max_depth)
+    linked = tree.link(report)
     rank = s["bracken"]["tax_lev"]
     e = s["kmer_evidence"]
     out = {"report": report}

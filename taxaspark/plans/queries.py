@@ -183,16 +183,18 @@ def tree_subtree_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.linked(spark, sf_dir).select("sample", "idx", "depth", "end_idx")
 
 
-FLOORS = {"min_distinct": 40, "min_reads": 10, "protect": 0.012}
+# Floors at which all four reasons occur in the test trees, and whole nations lose all their taxa.
+FLOORS = {"min_distinct": 92, "min_reads": 94, "protect": 0.0112}
 VERDICT_SQL = b.REPORT_SQL + """, tot AS (SELECT sample, clade_reads AS classified FROM rep WHERE taxid = '1'), ver AS (
   SELECT r.*, classified, r.clade_reads::DOUBLE / classified AS share,
-    CASE WHEN (distinct_minimizers >= 40 AND r.clade_reads >= 10) OR r.clade_reads::DOUBLE / classified > 0.012 THEN 'keep' ELSE 'prune' END AS decision,
-    CASE WHEN distinct_minimizers >= 40 AND r.clade_reads >= 10 THEN 'passed both floors'
-         WHEN r.clade_reads::DOUBLE / classified > 0.012 THEN 'protected: ' || round((r.clade_reads::DOUBLE / classified * 100)::DECIMAL(30, 12), 2)::DECIMAL(20, 2)::VARCHAR || '% of classified reads'
-         WHEN distinct_minimizers < 40 THEN 'distinct minimizers ' || distinct_minimizers || ' < 40' ELSE 'clade reads ' || r.clade_reads || ' < 10' END AS reason
-  FROM rep r JOIN tot t ON r.sample = t.sample WHERE rank = 'S'), mark AS (
-  SELECT l.*, EXISTS (SELECT 1 FROM ver v WHERE v.sample = l.sample AND v.idx = l.idx AND v.decision = 'prune') AS in_drop FROM links l), cred AS (
-  SELECT sample, parent_idx, sum(clade_reads)::BIGINT AS credit, count(*)::BIGINT AS n_pruned FROM mark WHERE in_drop GROUP BY 1, 2)"""
+    CASE WHEN (distinct_minimizers >= 92 AND r.clade_reads >= 94) OR r.clade_reads::DOUBLE / classified > 0.0112 THEN 'keep' ELSE 'prune' END AS decision,
+    CASE WHEN distinct_minimizers >= 92 AND r.clade_reads >= 94 THEN 'passed both floors'
+         WHEN r.clade_reads::DOUBLE / classified > 0.0112 THEN 'protected: ' || round((r.clade_reads::DOUBLE / classified * 100)::DECIMAL(30, 12), 2)::DECIMAL(20, 2)::VARCHAR || '% of classified reads'
+         WHEN distinct_minimizers < 92 THEN 'distinct minimizers ' || distinct_minimizers || ' < 92' ELSE 'clade reads ' || r.clade_reads || ' < 94' END AS reason
+  FROM links r JOIN tot t ON r.sample = t.sample WHERE rank = 'S'), mark AS (
+  SELECT l.*, EXISTS (SELECT 1 FROM ver v WHERE v.sample = l.sample AND v.idx <= l.idx AND l.idx < v.end_idx AND v.decision = 'prune') AS in_drop,
+    EXISTS (SELECT 1 FROM ver v WHERE v.sample = l.sample AND v.idx = l.idx AND v.decision = 'prune') AND NOT EXISTS (SELECT 1 FROM ver v WHERE v.sample = l.sample AND v.idx < l.idx AND l.idx < v.end_idx AND v.decision = 'prune') AS topmost FROM links l), cred AS (
+  SELECT sample, parent_idx, sum(clade_reads)::BIGINT AS credit, count(*)::BIGINT AS n_pruned FROM mark WHERE topmost GROUP BY 1, 2)"""
 
 
 def _marked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -214,7 +216,7 @@ def gate_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {VERDICT_SQL} SELECT c.sample, c.parent_idx, p.name, c.credit, p.direct_reads FROM cred c JOIN mark p ON c.sample = p.sample AND c.parent_idx = p.idx
-  WHERE NOT EXISTS (SELECT 1 FROM mark m WHERE m.sample = c.sample AND m.parent_idx = c.parent_idx AND m.rank = 'S' AND NOT m.in_drop)""")
+  WHERE NOT EXISTS (SELECT 1 FROM mark m WHERE m.sample = c.sample AND m.idx >= p.idx AND m.idx < p.end_idx AND m.rank = 'S' AND NOT m.in_drop)""")
 def gate_dead_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked, _ = _marked(spark, sf_dir)
     return tree.dead_credits(marked, tree.credits(marked))
@@ -227,10 +229,12 @@ def gated_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.gated(marked, tree.credits(marked)).select("sample", "idx", "depth", "rank", "taxid", "name", "clade_reads", "direct_reads")
 
 
-@query(f"""WITH {VERDICT_SQL} SELECT v.sample, count(*) FILTER (decision = 'keep') AS kept, count(*) FILTER (decision = 'prune') AS pruned, count(*) FILTER (decision = 'prune') AS rows_dropped,
-  coalesce(sum(clade_reads) FILTER (decision = 'prune'), 0)::BIGINT AS reads_pruned FROM ver v GROUP BY v.sample""")
+@query(f"""WITH {VERDICT_SQL}, m AS (SELECT sample, count(*) FILTER (in_drop) AS rows_dropped, coalesce(sum(clade_reads) FILTER (topmost), 0)::BIGINT AS reads_pruned FROM mark GROUP BY sample), v AS (
+  SELECT sample, count(*) FILTER (decision = 'keep') AS kept, count(*) FILTER (decision = 'prune') AS pruned, sum(clade_reads) AS reads, max(classified) AS classified, coalesce(string_agg(name, '|' ORDER BY name) FILTER (reason LIKE 'protected%'), '') AS protected FROM ver GROUP BY sample)
+  SELECT v.sample, kept, pruned, rows_dropped, reads_pruned, round(100.0::DOUBLE * reads_pruned / reads, 6) AS pct_of_rank, round(100.0::DOUBLE * reads_pruned / classified, 6) AS pct_of_all, protected FROM v JOIN m ON v.sample = m.sample""")
 def gate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tree.gate_summary(*_marked(spark, sf_dir))
+    rows = tree.gate_summary(*_marked(spark, sf_dir))
+    return rows.withColumns({"pct_of_rank": F.round("pct_of_rank", 6), "pct_of_all": F.round("pct_of_all", 6), "protected": F.array_join("protected", "|")})
 
 
 @query(f"WITH {b.REPORT_SQL} SELECT a.sample, a.idx, sum(d.direct_reads)::BIGINT AS reads, sum(CASE WHEN d.rank = 'S' THEN d.total_minimizers ELSE 0 END)::BIGINT AS minimizers FROM links a JOIN rep d ON a.sample = d.sample AND d.idx >= a.idx AND d.idx < a.end_idx GROUP BY 1, 2")
@@ -357,12 +361,13 @@ def manifest_paired_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.paired_runs(runs)
 
 
-@query(f"WITH {b.REPORT_SQL} SELECT sample, 0::BIGINT AS unclassified, max(CASE WHEN rank = 'R' THEN clade_reads END) AS classified FROM rep GROUP BY sample")
+@query(f"WITH {b.REPORT_SQL} SELECT sample, max(CASE WHEN rank = 'U' THEN clade_reads END) AS unclassified, max(CASE WHEN rank = 'R' THEN clade_reads END) AS classified FROM rep GROUP BY sample")
 def report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.unclassified_and_root(b.report(spark, sf_dir)).withColumn("unclassified", F.col("unclassified").cast("long"))
 
 
-@query(f"WITH {b.REPORT_SQL} SELECT s.sample, s.taxid, 'p__' || p.name || ';g__' || g.name || ';s__' || s.name AS lineage FROM links s JOIN links g ON g.sample = s.sample AND g.idx = s.parent_idx JOIN links p ON p.sample = s.sample AND p.idx = g.parent_idx WHERE s.rank = 'S'")
+@query(f"""WITH {b.REPORT_SQL} SELECT s.sample, s.taxid, string_agg(CASE a.rank WHEN 'P' THEN 'p__' WHEN 'G' THEN 'g__' ELSE 's__' END || a.name, ';' ORDER BY a.idx) AS lineage FROM links s JOIN links a ON a.sample = s.sample AND a.idx <= s.idx AND s.idx < a.end_idx AND a.rank IN ('P', 'G', 'S')
+  WHERE s.taxid LIKE 's%' GROUP BY s.sample, s.taxid, s.idx""")
 def taxon_lineages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tables.lineage_of(b.linked(spark, sf_dir), {"P": "p__", "G": "g__", "S": "s__"}).where("taxid LIKE 's%'")
     return rows.withColumn("lineage", F.array_join("lineage", ";"))

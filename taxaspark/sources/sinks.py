@@ -14,7 +14,7 @@ def evidence_rows(verdicts: DataFrame, with_sample: bool = False) -> DataFrame:
     rows = verdicts.select(
         *(["sample"] if with_sample else []), "taxid", "name", "rank", "clade_reads", "direct_reads", "total_minimizers", "distinct_minimizers",
         ratio_text(F.col("total_minimizers"), F.col("distinct_minimizers")).alias("duplicity"), ratio_text(F.col("distinct_minimizers"), F.col("clade_reads")).alias("minimizers_per_read"),
-        F.when(F.col("classified") > 0, F.format_string("%.4f", F.col("share") * 100)).otherwise("NA").alias("pct_of_classified"), "decision", "reason",
+        F.format_string("%.4f", F.col("share") * 100).alias("pct_of_classified"), "decision", "reason",
     )
     return rows
 

@@ -13,7 +13,7 @@ from taxaspark.operators import tree
 SCHEMA = "sample string, idx long, depth int, pct string, clade_reads long, direct_reads long, total_minimizers long, distinct_minimizers long, rank string, taxid string, name string"
 
 
-def gate_stream(spark: SparkSession, landing: str, out: str, checkpoint: str, rank: str = "S", min_distinct: int = 333, min_reads: int = 0, protect: float = 0.01, max_depth: int = tree.MAX_DEPTH) -> StreamingQuery:
+def gate_stream(spark: SparkSession, landing: str, out: str, checkpoint: str, rank: str = "S", min_distinct: int = 333, min_reads: int = 0, protect: float = 0.01) -> StreamingQuery:
     """Gate every report that lands as Parquet rows; evidence and gated rows go to ``out``, once each.
 
     A file holds whole samples. Each batch replaces its own folder, so a batch that runs again
@@ -21,7 +21,7 @@ def gate_stream(spark: SparkSession, landing: str, out: str, checkpoint: str, ra
     """
 
     def one(batch: DataFrame, number: int) -> None:
-        linked = tree.link(batch, max_depth)
+        linked = tree.link(batch)
         evidence = tree.verdicts(batch, rank, min_distinct, min_reads, protect)
         marked = tree.mark(linked, rank, min_distinct, min_reads, protect)
         evidence.write.mode("overwrite").parquet(f"{out}/evidence/batch={number}")

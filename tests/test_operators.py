@@ -102,7 +102,7 @@ SCHEMA = "sample string, idx long, depth int, rank string, taxid string, name st
 def test_tree_links_and_gate(spark):
     trees = [random_tree(s) for s in (1, 2, 3)]
     df = spark.createDataFrame([tuple(r[c.split()[0]] for c in SCHEMA.split(", ")) for t in trees for r in t[0]], SCHEMA)
-    linked = tree.link(df, 8).cache()
+    linked = tree.link(df).cache()
     got = {(r["sample"], r["idx"]): r for r in linked.collect()}
     for rows, parents, ends in trees:
         for r, p, e in zip(rows, parents, ends, strict=True):
@@ -110,9 +110,13 @@ def test_tree_links_and_gate(spark):
             assert (g["parent_idx"], g["end_idx"]) == (p, e)
             assert g["ancestors"] == [a for a in range(r["idx"]) if ends[a] > r["idx"]]
     verdict = tree.verdicts(df, "G", 333, 0, 0.5)
-    marked = tree.dropped(linked, verdict)
-    same = tree.mark(linked, "G", 333, 0, 0.5)
-    assert sorted(map(tuple, same.select("sample", "idx", "in_drop", "topmost").collect())) == sorted(map(tuple, marked.select("sample", "idx", "in_drop", "topmost").collect()))
+    marked = tree.mark(linked, "G", 333, 0, 0.5)
+    pruned = {(r["sample"], r["idx"]) for r in verdict.where("decision = 'prune'").collect()}
+    assert pruned
+    for r in marked.collect():
+        above = any((r["sample"], a) in pruned for a in r["ancestors"])
+        own = (r["sample"], r["idx"]) in pruned
+        assert (r["in_drop"], r["topmost"]) == (own or above, own and not above)
     credit = tree.credits(marked)
     gated = tree.gated(marked, credit)
     before = {r["sample"]: r["s"] for r in linked.groupBy("sample").agg(F.sum("direct_reads").alias("s")).collect()}
@@ -122,6 +126,34 @@ def test_tree_links_and_gate(spark):
         assert before[s] == after[s] + orphaned.get(s, 0)
 
 
+def test_deep_trees_and_samples_over_many_batches(spark):
+    deep = [("a", i, i, "x") for i in range(60)] + [("a", 60, 3, "x"), ("a", 61, 60, "x")]
+    wide = [("b", i, i % 3, "y") for i in range(2500)] + [(None, 0, 5, "z")]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = tree.link(spark.createDataFrame(deep + wide, "sample string, idx long, depth int, name string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = {(r["sample"], r["idx"]): r for r in rows}
+    assert len(rows) == len(deep) + len(wide)
+    assert got["a", 59]["ancestors"] == list(range(59)) and got["a", 59]["parent_idx"] == 58 and got["a", 59]["end_idx"] == 60
+    assert got["a", 60]["ancestors"] == [0, 1, 2] and got["a", 61]["ancestors"] == [0, 1, 2, 60] and got["a", 61]["parent_idx"] is None and got["a", 0]["end_idx"] == 62
+    assert got["b", 2499]["parent_idx"] is None and got["b", 2498]["parent_idx"] == 2497 and got["b", 1]["end_idx"] == 3 and got[None, 0]["end_idx"] == 1
+
+
+def test_gate_trees_hold_every_case(spark):
+    """The queries that are compared with SQL at sf0.01 see all reasons, nested and orphaned taxa and dead credit."""
+    from taxaspark.plans import queries as q
+
+    sf = "/root/testdata/sf0.01"
+    reasons = {r["reason"].split(":")[0].rstrip("0123456789 <") for r in q.evidence_table(spark, sf).select("reason").distinct().collect()}
+    assert {x.split(" ")[0] for x in reasons} == {"passed", "protected", "distinct", "clade"}
+    credit = q.gate_credit(spark, sf)
+    assert credit.where("parent_idx IS NULL").count() and credit.where("parent_idx IS NOT NULL").count() and q.gate_dead_credit(spark, sf).count()
+    nested = q._marked(spark, sf)[0].where("in_drop AND NOT topmost AND rank = 'S'")
+    assert nested.count() and q.gate_summary(spark, sf).where("protected <> '' AND pct_of_all > 0").count()
+
+
 def test_verdict_examples(spark):
     rows = [("s", 0, 0, "R", "1", "root", 0, 0, 100_000, 0), ("s", 1, 1, "S", "a", "a", 373, 189, 373, 0), ("s", 2, 1, "S", "b", "b", 134, 3547, 134, 0), ("s", 3, 1, "S", "c", "c", 5000, 10, 5000, 0), ("s", 4, 1, "S1", "d", "d", 9, 1, 9, 0)]
     got = {r["taxid"]: (r["decision"], r["reason"]) for r in tree.verdicts(spark.createDataFrame(rows, SCHEMA)).collect()}

@@ -153,13 +153,13 @@ def test_shotgun_pipeline_and_stream(spark, sf_dir, tmp_path):
     rep = bindings.report(spark, sf_dir).withColumn("pct", F.lit("0"))
     calls = spark.createDataFrame([("1995", "x", "s1")], "sample string, read_id string, taxid string")
     name = rep.where("taxid = 's1'").first()["name"]
-    out = pipelines.shotgun(rep, {"mode": "shotgun", "shotgun": {"kmer_evidence": {"enabled": True, "min_distinct": 5}, "extract_taxa": [name]}}, calls.select("sample", "read_id"), calls, 3)
+    out = pipelines.shotgun(rep, {"mode": "shotgun", "shotgun": {"kmer_evidence": {"enabled": True, "min_distinct": 5}, "extract_taxa": [name]}}, calls.select("sample", "read_id"), calls)
     assert out["otu"].count() > 0 and out[f"reads:{name}"].count() == 1
     before, after = rep.agg(F.sum("direct_reads")).first()[0], out["gated"].agg(F.sum("direct_reads")).first()[0]
     assert before == after
     cols = [c.split()[0] for c in reports.SCHEMA.split(", ")]
     rep.select(*cols).coalesce(1).write.parquet(str(tmp_path / "in"))
-    q = reports.gate_stream(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), min_distinct=5, max_depth=3)
+    q = reports.gate_stream(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), min_distinct=5)
     q.awaitTermination()
     streamed = spark.read.parquet(str(tmp_path / "out/gated"))
     assert streamed.count() == out["gated"].count()
