@@ -60,7 +60,7 @@ def merge_sorted(rows: DataFrame, keys: list[str]) -> DataFrame:
             first = np.flatnonzero(new)
             sums = np.add.reduceat(b.column("group_size").to_numpy(), first)
             b = b.take(pa.array(first))
-            b = b.set_column(b.schema.get_field_index("group_size"), "group_size", pa.array(sums))
+            b = b.set_column(b.schema.get_field_index("group_size"), b.schema.field("group_size"), pa.array(sums))
             yield b.slice(0, b.num_rows - 1)
             held = b.slice(b.num_rows - 1)
         if held is not None:

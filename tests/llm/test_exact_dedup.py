@@ -54,6 +54,16 @@ def test_runs_are_sorted_and_merged_in_rounds(spark, docs):
     assert sorted((r["keep_id"], r["group_size"]) for r in merged.collect()) == [(k, len(range(k, 1000, 97))) for k in range(97)]
 
 
+def test_groups_over_many_batches(spark, docs):
+    rows = [(i, f"text {i % 5}") for i in range(300)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = E.deduplicate(docs(rows).repartition(3)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"]) for r in got) == [(i, i % 5, 60) for i in range(300)]
+
+
 def test_clashing_names(spark):
     rows = [(i, "t", *range(7)) for i in (2, 1, -(1 << 62), None, None)] + [(7, "other", *range(7))] * 2
     names = ["_id", "_sha", "_k", "_n", "_kept", "_text", "_stays"]
