@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from taxaspark.functions import dna
+from taxaspark.functions import dna, kmers
 from taxaspark.functions.expr import let
 from taxaspark.operators.joins import if_small
 
@@ -218,14 +218,13 @@ def contaminant_hits(reads: DataFrame, refs: DataFrame, k: int = 31, distance: i
 
     With ``distance`` 1 the reference side, small by nature, also gets all one-base neighbours.
     """
-    both = refs.select(F.explode(F.array("seq", dna.reverse_complement(F.col("seq")))).alias("seq"))
-    known = both.select(F.explode(dna.kmers(F.col("seq"), k)).alias("kmer")).distinct()
+    known = kmers.kmer_rows(refs, [], k, distinct=True, both_strands=True).distinct()
     if distance == 1:
-        near = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: F.transform(F.array(*[F.lit(c) for c in "ACGT"]), lambda c: F.concat(F.substr("kmer", F.lit(1), i - 1), c, F.substr("kmer", i + 1)))))
+        near = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(2 * k - 2), F.lit(2)), lambda i: F.transform(F.array(*[F.lit(c) for c in range(4)]), lambda c: F.col("kmer").bitwiseXOR(F.call_function("shiftleft", c.cast("long"), i)))))
         known = known.select(F.explode(near).alias("kmer")).distinct()
     elif distance:
         raise ValueError("distance is 0 or 1")
-    own = reads.select("read_id", F.explode(F.array_distinct(dna.kmers(F.col("seq"), k))).alias("kmer"))
+    own = kmers.kmer_rows(reads, ["read_id"], k, distinct=True)
     return own.join(if_small(known), "kmer", "left_semi").groupBy("read_id").agg(F.count("*").alias("hits"))
 
 
@@ -233,7 +232,7 @@ def remove_contaminants(reads: DataFrame, refs: DataFrame, k: int = 31, min_shar
     """Reads without a k-mer of the references, or with less than ``min_share`` of their k-mers in them."""
     hits = contaminant_hits(reads, refs, k, distance)
     if min_share is not None:
-        sizes = reads.select("read_id", F.size(F.array_distinct(dna.kmers(F.col("seq"), k))).alias("all"))
+        sizes = kmers.distinct_numbers(reads, ["read_id"], k).withColumnRenamed("n", "all")
         hits = hits.join(sizes, "read_id").where(F.col("hits") >= F.col("all") * min_share)
     return reads.join(hits.select("read_id"), "read_id", "left_anti")
 
@@ -247,7 +246,7 @@ def remove_contaminant_pairs(pairs: DataFrame, refs: DataFrame, k: int = 31, nee
     mates = mates.withColumn("read_id", F.struct("pair_id", "mate"))
     hits = contaminant_hits(mates, refs, k, distance)
     if min_share is not None:
-        sizes = mates.select("read_id", F.size(F.array_distinct(dna.kmers(F.col("seq"), k))).alias("all"))
+        sizes = kmers.distinct_numbers(mates, ["read_id"], k).withColumnRenamed("n", "all")
         hits = hits.join(sizes, "read_id").where(F.col("hits") >= F.col("all") * min_share)
     bad = hits.groupBy("read_id.pair_id").agg(F.count("*").alias("mates")).where(F.col("mates") >= (1 if need == "either" else 2))
     return pairs.join(bad, "pair_id", "left_anti")

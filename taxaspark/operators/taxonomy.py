@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxaspark.functions import dna
-from taxaspark.functions.expr import let
+from taxaspark.functions import dna, kmers
 from taxaspark.functions.lineage import segments
 from taxaspark.operators.joins import if_small
 
@@ -48,7 +47,7 @@ def kmer_database(refs: DataFrame, k: int, l: int) -> DataFrame:
     ``refs`` has seq and path (array of taxa from the root). The common prefix of many paths is that
     of the smallest and the largest, so a minimizer of very many references needs two of them only.
     """
-    each = refs.select("path", F.explode(F.array_distinct(dna.minimizers(F.col("seq"), k, l))).alias("m")).select(dna.canonical(F.col("m")).alias("minimizer"), "path")
+    each = kmers.minimizer_rows(refs, ["path"], k, l, distinct=True)
     return each.groupBy("minimizer").agg(lca(F.array(F.min("path"), F.max("path"))).alias("path"))
 
 
@@ -59,9 +58,7 @@ def classify_reads(reads: DataFrame, database: DataFrame, k: int, l: int, confid
     moves up until its clade holds ``confidence`` of the read's k-mers, and needs ``min_groups``
     runs of k-mers with one minimizer. Reads without a call have an empty path and null taxon.
     """
-    mins = F.transform(dna.minimizers(F.col("seq"), k, l), dna.canonical)
-    runs = let(mins, lambda a: F.transform(a, lambda m, i: F.struct(m.alias("minimizer"), F.when((i > 0) & (F.get(a, i - 1) == m), 0).otherwise(1).alias("first"))))
-    each = reads.select("read_id", F.explode(runs).alias("e")).select("read_id", "e.minimizer", "e.first")
+    each = kmers.minimizer_rows(reads, ["read_id"], k, l)
     # Only k-mers of the database go on, so what is shuffled is the hits.
     taxa = each.join(if_small(database), "minimizer").groupBy("read_id", "path").agg(F.count("*").alias("n"), F.sum("first").alias("groups"))
     hits = taxa.groupBy("read_id").agg(F.sum("n").alias("n_hits"), F.sum("groups").alias("n_groups"))
@@ -83,8 +80,8 @@ def classify_reads(reads: DataFrame, database: DataFrame, k: int, l: int, confid
 
 def shared_kmers(queries: DataFrame, refs: DataFrame, k: int = 8) -> DataFrame:
     """(query_id, ref_id, shared): distinct k-mers that queries and references share, by inverted index."""
-    own = queries.select("query_id", F.explode(F.array_distinct(dna.kmers(F.col("seq"), k))).alias("kmer"))
-    index = refs.select("ref_id", F.explode(F.array_distinct(dna.kmers(F.col("seq"), k))).alias("kmer"))
+    own = kmers.kmer_rows(queries, ["query_id"], k, distinct=True)
+    index = kmers.kmer_rows(refs, ["ref_id"], k, distinct=True)
     return own.join(index, "kmer").groupBy("query_id", "ref_id").agg(F.count("*").alias("shared"))
 
 

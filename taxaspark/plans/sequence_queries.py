@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaspark.functions import dna
+from taxaspark.functions import dna, kmers
 from taxaspark.operators import reads, tables, taxonomy
 from taxaspark.plans import bindings as b
 from taxaspark.plans.queries import query
@@ -28,13 +28,12 @@ def paired_union_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {b.SEQS_SQL}, k AS (SELECT unnest({KMERS('seq', 8)}) AS kmer FROM seqs WHERE length(seq) >= 8) SELECT kmer, count(*)::BIGINT AS n FROM k GROUP BY kmer")
 def kmer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.seqs(spark, sf_dir).select(F.explode(dna.kmers(F.col("seq"), 8)).alias("kmer")).groupBy("kmer").agg(F.count("*").alias("n"))
+    return kmers.kmer_rows(b.seqs(spark, sf_dir), [], 8).groupBy("kmer").agg(F.count("*").alias("n")).withColumn("kmer", kmers.text(F.col("kmer"), 8))
 
 
 @query(f"WITH {b.SEQS_SQL}, k AS (SELECT DISTINCT doc_id, unnest({KMERS('seq', 8)}) AS kmer FROM seqs WHERE length(seq) >= 8) SELECT doc_id, count(DISTINCT least(kmer, {RC('kmer')}))::BIGINT AS n FROM k GROUP BY doc_id")
 def kmer_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = b.seqs(spark, sf_dir).where(F.length("seq") >= 8)
-    return s.select("doc_id", F.size(F.array_distinct(F.transform(dna.kmers(F.col("seq"), 8), dna.canonical))).cast("long").alias("n"))
+    return kmers.distinct_numbers(b.seqs(spark, sf_dir).where(F.length("seq") >= 8), ["doc_id"], 8, canonical=True)
 
 
 @query(f"""WITH {b.SEQS_SQL}, s AS (SELECT doc_id, substr(seq, 1, 60) AS seq FROM seqs), p AS (SELECT doc_id, seq, unnest(generate_series(1, length(seq) - 11)) AS i FROM s WHERE length(seq) >= 12)
