@@ -83,14 +83,3 @@ def expected_errors(qual: Column) -> Column:
 def first_bad_base(qual: Column, trunc_q: int) -> Column:
     """1-based position of the first quality at or below ``trunc_q``; null if there is none."""
     return F.nullif(F.regexp_instr(qual, F.lit(f"[\\x21-\\x{33 + trunc_q:02x}]")), F.lit(0))
-
-
-def prefix_match(left: Column, right: Column) -> Column:
-    """Length of the longest common prefix of two strings."""
-    return let(F.struct(left.alias("l"), right.alias("r")), lambda p: _common(p["l"], p["r"]))
-
-
-def _common(left: Column, right: Column) -> Column:
-    width = F.least(F.length(left), F.length(right))
-    differs = F.array_position(F.transform(F.sequence(F.lit(1), F.greatest(width, F.lit(1))), lambda i: F.substr(left, i, F.lit(1)) != F.substr(right, i, F.lit(1))), True)
-    return F.when(width == 0, 0).when(differs > 0, differs - 1).otherwise(width).cast("int")

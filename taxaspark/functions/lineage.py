@@ -97,6 +97,24 @@ def convert_root_header(header: Column) -> Column:
     return F.when(good & ~clean.contains("[id:"), clean).otherwise(F.raise_error(F.concat(F.lit("unexpected header: "), header)))
 
 
+def rrna_header_id(header: Column) -> Column:
+    """Sequence id in the header of an rRNA extractor: what precedes the bar in the first word."""
+    return F.substring_index(F.element_at(F.split(F.trim(F.regexp_replace(header, "^>", "")), r"\s+"), 1), "|", 1)
+
+
+def spacer_header_id(header: Column) -> Column:
+    """Sequence id in the header of a spacer extractor: the first word of what precedes the bar."""
+    return F.element_at(F.split(F.trim(F.substring_index(F.trim(F.regexp_replace(header, "^>", "")), "|", 1)), r"\s+"), 1)
+
+
+# How report names of the tools become sample names, in order.
+RENAMES = [
+    (r"^(.+)_R(\d+)_raw$", "QC | raw reads | $1_R$2"), (r"^(.+)_R(\d+)_nophix$", "QC | PhiX-filtered reads | $1_R$2"), (r"^(.+)_R(\d+)_stripped$", "QC | primer-trimmed reads | $1_R$2"),
+    (r"^(.+)_phixFilter$", "PhiX removal | $1"), (r"^(.+)_5prime_R\d+$", "Primer trim 5' | $1"), (r"^(.+)_after5p_R\d+$", "Primer trim 5' | $1"), (r"^(.+)_3prime_R\d+$", "Primer trim 3' | $1"), (r"^(.+)_after3p_R\d+$", "Primer trim 3' | $1"),
+    (r"^01\.preprocessing \| (.+)$", "Adapter trim | $1"), (r"^02\.classification \| (.+)_report$", "Kraken2 | $1"), (r"^03\.abundance \| (.+)_report$", "Bracken | $1"),
+]
+
+
 def rename_sample(name: Column, rules: list[tuple[str, str]]) -> Column:
     """Apply the renaming patterns one after the other."""
     for pattern, to in rules:

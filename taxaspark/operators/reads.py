@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaspark.functions import dna, kmers
 from taxaspark.functions.expr import let
-from taxaspark.operators.joins import if_small
+from taxaspark.operators.joins import if_small, settle
 
 
 def pair_mates(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -192,8 +194,8 @@ def bimeras(counts: DataFrame, min_fold: float = 4, min_fraction: float = 0.9, i
     """(seq, n_samples, n_flagged, is_bimera): two-parent chimeras by consensus over the samples.
 
     In a sample a sequence is flagged if a prefix of one and a suffix of another sequence, both at
-    least ``min_fold`` times as abundant, together cover it. Only parents that share its first or
-    last quarter can do so, so pairs meet on those ends, and a sequence's best two matches decide.
+    least ``min_fold`` times as abundant, together cover it. Sequences meet on their ends at every cut, and
+    of those with one end the most abundant decides, so no pairs are made.
     """
     rows = counts.select("sample", "seq", "n", F.length("seq").alias("len")).where("len >= 4")
     half = lambda c, i: F.substr(c, F.lit(1), i)
@@ -258,31 +260,30 @@ def base_profile(reads: DataFrame, keys: list[str], qual: str) -> DataFrame:
     return each.groupBy(*keys, "pos").agg(F.percentile("q", F.lit(0.25)).alias("q1"), F.median("q").alias("median"), F.count("*").alias("n"))
 
 
-def error_rates(reads: DataFrame, centres: DataFrame) -> DataFrame:
-    """(from_base, to_base, quality, n, rate): how often a centre's base is read as another, by quality.
-
-    ``reads`` has (read_id, seq, qual, centre_id), ``centres`` (centre_id, centre) of the same length.
-    """
-    rows = reads.join(centres, "centre_id").where(F.length("seq") == F.length("centre"))
-    at = lambda c, i: F.substr(c, i, F.lit(1))
-    each = rows.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("seq")), lambda i: F.struct(at(F.col("centre"), i).alias("from_base"), at(F.col("seq"), i).alias("to_base"), (F.ascii(at(F.col("qual"), i)) - 33).alias("quality")))).alias("e")).select("e.*")
-    counts = each.groupBy("from_base", "to_base", "quality").agg(F.count("*").alias("n"))
-    return counts.withColumn("rate", F.col("n") / F.sum("n").over(Window.partitionBy("from_base", "quality")))
-
-
 def denoise(counts: DataFrame, min_fold: float = 8.0, max_distance: int = 1) -> DataFrame:
-    """(sample, seq, centre, n): each sequence joined to the most abundant neighbour that explains it.
+    """(sample, seq, centre, n): each sequence joined to the sequence that explains it.
+
+    A sequence goes to its most abundant neighbour, and with it to that one's centre: abundances rise by ``min_fold`` at
+    each step, so chains are short, and following them by doubling ends after a number of joins that the fold gives.
 
     A neighbour has the same length, differs at ``max_distance`` = 1 place and is at least
     ``min_fold`` times as abundant; neighbours meet on the sequence with one place masked, so no
     pairs of all sequences are made. This is an abundance-ratio rule, not the divisive partition of
     an error model.
     """
-    if max_distance != 1:
-        raise ValueError("one difference is supported")
+    if max_distance != 1 or min_fold <= 1:
+        raise ValueError("one difference and a fold above 1 are supported")
     rows = counts.select("sample", "seq", "n")
     masked = rows.withColumn("_i", F.explode(F.sequence(F.lit(1), F.length("seq")))).select("sample", "seq", "n", F.concat(F.substr("seq", F.lit(1), F.col("_i") - 1), F.lit("*"), F.substr("seq", F.col("_i") + 1)).alias("_mask"))
     best = masked.groupBy("sample", "_mask").agg(F.max(F.struct("n", "seq")).alias("b"))
     near = masked.join(best, ["sample", "_mask"]).where((F.col("b.n") >= F.col("n") * min_fold) & (F.col("b.seq") != F.col("seq")))
     centre = near.groupBy("sample", "seq").agg(F.max(F.struct("b.n", "b.seq"))["seq"].alias("centre"))
-    return rows.join(centre, ["sample", "seq"], "left").withColumn("centre", F.coalesce("centre", "seq"))
+    to = settle(rows.join(centre, ["sample", "seq"], "left").select("sample", "seq", "n", F.coalesce("centre", "seq").alias("centre")))
+    longest = 63 / math.log2(min_fold)  # counts are below 2**63
+    for _ in range(max(1, math.ceil(math.log2(longest)))):
+        moved = to.where("centre <> seq")
+        further = moved.select("sample", F.col("seq").alias("centre"), F.col("centre").alias("_next"))
+        if not moved.join(further, ["sample", "centre"], "left_semi").limit(1).count():
+            break
+        to = settle(to.join(further, ["sample", "centre"], "left").select("sample", "seq", "n", F.coalesce("_next", "centre").alias("centre")))
+    return to

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from taxaspark.functions.counts import or_na
 from taxaspark.functions.lineage import numeric_suffix
+from taxaspark.operators.joins import settle
 
 
 def totals(counts: DataFrame, by: str, n: str = "n") -> DataFrame:
@@ -66,6 +67,35 @@ def collapse_counts(counts: DataFrame, extracted: DataFrame) -> DataFrame:
     return counts.join(of, "asv_id").groupBy("sample", F.col("representative").alias("asv_id")).agg(F.sum("n").alias("n"))
 
 
+def collapse_counters(extracted: DataFrame) -> DataFrame:
+    """One row: extracted sequences, distinct ones, groups of several, and sequences that collapsing drops."""
+    groups = extracted.groupBy("seq").agg(F.count("*").alias("n"))
+    return groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("extracted"), F.count("*").alias("groups"), F.count_if(F.col("n") > 1).alias("collapsed_groups"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("dropped"))
+
+
+def by_sequence(counts: DataFrame, named: DataFrame) -> DataFrame:
+    """Counts (sample, asv_id, n) keyed by the sequence of each name (asv_id, seq); names without one go."""
+    return counts.join(named.select("asv_id", "seq"), "asv_id").select("sample", "seq", "n")
+
+
+def by_name(counts: DataFrame, named: DataFrame) -> DataFrame:
+    """Counts (sample, seq, n) keyed by the name of each sequence."""
+    return counts.join(named.select("asv_id", "seq"), "seq").select("sample", "asv_id", "n")
+
+
+def numbered_in_order(rows: DataFrame, order: list[str], name: str = "no") -> DataFrame:
+    """``rows`` numbered from 1 in the given order, without one task that sees all of them.
+
+    Rows are dealt by ranges of the order; each is numbered within its range, and the counts of the ranges before are added.
+    """
+    ranged = settle(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    within = Window.partitionBy("_part").orderBy(*order)
+    out = ranged.withColumn("_k", F.row_number().over(within)).join(F.broadcast(before), "_part")  # as many rows as partitions
+    return out.withColumn(name, (F.col("_base") + F.col("_k")).cast("long")).drop("_part", "_base", "_k")
+
+
 def subset(counts: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Counts of the listed ids only."""
     return counts.join(ids.select(key).distinct(), key, "left_semi")

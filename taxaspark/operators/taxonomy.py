@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from taxaspark.functions import dna, kmers
 from taxaspark.functions.lineage import segments
-from taxaspark.operators.joins import if_small
+from taxaspark.operators.joins import if_small, settle
 
 
 def token_list(value: str | list[str] | None) -> list[str]:
@@ -78,6 +78,19 @@ def classify_reads(reads: DataFrame, database: DataFrame, k: int, l: int, confid
     return rows.withColumn("path", path).select("read_id", "n_kmers", "n_hits", F.get("path", F.size("path") - 1).alias("taxon"), "path")
 
 
+def classified_reads(reads: DataFrame, calls: DataFrame) -> DataFrame:
+    """Reads whose call (read_id, taxon) names a taxon."""
+    return reads.join(calls.where("taxon IS NOT NULL").select("read_id").distinct(), "read_id", "left_semi")
+
+
+def better_strand(queries: DataFrame, refs: DataFrame, k: int = 8) -> DataFrame:
+    """(query_id, seq) with the strand that shares more distinct k-mers with a single reference; the given one if both share as many."""
+    both = queries.select(F.struct("query_id", F.lit(0).alias("strand")).alias("query_id"), "seq").unionByName(queries.select(F.struct("query_id", F.lit(1).alias("strand")).alias("query_id"), dna.reverse_complement(F.col("seq")).alias("seq")))
+    most = shared_kmers(both, refs, k).groupBy("query_id").agg(F.max("shared").alias("shared"))
+    best = most.groupBy(F.col("query_id.query_id").alias("query_id")).agg(F.max(F.struct("shared", (-F.col("query_id.strand")).alias("plus")))["plus"].alias("plus"))
+    return queries.join(best, "query_id", "left").select("query_id", F.when(F.col("plus") == -1, dna.reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
+
+
 def shared_kmers(queries: DataFrame, refs: DataFrame, k: int = 8) -> DataFrame:
     """(query_id, ref_id, shared): distinct k-mers that queries and references share, by inverted index."""
     own = kmers.kmer_rows(queries, ["query_id"], k, distinct=True)
@@ -85,14 +98,15 @@ def shared_kmers(queries: DataFrame, refs: DataFrame, k: int = 8) -> DataFrame:
     return own.join(index, "kmer").groupBy("query_id", "ref_id").agg(F.count("*").alias("shared"))
 
 
-def bootstrap_vote(queries: DataFrame, refs: DataFrame, k: int = 8, rounds: int = 100, words: int = 32, seed: int = 1) -> DataFrame:
+def bootstrap_vote(queries: DataFrame, refs: DataFrame, k: int = 8, rounds: int = 100, words: int = 32, seed: int = 1, both_strands: bool = False) -> DataFrame:
     """(query_id, rank_no, taxon, confidence): SINTAX-like vote; ``refs`` has ref_id, seq, lineage (array).
 
     In each round ``words`` k-mers of the query, chosen by a hash of seed, query, round and k-mer,
     pick the reference that has most of them (ties to the smaller id). The confidence of a rank is
     the share of rounds that agree with the most frequent pick's prefix up to it. The same result
-    comes out under any partitioning.
+    comes out under any partitioning. With ``both_strands`` the better strand of a query votes.
     """
+    queries = better_strand(queries, refs, k) if both_strands else queries
     own = queries.select("query_id", F.explode(F.array_distinct(dna.kmers(F.col("seq"), k))).alias("kmer"))
     per = own.groupBy("query_id").agg(F.sort_array(F.collect_list("kmer")).alias("ks"))
     per = per.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
@@ -117,29 +131,61 @@ def cut_by_confidence(votes: DataFrame, least: float = 0.8) -> DataFrame:
 
 
 def word_model(refs: DataFrame, k: int = 8) -> DataFrame:
-    """(genus, kmer, logp) and priors of the naive Bayes classifier: (m + P) / (M + 1) with P = (n + 0.5) / (N + 1)."""
-    words = refs.select("ref_id", "genus", F.explode(F.array_distinct(dna.kmers(F.col("seq"), k))).alias("kmer"))
+    """(genus, kmer, prior, size, logp) of the naive Bayes classifier: (m + P) / (M + 1) with P = (n + 0.5) / (N + 1)."""
+    words = kmers.kmer_rows(refs, ["ref_id", "genus"], k, distinct=True)
     n_all = refs.agg(F.count("*").alias("_all"))
-    prior = words.groupBy("kmer").agg(F.count("*").alias("_n")).join(F.broadcast(n_all)).select("kmer", ((F.col("_n") + 0.5) / (F.col("_all") + 1)).alias("prior"))
+    prior = words.groupBy("kmer").agg(F.count("*").alias("_n")).join(F.broadcast(n_all)).select("kmer", ((F.col("_n") + 0.5) / (F.col("_all") + 1)).alias("prior"))  # one row
     size = refs.groupBy("genus").agg(F.count("*").alias("_m"))
     own = words.groupBy("genus", "kmer").agg(F.count("*").alias("_k"))
     return own.join(prior, "kmer").join(size, "genus").select("genus", "kmer", "prior", F.col("_m").alias("size"), F.log((F.col("_k") + F.col("prior")) / (F.col("_m") + 1)).alias("logp"))
 
 
-def naive_bayes(queries: DataFrame, refs: DataFrame, k: int = 8) -> DataFrame:
-    """(query_id, genus, score): best genus by the sum of its words' log probabilities.
+def _best_genus(words: DataFrame, model: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, genus, score): best genus by the sum of its words' log probabilities; ``words`` has kmer and times.
 
     A word that a genus lacks has probability prior / (size + 1); those sums are formed from the
-    query's total of log priors, so only shared words are joined.
+    total of log priors, so only shared words are joined. Words that no reference has say nothing.
     """
-    model = word_model(refs, k)
-    own = queries.select("query_id", F.explode(F.array_distinct(dna.kmers(F.col("seq"), k))).alias("kmer"))
     prior = model.groupBy("kmer").agg(F.first("prior").alias("prior"))
-    base = own.join(prior, "kmer").groupBy("query_id").agg(F.sum(F.log("prior")).alias("_base"), F.count("*").alias("_n"))
-    met = own.join(model, "kmer").groupBy("query_id", "genus").agg(F.sum(F.col("logp") - F.log("prior")).alias("_gain"), F.first("size").alias("size"), F.count("*").alias("_hit"))
+    base = words.join(prior, "kmer").groupBy(*keys).agg(F.sum(F.col("times") * F.log("prior")).alias("_base"), F.sum("times").alias("_n"))
+    met = words.join(model, "kmer").groupBy(*keys, "genus").agg(F.sum(F.col("times") * (F.col("logp") - F.log("prior"))).alias("_gain"), F.first("size").alias("size"), F.sum("times").alias("_hit"))
     score = F.col("_base") + F.col("_gain") - (F.col("_n") - F.col("_hit")) * F.log(F.col("size") + 1.0)
-    scored = met.join(base, "query_id").withColumn("score", score)
-    return scored.groupBy("query_id").agg(F.max(F.struct(F.round("score", 9).alias("score"), "genus")).alias("b")).select("query_id", "b.genus", "b.score")
+    scored = met.join(base, keys).withColumn("score", score)
+    return scored.groupBy(*keys).agg(F.max(F.struct(F.round("score", 6).alias("score"), "genus")).alias("b")).select(*keys, "b.genus", "b.score")
+
+
+def naive_bayes(queries: DataFrame, refs: DataFrame, k: int = 8) -> DataFrame:
+    """(query_id, genus, score): best genus by the sum of its words' log probabilities."""
+    return _best_genus(kmers.kmer_rows(queries, ["query_id"], k, distinct=True).withColumn("times", F.lit(1)), word_model(refs, k), ["query_id"])
+
+
+def bootstrap_bayes(queries: DataFrame, refs: DataFrame, k: int = 8, rounds: int = 100, seed: int = 1, try_reverse: bool = False) -> DataFrame:
+    """(query_id, rank_no, taxon, confidence): naive Bayes with bootstraps; ``refs`` has ref_id, seq, genus, lineage (array down to the genus).
+
+    The best genus by all words of a query names its ranks. In each round an eighth of the words, drawn with
+    replacement by a hash, picks a genus; the confidence of a rank is the share of rounds whose genus agrees down to
+    it. With ``try_reverse`` the strand that scores higher is taken. Cut the ranks by ``cut_by_confidence``.
+    """
+    if try_reverse:
+        turned = queries.withColumn("seq", dna.reverse_complement(F.col("seq")))
+        both = naive_bayes(queries.withColumn("query_id", F.struct("query_id", F.lit(0).alias("turn"))).unionByName(turned.withColumn("query_id", F.struct("query_id", F.lit(1).alias("turn")))), refs, k)
+        turn = both.groupBy(F.col("query_id.query_id").alias("query_id")).agg(F.max_by("query_id.turn", F.struct("score", -F.col("query_id.turn"))).alias("turn"))
+        queries = queries.join(turn, "query_id").select("query_id", F.when(F.col("turn") == 1, dna.reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
+    model = settle(word_model(refs, k))
+    own = settle(kmers.kmer_rows(queries, ["query_id"], k, distinct=True))
+    named = refs.groupBy("genus").agg(F.min("lineage").alias("lineage"))
+    best = _best_genus(own.withColumn("times", F.lit(1)), model, ["query_id"])
+    lists = own.groupBy("query_id").agg(F.sort_array(F.collect_list("kmer")).alias("ks"))
+    drawn = lists.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
+    pick = lambda j: F.element_at("ks", (F.pmod(F.xxhash64(F.lit(seed), "query_id", "round", j), F.size("ks")) + 1).cast("int"))
+    drawn = drawn.select("query_id", "round", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor(F.size("ks") / 8).cast("int"))), pick)).alias("kmer"))
+    drawn = drawn.groupBy("query_id", "round", "kmer").agg(F.count("*").alias("times"))
+    voted = _best_genus(drawn, model, ["query_id", "round"]).select("query_id", "round", F.col("genus").alias("pick"))
+    lineage = best.select("query_id", "genus").join(named, "genus").select("query_id", "lineage")
+    votes = voted.join(named.select(F.col("genus").alias("pick"), F.col("lineage").alias("other")), "pick").join(lineage, "query_id")
+    each = votes.select("query_id", F.posexplode("lineage").alias("rank_no", "taxon"), "lineage", "other")
+    agree = F.slice("lineage", F.lit(1), F.col("rank_no") + 1) == F.slice("other", F.lit(1), F.col("rank_no") + 1)
+    return each.groupBy("query_id", "rank_no", "taxon").agg((F.count_if(agree) / F.lit(float(rounds))).alias("confidence"))
 
 
 def add_species(queries: DataFrame, refs: DataFrame, both_strands: bool = True) -> DataFrame:

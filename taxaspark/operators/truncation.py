@@ -7,6 +7,8 @@ window over at most a few hundred positions of each mate.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,9 +54,14 @@ def raise_cuts(profile: DataFrame, cuts: DataFrame, deficit: int) -> DataFrame:
     return cuts.join(F.broadcast(added), "mate", "left").select("mate", (F.col("cut") + F.coalesce("added", F.lit(0))).cast("int").alias("cut"))
 
 
-def relax_threshold(profile: DataFrame, threshold: int, floor: int, need: int) -> DataFrame:
-    """(threshold, cut1, cut2) of the largest lower threshold whose cuts add up to ``need``; no row if none does."""
-    tried = profile.withColumn("threshold", F.explode(F.sequence(F.lit(floor), F.lit(threshold - 1)))) if floor < threshold else profile.withColumn("threshold", F.lit(None).cast("int")).where("false")
+def relax_threshold(profile: DataFrame, threshold: float, floor: float, need: int) -> DataFrame:
+    """(threshold, cut1, cut2) of the largest lower threshold whose cuts add up to ``need``; no row if none does.
+
+    Thresholds fall by one, the last being the first at or below the floor.
+    """
+    steps = max(0, math.ceil(threshold - floor))
+    values = F.array(*[F.lit(threshold - k) for k in range(1, steps + 1)]) if steps else F.array().cast("array<int>")
+    tried = profile.withColumn("threshold", F.explode(values))
     low = F.min(F.when(F.col("q1") < F.col("threshold"), F.col("pos")))
     cuts = tried.groupBy("threshold", "mate").agg(F.coalesce(low - 1, F.max("pos")).alias("cut"))
     both = cuts.groupBy("threshold").agg(F.max(F.when(F.col("mate") == 1, F.col("cut"))).alias("cut1"), F.max(F.when(F.col("mate") == 2, F.col("cut"))).alias("cut2"))
@@ -62,6 +69,23 @@ def relax_threshold(profile: DataFrame, threshold: int, floor: int, need: int) -
     return good.agg(F.max(F.struct("threshold", "cut1", "cut2")).alias("best")).where("best IS NOT NULL").select("best.*")
 
 
+def ceilings(caps: DataFrame) -> DataFrame:
+    """(mate, sample, cap, longest): of each mate the sample with the least cap (sample, mate, cap, longest); without a cap its longest read counts."""
+    cap = F.coalesce("cap", "longest")
+    best = caps.groupBy("mate").agg(F.min(F.struct(cap.alias("cap"), "sample", "longest")).alias("b"))
+    return best.select("mate", "b.sample", "b.cap", "b.longest")
+
+
+def min_length(marker: str, configured: int, stat: str | None = None, probe: dict | None = None) -> int:
+    """Least read length: the configured one, but for ITS that of the probe if a statistic is named and the probe was made."""
+    return int(probe[stat]) if marker == "ITS" and stat and probe else int(configured)
+
+
+def max_length(configured: float | None) -> float:
+    """Greatest read length; none is no limit."""
+    return math.inf if configured is None else float(configured)
+
+
 def expected_length(value: object, probe: dict | None = None, stat: str = "p95") -> int:
     """Amplicon length from the setting: a number, a range (its larger end) or ``auto`` (the probe)."""
     if value is None or isinstance(value, bool):

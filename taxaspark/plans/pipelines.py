@@ -20,7 +20,7 @@ def decide_truncation(bins: DataFrame, lengths: DataFrame | None, config: dict,
     return truncation.pick(profile, t["q_threshold"], t["q_floor"], length, config["amplicon"]["min_overlap"], t["resolve_policy"], marker)
 
 
-def amplicon(pairs: DataFrame, refs: DataFrame, settings: dict, work: str, forward: str, reverse: str, trunc: tuple[int, int] = (0, 0), contaminants: DataFrame | None = None, window: tuple[int, int] | None = None) -> dict[str, DataFrame]:
+def amplicon(pairs: DataFrame, refs: DataFrame, settings: dict, work: str, forward: str, reverse: str, trunc: tuple[int, int] = (0, 0), contaminants: DataFrame | None = None, window: tuple[int, int] | None = None, probe: dict | None = None) -> dict[str, DataFrame]:
     """Stages of an amplicon run on pairs (sample, pair_id, r1, r2) and references (ref_id, seq, lineage).
 
     Returns every stage's table. The stages that later ones and the tracking both use are written
@@ -39,7 +39,9 @@ def amplicon(pairs: DataFrame, refs: DataFrame, settings: dict, work: str, forwa
         out["clean"] = reads.remove_contaminant_pairs(pairs, contaminants, need="both")
     out["trimmed"] = kept("trimmed", reads.trim_primers(out.get("clean", pairs), forward, reverse, a["cutadapt"]["max_error_rate"], a["cutadapt"]["min_length"], a.get("orientation", "fixed")))
     d = a["dada2"]
-    out["filtered"] = kept("filtered", reads.filter_pairs(out["trimmed"], trunc, tuple(d["max_ee"]), d["trunc_q"], d["min_len"], d["max_len"]))
+    marker = a.get("marker", "16S")
+    least_length = truncation.min_length(marker, d["min_len"], d.get("min_len_stat"), probe)
+    out["filtered"] = kept("filtered", reads.filter_pairs(out["trimmed"], (0, 0) if marker == "ITS" else trunc, tuple(d["max_ee"]), d["trunc_q"], least_length, d["max_len"]))
     out["merged"] = kept("merged", reads.merge_pairs(out["filtered"], d["min_overlap"], d["max_mismatch"]))
     counts = reads.dereplicate(out["merged"], ["sample"], "merged").withColumnRenamed("merged", "seq")
     centred = reads.denoise(counts)
@@ -51,8 +53,16 @@ def amplicon(pairs: DataFrame, refs: DataFrame, settings: dict, work: str, forwa
     out["counts"] = kept("counts", out["counts"])
     out["asv"] = kept("asv", reads.sequence_table(out["counts"]))
     queries = out["asv"].select(F.col("asv_id").alias("query_id"), "seq")
-    votes = taxonomy.bootstrap_vote(queries, refs)
-    lineage = taxonomy.cut_by_confidence(votes, a["taxonomy"]["sintax_cutoff"])
+    t = a["taxonomy"]
+    if t["method"] == "rdp":  # refs also have genus
+        votes, least = taxonomy.bootstrap_bayes(queries, refs, try_reverse=t.get("try_rc", False)), t["min_boot"] / 100
+    else:
+        votes, least = taxonomy.bootstrap_vote(queries, refs, both_strands=True), t["sintax_cutoff"]
+    lineage = taxonomy.cut_by_confidence(votes, least)
+    if t["method"] == "rdp" and "species" in refs.columns:  # exact matches within the genus that was called
+        genus = lineage.select("query_id", F.element_at("lineage", -1).alias("genus")).where("genus IS NOT NULL")
+        species = taxonomy.add_species(queries.join(genus, "query_id"), refs, t.get("try_rc", False))
+        lineage = lineage.join(species, "query_id", "left").select("query_id", F.array_compact(F.concat("lineage", F.array("species"))).alias("lineage"))
     named = out["asv"].join(lineage.withColumnRenamed("query_id", "asv_id"), "asv_id", "left").withColumn("lineage", F.coalesce(F.array_join("lineage", ";"), F.lit("")))
     f = a["taxonomy"]["filter"]
     out["taxonomy"] = taxonomy.keep_discard(named, F.col("lineage"), f["keep"], f["discard"], "error") if f["enabled"] else named
@@ -123,6 +133,7 @@ def shotgun(report: DataFrame, settings: dict, reads_: DataFrame | None = None,
     out["otu"] = taxonomy.keep_discard(otu, F.col("lineage"), f["keep"], f["discard"]) if f["enabled"] else otu
     if s["extract_taxa"] and reads_ is not None and calls is not None:
         for name in s["extract_taxa"]:
-            taxa = tree.with_descendants(used, tree.first_named(used, name))
+            # Taxa are those of the whole report; the gate changes abundances, not what a read was called.
+            taxa = tree.with_descendants(linked, tree.first_named(linked, name))
             out[f"reads:{name}"] = taxonomy.extract_reads(reads_, taxa, calls)
     return out

@@ -164,10 +164,45 @@ def header_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.table(spark, sf_dir, "part").select("p_partkey", lineage.convert_ranked_header(header, ["d", "p", "c", "o", "f", "g"]).alias("ranked"), lineage.convert_root_header(root).alias("rooted"))
 
 
-@query("SELECT item_id, replace(lower(substr(text, 1, 20)), ' ', '_') AS slug, substr(sha256(substr(text, 1, 10) || '|' || substr(text, 11, 10)), 1, 12) AS hash FROM benchmark")
+@query("SELECT item_id, replace(lower(text), ' ', '_') AS slug, substr(sha256(text || '|' || reverse(text)), 1, 12) AS hash FROM benchmark")
 def slug_and_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = b.table(spark, sf_dir, "benchmark")
-    return t.select("item_id", lineage.slug(F.substring("text", 1, 20)).alias("slug"), lineage.primer_hash(F.substring("text", 1, 10), F.substring("text", 11, 10)).alias("hash"))
+    return t.select("item_id", lineage.slug(F.col("text")).alias("slug"), lineage.primer_hash(F.col("text"), F.reverse("text")).alias("hash"))
+
+
+@query("SELECT p_partkey, split_part(split_part(p_name, ' ', 1), '|', 1) || '_' || p_partkey AS rrna, p_brand || '_' || p_partkey AS spacer FROM part")
+def extractor_header_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("p_partkey").cast("string")
+    rrna = F.concat(F.lit(">"), F.element_at(F.split("p_name", " "), 1), F.lit("_"), key, F.lit("|SSU Bacterial | x "), "p_type")
+    spacer = F.concat(F.lit(">"), F.col("p_brand"), F.lit("_"), key, F.lit(" first|F|ITS2 "), "p_type")
+    return b.table(spark, sf_dir, "part").select("p_partkey", lineage.rrna_header_id(rrna).alias("rrna"), lineage.spacer_header_id(spacer).alias("spacer"))
+
+
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS no FROM orders")
+def sequential_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.numbered_in_order(b.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"]).select("o_orderkey", "no")
+
+
+@query("""SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 'QC | raw reads | ' || s_name || '_R1' WHEN 1 THEN 'Primer trim 3'' | ' || s_name WHEN 2 THEN 'Kraken2 | ' || s_name WHEN 3 THEN 'Adapter trim | ' || s_name ELSE s_name END AS sample FROM supplier""")
+def report_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey") % 5
+    name = F.when(k == 0, F.concat("s_name", F.lit("_R1_raw"))).when(k == 1, F.concat("s_name", F.lit("_after3p_R2"))).when(k == 2, F.concat(F.lit("02.classification | "), "s_name", F.lit("_report"))).when(k == 3, F.concat(F.lit("01.preprocessing | "), "s_name")).otherwise(F.col("s_name"))
+    return b.table(spark, sf_dir, "supplier").select("s_suppkey", lineage.rename_sample(name, lineage.RENAMES).alias("sample"))
+
+
+@query("""WITH c AS (SELECT l_shipmode AS sample, (l_linenumber % 2 + 1)::INT AS mate, max(l_quantity)::INT AS longest, CASE WHEN min(l_suppkey) % 2 = 0 THEN max(l_suppkey)::INT END AS cap FROM lineitem GROUP BY 1, 2), o AS (
+  SELECT *, coalesce(cap, longest) AS least, row_number() OVER (PARTITION BY mate ORDER BY coalesce(cap, longest), sample) AS place FROM c) SELECT mate, sample, least AS cap, longest FROM o WHERE place = 1""")
+def ceiling_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = b.table(spark, sf_dir, "lineitem").groupBy(F.col("l_shipmode").alias("sample"), (F.col("l_linenumber") % 2 + 1).cast("int").alias("mate"))
+    return truncation.ceilings(li.agg(F.max("l_quantity").cast("int").alias("longest"), F.when(F.min("l_suppkey") % 2 == 0, F.max("l_suppkey").cast("int")).alias("cap")))
+
+
+@query(f"""WITH {b.BINS_SQL}, t AS (SELECT 29.5::DOUBLE - i AS threshold FROM (SELECT unnest(generate_series(1, 10)) AS i)), c AS (SELECT threshold, mate, coalesce(min(CASE WHEN q1 < threshold THEN pos END) - 1, max(pos)) AS cut FROM prof, t GROUP BY threshold, mate),
+  w AS (SELECT threshold, max(CASE WHEN mate = 1 THEN cut END)::INT AS cut1, max(CASE WHEN mate = 2 THEN cut END)::INT AS cut2 FROM c GROUP BY threshold)
+  SELECT threshold, cut1, cut2 FROM w WHERE cut1 + cut2 >= 60 ORDER BY threshold DESC LIMIT 1""")
+def trunc_relax_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thresholds with fractions: the last one tried lies below the floor of 20."""
+    return truncation.relax_threshold(b.profile(spark, sf_dir), 29.5, 20, 60)
 
 
 # ---- trees

@@ -36,12 +36,10 @@ def kmer_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmers.distinct_numbers(b.seqs(spark, sf_dir).where(F.length("seq") >= 8), ["doc_id"], 8, canonical=True)
 
 
-@query(f"""WITH {b.SEQS_SQL}, s AS (SELECT doc_id, substr(seq, 1, 60) AS seq FROM seqs), p AS (SELECT doc_id, seq, unnest(generate_series(1, length(seq) - 11)) AS i FROM s WHERE length(seq) >= 12)
+@query(f"""WITH {b.SEQS_SQL}, p AS (SELECT doc_id, seq, unnest(generate_series(1, length(seq) - 11)) AS i FROM seqs WHERE length(seq) >= 12)
   SELECT doc_id, i::INT AS pos, list_min(list_transform(generate_series(i, i + 5), lambda j: substr(seq, j::BIGINT, 7))) AS minimizer FROM p""")
 def minimizers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature limit: the first 60 bases of each read stand for a short read, in both texts."""
-    s = b.seqs(spark, sf_dir).select("doc_id", F.substring("seq", 1, 60).alias("seq"))
-    rows = s.select("doc_id", F.posexplode(dna.minimizers(F.col("seq"), 12, 7)).alias("p", "minimizer"))
+    rows = b.seqs(spark, sf_dir).select("doc_id", F.posexplode(dna.minimizers(F.col("seq"), 12, 7)).alias("p", "minimizer"))
     return rows.select("doc_id", (F.col("p") + 1).alias("pos"), "minimizer")
 
 
@@ -99,56 +97,68 @@ def in_silico_pcr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.in_silico_pcr(b.seqs(spark, sf_dir), FWD, REV, 0.0).select("doc_id", F.length("seq").alias("length"))
 
 
+def _tiles(spark: SparkSession, sf_dir: str, length: int) -> DataFrame:
+    """doc_id, sample, tile (from 0), seq: every sequence as consecutive reads of ``length`` bases; the last may be shorter."""
+    s = b.seqs(spark, sf_dir).where(F.length("seq") > 0)
+    return s.select("doc_id", "sample", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.length("seq") - 1) / length).cast("int")), lambda i: F.substr("seq", i * length + 1, F.lit(length)))).alias("tile", "seq"))
+
+
+def _tiles_sql(length: int, where: str = "true") -> str:
+    return f"cuts AS (SELECT doc_id, sample, seq, unnest(generate_series(0, (length(seq) - 1) // {length})) AS tile FROM seqs WHERE length(seq) > 0), tiles AS (SELECT doc_id, sample, tile::INT AS tile, substr(seq, (tile * {length} + 1)::BIGINT, {length}) AS seq FROM cuts), reads AS (SELECT * FROM tiles WHERE {where})"
+
+
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Read pairs of 80 bases from the start of each sequence, with qualities from the letters."""
-    s = b.seqs(spark, sf_dir).where(F.length("seq") >= 100)
+    """Read pairs of 80 bases from both ends of every fragment of 100 bases, with qualities from the letters."""
+    s = _tiles(spark, sf_dir, 100).where(F.length("seq") == 100)
     qual = F.translate("seq", "ACGT", "I?5+")
     r = lambda seq, q: F.struct(seq.alias("seq"), q.alias("qual"))
-    return s.select("doc_id", "sample", r(F.substring("seq", 1, 80), F.substring(qual, 1, 80)).alias("r1"), r(dna.reverse_complement(F.substring("seq", 21, 80)), F.reverse(F.substring(qual, 21, 80))).alias("r2"))
+    return s.select("doc_id", "tile", "sample", r(F.substring("seq", 1, 80), F.substring(qual, 1, 80)).alias("r1"), r(dna.reverse_complement(F.substring("seq", 21, 80)), F.reverse(F.substring(qual, 21, 80))).alias("r2"))
 
 
-@query(f"""WITH {b.SEQS_SQL}, p AS (SELECT doc_id, substr(seq, 1, 60) AS a, substr({RC('substr(seq, 21, 80)')}, 1, 50) AS c, translate(seq, 'ACGT', 'I?5+') AS q FROM seqs WHERE length(seq) >= 100),
-  e AS (SELECT doc_id, list_sum(list_transform(generate_series(1, 60), lambda i: pow(10.0, -(ascii(substr(q, i::BIGINT, 1)) - 33) / 10.0))) AS ee1, list_sum(list_transform(generate_series(51, 100), lambda i: pow(10.0, -(ascii(substr(q, i::BIGINT, 1)) - 33) / 10.0))) AS ee2 FROM p)
-  SELECT doc_id, round(ee1, 6) AS ee1, round(ee2, 6) AS ee2 FROM e WHERE ee1 <= 2 AND ee2 <= 5""")
+@query(f"""WITH {b.SEQS_SQL}, {_tiles_sql(100, "length(seq) = 100")}, p AS (SELECT doc_id, tile, translate(seq, 'ACGT', 'I?5+') AS q FROM reads),
+  e AS (SELECT doc_id, tile, list_sum(list_transform(generate_series(1, 60), lambda i: pow(10.0, -(ascii(substr(q, i::BIGINT, 1)) - 33) / 10.0))) AS ee1, list_sum(list_transform(generate_series(51, 100), lambda i: pow(10.0, -(ascii(substr(q, i::BIGINT, 1)) - 33) / 10.0))) AS ee2 FROM p)
+  SELECT doc_id, tile, round(ee1, 6) AS ee1, round(ee2, 6) AS ee2 FROM e WHERE ee1 <= 2 AND ee2 <= 5""")
 def expected_error_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = reads.filter_pairs(_pairs(spark, sf_dir), (60, 50))
-    return rows.select("doc_id", F.round(dna.expected_errors(F.col("r1.qual")), 6).alias("ee1"), F.round(dna.expected_errors(F.col("r2.qual")), 6).alias("ee2"))
+    return rows.select("doc_id", "tile", F.round(dna.expected_errors(F.col("r1.qual")), 6).alias("ee1"), F.round(dna.expected_errors(F.col("r2.qual")), 6).alias("ee2"))
 
 
-@query(f"""WITH {b.SEQS_SQL}, p AS (SELECT doc_id, substr(seq, 1, 80) AS a, substr(seq, 21, 80) AS c FROM seqs WHERE length(seq) >= 100),
-  m AS (SELECT doc_id, a, c, list_max(list_filter(generate_series(12, 80), lambda n: right(a, n::BIGINT) = left(c, n::BIGINT))) AS overlap FROM p) SELECT doc_id, overlap::INT AS overlap, a || substr(c, overlap::BIGINT + 1) AS merged FROM m WHERE overlap IS NOT NULL""")
+@query(f"""WITH {b.SEQS_SQL}, {_tiles_sql(100, "length(seq) = 100")}, p AS (SELECT doc_id, tile, substr(seq, 1, 80) AS a, substr(seq, 21, 80) AS c FROM reads),
+  m AS (SELECT doc_id, tile, a, c, list_max(list_filter(generate_series(12, 80), lambda n: right(a, n::BIGINT) = left(c, n::BIGINT))) AS overlap FROM p) SELECT doc_id, tile, overlap::INT AS overlap, a || substr(c, overlap::BIGINT + 1) AS merged FROM m WHERE overlap IS NOT NULL""")
 def merge_pairs_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reads.merge_pairs(_pairs(spark, sf_dir)).select("doc_id", "overlap", "merged")
+    return reads.merge_pairs(_pairs(spark, sf_dir)).select("doc_id", "tile", "overlap", "merged")
 
 
 def _short(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sequence counts of short reads: 6 bases from each document, so that chimeras occur."""
-    s = b.seqs(spark, sf_dir).where(F.length("seq") >= 12)
-    return s.groupBy("sample", F.substring("seq", 3, 6).alias("seq")).agg(F.count("*").alias("n"))
+    """Counts of short reads: all sequences as reads of 6 bases, so that chimeras occur."""
+    return _tiles(spark, sf_dir, 6).where(F.length("seq") == 6).groupBy("sample", "seq").agg(F.count("*").alias("n"))
+
 
+SHORT_SQL = f"{b.SEQS_SQL}, {_tiles_sql(6, 'length(seq) = 6')}, t AS (SELECT sample, seq, count(*)::BIGINT AS n FROM reads GROUP BY 1, 2)"
 
-@query(f"""WITH {b.SEQS_SQL}, t AS (SELECT sample, substr(seq, 3, 6) AS seq, count(*) AS n FROM seqs WHERE length(seq) >= 12 GROUP BY 1, 2),
-  f AS (SELECT DISTINCT c.sample, c.seq FROM t c JOIN t p ON p.sample = c.sample AND p.n >= 4 * c.n AND p.seq <> c.seq JOIN t q ON q.sample = c.sample AND q.n >= 4 * c.n AND q.seq <> c.seq, (SELECT unnest([1, 2, 3, 4, 5]) AS i) i
-    WHERE left(c.seq, i) = left(p.seq, i) AND substr(c.seq, i + 1) = substr(q.seq, i + 1)),
+
+@query(f"""WITH {SHORT_SQL}, i AS (SELECT unnest([1, 2, 3, 4, 5]) AS i), l AS (SELECT sample, i, left(seq, i) AS part, max(n) AS n FROM t, i GROUP BY 1, 2, 3), r AS (SELECT sample, i, substr(seq, i + 1) AS part, max(n) AS n FROM t, i GROUP BY 1, 2, 3),
+  f AS (SELECT DISTINCT c.sample, c.seq FROM t c, i JOIN l ON l.sample = c.sample AND l.i = i.i AND l.part = left(c.seq, i.i) JOIN r ON r.sample = c.sample AND r.i = i.i AND r.part = substr(c.seq, i.i + 1) WHERE l.n >= 4 * c.n AND r.n >= 4 * c.n),
   v AS (SELECT t.seq, count(*) AS n_samples, count(f.seq) AS n_flagged FROM t LEFT JOIN f ON t.sample = f.sample AND t.seq = f.seq GROUP BY t.seq)
   SELECT seq, n_samples::BIGINT AS n_samples, n_flagged::BIGINT AS n_flagged, n_flagged = n_samples OR (n_flagged > 0 AND n_flagged >= (n_samples - 1) * 0.9) AS is_bimera FROM v""")
 def bimera_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A parent is at least four times as abundant as the child, so it is another sequence."""
     return reads.bimeras(_short(spark, sf_dir))
 
 
-@query(f"""WITH {b.SEQS_SQL}, t AS (SELECT sample, substr(seq, 3, 6) AS seq, count(*)::BIGINT AS n FROM seqs WHERE length(seq) >= 12 GROUP BY 1, 2),
-  c AS (SELECT a.sample, a.seq, max(struct_pack(n := p.n, s := p.seq)).s AS centre FROM t a JOIN t p ON a.sample = p.sample AND a.seq <> p.seq AND hamming(a.seq, p.seq) = 1 AND p.n >= 3 * a.n GROUP BY 1, 2)
-  SELECT t.sample, t.seq, n, coalesce(centre, t.seq) AS centre FROM t LEFT JOIN c ON t.sample = c.sample AND t.seq = c.seq""")
+@query(f"""WITH RECURSIVE {SHORT_SQL}, c AS (SELECT a.sample, a.seq, max(struct_pack(n := p.n, s := p.seq)).s AS centre FROM t a JOIN t p ON a.sample = p.sample AND hamming(a.seq, p.seq) = 1 AND p.n >= 3 * a.n GROUP BY 1, 2),
+  w AS (SELECT sample, seq, seq AS at FROM t UNION ALL SELECT w.sample, w.seq, c.centre FROM w JOIN c ON c.sample = w.sample AND c.seq = w.at),
+  e AS (SELECT sample, seq, at FROM w WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.sample = w.sample AND c.seq = w.at))
+  SELECT t.sample, t.seq, n, at AS centre FROM t JOIN e ON t.sample = e.sample AND t.seq = e.seq""")
 def denoise_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.denoise(_short(spark, sf_dir), 3.0).select("sample", "seq", "n", "centre")
 
 
-@query(f"""WITH {b.SEQS_SQL}, q AS (SELECT sample, translate(substr(seq, 1, 50), 'ACGT', 'I?5+') AS q FROM seqs), p AS (SELECT sample, unnest(generate_series(1, length(q))) AS pos, q FROM q), v AS (SELECT sample, pos, ascii(substr(q, pos::BIGINT, 1)) - 33 AS v FROM p)
+@query(f"""WITH {b.SEQS_SQL}, {_tiles_sql(50)}, p AS (SELECT sample, translate(seq, 'ACGT', 'I?5+') AS q, unnest(generate_series(1, length(seq))) AS pos FROM reads), v AS (SELECT sample, pos, ascii(substr(q, pos::BIGINT, 1)) - 33 AS v FROM p)
   SELECT sample, pos::INT AS pos, quantile_cont(v, 0.25) AS q1, median(v) AS median, count(*)::BIGINT AS n FROM v GROUP BY 1, 2""")
 def base_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature limit: reads are the first 50 bases, as a sequencer's cycles are, in both texts."""
-    s = b.seqs(spark, sf_dir).select("sample", F.translate(F.substring("seq", 1, 50), "ACGT", "I?5+").alias("qual")).where("qual <> ''")
-    return reads.base_profile(s, ["sample"], "qual")
+    """All sequences as reads of 50 cycles."""
+    return reads.base_profile(_tiles(spark, sf_dir, 50).select("sample", F.translate("seq", "ACGT", "I?5+").alias("qual")), ["sample"], "qual")
 
 
 def _refs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,34 +177,73 @@ def kmer_lca_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short queries: the first 120 bases of each benchmark item."""
-    return b.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.substring(dna.pseudo_dna(F.col("text")), 1, 120).alias("seq"), F.concat(F.lit("g"), (F.col("item_id") % 5).cast("string")).alias("genus"))
+    """Queries: the benchmark's items, those with an odd id as their reverse complement."""
+    seq = dna.pseudo_dna(F.col("text"))
+    return b.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.when(F.col("item_id") % 2 == 1, dna.reverse_complement(seq)).otherwise(seq).alias("seq"), F.concat(F.lit("g"), (F.col("item_id") % 5).cast("string")).alias("genus"))
+
+
+ITEMS_SQL = f"r AS (SELECT item_id, {b.DNA} AS seq FROM benchmark), i AS (SELECT item_id, CASE WHEN item_id % 2 = 1 THEN {RC('seq')} ELSE seq END AS seq FROM r)"
+WORDS_SQL = f"{ITEMS_SQL}, k AS (SELECT DISTINCT item_id, unnest({KMERS('seq', 8)}) AS kmer FROM r WHERE length(seq) >= 8), q AS (SELECT DISTINCT item_id, unnest({KMERS('seq', 8)}) AS kmer FROM i WHERE length(seq) >= 8)"
 
 
-@query(f"""WITH r AS (SELECT item_id, {b.DNA} AS seq FROM benchmark), k AS (SELECT DISTINCT item_id, unnest({KMERS('seq', 8)}) AS kmer FROM r WHERE length(seq) >= 8), q AS (SELECT DISTINCT item_id, unnest({KMERS('substr(seq, 1, 120)', 8)}) AS kmer FROM r WHERE length(seq) >= 8)
-  SELECT q.item_id AS query_id, k.item_id AS ref_id, count(*)::BIGINT AS shared FROM q JOIN k ON q.kmer = k.kmer GROUP BY 1, 2""")
+@query(f"WITH {WORDS_SQL} SELECT q.item_id AS query_id, k.item_id AS ref_id, count(*)::BIGINT AS shared FROM q JOIN k ON q.kmer = k.kmer GROUP BY 1, 2")
 def shared_kmer_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxonomy.shared_kmers(_items(spark, sf_dir), _refs(spark, sf_dir))
 
 
+@query(f"""WITH {WORDS_SQL}, m AS (SELECT DISTINCT item_id, unnest({KMERS(RC('seq'), 8)}) AS kmer FROM i WHERE length(seq) >= 8), sp AS (SELECT q.item_id, k.item_id AS ref, count(*) AS n FROM q JOIN k USING (kmer) GROUP BY 1, 2), sm AS (SELECT m.item_id, k.item_id AS ref, count(*) AS n FROM m JOIN k USING (kmer) GROUP BY 1, 2),
+  bp AS (SELECT item_id, max(n) AS n FROM sp GROUP BY 1), bm AS (SELECT item_id, max(n) AS n FROM sm GROUP BY 1) SELECT i.item_id AS query_id, md5(CASE WHEN coalesce(bm.n, 0) > coalesce(bp.n, 0) THEN {RC('i.seq')} ELSE i.seq END) AS seq FROM i LEFT JOIN bp ON bp.item_id = i.item_id LEFT JOIN bm ON bm.item_id = i.item_id""")
+def better_strand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taxonomy.better_strand(_items(spark, sf_dir), _refs(spark, sf_dir)).withColumn("seq", F.md5("seq"))
+
+
 @query(f"""WITH r AS (SELECT item_id, {b.DNA} AS seq FROM benchmark), k AS (SELECT DISTINCT item_id, unnest({KMERS('seq', 8)}) AS kmer FROM r WHERE length(seq) >= 8),
-  q AS (SELECT DISTINCT item_id, unnest({KMERS('substr(seq, 1, 120)', 8)}) AS kmer FROM r WHERE length(seq) >= 8), t AS (SELECT item_id, kmer, unnest(generate_series(1, 20)) AS rnd FROM q),
+  q AS (SELECT * FROM k), t AS (SELECT item_id, kmer, unnest(generate_series(1, 20)) AS rnd FROM q),
   o AS (SELECT *, row_number() OVER (PARTITION BY item_id, rnd ORDER BY md5('1:' || item_id || ':' || rnd || ':' || kmer), kmer) AS o FROM t), h AS (
   SELECT o.item_id, rnd, k.item_id AS ref, count(*) AS n FROM o JOIN k ON o.kmer = k.kmer WHERE o <= 32 GROUP BY 1, 2, 3), bst AS (SELECT item_id, rnd, ref, row_number() OVER (PARTITION BY item_id, rnd ORDER BY n DESC, ref) AS place FROM h),
   v AS (SELECT item_id, rank_no, CASE rank_no WHEN 0 THEN 'd0' WHEN 1 THEN 'd0;g' || ref % 5 ELSE 'd0;g' || ref % 5 || ';s' || ref END AS prefix, count(*) AS n FROM bst, (SELECT unnest([0, 1, 2]) AS rank_no) WHERE place = 1 GROUP BY 1, 2, 3),
   w AS (SELECT *, row_number() OVER (PARTITION BY item_id, rank_no ORDER BY n DESC, prefix DESC) AS place FROM v)
   SELECT item_id AS query_id, rank_no::INT AS rank_no, split_part(prefix, ';', (rank_no + 1)::BIGINT) AS taxon, n / 20.0::DOUBLE AS confidence FROM w WHERE place = 1""")
 def sintax_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return taxonomy.bootstrap_vote(_items(spark, sf_dir), _refs(spark, sf_dir), rounds=20)
+    """Both strands: items that come turned vote as they stand in the references."""
+    return taxonomy.bootstrap_vote(_items(spark, sf_dir), _refs(spark, sf_dir), rounds=20, both_strands=True)
 
 
-@query()
+@query(f"""WITH {WORDS_SQL}, g AS (SELECT item_id % 5 AS g, count(*) AS m FROM r GROUP BY 1), p AS (SELECT kmer, (count(*) + 0.5::DOUBLE) / ((SELECT count(*) FROM r) + 1) AS p FROM k GROUP BY kmer), h AS (SELECT item_id % 5 AS g, kmer, count(*) AS n FROM k GROUP BY 1, 2),
+  base AS (SELECT item_id, sum(ln(p)) AS base, count(*) AS n FROM q JOIN p USING (kmer) GROUP BY 1), met AS (SELECT item_id, h.g, sum(ln((h.n + p) / (m + 1)) - ln(p)) AS gain, count(*) AS hit, any_value(m) AS m FROM q JOIN h USING (kmer) JOIN p USING (kmer) JOIN g ON g.g = h.g GROUP BY 1, 2),
+  s AS (SELECT item_id, round(base + gain - (n - hit) * ln(m + 1.0::DOUBLE), 6) AS score, 'g' || g AS genus FROM met JOIN base USING (item_id)), o AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, genus DESC) AS place FROM s)
+  SELECT item_id AS query_id, genus, score FROM o WHERE place = 1""")
 def rdp_naive_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Compared with a plain computation in the tests."""
     return taxonomy.naive_bayes(_items(spark, sf_dir), _refs(spark, sf_dir))
 
 
-@query(f"""WITH r AS (SELECT item_id, {b.DNA} AS seq FROM benchmark), q AS (SELECT item_id, item_id % 5 AS g, substr(seq, 1, 120) AS seq FROM r)
+@query()
+def rdp_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draws by a hash that SQL hasn't; compared with a plain computation in the tests."""
+    refs = _refs(spark, sf_dir).withColumn("lineage", F.slice("lineage", 1, 2))
+    return taxonomy.bootstrap_bayes(_items(spark, sf_dir), refs, rounds=20, try_reverse=True)
+
+
+@query(f"""WITH {ITEMS_SQL}, q AS (SELECT item_id, item_id % 5 AS g, seq FROM i)
   SELECT q.item_id AS query_id, 's' || min(r.item_id) AS species FROM q JOIN r ON r.item_id % 5 = g AND (contains(r.seq, q.seq) OR contains(r.seq, {RC('q.seq')})) WHERE length(q.seq) >= 16 GROUP BY q.item_id HAVING count(DISTINCT r.item_id) = 1""")
 def add_species_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxonomy.add_species(_items(spark, sf_dir), _refs(spark, sf_dir))
+
+
+@query(f"WITH {b.SEQS_SQL}, c AS (SELECT doc_id FROM documents WHERE lang IS NOT NULL) SELECT doc_id, length(seq)::INT AS length FROM seqs WHERE doc_id IN (SELECT doc_id FROM c)")
+def classified_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = b.seqs(spark, sf_dir).withColumnRenamed("doc_id", "read_id")
+    calls = b.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("read_id"), F.col("lang").alias("taxon"))
+    return taxonomy.classified_reads(own, calls).select(F.col("read_id").alias("doc_id"), F.length("seq").alias("length"))
+
+
+@query(f"WITH {b.SEQS_SQL}, g AS (SELECT seq, count(*) AS n FROM seqs GROUP BY seq) SELECT sum(n)::BIGINT AS extracted, count(*) AS groups, count(*) FILTER (n > 1) AS collapsed_groups, sum(n - 1)::BIGINT AS dropped FROM g")
+def collapse_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.collapse_counters(b.seqs(spark, sf_dir))
+
+
+@query(f"WITH {b.SEQS_SQL} SELECT sample, md5(seq) AS seq, length(seq)::BIGINT AS n FROM seqs WHERE doc_id % 3 > 0")
+def relabel_by_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = b.seqs(spark, sf_dir).withColumn("asv_id", F.concat(F.lit("ASV_"), F.col("doc_id").cast("string")))
+    counts = s.select("sample", "asv_id", F.length("seq").cast("long").alias("n"))
+    return tables.by_sequence(counts, s.where("doc_id % 3 > 0")).withColumn("seq", F.md5("seq"))

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from taxaspark.functions.lineage import convert_ranked_header
 from taxaspark.sources.lines import numbered, running_count, sample_of
 
 FASTQ_EXTENSIONS = ["fastq.gz", "fastq", "fq.gz", "fq"]
@@ -38,6 +39,27 @@ def discover_samples(names: list[str], amplicon: bool = False) -> dict[str, tupl
     return {s: v[:2] for s, v in sorted(found.items())}
 
 
+def resolve_fastq(spark: SparkSession, folder: str, sample: str, read: int, naming: str = "_R1") -> str:
+    """Path of a sample's reads: the compressed file if it exists, else the plain one, else the name the compressed one would have.
+
+    ``naming`` is how first mates are marked, ``_R1`` or ``_1``.
+    """
+    mate = naming if read == 1 else {"_R1": "_R2", "_1": "_2"}[naming]
+    packed, plain = (f"{folder.rstrip('/')}/{sample}{mate}.fastq{end}" for end in (".gz", ""))
+    path = lambda p: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+    exists = lambda p: path(p).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path(p))
+    return packed if exists(packed) or not exists(plain) else plain
+
+
+def _nothing_missing(spark: SparkSession, path: str | list[str], rows: DataFrame, what: str) -> DataFrame:
+    """``rows`` if every file of ``path`` gave some; a file without is an error."""
+    files = {f.rsplit("/", 1)[-1] for f in spark.read.text(path).inputFiles()}
+    empty = files - {r["file"].rsplit("/", 1)[-1] for r in rows.select("file").distinct().collect()}  # one name a file
+    if empty:
+        raise ValueError(f"no {what} in {sorted(empty)}")
+    return rows
+
+
 def fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """sample, file, ordinal, read_id, seq, qual; compressed files too. A broken record is an error."""
     rows = numbered(spark, path).withColumn("ordinal", F.floor(F.col("line_no") / 4))
@@ -58,9 +80,17 @@ def fasta(spark: SparkSession, path: str | list[str], keep_empty: bool = True) -
     return out if keep_empty else out.where(F.length("seq") > 0)
 
 
+def ranked_fasta(spark: SparkSession, path: str | list[str], letters: list[str]) -> DataFrame:
+    """(no, value): lines of a FASTA file whose headers are ``>1;tax=d:...``, numbered by record; the other lines as they are."""
+    head = F.col("value").startswith(">")
+    rows = running_count(numbered(spark, path), head, "record")
+    new = F.concat(F.lit(">"), F.col("record").cast("string"), F.lit(";"), convert_ranked_header(F.substr("value", F.lit(2)), letters))
+    return rows.select("file", F.col("line_no").alias("no"), F.when(head, new).otherwise(F.col("value")).alias("value"))
+
+
 def tree_report(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Tree rows of 8-column reports: blank lines are skipped, any other number of columns is an error."""
-    rows = numbered(spark, path).where(F.trim("value") != "").withColumn("f", F.split("value", "\t"))
+    """Tree rows of 8-column reports: blank lines are skipped, any other number of columns and an empty file are errors."""
+    rows = _nothing_missing(spark, path, numbered(spark, path).where(F.trim("value") != ""), "report line").withColumn("f", F.split("value", "\t"))
     f = F.when(F.size("f") == 8, F.col("f")).otherwise(_fail("a report line hasn't 8 columns: ", F.col("value")))
     rows = rows.withColumn("f", f)
     name = F.get("f", F.lit(7))
@@ -90,7 +120,7 @@ def _module(spark: SparkSession, path: str | list[str], title: str) -> DataFrame
 
 def quality_bins(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """sample, mate, bin_start, bin_end, q1: lower quartile of the quality in each bin of positions."""
-    rows = _module(spark, path, "Per base sequence quality").where(F.size("f") >= 4)
+    rows = _nothing_missing(spark, path, _module(spark, path, "Per base sequence quality").where(F.size("f") >= 4), "quality bin")
     ends = F.split(F.get("f", F.lit(0)), "-")
     return rows.select(sample_of(F.col("file"), r"(_R?[12])?(_fastqc_data)?\.[A-Za-z0-9.]+$").alias("sample"), _mate(), F.get(ends, F.lit(0)).cast("int").alias("bin_start"), F.element_at(ends, -1).cast("int").alias("bin_end"), F.get("f", F.lit(3)).cast("double").alias("q1"))
 

@@ -19,9 +19,16 @@ def evidence_rows(verdicts: DataFrame, with_sample: bool = False) -> DataFrame:
     return rows
 
 
-def evidence_order(verdicts: DataFrame) -> DataFrame:
-    """Most reads first, equal ones in report order."""
-    return verdicts.orderBy(F.desc("clade_reads"), "idx")
+# Columns of the manifest of samples.
+MANIFEST = ["sample", "source", "bioproject", "r1", "r2"]
+
+
+def manifest_lines(samples: DataFrame, source: str, folder: str, bioproject: str = "", naming: str = "_R1", ending: str = "fastq.gz") -> DataFrame:
+    """(sample, value) lines of the manifest of samples, with the header first (an empty sample)."""
+    second = {"_R1": "_R2", "_1": "_2"}[naming]
+    name = lambda mate: F.concat(F.lit(f"{folder}/"), "sample", F.lit(f"{mate}.{ending}"))
+    body = samples.select("sample", F.concat_ws("\t", "sample", F.lit(source), F.lit(bioproject), name(naming), name(second)).alias("value"))
+    return samples.sparkSession.createDataFrame([("", "\t".join(MANIFEST))], "sample string, value string").unionByName(body)
 
 
 def report_lines(gated: DataFrame) -> DataFrame:

@@ -42,8 +42,6 @@ def test_dna_functions(spark):
     want = [min(seq[i + j : i + j + 5] for j in range(4)) for i in range(len(seq) - 7)]
     assert one(spark, dna.minimizers(F.col("s"), 8, 5), s=seq) == want
     assert one(spark, dna.minimizers(F.col("s"), 8, 5), s="ACG") == []
-    assert one(spark, dna.prefix_match(F.col("a"), F.col("b")), a="ACGT", b="ACCT") == 2
-    assert one(spark, dna.prefix_match(F.col("a"), F.col("b")), a="", b="ACCT") == 0
 
 
 def test_percentile_takes_floor_index(spark):
@@ -358,10 +356,3 @@ def test_vote_is_the_same_under_any_partitioning(spark):
     assert a == b and all(t == f"s{q}" for q, k, t, c in a if k == 2)
     cut = {r["query_id"]: r["lineage"] for r in taxonomy.cut_by_confidence(taxonomy.bootstrap_vote(qs, refs, rounds=10), 0.8).collect()}
     assert cut[3] == ["d", "g1", "s3"]
-
-
-def test_error_rates_sum_to_one(spark):
-    r = spark.createDataFrame([("1", "ACGA", "IIII", "c"), ("2", "ACGT", "IIII", "c")], "read_id string, seq string, qual string, centre_id string")
-    c = spark.createDataFrame([("c", "ACGT")], "centre_id string, centre string")
-    got = {(x["from_base"], x["to_base"]): x["rate"] for x in reads.error_rates(r, c).collect()}
-    assert got["T", "A"] == 0.5 and got["A", "A"] == 1.0
