@@ -225,7 +225,8 @@ def search_mixed(member: DataFrame, sets: DataFrame, similarity: float = SIMILAR
     """
     per = member.groupBy("bucket", "root").agg(F.count("*").alias("m"))
     mixed = per.groupBy("bucket").agg(F.max(F.struct("m", "root"))["root"].alias("main"), F.count("*").alias("roots")).where("roots > 1").select("bucket", "main")
-    rows = cut(member.join(mixed, "bucket").join(sets, "node").select("bucket", "node", "root", "main", "shingles"))
+    # A table of its own, so that the join stands alone and Spark may split a large bucket.
+    rows = cut(join_checked(member, cut(mixed), ["bucket"]).join(sets, "node").select("bucket", "node", "root", "main", "shingles"))
     blocks = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum(F.octet_length("shingles")) / block_bytes))
     size = cut(rows.groupBy("bucket").agg(blocks.cast("int").alias("blocks"), F.count("*").alias("n")))
     item = F.struct("node", "root", "shingles")
