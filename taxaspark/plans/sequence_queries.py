@@ -138,7 +138,7 @@ SHORT_SQL = f"{b.SEQS_SQL}, {_tiles_sql(6, 'length(seq) = 6')}, t AS (SELECT sam
 
 
 @query(f"""WITH {SHORT_SQL}, i AS (SELECT unnest([1, 2, 3, 4, 5]) AS i), l AS (SELECT sample, i, left(seq, i) AS part, max(n) AS n FROM t, i GROUP BY 1, 2, 3), r AS (SELECT sample, i, substr(seq, i + 1) AS part, max(n) AS n FROM t, i GROUP BY 1, 2, 3),
-  f AS (SELECT DISTINCT c.sample, c.seq FROM t c, i JOIN l ON l.sample = c.sample AND l.i = i.i AND l.part = left(c.seq, i.i) JOIN r ON r.sample = c.sample AND r.i = i.i AND r.part = substr(c.seq, i.i + 1) WHERE l.n >= 4 * c.n AND r.n >= 4 * c.n),
+  f AS (SELECT DISTINCT c.sample, c.seq FROM (SELECT t.*, i.i FROM t, i) c JOIN l ON l.sample = c.sample AND l.i = c.i AND l.part = left(c.seq, c.i) JOIN r ON r.sample = c.sample AND r.i = c.i AND r.part = substr(c.seq, c.i + 1) WHERE l.n >= 4 * c.n AND r.n >= 4 * c.n),
   v AS (SELECT t.seq, count(*) AS n_samples, count(f.seq) AS n_flagged FROM t LEFT JOIN f ON t.sample = f.sample AND t.seq = f.seq GROUP BY t.seq)
   SELECT seq, n_samples::BIGINT AS n_samples, n_flagged::BIGINT AS n_flagged, n_flagged = n_samples OR (n_flagged > 0 AND n_flagged >= (n_samples - 1) * 0.9) AS is_bimera FROM v""")
 def bimera_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
