@@ -190,10 +190,10 @@ def report_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.table(spark, sf_dir, "supplier").select("s_suppkey", lineage.rename_sample(name, lineage.RENAMES).alias("sample"))
 
 
-@query("""WITH c AS (SELECT l_shipmode AS sample, (l_linenumber % 2 + 1)::INT AS mate, max(l_quantity)::INT AS longest, CASE WHEN min(l_suppkey) % 2 = 0 THEN max(l_suppkey)::INT END AS cap FROM lineitem GROUP BY 1, 2), o AS (
+@query("""WITH c AS (SELECT l_returnflag AS sample, (l_linenumber % 2 + 1)::INT AS mate, max(l_quantity)::INT AS longest, CASE WHEN min(l_suppkey) % 2 = 0 THEN max(l_suppkey)::INT END AS cap FROM lineitem GROUP BY 1, 2), o AS (
   SELECT *, coalesce(cap, longest) AS least, row_number() OVER (PARTITION BY mate ORDER BY coalesce(cap, longest), sample) AS place FROM c) SELECT mate, sample, least AS cap, longest FROM o WHERE place = 1""")
 def ceiling_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = b.table(spark, sf_dir, "lineitem").groupBy(F.col("l_shipmode").alias("sample"), (F.col("l_linenumber") % 2 + 1).cast("int").alias("mate"))
+    li = b.table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("sample"), (F.col("l_linenumber") % 2 + 1).cast("int").alias("mate"))
     return truncation.ceilings(li.agg(F.max("l_quantity").cast("int").alias("longest"), F.when(F.min("l_suppkey") % 2 == 0, F.max("l_suppkey").cast("int")).alias("cap")))
 
 

@@ -147,9 +147,9 @@ def bimera_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH RECURSIVE {SHORT_SQL}, c AS (SELECT a.sample, a.seq, max(struct_pack(n := p.n, s := p.seq)).s AS centre FROM t a JOIN t p ON a.sample = p.sample AND hamming(a.seq, p.seq) = 1 AND p.n >= 3 * a.n GROUP BY 1, 2),
-  w AS (SELECT sample, seq, seq AS at FROM t UNION ALL SELECT w.sample, w.seq, c.centre FROM w JOIN c ON c.sample = w.sample AND c.seq = w.at),
-  e AS (SELECT sample, seq, at FROM w WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.sample = w.sample AND c.seq = w.at))
-  SELECT t.sample, t.seq, n, at AS centre FROM t JOIN e ON t.sample = e.sample AND t.seq = e.seq""")
+  w AS (SELECT sample, seq, seq AS here FROM t UNION ALL SELECT w.sample, w.seq, c.centre FROM w JOIN c ON c.sample = w.sample AND c.seq = w.here),
+  e AS (SELECT sample, seq, here FROM w WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.sample = w.sample AND c.seq = w.here))
+  SELECT t.sample, t.seq, n, here AS centre FROM t JOIN e ON t.sample = e.sample AND t.seq = e.seq""")
 def denoise_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.denoise(_short(spark, sf_dir), 3.0).select("sample", "seq", "n", "centre")
 
