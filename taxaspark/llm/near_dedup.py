@@ -77,10 +77,7 @@ def shingles(hashes: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tup
     rolled = np.zeros(len(hashes), np.uint64)
     for j in range(words):
         part = _mix(hashes + _odd(j + 1))
-        if j:
-            rolled[: len(rolled) - j] += part[j:]
-        else:
-            rolled += part
+        rolled[: max(0, len(rolled) - j)] += part[j:]
     rolled = _mix(rolled)
     short = np.flatnonzero((n > 0) & (n < words))
     keep = np.ones(len(hashes), bool)

@@ -397,18 +397,18 @@ def score(docs: DataFrame, fitted: _Fitted, threshold: float = 0.7) -> DataFrame
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
-    """``docs`` without the rows whose text scores at least ``threshold``; all columns are kept.
+    """``docs`` without the rows whose text scores at least ``threshold``; all columns are kept, whatever their names.
 
     While the expressions can be broadcast the text is scored where it stands, so no row is
     shuffled. Null texts stay.
     """
     fitted = fit(docs, labels, **options)
     sent = docs.sparkSession.sparkContext.broadcast(fitted.model)
-    schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             s = sent.value.score(*_measured(sent.value, b))
-            yield b.filter(pa.array(s < threshold)).select(schema.names)
+            yield pa.RecordBatch.from_struct_array(b.column("row").filter(pa.array(s < threshold)))
 
-    return with_said(docs, fitted.table, fitted.model).mapInArrow(run, schema)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
+    return with_said(rows, fitted.table, fitted.model).mapInArrow(run, docs.schema)
