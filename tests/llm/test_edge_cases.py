@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from taxaspark.llm import decontaminate, exact_dedup, html_extract, language_crf, mixing, near_dedup, pii, toxicity, url_filter, warc_bundles
 
 CLASH = ["_id", "_sha", "_k", "_n", "_kept", "_h", "_key", "_text", "_stays", "_s", "_b", "_q", "_salt", "key", "h", "node", "size", "k", "_said", "_Key"]
-LONG = "word " * 2_000_000  # 10 MB
+LONG = "word " * 200_000  # 1 MB
 TEXTS = [(1, None), (2, ""), (3, " \n"), (4, "same text of six words here"), (5, "same text of six words here"), (5, "same text of six words here"), (None, "same text of six words here"), (None, None), (-(1 << 62), "another text with some other words"), (6, LONG), (7, "été 日本語 текст")]
 
 
