@@ -164,13 +164,9 @@ def bootstrap_bayes(queries: DataFrame, refs: DataFrame, k: int = 8, rounds: int
 
     The best genus by all words of a query names its ranks. In each round an eighth of the words, drawn with
     replacement by a hash, picks a genus; the confidence of a rank is the share of rounds whose genus agrees down to
-    it. With ``try_reverse`` the strand that scores higher is taken. Cut the ranks by ``cut_by_confidence``.
+    it. With ``try_reverse`` the better strand is taken. Cut the ranks by ``cut_by_confidence``.
     """
-    if try_reverse:
-        turned = queries.withColumn("seq", dna.reverse_complement(F.col("seq")))
-        both = naive_bayes(queries.withColumn("query_id", F.struct("query_id", F.lit(0).alias("turn"))).unionByName(turned.withColumn("query_id", F.struct("query_id", F.lit(1).alias("turn")))), refs, k)
-        turn = both.groupBy(F.col("query_id.query_id").alias("query_id")).agg(F.max_by("query_id.turn", F.struct("score", -F.col("query_id.turn"))).alias("turn"))
-        queries = queries.join(turn, "query_id").select("query_id", F.when(F.col("turn") == 1, dna.reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
+    queries = better_strand(queries, refs, k) if try_reverse else queries
     model = settle(word_model(refs, k))
     own = settle(kmers.kmer_rows(queries, ["query_id"], k, distinct=True))
     named = refs.groupBy("genus").agg(F.min("lineage").alias("lineage"))

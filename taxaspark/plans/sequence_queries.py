@@ -219,7 +219,7 @@ def rdp_naive_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def rdp_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Draws by a hash that SQL hasn't; compared with a plain computation in the tests."""
+    """Draws by a hash that SQL hasn't; the tests try known answers on both strands."""
     refs = _refs(spark, sf_dir).withColumn("lineage", F.slice("lineage", 1, 2))
     return taxonomy.bootstrap_bayes(_items(spark, sf_dir), refs, rounds=20, try_reverse=True)
 

@@ -356,3 +356,12 @@ def test_vote_is_the_same_under_any_partitioning(spark):
     assert a == b and all(t == f"s{q}" for q, k, t, c in a if k == 2)
     cut = {r["query_id"]: r["lineage"] for r in taxonomy.cut_by_confidence(taxonomy.bootstrap_vote(qs, refs, rounds=10), 0.8).collect()}
     assert cut[3] == ["d", "g1", "s3"]
+
+
+def test_bootstrap_bayes_knows_its_references_on_both_strands(spark):
+    rng = random.Random(8)
+    seqs = ["".join(rng.choice("ACGT") for _ in range(300)) for _ in range(4)]
+    refs = spark.createDataFrame([(i, s, f"g{i // 2}", ["d", f"g{i // 2}"]) for i, s in enumerate(seqs)], "ref_id long, seq string, genus string, lineage array<string>")
+    turned = dna.reverse_complement_text(seqs[3])
+    out = taxonomy.bootstrap_bayes(spark.createDataFrame([(0, seqs[0]), (3, turned)], "query_id long, seq string"), refs, rounds=20, try_reverse=True)
+    assert sorted(map(tuple, out.collect())) == [(0, 0, "d", 1.0), (0, 1, "g0", 1.0), (3, 0, "d", 1.0), (3, 1, "g1", 1.0)]
