@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from taxaspark.llm import decontaminate, exact_dedup, hard_negatives, html_extract, language_crf, mixing, near_dedup, pii, toxicity, url_filter, warc_bundles
+from taxaspark.llm import decontaminate, exact_dedup, hard_negatives, html_extract, language_crf, mixing, near_dedup, pii, quality_cnn, source_divergence, toxicity, url_filter, warc_bundles
 from taxaspark.llm.common import read
 
 
@@ -52,13 +52,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(read(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(hard_negatives.quantised(read(spark, sf_dir, "embeddings")))
 
 
+def op13_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality_cnn.score(docs, quality_cnn.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op7_mixing": mixing.ORACLE_SQL, "op12_hard_negatives": hard_negatives.ORACLE_SQL}
+    return {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op7_mixing": mixing.ORACLE_SQL, "op11_source_divergence": source_divergence.ORACLE_SQL, "op12_hard_negatives": hard_negatives.ORACLE_SQL}
