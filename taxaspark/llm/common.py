@@ -83,12 +83,13 @@ def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "in
     return big.join(F.broadcast(small) if fits(small, max_rows) else small, on, how)
 
 
-def attach(rows: DataFrame, groups: DataFrame, key: str, salt: Column, size: str, hot: int = 2_000, salts: int = 64) -> DataFrame:
+def attach(rows: DataFrame, groups: DataFrame, key: str, salt: Column, size: str, hot: int = 2_000, salts: int = 64, how: str = "inner") -> DataFrame:
     """Give each of ``rows`` the columns of its group, spreading hot groups over many partitions.
 
     ``groups`` has one row per ``key`` with the group's row count in ``size``. Groups of more than
     ``hot`` rows are repeated once per salt, and the rows are dealt by (key, salt), so a group that
-    holds a third of all rows is read by ``salts`` tasks. No row is dropped; each key matches once.
+    holds a third of all rows is read by ``salts`` tasks. Each key matches once; ``how="left"``
+    keeps rows without a group.
     """
     wide = groups.withColumn("_salt", F.explode(F.when(F.col(size) > hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
     wide = wide.withColumn("_hot", F.col(size) > hot)
@@ -97,7 +98,7 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, salt: Column, size: str
     # At most rows/hot keys can be hot; the join below falls back to a shuffle if even those are many.
     dealt = join_checked(dealt, hot_keys, [key], "left", 200_000)
     dealt = dealt.withColumn("_salt", F.when(F.col("_hot"), F.col("_salt")).otherwise(0)).drop("_hot")
-    return dealt.join(wide.drop("_hot"), [key, "_salt"]).drop("_salt")
+    return dealt.join(wide.drop("_hot"), [key, "_salt"], how).drop("_salt")
 
 
 def fresh(df: DataFrame, name: str) -> str:
