@@ -115,28 +115,30 @@ def _dense(postings: DataFrame, groups: DataFrame) -> DataFrame:
     per = terms_of.join(size, "lang")
     rows = postings.join(F.broadcast(per) if fits(per, 100_000) else per, "lang")
     tile = F.pmod(F.xxhash64("term"), F.ceil(F.col("_terms") / DENSE))
+    sizes = rows.withColumn("tile", tile).groupBy("lang", "tile").agg(F.count_distinct("term").alias("terms"))
     blocks = F.ceil(F.col("_groups") / BLOCK)
     own = F.floor(F.col("g") / BLOCK)
     rows = rows.withColumn("tile", tile).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    rows = rows.select("lang", "term", "tile", "g", "p", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    rows = rows.select("lang", "term", "tile", "g", "p", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.lit(0).cast("long").alias("terms"))
     # Absent terms have the group's share of a count of 0: one row with a null term per group, tile and block pair.
-    absent = groups.join(per, "lang").withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_terms") / DENSE) - 1)))
+    absent = groups.join(per, "lang").join(sizes, "lang")
     absent = absent.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    absent = absent.select("lang", F.lit(None).cast("string").alias("term"), "tile", "g", F.col("z").alias("p"), "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    absent = absent.select("lang", F.lit(None).cast("string").alias("term"), "tile", "g", F.col("z").alias("p"), "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "terms")
 
     def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         lang, _, i, j = key
         there = pdf["term"].notna()
         zero, posts = pdf[~there], pdf[there]
         code, names = pd.factorize(posts["term"])
+        rest = int(zero["terms"].iloc[0]) - len(names)  # terms of the tile in neither block
 
         def matrix(block: int) -> tuple[np.ndarray, np.ndarray]:
-            z = zero[zero["own"] == block].sort_values("g")
-            ids = z["g"].to_numpy()
+            z = zero[zero["own"] == block].drop_duplicates("g").sort_values("g")
+            ids, absent = z["g"].to_numpy(), z["p"].to_numpy(np.int64)
             m = np.repeat(z["p"].to_numpy(np.int64)[:, None], len(names), 1)
             mine = (posts["own"] == block).to_numpy()
             m[np.searchsorted(ids, posts["g"].to_numpy()[mine]), code[mine]] = posts["p"].to_numpy(np.int64)[mine]
-            return ids, m
+            return ids, np.concatenate([m, absent[:, None]], 1)
 
         a, left = matrix(i)
         b, right = (a, left) if i == j else matrix(j)
@@ -145,7 +147,8 @@ def _dense(postings: DataFrame, groups: DataFrame) -> DataFrame:
             start = k + 1 if i == j else 0
             g.append(np.full(len(b) - start, a[k]))
             o.append(b[start:])
-            value.append(np.abs(right[start:] - row).sum(1))
+            apart = np.abs(right[start:] - row)
+            value.append(apart[:, :-1].sum(1) + rest * apart[:, -1])
         if not g:
             return pd.DataFrame({"lang": [], "g": [], "o": [], "value": []})
         return _mirrored(lang, np.concatenate(g), np.concatenate(o), np.concatenate(value))

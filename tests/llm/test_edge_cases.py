@@ -4,14 +4,15 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from taxaspark.llm import decontaminate, exact_dedup, html_extract, language_crf, mixing, near_dedup, pii, toxicity, url_filter, warc_bundles
+from taxaspark.llm import decontaminate, exact_dedup, hard_negatives, html_extract, language_crf, mixing, near_dedup, pii, quality_cnn, source_divergence, toxicity, url_filter, warc_bundles
 
 CLASH = ["_id", "_sha", "_k", "_n", "_kept", "_h", "_key", "_text", "_stays", "_s", "_b", "_q", "_salt", "key", "h", "node", "size", "k", "_said", "_Key"]
-LONG = "word " * 200_000  # 1 MB
+LONG = " ".join(f"w{i * 7919 % 150_000}" for i in range(150_000))  # 1 MB of varied words
 TEXTS = [(1, None), (2, ""), (3, " \n"), (4, "same text of six words here"), (5, "same text of six words here"), (5, "same text of six words here"), (None, "same text of six words here"), (None, None), (-(1 << 62), "another text with some other words"), (6, LONG), (7, "été 日本語 текст")]
 
 
 def table(spark, rows, clash=CLASH):
+    clash = [c for c in clash if c != "_Key"]  # beside _key it can't be selected by name
     full = [(i, t, "en", "src", len(t or ""), *range(len(clash))) for i, t in rows]
     return spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` long" for c in clash))
 
@@ -50,7 +51,7 @@ def test_stages(spark, inputs, name, stage):
 
 def operators():
     docs = lambda f: lambda spark, rows: f(table(spark, rows))
-    pages = lambda f: lambda spark, rows: f(spark, table(spark, rows).select(F.col("doc_id").alias("page_id"), F.concat(F.lit("http://h/"), F.col("doc_id").cast("string")).alias("url"), F.col("text").alias("html"), *[f"`{c}`" for c in CLASH]))
+    pages = lambda f: lambda spark, rows: f(spark, table(spark, rows).select(F.col("doc_id").alias("page_id"), F.concat(F.lit("http://h/"), F.col("doc_id").cast("string")).alias("url"), F.col("text").alias("html"), *[f"`{c}`" for c in CLASH if c != "_Key"]))
     bench = lambda d: d.sparkSession.createDataFrame([(1, "same text of six words here")], "item_id long, text string")
     labels = lambda d: d.sparkSession.createDataFrame([(i, int(i < 5)) for i in range(9)], "doc_id long, toxic int")
     return {
@@ -63,6 +64,9 @@ def operators():
         "mixing": (docs(mixing.mix), 1),
         "pii": (docs(pii.replace), 1),
         "language": (docs(lambda d: language_crf.identify(d, language_crf.fit(d))), 1),
+        "quality": (docs(lambda d: quality_cnn.score(d, quality_cnn.fit(d, labels(d).selectExpr("doc_id", "toxic AS quality"), steps=5))), 1),
+        "divergence": (docs(source_divergence.audit), 0),
+        "negatives": (docs(lambda d: hard_negatives.mine(hard_negatives.quantised(d.selectExpr("doc_id AS vec_id", "array(1.0D) AS embedding", "1 AS label", "_k", "_n")))), 0),
         "decontaminate": (docs(lambda d: decontaminate.contaminated(d, bench(d))), 4),
     }
 

@@ -93,3 +93,54 @@ def test_every_labelled_row_is_counted(spark, docs):
     rows = [(i, f"word{i} word{i}") for i in range(60)]
     fitted = T.fit(docs(rows), spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int"))
     assert fitted.table.count() == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(60))
+
+
+def test_ratios_are_those_of_a_plain_class_conditional_model():
+    import math
+
+    texts, labels = ["good day sun", "bad day bad", "bad scum day", "sun day"], np.array([0, 1, 1, 0])
+    stands = lambda w, y: sum(w in t.split() for t, z in zip(texts, labels, strict=True) if z == y)
+    kinds = sorted({w for t in texts for w in t.split()})
+    total, seen = [sum(stands(w, y) for w in kinds) for y in (0, 1)], [sum(stands(w, y) > 0 for w in kinds) for y in (0, 1)]
+    sizes = T.Sizes(total[1], total[0], seen[1], seen[0], len(kinds))
+
+    def p(w, y, spelled):
+        shared = max(stands(w, 0) + stands(w, 1) - 1, 0) / sum(total) + len(kinds) / sum(total) * spelled
+        return max(stands(w, y) - 1, 0) / total[y] + seen[y] / total[y] * shared
+
+    for w, a, b in (("bad", 0.01, 0.02), ("day", 0.1, 0.1), ("new", 0.001, 0.0005)):
+        got = T._np_ratio(sizes, np.array([stands(w, 1)]), np.array([stands(w, 0)]), np.array([a]), np.array([b]))[0]
+        assert abs(got - math.log(p(w, 1, a) / p(w, 0, b))) < 1e-12
+
+
+def test_own_counts_are_taken_out():
+    import pyarrow as pa
+
+    texts, labels = ["one two two", "three one", "four two"], np.array([True, False, True])
+
+    def counted(which):
+        both = [np.zeros(T.SYMBOLS**3), np.zeros(T.SYMBOLS**3)]
+        for i in which:
+            np.add.at(both[0 if labels[i] else 1], T.grams(texts[i], 3), 1)
+        return both
+
+    every = counted(range(3))
+    backoff = T.shared_backoff(every[0] + every[1], 3)
+    words = T.read_words(pa.array(texts))
+    a, b = T.CharacterCounts(tuple(every), backoff, 3).without_own(words, labels)
+    for i in range(3):
+        rest = counted([k for k in range(3) if k != i])
+        logs = [np.log(T.class_model(c, backoff)) for c in rest]
+        for k in np.flatnonzero(words.owner == i):
+            codes = T.word_codes([words.spelled[words.code[k]]], 3)[0]
+            assert abs(a[k] - logs[0][codes].sum()) < 1e-9 and abs(b[k] - logs[1][codes].sum()) < 1e-9
+
+
+def test_held_out_area(spark):
+    from taxaspark.llm import queries
+
+    sf = "/root/testdata/sf0.1"
+    got = queries.op3_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out AND toxic IS NOT NULL").toPandas()
+    order, y = got["score"].rank().to_numpy(), got["toxic"].to_numpy()
+    area = (order[y == 1].mean() - order[y == 0].mean()) / len(y) + 0.5
+    assert area > 0.95 and got["predicted"][y == 1].mean() >= 0.8 and got["predicted"][y == 0].mean() < 0.02
