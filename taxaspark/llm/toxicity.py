@@ -1,10 +1,10 @@
 """Toxicity by class-conditional Kneser-Ney models of expressions and of characters.
 
-Expressions are the words and word pairs of the texts, in any alphabet (scripts written without
-spaces count by the character). A word's probability in a class is the discounted number of the class's texts
+Expressions are the words of the texts, in any alphabet (scripts written without
+spaces count by the character), and on demand word pairs. A word's probability in a class is the discounted number of the class's texts
 it stands in, interpolated with a back-off that both classes share: the discounted number of all texts it
 stands in, its continuation count, interpolated with the class's model of characters. So an
-expression seen in one text only says no more than its spelling. Pairs are discounted alike and say
+expression seen in one text only says no more than its spelling and needs no look-up. Pairs are discounted alike and say
 nothing below two texts. The counts are grouped over all labelled rows into a table that grows with the corpus;
 while it is small it is broadcast, a larger one is joined by shuffle.
 
@@ -277,10 +277,13 @@ class ToxicityModel:
             out[there, 2] = sum(np.where(size > k, high[np.minimum(first + k, len(high) - 1)], 0) for k in range(3)) / np.minimum(size, 3)
             for k, margin in enumerate(MARGINS):
                 out[:, 3 + k] = np.bincount(owner, count * np.maximum(ratio - margin, 0), texts)
-        owner, key, count, _ = _distinct(*_pairs(words))
-        toxic, plain = _without(*self.look_up(key), owner, label)
-        ratio = _np_ratio(self.pairs, toxic, plain, np.zeros(len(key)), np.zeros(len(key))) if len(key) and self.pairs.kinds else np.zeros(len(key))
-        out[:, -1] = np.bincount(owner, np.where(toxic + plain >= 2, count * np.maximum(np.nan_to_num(ratio, nan=0.0, posinf=0.0, neginf=0.0) - MARGINS[1], 0), 0), texts)
+        if self.pairs.kinds:
+            owner, key, count, _ = _distinct(*_pairs(words))
+            toxic, plain = _without(*self.look_up(key), owner, label)
+            known = toxic + plain >= 2
+            none = np.zeros(np.count_nonzero(known))
+            ratio = _np_ratio(self.pairs, toxic[known], plain[known], none, none)
+            out[:, -1] = np.bincount(owner[known], count[known] * np.maximum(ratio - MARGINS[1], 0), texts)
         return out
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -325,8 +328,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, max_label_rows: int) -> DataFr
     return join_checked(rows, labels, ["doc_id"], "inner", max_label_rows)
 
 
-def count_expressions(rows: DataFrame, flush: int = 400_000) -> DataFrame:
-    """key, pair, toxic, plain: in how many toxic and other ``rows`` (text, _y) each expression stands; pairs from two rows on."""
+def count_expressions(rows: DataFrame, pairs: bool = False, flush: int = 400_000) -> DataFrame:
+    """key, pair, toxic, plain: in how many toxic and other ``rows`` (text, _y) each word stands, and with ``pairs`` each pair of two rows at least."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -339,8 +342,11 @@ def count_expressions(rows: DataFrame, flush: int = 400_000) -> DataFrame:
         for b in slices(batches):
             words = read_words(b.column("text"))
             y = b.column("_y").to_numpy(zero_copy_only=False) > 0
-            for pair, (owner, key) in ((False, (words.owner, words.hashes[words.code].view(np.int64))), (True, _pairs(words))):
-                owner, key, _, _ = _distinct(owner, key)
+            owner, code, _, _ = _distinct(words.owner, words.code)
+            kinds = [(False, owner, words.hashes[code].view(np.int64))]
+            if pairs:
+                kinds.append((True, *_distinct(*_pairs(words))[:2]))
+            for pair, owner, key in kinds:
                 held.append((key, np.full(len(key), pair), y[owner]))
                 n += len(key)
             if n > flush:
@@ -368,13 +374,14 @@ def joined_evidence(rows: DataFrame, table: DataFrame, model: ToxicityModel) ->
             words = read_words(b.column("text"))
             a, c = sent.value.spelling(words)
             owner, code, count, _ = _distinct(words.owner, words.code)
-            owner2, key2, count2, _ = _distinct(*_pairs(words))
+            owner2, key2, count2, _ = _distinct(*_pairs(words)) if sent.value.pairs.kinds else (np.zeros(0, np.int64),) * 4
             both = np.concatenate([owner, owner2])
             y = b.column("_y").cast(pa.int64()).to_numpy(zero_copy_only=False)[both] if label else np.zeros(len(both), np.int64)
             none = np.zeros(len(owner2))
             cols = [np.concatenate(x) for x in ((words.hashes[code].view(np.int64), key2), (np.zeros(len(owner), bool), np.ones(len(owner2), bool)), (count, count2), (np.exp(a[code]), none), (np.exp(c[code]), none))]
             yield pa.RecordBatch.from_arrays([b.column("_k").take(pa.array(both)), *map(pa.array, cols), pa.array(y)], ["_k", "key", "two", "count", "a", "b", "y"])
 
+    # Two texts with one hash and length count as one.
     each = rows.mapInArrow(explode, "_k string, key long, two boolean, count long, a double, b double, y long").dropDuplicates(["_k", "key", "two"])
     met = attach(each, table.drop("pair").withColumn("_n", F.col("toxic") + F.col("plain")), "key", F.xxhash64("_k"), "_n", how="left")
     own = F.lit(int(label))
@@ -460,16 +467,17 @@ class _Fitted:
 
     model: ToxicityModel
     table: DataFrame
+    telling: DataFrame | None = None  # the rows that say more than the spelling
 
 
-def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, calibration_rows: int = 20_000, max_label_rows: int = 5_000_000, max_expressions: int = 2_000_000) -> _Fitted:
+def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, calibration_rows: int = 20_000, max_label_rows: int = 5_000_000, max_expressions: int = 2_000_000, pairs: bool = False) -> _Fitted:
     """Fit on labelled rows that are not held out.
 
     All of them are counted, whole. At most about ``calibration_rows`` of them (by a hash of the id,
     half of them toxic if there are enough) fit the logistic curve, each without its own counts; the rarer class
     weighs by the root of the ratio of the classes. Labels are read from ``labels.toxic``;
     null labels, null ids and unlabelled rows are skipped, and a document labelled twice is toxic
-    if any label says so. With no usable labels every score is 0.5 or the label rate.
+    if any label says so. ``pairs`` counts word pairs as expressions, too. With no usable labels every score is 0.5 or the label rate.
     """
     rows = _labelled(docs, labels, max_label_rows)
     size = SYMBOLS**order
@@ -495,13 +503,14 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, calibration_rows
     backoff = shared_backoff(toxic + plain, order)
     logs = tuple(np.log(class_model(c, backoff)).astype(np.float32) for c in (toxic, plain))
 
-    table = cut(count_expressions(rows))
+    table = cut(count_expressions(rows, pairs))
     seen = lambda c: F.count(F.when(F.col(c) > 0, 1))
     sums = {r["pair"]: Sizes(*map(float, r[1:])) for r in table.groupBy("pair").agg(F.sum("toxic"), F.sum("plain"), seen("toxic"), seen("plain"), F.count("*")).collect()}
     wide = SAID + 6
     model = ToxicityModel(logs, np.zeros(wide + 1), (np.zeros(wide), np.ones(wide)), order, sums.get(False, Sizes()), sums.get(True, Sizes()))
-    if fits(table, max_expressions):
-        small = table.select("key", "toxic", "plain").toArrow().sort_by("key")
+    telling = table.where(F.col("toxic") + F.col("plain") >= 2)
+    if fits(telling, max_expressions):
+        small = telling.select("key", "toxic", "plain").toArrow().sort_by("key")
         model.keys, model.toxic, model.plain = (small.column(c).to_numpy() for c in ("key", "toxic", "plain"))
 
     numbers = {r["y"]: r["n"] for r in rows.groupBy((F.col("_y") > 0).alias("y")).agg(F.count("*").alias("n")).collect()}
@@ -516,7 +525,7 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, calibration_rows
             x = _measured(fitted, b, y, counts)
             yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), pa.array(y)], ["x", "y"])
 
-    seen = with_said(keep.select("text", (F.col("_y") > 0).cast("int").alias("_y")), table, model).mapInArrow(measure, "x array<double>, y boolean").toPandas()
+    seen = with_said(keep.select("text", (F.col("_y") > 0).cast("int").alias("_y")), telling, model).mapInArrow(measure, "x array<double>, y boolean").toPandas()
     y = seen["y"].to_numpy().astype(float)
     if len(y) and 0 < y.sum() < len(y):
         x = np.stack(seen["x"].to_numpy())
@@ -529,7 +538,7 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, calibration_rows
         model.curve[0] += 0.5 * np.log(numbers[False] / numbers[True]) - np.log(share[True] / share[False])
     elif len(y):
         model.curve[0] = -2.0 if y.sum() == 0 else 2.0
-    return _Fitted(model, table)
+    return _Fitted(model, table, telling)
 
 
 def score(docs: DataFrame, fitted: _Fitted, threshold: float = 0.7) -> DataFrame:
@@ -548,7 +557,7 @@ def score(docs: DataFrame, fitted: _Fitted, threshold: float = 0.7) -> DataFrame
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32)), pa.array(x[:, 0]), pa.array(np.rint(np.where(np.any(x != 0, 1), np.exp(x[:, -1]), 0)).astype(np.int64))], ["doc_id", "held_out", "score", "predicted", "log_ratio", "n_words"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out(F.col("doc_id")).alias("held_out"))
-    return with_said(rows, fitted.table, fitted.model).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, log_ratio double, n_words long")
+    return with_said(rows, fitted.telling, fitted.model).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, log_ratio double, n_words long")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
@@ -566,4 +575,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **opt
             yield pa.RecordBatch.from_struct_array(b.column("row").filter(pa.array(s < threshold)))
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    return with_said(rows, fitted.table, fitted.model).mapInArrow(run, docs.schema)
+    return with_said(rows, fitted.telling, fitted.model).mapInArrow(run, docs.schema)

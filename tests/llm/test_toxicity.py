@@ -144,3 +144,19 @@ def test_held_out_area(spark):
     order, y = got["score"].rank().to_numpy(), got["toxic"].to_numpy()
     area = (order[y == 1].mean() - order[y == 0].mean()) / len(y) + 0.5
     assert area > 0.95 and got["predicted"][y == 1].mean() >= 0.8 and got["predicted"][y == 0].mean() < 0.02
+
+
+def test_pairs_tell_where_words_do_not(spark, docs):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(600):
+        words = [rng.choice(["red", "blue", "green", "tall", "thin", "old"]) for _ in range(20)]
+        bad = i % 3 == 0
+        words[4:6] = ["left", "right"] if bad else ["right", "left"]
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(bad)))
+    truth = {i: y for i, _, y in labels}
+    d, known = docs(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    for most in (2_000_000, 0):
+        got = [r for r in T.score(d, T.fit(d, known, pairs=True, max_expressions=most)).collect() if r["held_out"]]
+        assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in got]) > 0.95
