@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from taxaspark.functions import dna, kmers
 from taxaspark.functions.expr import let
 from taxaspark.operators.joins import if_small, settle
+from taxaspark.operators.tables import numbered_in_order
 
 
 def pair_mates(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -165,10 +166,14 @@ def _overlap(a: Column, b: Column, min_overlap: int, max_mismatch: int) -> Colum
     most = F.least(F.length(a), F.length(b))
     sizes = F.when(most >= min_overlap, F.sequence(most, F.lit(min_overlap), F.lit(-1))).otherwise(F.array().cast("array<int>"))
     tail = lambda n: F.substr(a, F.length(a) - n + 1, n)
+    if max_mismatch == 0:
+        # The first place where b's beginning stands in a has the longest overlap, if a goes on as b does.
+        start = F.instr(a, F.substr(b, F.lit(1), F.lit(min_overlap)))
+        others = F.get(F.filter(sizes, lambda n: F.startswith(b, tail(n))), F.lit(0))
+        return F.when((start == 0) | (most < min_overlap), F.lit(None)).when(F.startswith(b, F.substr(a, start)), F.length(a) - start + 1).otherwise(others)
     head = lambda n: F.substr(b, F.lit(1), n)
     differ = lambda n: F.size(F.filter(F.sequence(F.lit(1), n), lambda i: F.substr(tail(n), i, F.lit(1)) != F.substr(head(n), i, F.lit(1))))
-    fits = (lambda n: tail(n) == head(n)) if max_mismatch == 0 else (lambda n: differ(n) <= max_mismatch)
-    return F.get(F.filter(sizes, fits), F.lit(0))
+    return F.get(F.filter(sizes, lambda n: differ(n) <= max_mismatch), F.lit(0))
 
 
 def dereplicate(reads: DataFrame, keys: list[str], seq: str) -> DataFrame:
@@ -178,39 +183,33 @@ def dereplicate(reads: DataFrame, keys: list[str], seq: str) -> DataFrame:
 def sequence_table(counts: DataFrame) -> DataFrame:
     """(asv_no, asv_id, seq, total): sequences numbered by falling total, then by sequence.
 
-    The numbering sorts by range first, so no task holds all sequences: offsets of the ranges come
-    from their counts.
+    Sequences are dealt by ranges of that order and numbered range by range, so no task holds all of them, also where
+    nearly all have the same total.
     """
-    totals = counts.groupBy("seq").agg(F.sum("n").alias("total"))
-    levels = totals.groupBy("total").agg(F.count("*").alias("m"))
-    start = Window.orderBy(F.desc("total")).rowsBetween(Window.unboundedPreceding, -1)
-    levels = levels.withColumn("_base", F.coalesce(F.sum("m").over(start), F.lit(0))).drop("m")
-    within = Window.partitionBy("total").orderBy("seq")
-    rows = totals.withColumn("_k", F.row_number().over(within)).join(levels, "total")
-    return rows.select((F.col("_base") + F.col("_k")).alias("asv_no"), F.concat(F.lit("ASV_"), (F.col("_base") + F.col("_k")).cast("string")).alias("asv_id"), "seq", "total")
+    totals = counts.groupBy("seq").agg(F.sum("n").alias("total")).withColumn("_less", -F.col("total"))
+    rows = numbered_in_order(totals, ["_less", "seq"], "asv_no")
+    return rows.select("asv_no", F.concat(F.lit("ASV_"), F.col("asv_no").cast("string")).alias("asv_id"), "seq", "total")
 
 
 def bimeras(counts: DataFrame, min_fold: float = 4, min_fraction: float = 0.9, ignore_negatives: int = 1) -> DataFrame:
     """(seq, n_samples, n_flagged, is_bimera): two-parent chimeras by consensus over the samples.
 
     In a sample a sequence is flagged if a prefix of one and a suffix of another sequence, both at
-    least ``min_fold`` times as abundant, together cover it. Sequences meet on their ends at every cut, and
-    of those with one end the most abundant decides, so no pairs are made.
+    least ``min_fold`` times as abundant, together cover it. Sequences meet on hashes of their ends (96 bits and the place) at every cut,
+    and of those with one end the most abundant decides, so no pairs are made and no ends written out.
     """
-    rows = counts.select("sample", "seq", "n", F.length("seq").alias("len")).where("len >= 4")
-    half = lambda c, i: F.substr(c, F.lit(1), i)
-    child = rows.withColumn("_cut", F.explode(F.sequence(F.lit(1), F.col("len") - 1)))
-    child = child.select("sample", "seq", "n", "_cut", half(F.col("seq"), F.col("_cut")).alias("_left"), F.substr("seq", F.col("_cut") + 1).alias("_right"))
-    prefixes = rows.select("sample", F.col("seq").alias("p"), F.col("n").alias("pn"), F.explode(F.sequence(F.lit(1), F.col("len") - 1)).alias("_cut"))
-    left = prefixes.select("sample", half(F.col("p"), F.col("_cut")).alias("_left"), "p", "pn")
-    right = prefixes.select("sample", F.substr("p", F.col("_cut") + 1).alias("_right"), F.col("p").alias("q"), F.col("pn").alias("qn"))
-    # Most abundant other sequence with each end: two are enough to be sure that one isn't the child itself.
-    top = lambda t, k, s, m: t.groupBy("sample", k).agg(F.max(F.struct(F.col(m), F.col(s))).alias("best"))
-    lbest, rbest = top(left, "_left", "p", "pn"), top(right, "_right", "q", "qn")
-    met = child.join(lbest.withColumnRenamed("best", "_lb"), ["sample", "_left"]).join(rbest.withColumnRenamed("best", "_rb"), ["sample", "_right"])
-    good = (F.col("_lb.pn") >= min_fold * F.col("n")) & (F.col("_rb.qn") >= min_fold * F.col("n")) & (F.col("_lb.p") != F.col("seq")) & (F.col("_rb.q") != F.col("seq"))
-    flagged = met.where(good).select("sample", "seq").distinct().withColumn("flag", F.lit(1))
-    votes = rows.select("sample", "seq").join(flagged, ["sample", "seq"], "left").groupBy("seq").agg(F.count("*").alias("n_samples"), F.coalesce(F.sum("flag"), F.lit(0)).alias("n_flagged"))
+    if min_fold <= 1:
+        raise ValueError("a parent must be more abundant than its child")
+    rows = counts.select("sample", "seq", "n", F.length("seq").alias("len"), F.xxhash64("seq").alias("_id")).where("len >= 4")
+    cuts = rows.withColumn("_cut", F.explode(F.sequence(F.lit(1), F.col("len") - 1)))
+    key = lambda end: F.struct(F.xxhash64(end).alias("a"), F.crc32(end.cast("binary")).alias("b"), F.length(end).alias("n"))
+    ends = cuts.select("sample", "_id", "n", "_cut", key(F.substr("seq", F.lit(1), F.col("_cut"))).alias("_left"), key(F.substr("seq", F.col("_cut") + 1)).alias("_right"))
+    # Most abundant sequence with each end; with a fold above 1 it can't be the child itself if it is abundant enough.
+    top = lambda k: ends.groupBy("sample", k).agg(F.max("n").alias(f"{k}_n"))
+    met = ends.join(top("_left"), ["sample", "_left"]).where(F.col("_left_n") >= min_fold * F.col("n"))
+    met = met.join(top("_right"), ["sample", "_right"]).where(F.col("_right_n") >= min_fold * F.col("n"))
+    flagged = met.select("sample", "_id").distinct().withColumn("flag", F.lit(1))
+    votes = rows.select("sample", "seq", "_id").join(flagged, ["sample", "_id"], "left").groupBy("seq").agg(F.count("*").alias("n_samples"), F.coalesce(F.sum("flag"), F.lit(0)).alias("n_flagged"))
     vote = (F.col("n_flagged") == F.col("n_samples")) | ((F.col("n_flagged") > 0) & (F.col("n_flagged") >= (F.col("n_samples") - ignore_negatives) * min_fraction))
     return votes.withColumn("is_bimera", vote)
 
