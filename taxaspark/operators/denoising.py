@@ -124,7 +124,7 @@ def _matrix(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
 def _links(rows: DataFrame, centres: DataFrame, table: np.ndarray) -> DataFrame:
     """(sample, uid, n, c, rate): uniques and new centres (sample, c, centre) of their sample that may explain them."""
     lists = centres.groupBy("sample").agg(F.collect_list(F.struct("c", "centre")).alias("new"), F.first("reads").alias("reads"))
-    met = rows.select("sample", "uid", "seq", "n", "quals").join(if_small(lists), "sample")
+    met = rows.select("sample", "uid", "seq", "n", "quals").join(lists, "sample")  # ``centres`` is a table, whose size Spark knows
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -151,7 +151,7 @@ def _links(rows: DataFrame, centres: DataFrame, table: np.ndarray) -> DataFrame:
 
 def _assign(links: DataFrame, sizes: DataFrame) -> DataFrame:
     """(sample, uid, n, c, expected): each unique's centre, the one that expects most of it; ``sizes`` (sample, c, size)."""
-    scored = links.join(if_small(sizes), ["sample", "c"]).withColumn("expected", F.col("rate") + F.log("size"))
+    scored = links.join(sizes, ["sample", "c"]).withColumn("expected", F.col("rate") + F.log("size"))
     best = scored.groupBy("sample", "uid").agg(F.max(F.struct("expected", "rate", "c", "n")).alias("b"))
     return best.select("sample", "uid", "b.n", "b.c", "b.expected", "b.rate")
 
@@ -170,7 +170,7 @@ def partition(rows: DataFrame, rates: np.ndarray, omega: float = 1e-40, prior: D
     known = known.join(if_small(totals), "sample")
     first = rows.groupBy("sample").agg(F.max_by(F.struct("uid", "seq", "n"), F.struct("n", "uid")).alias("f")).select("sample", F.col("f.uid").alias("c"), F.col("f.seq").alias("centre"), F.col("f.n").alias("size"))
     new = settle(first.join(totals, "sample").drop("kinds"))
-    centres, links, sizes = new.select("sample", "c"), None, new.select("sample", "c", F.col("reads").alias("size"))
+    links, sizes = None, new.select("sample", "c", F.col("reads").alias("size"))
 
     @F.pandas_udf("double")
     def significance(n: pd.Series, expected: pd.Series, seen: pd.Series) -> pd.Series:
@@ -199,8 +199,8 @@ def partition(rows: DataFrame, rates: np.ndarray, omega: float = 1e-40, prior: D
         links = more if links is None else links.unionByName(more)
         for _ in range(2):
             assigned = settle(_assign(links, sizes))
-            sizes = settle(centres.join(assigned.groupBy("sample", "c").agg(F.sum("n").alias("size")), ["sample", "c"], "left").na.fill(1, ["size"]))
-        open_ = known.join(assigned.select("sample", "uid", "expected"), ["sample", "uid"], "left").join(centres.select("sample", F.col("c").alias("uid")), ["sample", "uid"], "left_anti")
+            sizes = settle(sizes.drop("size").join(assigned.groupBy("sample", "c").agg(F.sum("n").alias("size")), ["sample", "c"], "left").na.fill(1, ["size"]))
+        open_ = known.join(assigned.select("sample", "uid", "expected"), ["sample", "uid"], "left").join(sizes.select("sample", F.col("c").alias("uid")), ["sample", "uid"], "left_anti")
         open_ = open_.withColumn("prior", F.coalesce("prior", F.lit(False))).where("n > 1 OR prior")
         level = F.when(F.col("prior"), math.log(prior_omega)).otherwise(F.lit(math.log(omega)) - F.log("kinds"))
         open_ = open_.withColumn("level", level).withColumn("p", significance("n", "expected", ~F.col("prior"))).where("p < level")
@@ -209,8 +209,7 @@ def partition(rows: DataFrame, rates: np.ndarray, omega: float = 1e-40, prior: D
         new = settle(top.groupBy("sample").applyInPandas(chosen, "sample string, c long, centre string, size long, reads long"))
         if not new.limit(1).count():
             break
-        centres = settle(centres.unionByName(new.select("sample", "c")))
-        sizes = settle(sizes.unionByName(new.select("sample", "c", "size")))
+        sizes = sizes.unionByName(new.select("sample", "c", "size"))
     return settle(rows.select("sample", "uid", "n").join(assigned.drop("n"), ["sample", "uid"], "left"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaspark.functions import dna, kmers
-from taxaspark.operators import reads, tables, taxonomy
+from taxaspark.operators import alignment, denoising, profiling, reads, tables, taxonomy
 from taxaspark.plans import bindings as b
 from taxaspark.plans.queries import query
 
@@ -247,3 +247,63 @@ def relabel_by_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = b.seqs(spark, sf_dir).withColumn("asv_id", F.concat(F.lit("ASV_"), F.col("doc_id").cast("string")))
     counts = s.select("sample", "asv_id", F.length("seq").cast("long").alias("n"))
     return tables.by_sequence(counts, s.where("doc_id % 3 > 0")).withColumn("seq", F.md5("seq"))
+
+
+@query()
+def primer_gapped_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forward primer with a fifth of its bases wrong, gaps included, cut off at the end or whole, in all sequences as reads of 100 bases; the tests compare with a plain programme."""
+    rows = _tiles(spark, sf_dir, 100).withColumn("at", alignment.primer_span(F.col("seq"), FWD, 0.2, 3)).where("at IS NOT NULL")
+    return rows.select("doc_id", "tile", "at.start", "at.stop", "at.errors")
+
+
+@query()
+def merge_pairs_gapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mates merged by alignment with up to one mismatch or gap; the tests compare with a plain programme."""
+    return alignment.merge_pairs_aligned(_pairs(spark, sf_dir), max_mismatch=1, trim_overhang=True).select("doc_id", "tile", "overlap", "errors", "merged")
+
+
+@query()
+def denoise_error_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sequences as reads of 6 bases, rates learned from them; the tests compare with a plain implementation."""
+    rows = _tiles(spark, sf_dir, 6).where(F.length("seq") == 6).select("sample", "seq", F.translate("seq", "ACGT", "I?5+").alias("qual"))
+    return denoising.denoise_reads(rows, bases=200_000, rounds=1)
+
+
+CALLS_SQL = f"""{b.SUPPLIERS_SQL}, line AS (SELECT year(l_shipdate)::VARCHAR AS sample, 'r' || r_regionkey AS r, 'n' || n_nationkey AS n, 's' || s_suppkey AS s, l_partkey, CASE WHEN l_linenumber = 7 THEN 0 WHEN l_partkey % 3 = 0 THEN 2 ELSE 3 END AS level FROM lineitem JOIN sup ON l_suppkey = s_suppkey)"""
+
+
+def _calls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Lines as reads of their ship year, called by supplier or nation, and their parts as minimizers."""
+    taxa = b.suppliers(spark, sf_dir).select("s_suppkey", F.array(*[F.concat(F.lit(x), F.col(c).cast("string")) for x, c in (("r", "r_regionkey"), ("n", "n_nationkey"), ("s", "s_suppkey"))]).alias("path"))
+    lines = b.table(spark, sf_dir, "lineitem").join(taxa, F.col("l_suppkey") == F.col("s_suppkey")).withColumn("sample", F.year("l_shipdate").cast("string"))
+    level = F.when(F.col("l_linenumber") == 7, 0).when(F.col("l_partkey") % 3 == 0, 2).otherwise(3)
+    return lines.select("sample", F.col("l_orderkey").alias("read_id"), F.slice("path", F.lit(1), level).alias("path")), lines.select("sample", "path", F.col("l_partkey").alias("minimizer"))
+
+
+@query(f"""WITH {CALLS_SQL}, node AS (
+  SELECT sample, 0 AS depth, NULL AS r, NULL AS n, NULL AS s, count(*) FILTER (level > 0) AS clade, 0 AS direct, count(*) AS m, count(DISTINCT l_partkey) AS d FROM line GROUP BY sample
+  UNION ALL SELECT sample, 1, r, NULL, NULL, count(*) FILTER (level >= 1), 0, count(*), count(DISTINCT l_partkey) FROM line GROUP BY sample, r
+  UNION ALL SELECT sample, 2, r, n, NULL, count(*) FILTER (level >= 2), count(*) FILTER (level = 2), count(*), count(DISTINCT l_partkey) FROM line GROUP BY sample, r, n
+  UNION ALL SELECT sample, 3, r, n, s, count(*) FILTER (level >= 3), count(*) FILTER (level = 3), count(*), count(DISTINCT l_partkey) FROM line GROUP BY sample, r, n, s),
+  placed AS (SELECT node.*, a.clade AS rc, c.clade AS nc FROM node LEFT JOIN node a ON a.sample = node.sample AND a.depth = 1 AND a.r = node.r LEFT JOIN node c ON c.sample = node.sample AND c.depth = 2 AND c.n = node.n WHERE node.clade > 0),
+  every AS (SELECT sample, depth, rc, r, nc, n, clade AS sc, s, clade, direct, m, d FROM placed UNION ALL SELECT sample, -1, NULL, NULL, NULL, NULL, NULL, NULL, count(*), count(*), 0, 0 FROM line WHERE level = 0 GROUP BY sample)
+  SELECT sample, row_number() OVER (PARTITION BY sample ORDER BY depth >= 0, rc DESC NULLS FIRST, r NULLS FIRST, nc DESC NULLS FIRST, n NULLS FIRST, CASE WHEN depth = 3 THEN sc END DESC NULLS FIRST, s NULLS FIRST) - 1 AS idx, greatest(depth, 0)::INT AS depth, clade::BIGINT AS clade_reads, direct::BIGINT AS direct_reads, m::BIGINT AS total_minimizers, d::BIGINT AS distinct_minimizers,
+    CASE depth WHEN -1 THEN 'U' WHEN 0 THEN 'R' WHEN 1 THEN 'P' WHEN 2 THEN 'G' ELSE 'S' END AS rank, CASE depth WHEN -1 THEN '0' WHEN 0 THEN '1' ELSE coalesce(s, n, r) END AS taxid FROM every""")
+def report_from_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiling.report(*_calls(spark, sf_dir), ranks=("P", "G", "S"), exact=True).drop("pct", "name")
+
+
+@query()
+def report_of_own_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents classified by the benchmark's k-mers, and the report of these calls with sketches; the tests compare sketches with exact counts."""
+    queries = b.seqs(spark, sf_dir).select("sample", F.col("doc_id").alias("read_id"), "seq")
+    database = taxonomy.kmer_database(_refs(spark, sf_dir), 31, 25)
+    calls = taxonomy.classify_reads(queries, database, 31, 25, 0.02, 1).join(queries.select("read_id", "sample"), "read_id")
+    return profiling.report(calls, profiling.minimizer_hits(queries, database, 31, 25), ranks=("D", "G", "S"))
+
+
+@query()
+def kmer_read_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reads of 50 bases of the benchmark's items; the tests compare with calling every window."""
+    refs = _refs(spark, sf_dir)
+    return profiling.kmer_distribution(refs, taxonomy.kmer_database(refs, 21, 17), 50, 21, 17, 3)
