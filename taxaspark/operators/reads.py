@@ -191,12 +191,12 @@ def sequence_table(counts: DataFrame) -> DataFrame:
     return rows.select("asv_no", F.concat(F.lit("ASV_"), F.col("asv_no").cast("string")).alias("asv_id"), "seq", "total")
 
 
-def bimeras(counts: DataFrame, min_fold: float = 4, min_fraction: float = 0.9, ignore_negatives: int = 1) -> DataFrame:
-    """(seq, n_samples, n_flagged, is_bimera): two-parent chimeras by consensus over the samples.
+def flagged_in_samples(counts: DataFrame, min_fold: float = 4) -> DataFrame:
+    """(sample, seq, n, flag): two-parent chimeras of each sample; ``flag`` is 1 or null.
 
     In a sample a sequence is flagged if a prefix of one and a suffix of another sequence, both at
     least ``min_fold`` times as abundant, together cover it. Sequences meet on hashes of their ends (96 bits and the place) at every cut,
-    and of those with one end the most abundant decides, so no pairs are made and no ends written out.
+    and of those with one end the most abundant decides, so no pairs are made and no ends written out. Sequences of less than four bases are left out.
     """
     if min_fold <= 1:
         raise ValueError("a parent must be more abundant than its child")
@@ -209,11 +209,21 @@ def bimeras(counts: DataFrame, min_fold: float = 4, min_fraction: float = 0.9, i
     met = ends.join(top("_left"), ["sample", "_left"]).where(F.col("_left_n") >= min_fold * F.col("n"))
     met = met.join(top("_right"), ["sample", "_right"]).where(F.col("_right_n") >= min_fold * F.col("n"))
     flagged = met.select("sample", "_id").distinct().withColumn("flag", F.lit(1))
-    votes = rows.select("sample", "seq", "_id").join(flagged, ["sample", "_id"], "left").groupBy("seq").agg(F.count("*").alias("n_samples"), F.coalesce(F.sum("flag"), F.lit(0)).alias("n_flagged"))
+    return rows.select("sample", "seq", "n", "_id").join(flagged, ["sample", "_id"], "left").drop("_id")
+
+
+def consensus(flagged: DataFrame, min_fraction: float = 0.9, ignore_negatives: int = 1) -> DataFrame:
+    """(seq, n_samples, n_flagged, is_bimera) from the samples' flags (sample, seq, flag)."""
+    votes = flagged.groupBy("seq").agg(F.count("*").alias("n_samples"), F.coalesce(F.sum("flag"), F.lit(0)).alias("n_flagged"))
     vote = (F.col("n_flagged") == F.col("n_samples")) | ((F.col("n_flagged") > 0) & (F.col("n_flagged") >= (F.col("n_samples") - ignore_negatives) * min_fraction))
     return votes.withColumn("is_bimera", vote)
 
 
+def bimeras(counts: DataFrame, min_fold: float = 4, min_fraction: float = 0.9, ignore_negatives: int = 1) -> DataFrame:
+    """(seq, n_samples, n_flagged, is_bimera): two-parent chimeras by consensus over the samples."""
+    return consensus(flagged_in_samples(counts, min_fold), min_fraction, ignore_negatives)
+
+
 def contaminant_hits(reads: DataFrame, refs: DataFrame, k: int = 31, distance: int = 0) -> DataFrame:
     """read_id and number of its distinct k-mers that a reference has, on either strand.
 

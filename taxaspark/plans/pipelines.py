@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from taxaspark.functions import counts as fn
 from taxaspark.functions import dna
-from taxaspark.operators import alignment, denoising, profiling, reads, stats, tables, taxonomy, tree, truncation
+from taxaspark.operators import alignment, denoising, mapping, profiling, reads, stats, tables, taxonomy, tree, truncation
 from taxaspark.operators.joins import settle
 from taxaspark.sources import config as cf
 
@@ -185,7 +185,8 @@ def clean_shotgun_reads(pairs: DataFrame, settings: dict, work: str, contaminant
     """Stages before classification, on pairs (sample, pair_id, r1, r2): spike-in, host, adapters and quality.
 
     A stage without references doesn't exist. ``decontamination.host_min_id`` is the identity at which a
-    mate counts as host; with k-mers of 31 that is the share of a read's k-mers that such a read keeps.
+    mate counts as host; with k-mers of 31 that is the share of a read's k-mers that such a read keeps. With
+    ``decontamination.method: alignment`` pairs go whose mates map concordantly at that identity, gaps included.
     """
 
     def kept(name: str, df: DataFrame) -> DataFrame:
@@ -197,7 +198,12 @@ def clean_shotgun_reads(pairs: DataFrame, settings: dict, work: str, contaminant
         now = out["no_spike"] = kept("no_spike", reads.remove_contaminant_pairs(now, contaminants, need="either", distance=1))
     if host is not None:
         identity = settings.get("decontamination", {}).get("host_min_id", 0.95)
-        now = out["no_host"] = kept("no_host", reads.remove_contaminant_pairs(now, host, need="either", min_share=identity**31))
+        if settings.get("decontamination", {}).get("method") == "alignment":
+            rest = mapping.screen_pairs(now.withColumn("pair_id", F.struct("sample", "pair_id")), host, "concordant", min_identity=identity)
+            now = rest.withColumn("pair_id", F.col("pair_id.pair_id"))
+        else:
+            now = reads.remove_contaminant_pairs(now, host, need="either", min_share=identity**31)
+        now = out["no_host"] = kept("no_host", now)
     now = reads.trim_readthrough(now)
     now = out["trimmed"] = kept("trimmed", now.withColumns({r: reads.quality_trim(F.col(r)) for r in ("r1", "r2")}))
     out["clean"] = now.where((F.length("r1.seq") >= min_length) & (F.length("r2.seq") >= min_length))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaspark.functions import dna, kmers
-from taxaspark.operators import alignment, denoising, profiling, reads, tables, taxonomy
+from taxaspark.operators import alignment, denoising, mapping, profiling, reads, tables, taxonomy
 from taxaspark.plans import bindings as b
 from taxaspark.plans.queries import query
 
@@ -307,3 +307,11 @@ def kmer_read_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All reads of 50 bases of the benchmark's items; the tests compare with calling every window."""
     refs = _refs(spark, sf_dir)
     return profiling.kmer_distribution(refs, taxonomy.kmer_database(refs, 21, 17), 50, 21, 17, 3)
+
+
+@query()
+def reads_mapped_gapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sequences as reads of 100 bases, mapped to the benchmark's items with gaps; the tests compare with planted places and plain edit distances."""
+    rows = _tiles(spark, sf_dir, 100).select(F.struct("doc_id", "tile").alias("read_id"), "seq")
+    out = mapping.map_reads(rows, _refs(spark, sf_dir).select("ref_id", "seq"), min_identity=0.9)
+    return out.select("read_id.doc_id", "read_id.tile", "ref_id", "strand", "start", "edits", "identity")
