@@ -3,7 +3,7 @@
 Texts become template tokens: numbers, units and names turn into typed placeholders, everything
 else is lower-cased. Windows of ``window`` template tokens of the documents are hash-joined with
 those of the benchmark; where windows meet, the slots must agree: each name, number or unit of the
-item must always stand for the same value in the document, and the other way round. So a question
+item must always stand for the same value in the document, and two names for two. So a question
 with other numbers or names is caught, and a chance meeting of templates is not.
 
 A text has two readings. In the first only numbers and units are placeholders, so it doesn't depend
@@ -85,10 +85,16 @@ def _starts(t: Column) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda i: (i == 0) | (F.get(t, i) != NAME) | (F.get(t, i - 1) != NAME))
 
 
+def _value(kind: Column, ws: Column) -> Column:
+    """Hash of a slot's kind and words; its last bit tells names (0) from numbers and units (1)."""
+    return F.shiftleft(F.xxhash64(kind, ws), 1) + F.when(kind == NAME, 0).otherwise(1)
+
+
 def _values(t: Column, low: Column) -> Column:
     """For every token of ``one_name(t)`` the hash of the words it stands for, or null if it is no placeholder."""
     ends = let(_starts(t), lambda s: F.transform(s, lambda at, i: F.struct(at.alias("at"), F.coalesce(F.get(s, i + 1), F.size(t)).alias("to"))))
-    each = F.transform(ends, lambda e: F.when(F.get(t, e["at"]).isin(NUMBER, UNIT, NAME), F.xxhash64(F.get(t, e["at"]), F.slice(low, e["at"] + 1, e["to"] - e["at"]))))
+    value = lambda e: _value(F.get(t, e["at"]), F.slice(low, e["at"] + 1, e["to"] - e["at"]))
+    each = F.transform(ends, lambda e: F.when(F.get(t, e["at"]).isin(NUMBER, UNIT, NAME), value(e)))
     return F.when(F.size(t) > 0, each).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -127,7 +133,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, min_tokens: in
     runs = items.select("item", "_full", "_w", F.explode(_starts(F.col("_full"))).alias("_at")).where(F.get("_full", F.col("_at")) == NAME)
     length = F.array_position(F.transform(F.slice("_full", F.col("_at") + 1, F.size("_full")), lambda x: x == NAME), False)
     runs = runs.withColumn("_run", F.slice("_w", F.col("_at") + 1, F.when(length > 0, length - 1).otherwise(F.size("_w") - F.col("_at")).cast("int")))
-    each = runs.select("item", F.xxhash64(F.lit(NAME), "_run").alias("value"), F.explode("_run").alias("x"))
+    each = runs.select("item", _value(F.lit(NAME), F.col("_run")).alias("value"), F.explode("_run").alias("x"))
     common = small.unionByName(benchmark.sparkSession.createDataFrame([(x,) for x in OPENERS], "x string")).distinct().withColumn("_small", F.lit(True))
     fixed = each.join(common, "x", "left").groupBy("item", "value").agg(F.bool_and(F.coalesce("_small", F.lit(False))).alias("_all")).where("_all")
     fixed = fixed.groupBy("item").agg(F.collect_set("value").alias("_fixed"))
@@ -203,8 +209,10 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_share:
     rows = joined.select("_k", "item", "reading", "n_windows", "pos", pairs.alias("pairs"), F.explode(near).alias("at"))
     groups = rows.groupBy("_k", "item", "reading", "n_windows", "at").agg(F.size(F.collect_set("pos")).cast("long").alias("n_matched"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     enough = groups.withColumn("share", F.col("n_matched") / F.col("n_windows")).where(F.col("share") >= min_share)
-    same = lambda f: F.size(F.array_distinct(F.transform("pairs", lambda s: s[f]))) == F.size("pairs")
-    good = enough.where(same("item") & same("doc") & ~F.exists("pairs", lambda s: s["fixed"] & (s["item"] != s["doc"])))
+    # A slot has one value, and two names stay two; numbers and units of different slots may come out equal.
+    same = lambda pairs, f: F.size(F.array_distinct(F.transform(pairs, lambda s: s[f]))) == F.size(pairs)
+    of_names = F.filter("pairs", lambda s: s["item"] % 2 == 0)
+    good = enough.where(same(F.col("pairs"), "item") & same(of_names, "doc") & ~F.exists("pairs", lambda s: s["fixed"] & (s["item"] != s["doc"])))
     best = good.groupBy("_k", "item").agg(F.max(F.struct("share", "n_matched")).alias("m"))
     names = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), text_key(F.col("text").cast("string")).alias("item")).distinct()
     return best.join(names, "item").select("_k", "item_id", "m.n_matched", "m.share")

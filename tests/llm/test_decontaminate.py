@@ -154,3 +154,12 @@ def test_equals_a_plain_search(spark, docs, sf_dir):
     rows += [(5000, "Now Bob saw 4 cats and Ann saw 5 dogs to be of The 12 in 7 for 8 at 9 on"), (5001, "of the 13 in 7 for 8 at 9 on"), (5002, items[0][1].upper() + " " + items[1][1])]
     got = D.contaminated(docs(rows), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == plain(items, rows)
+
+
+def test_slots_of_numbers_may_come_out_equal(spark, docs):
+    item = "Tom has 3 apples and Ann has 5 apples. How many apples do Tom and Ann have in all together?"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    other = lambda a, b, x, y: f"Sum it up: {a} has {x} apples and {b} has {y} apples. How many apples do {a} and {b} have in all together? Fine."
+    texts = [other("Tom", "Ann", 4, 4), other("Max", "Eve", 7, 7), other("Max", "Eve", 3, 9), other("Max", "Max", 3, 9), "Tom has 3 apples and Ann has 5 pears today."]
+    got = {r["doc_id"] for r in D.contaminated(docs(list(enumerate(texts))), bench).collect()}
+    assert {0, 1, 2} <= got and not got & {3, 4}

@@ -77,3 +77,45 @@ def test_without_article_wrapper_names_do_not_empty_the_page():
     form = f'<body><form id="aspnetForm"><div>{STORY}</div></form></body>'
     assert H.main_text(form).count("sentence of the story") == 3
     assert H.main_text('<div class="notice"><p>All there is.</p></div>') == "All there is."
+
+
+def test_what_readers_and_sites_add_never_outvotes_a_short_article():
+    head = "<h1>Head</h1><p>The story is short.</p><p>It ends, here.</p>"
+    long = "<p>" + "This text is long, has commas, and goes on. " * 20 + "</p>"
+    for page in (
+        f"<article>{head}</article><section id='comments'>{long}</section>",
+        f"<article>{head}<div class='comments'>{long}</div></article>",
+        f"<div class='story'>{head}</div><div class='comments'>{long}</div>",
+        f"<article>{head}<aside>{long}</aside><form>{long}</form></article>",
+        f"<div class='cookie-consent'>{long}</div><article>{head}</article>",
+        f"<article>{head}<div class='user-reviews'><h3>Reader comments</h3>{long}</div></article>",
+        f"<article>{head}<section class='x'><h2>Reader comments</h2>{long}</section></article>",
+        f"<body><div class='cookie-consent'>{long}</div><div>{head}</div></body>",
+    ):
+        assert H.main_text(page) == "Head\nThe story is short.\nIt ends, here."
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    def seconds(n):
+        began = time.process_time()
+        assert len(H.main_text("<div>x" * n)) == 2 * n - 1
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(40_000) < 40 * max(seconds(4_000), 0.01)
+
+
+def test_path_scores_equal_a_plain_sum():
+    import math
+
+    found = [("a", None, "One, two."), ("b", None, "x"), ("a", None, "Three; four!"), ("c", None, "long text without marks", 4), ("d", None, "y.")]
+    paths = ["a", "b", "c", "d"]
+    length = {p: sum(len(t) - sum(rest) for q, _, t, *rest in found if q == p) / sum(q == p for q, *_ in found) for p in paths}
+    marks = {p: sum(sum(c in ".,;!" for c in t) for q, _, t, *_ in found if q == p) / sum(q == p for q, *_ in found) for p in paths}
+    for sigma in (0.1, 1.0):
+        weight = lambda d: math.exp(-d * d / (2 * sigma**2)) if abs(d) <= max(1, math.ceil(3 * sigma)) else 0.0  # noqa: E731, B023
+        smooth = lambda x, i: sum(weight(i - j) * x[q] for j, q in enumerate(paths)) / sum(weight(i - j) for j in range(4))  # noqa: E731, B023
+        for i, p in enumerate(paths):
+            assert abs(H.path_scores(found, sigma)[p] - smooth(length, i) * (1 + smooth(marks, i))) < 1e-9
