@@ -69,12 +69,6 @@ def report(calls: DataFrame, hits: DataFrame, names: DataFrame | None = None, ra
     return every.select("sample", idx.cast("long").alias("idx"), "depth", F.format_string("%6.2f", 100.0 * F.col("clade_reads") / F.col("_all")).alias("pct"), "clade_reads", "direct_reads", "total_minimizers", "distinct_minimizers", "rank", "taxid", "name")
 
 
-def report_lines(rows: DataFrame) -> DataFrame:
-    """(sample, idx, value): the rows as lines of a report file, names indented by two spaces a level."""
-    cells = ["pct", "clade_reads", "direct_reads", "total_minimizers", "distinct_minimizers", "rank", "taxid"]
-    return rows.select("sample", "idx", F.concat_ws("\t", *cells, F.concat(F.repeat(F.lit("  "), F.col("depth")), "name")).alias("value"))
-
-
 def _called(counts: Counter) -> tuple[str, ...]:
     """The path with most k-mers on it; of equal ones the common part."""
     score = {p: sum(n for q, n in counts.items() if p[: len(q)] == q) for p in counts}

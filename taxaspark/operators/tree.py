@@ -114,6 +114,12 @@ def _judged(rows: DataFrame, min_distinct: int, min_reads: int, protect: float)
     return rows.withColumns({"decision": decision, "reason": reason})
 
 
+def in_evidence_order(verdicts: DataFrame) -> DataFrame:
+    """The evidence table with ``place`` (from 1 per sample): by falling clade reads, equal ones as they stand in the report."""
+    order = Window.partitionBy("sample").orderBy(F.desc("clade_reads"), "idx")
+    return verdicts.withColumn("place", F.row_number().over(order))
+
+
 def mark(linked: DataFrame, rank: str = "S", min_distinct: int = 333, min_reads: int = 0, protect: float = 0.01) -> DataFrame:
     """Linked rows with ``in_drop`` (the row or an ancestor is pruned) and ``topmost`` (it is pruned and no ancestor is).
 

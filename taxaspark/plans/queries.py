@@ -245,6 +245,11 @@ def evidence_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence_rows(tree.verdicts(b.report(spark, sf_dir), "S", **FLOORS), with_sample=True)
 
 
+@query(f"WITH {VERDICT_SQL} SELECT sample, idx, taxid, clade_reads, row_number() OVER (PARTITION BY sample ORDER BY clade_reads DESC, idx)::INT AS place, decision FROM ver")
+def evidence_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree.in_evidence_order(tree.verdicts(b.report(spark, sf_dir), "S", **FLOORS)).select("sample", "idx", "taxid", "clade_reads", "place", "decision")
+
+
 @query(f"WITH {VERDICT_SQL} SELECT sample, parent_idx, credit, n_pruned FROM cred")
 def gate_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.credits(_marked(spark, sf_dir)[0])

@@ -6,7 +6,7 @@ from collections import Counter
 from taxaspark.functions import kmers
 from taxaspark.operators import profiling as P
 from taxaspark.operators import taxonomy, tree
-from taxaspark.sources import readers
+from taxaspark.sources import readers, sinks
 
 CALLS = [("a", i, p) for i, p in enumerate([["b", "x", "s1"]] * 3 + [["b", "x", "s2"]] * 5 + [["b", "y"]] * 8 + [["b"]] + [["c", "z", "s3", "t"]] * 9 + [[], None])] + [("e", 1, [])]
 HITS = [("a", ["b", "x", "s1"], m) for m in (1, 1, 2)] + [("a", ["b", "x"], 2), ("a", ["b"], 9), ("a", ["c", "z", "s3", "t"], 4), ("a", ["q"], 5)]
@@ -33,7 +33,7 @@ def test_report_of_calls(spark, tmp_path):
         ]
         assert [tuple(r)[2:] for r in rows.where("sample = 'e'").collect()] == [(0, "100.00", 1, 1, 0, 0, "U", "0", "unclassified")]
     # the lines are a report that the reader and the gate take
-    P.report_lines(rows).where("sample = 'a'").coalesce(1).sortWithinPartitions("idx").select("value").write.text(str(tmp_path / "r"))
+    sinks.report_lines(rows).where("sample = 'a'").coalesce(1).sortWithinPartitions("idx").select("value").write.text(str(tmp_path / "r"))
     [path] = (tmp_path / "r").glob("part-*.txt")
     again = readers.tree_report(spark, str(path))
     assert again.count() == 11 and [r["depth"] for r in tree.link(again).orderBy("idx").collect()] == [0, 0, 1, 2, 3, 3, 2, 1, 2, 3, 4]
