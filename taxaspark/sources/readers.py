@@ -53,8 +53,9 @@ def resolve_fastq(spark: SparkSession, folder: str, sample: str, read: int, nami
 
 def _nothing_missing(spark: SparkSession, path: str | list[str], rows: DataFrame, what: str) -> DataFrame:
     """``rows`` if every file of ``path`` gave some; a file without is an error."""
-    files = {f.rsplit("/", 1)[-1] for f in spark.read.text(path).inputFiles()}
-    empty = files - {r["file"].rsplit("/", 1)[-1] for r in rows.select("file").distinct().collect()}  # one name a file
+    whole = lambda f: re.sub(r"^(\w+):/+", r"\1:/", f)  # noqa: E731  file:/a and file:///a are one path
+    files = {whole(f) for f in spark.read.text(path).inputFiles()}
+    empty = files - {whole(r["file"]) for r in rows.select("file").distinct().collect()}  # one name a file
     if empty:
         raise ValueError(f"no {what} in {sorted(empty)}")
     return rows

@@ -180,3 +180,15 @@ def test_shotgun_reads_are_cleaned(spark, tmp_path):
     got = {r["pair_id"]: (r["r1"]["seq"], r["r2"]["seq"]) for r in out["clean"].collect()}
     assert sorted(got) == [3, 4] and got[4] == (short, rc(short))
     assert tuple(out["tracking"].first()) == ("s", "5", "4", "3", "3", "2")
+
+
+def test_an_empty_report_does_not_hide_behind_one_of_the_same_name(spark, tmp_path):
+    import pytest
+
+    for folder, text in (("a b", ""), ("c", "100.00\t1\t1\t1\t1\tR\t1\troot\n"), ("d e", "100.00\t1\t1\t1\t1\tR\t1\troot\n")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x_report.txt").write_text(text)
+    for folder in ("c", "d e"):
+        assert readers.tree_report(spark, str(tmp_path / folder / "x_report.txt")).count() == 1
+    with pytest.raises(ValueError, match="a(%20| )b"):
+        readers.tree_report(spark, [str(tmp_path / f / "x_report.txt") for f in ("a b", "c")])
