@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from taxaspark.functions import dna, kmers
 from taxaspark.functions.lineage import segments
+from taxaspark.operators import search
 from taxaspark.operators.joins import if_small, settle
 
 
@@ -85,10 +86,8 @@ def classified_reads(reads: DataFrame, calls: DataFrame) -> DataFrame:
 
 def better_strand(queries: DataFrame, refs: DataFrame, k: int = 8) -> DataFrame:
     """(query_id, seq) with the strand that shares more distinct k-mers with a single reference; the given one if both share as many."""
-    both = queries.select(F.struct("query_id", F.lit(0).alias("strand")).alias("query_id"), "seq").unionByName(queries.select(F.struct("query_id", F.lit(1).alias("strand")).alias("query_id"), dna.reverse_complement(F.col("seq")).alias("seq")))
-    most = shared_kmers(both, refs, k).groupBy("query_id").agg(F.max("shared").alias("shared"))
-    best = most.groupBy(F.col("query_id.query_id").alias("query_id")).agg(F.max(F.struct("shared", (-F.col("query_id.strand")).alias("plus")))["plus"].alias("plus"))
-    return queries.join(best, "query_id", "left").select("query_id", F.when(F.col("plus") == -1, dna.reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
+    best = search.nearest(queries, refs, k, both_strands=True).select("query_id", "strand")
+    return queries.join(best, "query_id", "left").select("query_id", F.when(F.col("strand") == 1, dna.reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
 
 
 def shared_kmers(queries: DataFrame, refs: DataFrame, k: int = 8) -> DataFrame:
@@ -102,20 +101,18 @@ def bootstrap_vote(queries: DataFrame, refs: DataFrame, k: int = 8, rounds: int
     """(query_id, rank_no, taxon, confidence): SINTAX-like vote; ``refs`` has ref_id, seq, lineage (array).
 
     In each round ``words`` k-mers of the query, chosen by a hash of seed, query, round and k-mer,
-    pick the reference that has most of them (ties to the smaller id). The confidence of a rank is
+    pick the reference that has most of them (ties to the smaller id), found by bounds. The confidence of a rank is
     the share of rounds that agree with the most frequent pick's prefix up to it. The same result
     comes out under any partitioning. With ``both_strands`` the better strand of a query votes.
     """
     queries = better_strand(queries, refs, k) if both_strands else queries
-    own = queries.select("query_id", F.explode(F.array_distinct(dna.kmers(F.col("seq"), k))).alias("kmer"))
-    per = own.groupBy("query_id").agg(F.sort_array(F.collect_list("kmer")).alias("ks"))
+    own = kmers.kmer_rows(queries, ["query_id"], k, distinct=True).withColumn("m", kmers.text(F.col("kmer"), k))
+    per = own.groupBy("query_id").agg(F.collect_list(F.struct("m", "kmer")).alias("ks"))
     per = per.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
     key = lambda m: F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("query_id").cast("string"), F.col("round").cast("string"), m))
-    drawn = F.transform(F.slice(F.array_sort(F.transform("ks", lambda m: F.struct(key(m).alias("h"), m.alias("m")))), 1, words), lambda s: s["m"])
-    sample = per.select("query_id", "round", F.explode(drawn).alias("kmer"))
-    index = refs.select("ref_id", F.explode(F.array_distinct(dna.kmers(F.col("seq"), k))).alias("kmer"))
-    hits = sample.join(index, "kmer").groupBy("query_id", "round", "ref_id").agg(F.count("*").alias("n"))
-    best = hits.groupBy("query_id", "round").agg(F.min(F.struct((-F.col("n")).alias("n"), "ref_id"))["ref_id"].alias("ref_id"))
+    drawn = F.transform(F.slice(F.array_sort(F.transform("ks", lambda w: F.struct(key(w["m"]).alias("h"), w["kmer"].alias("kmer")))), 1, words), lambda w: w["kmer"])
+    sets = per.select(F.struct("query_id", "round").alias("g"), F.lit(0).alias("s"), drawn.alias("words"))
+    best = search.best_shared(sets, refs, k).select("g.query_id", "g.round", "ref_id")
     named = best.join(refs.select("ref_id", "lineage"), "ref_id")
     each = named.select("query_id", F.posexplode(F.transform("lineage", lambda x, i: F.slice("lineage", F.lit(1), i + 1))).alias("rank_no", "prefix"))
     votes = each.groupBy("query_id", "rank_no", "prefix").agg(F.count("*").alias("n"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaspark.functions import dna, kmers
-from taxaspark.operators import alignment, denoising, mapping, profiling, reads, tables, taxonomy
+from taxaspark.operators import alignment, denoising, mapping, profiling, reads, search, tables, taxonomy
 from taxaspark.plans import bindings as b
 from taxaspark.plans.queries import query
 
@@ -191,6 +191,12 @@ def shared_kmer_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxonomy.shared_kmers(_items(spark, sf_dir), _refs(spark, sf_dir))
 
 
+@query(f"""WITH {WORDS_SQL}, s AS (SELECT q.item_id, k.item_id AS ref, count(*) AS n FROM q JOIN k USING (kmer) GROUP BY 1, 2), o AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY n DESC, ref) AS place FROM s)
+  SELECT item_id AS query_id, ref AS ref_id, n::BIGINT AS shared FROM o WHERE place = 1""")
+def nearest_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.nearest(_items(spark, sf_dir), _refs(spark, sf_dir)).drop("strand")
+
+
 @query(f"""WITH {WORDS_SQL}, m AS (SELECT DISTINCT item_id, unnest({KMERS(RC('seq'), 8)}) AS kmer FROM i WHERE length(seq) >= 8), sp AS (SELECT q.item_id, k.item_id AS ref, count(*) AS n FROM q JOIN k USING (kmer) GROUP BY 1, 2), sm AS (SELECT m.item_id, k.item_id AS ref, count(*) AS n FROM m JOIN k USING (kmer) GROUP BY 1, 2),
   bp AS (SELECT item_id, max(n) AS n FROM sp GROUP BY 1), bm AS (SELECT item_id, max(n) AS n FROM sm GROUP BY 1) SELECT i.item_id AS query_id, md5(CASE WHEN coalesce(bm.n, 0) > coalesce(bp.n, 0) THEN {RC('i.seq')} ELSE i.seq END) AS seq FROM i LEFT JOIN bp ON bp.item_id = i.item_id LEFT JOIN bm ON bm.item_id = i.item_id""")
 def better_strand(spark: SparkSession, sf_dir: str) -> DataFrame:
