@@ -5,11 +5,16 @@ digits and letters letters of their script, separators and letter case stay as w
 of cards and IBANs stay right, and names keep gender and script. An entity has one surrogate wherever it is
 written. Names are replaced word by word, a family name by one surrogate whatever stands before it, so "Mr John
 Smith" and "Mrs Smith" stay a family; where a form of address has told a name, the text's other
-mentions of it are replaced too. The distinct entities of all documents are checked against each other: no two share a
+mentions of it are replaced too. Not so where the word alone may be no name: a common word (``COMMON``), one that the text
+also writes small, one before a year. With a form of address or the rest of its name it is replaced even then. A
+possessive 's stays behind the surrogate, initials stay as they are, a name has at most 32 words. The distinct entities of all documents are checked against each other: no two share a
 surrogate and no surrogate is another's original; those that collide draw again until none does.
 
+Formats that hold few values grow where they run out: from the fourth draw on, e-mail names get further letters and
+IPv4 addresses come from reserved ranges, then from all.
+
 Not found: names in texts that never put a form of address before them, names in capitals, scripts
-other than Latin and Cyrillic, addresses and dates.
+other than Latin and Cyrillic, common words that stand for a person alone, addresses and dates.
 """
 
 from __future__ import annotations
@@ -27,6 +32,14 @@ FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Г-жа|г-жа
 EITHER = "Dr|Doctor|Doktor|Docteur|Prof|Professor|Professeur|Д-р|Доктор|Профессор|профессор"
 # Words that stand within a name as they are.
 PARTICLES = "von|van|vom|zu|zum|zur|de|der|den|del|della|di|da|du|des|la|le|ter|ten"
+# Family names that are common words and often open a sentence or a title, in the languages of the corpus; alone they may be no name.
+COMMON = (
+    "April August May March June July Mai Mars Juni Juli Januar Enero Mayo Summer Winter Sommer Herbst Spring Day Page "
+    "Young Old Long Short Small Little Good Best Rich Poor Strong Wise Sharp Swift Bright Early Major Black White Brown Green Gray Grey Blue Gold Silver "
+    "Klein Gross Groß Lang Lange Kurz Jung Alt Neu Schwarz Weiss Weiß Braun Roth Reich Stark Blanc Noir Petit Grand Rey Blanco Bueno Delgado Rojo "
+    "King Prince Bishop Pope Hunter Field Fields Forest Hill Hills Lake Park Rivers Stone Wood Woods Church House Hall Street Gates Bridges Banks "
+    "Love Hope Joy Power Price Case Cash Chance Grant Bill Mark Will Rose Frost Snow Rain Bush Bell Ball Book Bond Cross Else"
+).split()
 # Surrogate given names by gender and script; family names are a stem and an ending.
 FIRST = {
     "male-latin": "Adrian Bruno Carl David Emil Felix Gustav Hugo Ivan Jonas Karl Leo Martin Nils Oscar Paul Rafael Simon Thomas Victor".split(),
@@ -47,14 +60,18 @@ LETTERS = {"Cyrillic": "абвгдежзиклмнопрстуфхцчшэюя",
 EMAIL = r"(?<![\p{L}\p{N}_.+-])[\p{L}\p{N}_.+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
 ADDRESS = r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"
 ADDRESS6 = r"(?<![\p{L}\p{N}:.])(?=[a-fA-F:]*[0-9])(?:(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}|(?:[0-9a-fA-F]{1,4}:){1,6}(?::[0-9a-fA-F]{1,4}){1,6})(?![\p{L}\p{N}:])"
-TOKEN = r"(?<![\p{L}\p{N}])(?=[0-9a-fA-F]{0,31}[0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])"
+TOKEN = r"(?<![\p{L}\p{N}])(?=[0-9a-fA-F]{0,31}[0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![\p{L}\p{N}])"
 PHONE = r"(?<![\p{L}\p{N}])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])|(?<![\p{L}\p{N}.])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![\p{L}\p{N}.-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])|(?<![\p{L}\p{N}.+/-])(?=0(?:[ /-]?[0-9]){7,14}(?![0-9]))0[0-9]{1,4}[ /-][0-9]{3,8}(?:[ -][0-9]{2,6}){0,2}(?![0-9-])"
 NATIONAL = r"(?<![\p{L}\p{N}.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = r"(?<![\p{L}\p{N}.])[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}0-9])"
 IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
-WORD = r"\p{Lu}[\p{Ll}'’]+(?:-\p{Lu}[\p{Ll}'’]+)*"
+# Capitals and apostrophes within a word (O'Brien, McDonald), but no 's behind it; an initial goes with the name it stands before.
+PIECE = r"\p{Lu}(?:['’]?\p{Lu}|['’](?=\p{Ll}{2}))?\p{Ll}++(?:['’]?\p{Lu}\p{Ll}++|['’](?!(?:ll|re|ve)(?!\p{L}))\p{Ll}{2,}+){0,4}"
+WORD = rf"{PIECE}(?:-{PIECE}){{0,4}}"
+INITIAL = r"\p{Lu}\.? "
 TITLE = rf"(?:{MALE}|{FEMALE}|{EITHER})\.? "
-NAME = rf"(?<![\p{{L}}\p{{N}}]){TITLE}(?:(?:{PARTICLES}) ){{0,2}}{WORD}(?: (?:(?:{PARTICLES}) ){{0,2}}{WORD}){{0,2}}"
+BEFORE = rf"(?:(?:(?:{PARTICLES}) )|{INITIAL}){{0,4}}"
+NAME = rf"(?<![\p{{L}}\p{{N}}]){TITLE}{BEFORE}{WORD}(?: {BEFORE}{WORD}){{0,31}}"
 PATTERN = "|".join([EMAIL, ADDRESS, ADDRESS6, TOKEN, IBAN, PHONE, NATIONAL, CARD, NAME])
 
 
@@ -85,6 +102,11 @@ def canonical(kind: Column, mention: Column) -> Column:
     )
 
 
+def stays(word: Column) -> Column:
+    """True for words of a name that aren't replaced: particles and initials."""
+    return word.isin(PARTICLES.split("|")) | word.rlike(r"^\p{Lu}\.?$")
+
+
 def is_name(kind: Column) -> Column:
     return kind.rlike("^(?:male|female|either|first|last)-")
 
@@ -101,7 +123,7 @@ def _parts(kind: Column, mention: Column) -> Column:
         own = F.when(last, F.concat(F.lit("last-"), script)).otherwise(F.concat(F.lit("first-"), kind))
         return F.struct(own.alias("kind"), F.lower(F.substr(x, F.lit(1), F.length(x) - F.length(tail))).alias("name"), x.alias("word"), tail.alias("tail"), F.array_join(F.slice(all_, i + 2, F.greatest(n - i - 1, F.lit(0))), " ").alias("rest"))
 
-    named = let(words, lambda w: F.filter(F.transform(w, lambda x, i: word(x, i, F.size(w), w)), lambda e: ~e["word"].isin(PARTICLES.split("|"))))
+    named = let(words, lambda w: F.filter(F.transform(w, lambda x, i: word(x, i, F.size(w), w)), lambda e: ~stays(e["word"])))
     alone = F.array(F.struct(kind.alias("kind"), canonical(kind, mention).alias("name"), mention.alias("word"), F.lit("").alias("tail"), F.lit("").alias("rest")))
     return F.when(is_name(kind), named).otherwise(alone)
 
@@ -153,8 +175,10 @@ def surrogate(kind: Column, name: Column, attempt: Column, key: str = KEY) -> Co
 def _surrogate(kind: Column, name: Column, attempt: Column, key: str, s: Column) -> Column:
     local, domain = F.substring_index(name, "@", 1), F.substring_index(name, "@", -1)
     host = F.concat(F.lit("mx"), F.substring(F.sha2(F.concat(F.lit(key + "@"), domain), 256), 1, 6), F.lit(".example.org"))
+    more = F.when(attempt < 3, "").otherwise(F.translate(F.substr(s, F.lit(64), attempt - 2), "0123456789", "ghijklmnop"))
     hexed = F.array_join(F.transform(F.split(name, ""), lambda c, i: F.when(c.rlike("[0-9]"), _number(s, i, 10).cast("string")).otherwise(F.substr(F.lit("abcdef"), _number(s, i, 6) + 1, F.lit(1)))), "")
-    octets = F.concat_ws(".", F.lit("10"), *[_number(s, F.lit(i), 256).cast("string") for i in (1, 2, 3)])
+    net = F.when(attempt < 3, F.lit(10)).when(attempt < 8, 240 + _number(s, F.lit(4), 15)).otherwise(1 + _number(s, F.lit(4), 223))
+    octets = F.concat_ws(".", net.cast("string"), *[_number(s, F.lit(i), 256).cast("string") for i in (1, 2, 3)])
     groups = F.concat_ws(":", F.lit("2001:db8"), *[F.substring(s, 5 * i + 1, 4) for i in range(6)])
     code = F.when(name.startswith("+"), F.regexp_extract(name, COUNTRY, 0)).when(name.startswith("0"), "0").otherwise("")
     phone = F.concat(code, _digits(F.substr(name, F.length(code) + 1), s))
@@ -164,7 +188,7 @@ def _surrogate(kind: Column, name: Column, attempt: Column, key: str, s: Column)
     account = F.upper(_like(F.substr(name, F.lit(5)), s))
     iban = let(account, lambda a: F.concat(F.substring(name, 1, 2), F.lpad((98 - mod97(F.concat(a, F.substring(name, 1, 2), F.lit("00")))).cast("string"), 2, "0"), a))
     out = (
-        F.when(kind == "email", F.concat(_like(local, s), F.lit("@"), host))
+        F.when(kind == "email", F.concat(_like(local, s), more, F.lit("@"), host))
         .when(kind == "ip", octets)
         .when(kind == "ip6", groups)
         .when(kind == "token", hexed)
@@ -202,9 +226,9 @@ def _capitalised(name: Column) -> Column:
 def _named(mention: Column, parts: Column) -> Column:
     written = F.transform(parts, lambda e: F.struct(e["word"].alias("word"), F.concat(_capitalised(e["found"]), e["tail"]).alias("to")))
     words = F.split(F.regexp_replace(mention, rf"^{TITLE}", ""), " ")
-    # The k-th word that is no particle is the k-th part.
-    at = lambda all_, i: F.size(F.filter(F.slice(all_, F.lit(1), i + 1), lambda x: ~x.isin(PARTICLES.split("|"))))
-    return F.concat(F.regexp_extract(mention, rf"^{TITLE}", 0), F.array_join(let(words, lambda w: F.transform(w, lambda x, i: F.when(x.isin(PARTICLES.split("|")), x).otherwise(F.get(written, at(w, i) - 1)["to"]))), " "))
+    # The k-th word that doesn't stay is the k-th part.
+    at = lambda all_, i: F.size(F.filter(F.slice(all_, F.lit(1), i + 1), lambda x: ~stays(x)))
+    return F.concat(F.regexp_extract(mention, rf"^{TITLE}", 0), F.array_join(let(words, lambda w: F.transform(w, lambda x, i: F.when(stays(x), x).otherwise(F.get(written, at(w, i) - 1)["to"]))), " "))
 
 
 def _rendered(kind: Column, mention: Column, found: Column, digits: Column) -> Column:
@@ -235,8 +259,13 @@ def with_mentions(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("mentions", F.when(likely, _detailed(F.regexp_extract_all(text, F.lit(PATTERN), 0))).otherwise(_detailed(F.array().cast("array<string>"))))
     told = F.flatten(F.transform(F.filter("mentions", lambda m: is_name(m["kind"])), lambda m: m["parts"]))
     # A given name alone may be any word; with the rest of its name behind it, it is the name.
-    alone = lambda e: F.concat(e["word"], F.when(e["rest"] != "", F.concat(F.lit("(?= "), e["rest"], F.lit(r"(?![\p{L}\p{N}]))"))).otherwise(r"(?![\p{L}\p{N}])"))
-    rows = rows.withColumn("told", told).withColumn("pattern", F.when(F.size("told") > 0, F.concat(F.lit(PATTERN + r"|(?<![\p{L}\p{N}])(?:"), F.array_join(F.array_distinct(F.transform("told", alone)), "|"), F.lit(")"))))
+    end = F.lit(r"(?![\p{L}\p{N}])")
+    small = lambda w: F.contains(text, F.lower(w)) & F.rlike(text, F.concat(F.lit(r"(?<![\p{L}\p{N}])"), F.lower(w), end))
+    clear = lambda e: (e["rest"] != "") | ~(e["word"].isin(COMMON) | small(e["word"]))
+    alone = lambda e: F.concat(e["word"], F.when(e["rest"] != "", F.concat(F.lit("(?= "), F.replace(e["rest"], F.lit("."), F.lit("[.]")), end, F.lit(")"))).otherwise(F.concat(end, F.lit("(?! [12][0-9]{3}(?![0-9]))"))))
+    rows = rows.withColumn("told", told).withColumn("alone", F.array_distinct(F.transform(F.filter("told", clear), alone)))
+    more = F.when(F.size("alone") > 0, F.concat(F.lit(r"|(?<![\p{L}\p{N}])(?:"), F.array_join("alone", "|"), F.lit(")"))).otherwise("")
+    rows = rows.withColumn("pattern", F.when(F.size("told") > 0, F.concat(F.lit(PATTERN), more))).drop("alone")
     again = F.transform(F.regexp_extract_all(text, F.col("pattern"), F.lit(0)), lambda m: let(F.get(F.filter("told", lambda e: e["word"] == m), F.lit(0)), lambda e: F.when(e.isNotNull() & ~m.contains(" "), F.struct(e["kind"].alias("kind"), m.alias("mention"), F.array(e).alias("parts")))))
     whole = F.zip_with(again, _detailed(F.regexp_extract_all(text, F.col("pattern"), F.lit(0))), lambda a, b: F.coalesce(a, b))
     return rows.withColumn("mentions", F.when(F.col("pattern").isNotNull(), whole).otherwise(F.col("mentions"))).drop("told")

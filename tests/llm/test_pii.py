@@ -68,6 +68,45 @@ def test_names_are_followed_through_the_text(docs):
     assert m and m[2] == m[3] == m[1] + "а" and m[1] != "Иванов"
 
 
+def test_common_words_stay(docs):
+    t = "Mrs May met Mr Young. In May 2020, Young people cheered. May I ask? Mr Marten saw a marten. Marten ran. Dr Lindt came in 1999; Lindt 1845 is a brand, Lindt left."
+    r = run(docs, [(1, t)])[1]
+    m = re.fullmatch(r"Mrs (\w+) met Mr (\w+)\. In May 2020, Young people cheered\. May I ask\? Mr (\w+) saw a marten\. Marten ran\. Dr (\w+) came in 1999; Lindt 1845 is a brand, (\w+) left\.", r["text"])
+    assert m and m[4] == m[5] and not {"May", "Young", "Marten", "Lindt"} & set(m.groups())
+    only = run(docs, [(1, "Mr May came. May is a month.")])[1]["text"]  # all told names are common words
+    assert re.fullmatch(r"Mr (?!May)\w+ came\. May is a month\.", only)
+
+
+def test_names_of_any_shape(docs):
+    rows = [
+        (1, "Dr. John Ronald Reuel Tolkien wrote. Tolkien left."),
+        (2, "Mr. O'Brien and Mr McDonald; McDonald's car, O’Brien."),
+        (3, "Mr Smith's house, Mr Smith came. Mrs D’Angelo'll sing."),
+        (4, "Mr. J. R. Ewing saw Prof K Müller-Lüdenscheidt and Dr W. de la Vega."),
+        (5, "Mr " + " ".join(["Anna"] * 5000) + " and Mr A" + "a" * 200_000),
+    ]
+    out = {i: r["text"] for i, r in run(docs, rows).items()}
+    # A surrogate that had to be drawn again has a hyphen.
+    m = re.fullmatch(r"Dr\. ([\w-]+) ([\w-]+) ([\w-]+) ([\w-]+) wrote\. ([\w-]+) left\.", out[1])
+    assert m and m[4] == m[5] and not {"John", "Ronald", "Reuel", "Tolkien"} & set(m.groups())
+    m = re.fullmatch(r"Mr\. ([\w-]+) and Mr ([\w-]+); ([\w-]+)'s car, ([\w-][\w’-]*)\.", out[2])
+    assert m and m[2] == m[3] and not re.search("Brien|Donald", " ".join(m.groups()[:3]))
+    m = re.fullmatch(r"Mr ([\w-]+)'s house, Mr ([\w-]+) came\. Mrs ([\w-]+)'ll sing\.", out[3])
+    assert m and m[1] == m[2] != "Smith" and "Angelo" not in m[3]
+    assert re.fullmatch(r"Mr\. J\. R\. [\w-]+ saw Prof K [\w-]+ and Dr W\. de la [\w-]+\.", out[4]) and not re.search("Ewing|Müller|Vega", out[4])
+    assert out[5] is not None and "aaaa" not in out[5].split(" and ")[1]
+
+
+def test_formats_that_run_out_grow(spark, docs):
+    local = list("abcdefghijklmnopqrstuvwxyzéèàç")
+    out = run(docs, [(i, f"{c}@example.com") for i, c in enumerate(local)])
+    assert len({r["text"] for r in out.values()}) == len(local) and not any(r["text"].startswith("@") for r in out.values())
+    draws = spark.range(12).select(P.surrogate(F.lit("ip"), F.lit("1.2.3.4"), F.col("id").cast("int")).alias("s"), "id").collect()
+    assert all(ipaddress.ip_address(r["s"]) in ipaddress.ip_network("10.0.0.0/8") for r in draws if r["id"] < 3)
+    assert all(int(r["s"].split(".")[0]) >= 240 for r in draws if 3 <= r["id"] < 8)
+    assert run(docs, [(1, "id " + "0a" * 500)])[1]["entities"][0]["kind"] == "token"
+
+
 def test_scripts_codes_and_check_digits(docs):
     rows = [(1, "иван.петров@почта.example.com"), (2, "+49 30 123456 78 +380 44 123 45 67 030 1234567 on 01-2003"), (3, "4111 1111 1111 1111 and 4111111111111112"), (4, "GB82 WEST 1234 5698 7654 32 DE89370400440532013000"), (5, "at 2001:db8::8a2e:370:7334 or fe80:0:0:0:1:2:3:4, not std::vector")]
     out = run(docs, rows)
