@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaspark.llm.common import held_out, unit_hash
+from taxaspark.llm.common import cut, held_out, join_checked, unit_hash
 
 BITS = 17
 PER_LANGUAGE = 120
@@ -60,7 +60,8 @@ def features(word: str, lexicon: dict[str, int], size: int) -> list[int]:
     out = [256 + f % (size - 256) for f in found]
     mask = lexicon.get(word)
     if mask:
-        out += [k for k in range(min(256, mask.bit_length())) if mask >> k & 1]
+        # The first 256 languages have cells of their own, further ones share those of the hashed features.
+        out += [k if k < 256 else 256 + crc(b"%d" % k, 5) % (size - 256) for k in range(mask.bit_length()) if mask >> k & 1]
         out.append(256 + crc(raw, 4) % (size - 256))
     return out
 
@@ -167,7 +168,7 @@ def train(rows: list[tuple[str, str]], bits: int = BITS, rounds: int = 25, rate:
         counts[number[lang]].update(own.tolist())
         stretches += [(number[lang], own[k : k + STRETCH]) for k in range(0, len(own), STRETCH)]
     lexicon: dict[str, int] = {}
-    for k, c in enumerate(counts[:256]):
+    for k, c in enumerate(counts):
         for code, seen in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:LEXICON]:
             if seen > 1:
                 lexicon[vocabulary[code]] = lexicon.get(vocabulary[code], 0) | 1 << k
@@ -204,19 +205,24 @@ def train(rows: list[tuple[str, str]], bits: int = BITS, rounds: int = 25, rate:
     return model
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int = 200) -> Crf:
-    """Fit on about ``per_language`` rows of each of the ``max_languages`` most frequent languages.
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, max_rows: int = 24_000, bits: int = BITS) -> Crf:
+    """Fit on about ``per_language`` rows of every language, and on about ``max_rows`` altogether.
 
-    Only rows that are not held out and have a language are read; null and empty texts among them
-    teach nothing. Without any labelled row the model has no labels.
+    Where there are so many languages that ``max_rows`` isn't enough, each has an equal share of them, and at
+    least one row, so that every learned value of ``lang`` can be predicted. Only rows that are not held out and
+    have a language are read; null and empty texts among them teach nothing. Without any
+    labelled row the model has no labels.
     """
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
-    if not counts:
+    rows = rows.withColumn("_h", unit_hash(F.col("doc_id"), F.lit(9)))
+    counts = cut(rows.groupBy("lang").agg(F.count("*").alias("_n"), F.min("_h").alias("_least")))
+    languages = counts.count()
+    if not languages:
         return Crf([], np.zeros((1 << 9, 0), np.float32), np.zeros((0, 0)), {})
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(per_language / r["n"]))])[F.col("lang")]
-    sample = rows.where(unit_hash(F.col("doc_id"), F.lit(9)) < share).select("text", "lang").collect()
-    return train([(r["text"] or "", r["lang"]) for r in sample])
+    each = max(1, min(per_language, max_rows // languages))
+    dealt = join_checked(rows, counts, ["lang"])
+    sample = dealt.where((F.col("_h") < F.lit(each) / F.col("_n")) | (F.col("_h") == F.col("_least"))).select("text", "lang").collect()
+    return train([(r["text"] or "", r["lang"]) for r in sample], bits)
 
 
 def identify(docs: DataFrame, model: Crf, max_chars: int = 6_000_000) -> DataFrame:

@@ -1,5 +1,6 @@
 import itertools
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -52,3 +53,16 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in out.values())
     assert L.identify(d.limit(0), L.fit(d.limit(0))).count() == 0
     assert {r["lang_pred"] for r in L.identify(d, L.fit(d.limit(0))).collect()} == {"und"}
+
+
+def test_every_language_can_be_predicted(spark):
+    """More languages than the rows of the fit would hold at the full number each, one of them with a single text."""
+    rows = [(i, " ".join(f"{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}q{w}" for w in ("uno", "dua", "tri")), f"l{k:03d}") for i, k in enumerate(k for k in range(300) for _ in range(6))]
+    rare = next(i for i in range(10_000, 10_100) if zlib.crc32(str(i).encode()) % 3 != 1)
+    d = spark.createDataFrame([*rows, (rare, "жжж щщщ ъъъ", "rare")], "doc_id long, text string, lang string")
+    model = L.fit(d, max_rows=1000, bits=14)
+    learned = {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1}  # those with a row that isn't held out
+    assert set(model.labels) == learned | {"rare"} and len(learned) > 290
+    rows = [r for r in rows if r[2] in learned]
+    langs, _ = model.predict(pa.array(["жжж щщщ", *(r[1] for r in rows)]), {}, [])
+    assert langs[0] == "rare" and np.mean([a == r[2] for a, r in zip(langs[1:], rows, strict=True)]) > 0.9
