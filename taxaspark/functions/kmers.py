@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from taxaspark.functions.dna import fixed
+
 LARGEST = 31
 _CODE = np.full(256, 4, np.uint8)
 _CODE[[ord(c) for c in "ACGTacgt"]] = [0, 1, 2, 3] * 2
@@ -32,6 +34,16 @@ def _bases(seqs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _CODE[raw], offsets - offsets[0]
 
 
+def _codes(bases: np.ndarray, k: int) -> np.ndarray:
+    """Code of the k bases from each place on, as if all were one sequence of bases."""
+    codes, width = bases.astype(np.int64) & 3, 1
+    while width < k:
+        step = min(width, k - width)
+        codes = codes[: len(codes) - step] << 2 * step | codes[step:] & ((1 << 2 * step) - 1)
+        width += step
+    return codes
+
+
 def windows(seqs: pa.Array, k: int, canonical: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(sequence, code) of every k-mer, in order; ``canonical`` takes the smaller of it and its reverse complement."""
     bases, offsets = _bases(seqs)
@@ -160,3 +172,28 @@ def minimizer_rows(rows: DataFrame, keep: list[str], k: int, l: int, distinct: b
         return owner, [pa.array(codes, pa.int64()), pa.array(first)]
 
     return _rows(rows, keep, "minimizer long, first int", made)
+
+
+def least_rows(rows: DataFrame, keep: list[str], k: int, l: int) -> DataFrame:
+    """(keep, pos, minimizer) for every k-mer of bases only: its place from 1 and the smallest l-mer in it, as it stands, as text."""
+
+    def made(seqs: pa.Array) -> tuple[np.ndarray, list[pa.Array]]:
+        bases, offsets = _bases(seqs)
+        owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        n, wide = len(bases) - k + 1, k - l + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), [pa.array([], pa.int32()), pa.array([], pa.string())]
+        least, have = _codes(bases, l), 1
+        while have < wide:
+            step = min(have, wide - have)
+            least = np.minimum(least[: len(least) - step], least[step:])
+            have += step
+        good = owner[:n] == owner[k - 1 :]
+        if (bases > 3).any():
+            bad = np.concatenate([[0], np.cumsum(bases > 3)])
+            good &= bad[k:] == bad[:-k]
+        at = np.flatnonzero(good)
+        letters = np.frombuffer(b"ACGT", np.uint8)[(least[at][:, None] >> np.arange(2 * l - 2, -1, -2)) & 3]
+        return owner[at], [pa.array((at - offsets[owner[at]] + 1).astype(np.int32)), fixed(letters)]
+
+    return _rows(rows, keep, "pos int, minimizer string", made)

@@ -28,3 +28,12 @@ def test_a_long_sequence_is_cut_in_one_pass(spark):
     assert all(r["qual"] == r["seq"].translate(str.maketrans("ACGT", "I?5+")) for r in got)
     whole = dna.tiles(spark.createDataFrame([(9, "ACGTACA")], "id int, seq string"), 6, True).collect()
     assert [(r["id"], r["tile"], r["seq"]) for r in whole] == [(9, 0, "ACGTAC")]
+
+
+def test_smallest_words_of_every_window(spark):
+    from taxaspark.functions import kmers
+
+    seqs = ["ACGTTGCATGCANGTACCATGATTTACGA", "ACGTACGTACG", "", None, "GATTACAGATTACA"]
+    got = {(r["id"], r["pos"]): r["minimizer"] for r in kmers.least_rows(spark.createDataFrame(list(enumerate(seqs)), "id int, seq string"), ["id"], 12, 7).collect()}
+    want = {(i, p + 1): min(s[p + j : p + j + 7] for j in range(6)) for i, s in enumerate(seqs) if s for p in range(len(s) - 11) if "N" not in s[p : p + 12]}
+    assert got == want
