@@ -5,6 +5,9 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from taxaspark.functions import dna, kmers
@@ -264,9 +267,37 @@ def remove_contaminant_pairs(pairs: DataFrame, refs: DataFrame, k: int = 31, nee
 
 
 def base_profile(reads: DataFrame, keys: list[str], qual: str) -> DataFrame:
-    """(keys, pos, q1, median, n): lower quartile and median of the quality at every position."""
-    each = reads.select(*keys, F.posexplode(dna.phred(F.col(qual))).alias("pos", "q")).withColumn("pos", F.col("pos") + 1)
-    return each.groupBy(*keys, "pos").agg(F.percentile("q", F.lit(0.25)).alias("q1"), F.median("q").alias("median"), F.count("*").alias("n"))
+    """(keys, pos, q1, median, n): lower quartile and median of the quality at every position.
+
+    Batches count their qualities by key and position, so what is shuffled are counts, not bases.
+    """
+    own = reads.select(*keys, F.col(qual).alias("_qual"))
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1]]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in dna.slices(batches):
+            group = np.zeros(b.num_rows, np.int64)
+            for c in keys:
+                code = b.column(c).dictionary_encode(null_encoding="encode")
+                group = np.unique(group * len(code.dictionary) + code.indices.to_numpy(zero_copy_only=False), return_inverse=True)[1]
+            first = np.unique(group, return_index=True)[1]
+            raw, offsets = dna.flat(b.column("_qual"))
+            size = np.diff(offsets)
+            owner = np.repeat(np.arange(len(size)), size)
+            pos = np.arange(len(raw)) - offsets[owner]
+            wide = int(size.max(initial=0))
+            cell = (group[owner] * wide + pos) * 256 + raw
+            if len(first) * wide * 256 <= 4 * len(raw) + (1 << 20):
+                n = np.bincount(cell)
+                cell = np.flatnonzero(n)
+                n = n[cell]
+            else:
+                cell, n = np.unique(cell, return_counts=True)
+            columns = [b.column(c).take(pa.array(first[cell // 256 // max(1, wide)])) for c in keys]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array((cell // 256 % max(1, wide) + 1).astype(np.int32)), pa.array((cell % 256).astype(np.int32) - 33), pa.array(n.astype(np.int64))], [*keys, "pos", "q", "n"])
+
+    sums = own.mapInArrow(count, ", ".join([*kept, "pos int, q int, n long"])).groupBy(*keys, "pos", "q").agg(F.sum("n").alias("n"))
+    return sums.groupBy(*keys, "pos").agg(F.percentile("q", F.lit(0.25), F.col("n")).alias("q1"), F.percentile("q", F.lit(0.5), F.col("n")).alias("median"), F.sum("n").alias("n"))
 
 
 def denoise(counts: DataFrame, min_fold: float = 8.0, max_distance: int = 1) -> DataFrame:

@@ -37,3 +37,17 @@ def test_smallest_words_of_every_window(spark):
     got = {(r["id"], r["pos"]): r["minimizer"] for r in kmers.least_rows(spark.createDataFrame(list(enumerate(seqs)), "id int, seq string"), ["id"], 12, 7).collect()}
     want = {(i, p + 1): min(s[p + j : p + j + 7] for j in range(6)) for i, s in enumerate(seqs) if s for p in range(len(s) - 11) if "N" not in s[p : p + 12]}
     assert got == want
+
+
+def test_quality_profile_counts_in_batches(spark):
+    from taxaspark.operators import reads
+
+    rng = np.random.default_rng(3)
+    rows = [(s, t, "".join(chr(33 + x) for x in rng.integers(2, 41, rng.integers(0, 30)))) for s in ("a", None) for t in (1, 2) for _ in range(50)]
+    df = reads.base_profile(spark.createDataFrame([*rows, ("a", 3, None)], "s string, t int, q string"), ["s", "t"], "q")
+    assert "Generate" not in plan(df)  # no row for every base
+    want = {}
+    for s, t, q in rows:
+        for i, c in enumerate(q):
+            want.setdefault((s, t, i + 1), []).append(ord(c) - 33)
+    assert {(r["s"], r["t"], r["pos"]): (r["q1"], r["median"], r["n"]) for r in df.collect()} == {k: (np.percentile(v, 25), np.percentile(v, 50), len(v)) for k, v in want.items()}
