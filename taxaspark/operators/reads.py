@@ -203,7 +203,8 @@ def flagged_in_samples(counts: DataFrame, min_fold: float = 4) -> DataFrame:
     """
     if min_fold <= 1:
         raise ValueError("a parent must be more abundant than its child")
-    rows = counts.select("sample", "seq", "n", F.length("seq").alias("len"), F.xxhash64("seq").alias("_id")).where("len >= 4")
+    # Read by both ends and the result, so made once.
+    rows = settle(counts.select("sample", "seq", "n")).select("sample", "seq", "n", F.length("seq").alias("len"), F.xxhash64("seq").alias("_id")).where("len >= 4")
     cuts = rows.withColumn("_cut", F.explode(F.sequence(F.lit(1), F.col("len") - 1)))
     key = lambda end: F.struct(F.xxhash64(end).alias("a"), F.crc32(end.cast("binary")).alias("b"), F.length(end).alias("n"))
     ends = cuts.select("sample", "_id", "n", "_cut", key(F.substr("seq", F.lit(1), F.col("_cut"))).alias("_left"), key(F.substr("seq", F.col("_cut") + 1)).alias("_right"))

@@ -51,3 +51,22 @@ def test_quality_profile_counts_in_batches(spark):
         for i, c in enumerate(q):
             want.setdefault((s, t, i + 1), []).append(ord(c) - 33)
     assert {(r["s"], r["t"], r["pos"]): (r["q1"], r["median"], r["n"]) for r in df.collect()} == {k: (np.percentile(v, 25), np.percentile(v, 50), len(v)) for k, v in want.items()}
+
+
+def counted(spark, rows):
+    """Counts of sequences, and how many rows have been made of them so far."""
+    made = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    return spark.createDataFrame(rows, "sample string, seq string, n long").mapInArrow(run, "sample string, seq string, n long"), made
+
+
+def test_chimeras_read_their_counts_once(spark):
+    from taxaspark.operators import reads
+
+    df, made = counted(spark, [("a", "AAAACCCC", 100), ("a", "GGGGTTTT", 90), ("a", "AAAATTTT", 3)])
+    assert {r["seq"] for r in reads.bimeras(df).where("is_bimera").collect()} == {"AAAATTTT"} and made.value == 3
