@@ -314,7 +314,7 @@ def denoise(counts: DataFrame, min_fold: float = 8.0, max_distance: int = 1) ->
     """
     if max_distance != 1 or min_fold <= 1:
         raise ValueError("one difference and a fold above 1 are supported")
-    rows = counts.select("sample", "seq", "n")
+    rows = settle(counts.select("sample", "seq", "n"))  # read by four branches, so made once
     masked = rows.withColumn("_i", F.explode(F.sequence(F.lit(1), F.length("seq")))).select("sample", "seq", "n", F.concat(F.substr("seq", F.lit(1), F.col("_i") - 1), F.lit("*"), F.substr("seq", F.col("_i") + 1)).alias("_mask"))
     best = masked.groupBy("sample", "_mask").agg(F.max(F.struct("n", "seq")).alias("b"))
     near = masked.join(best, ["sample", "_mask"]).where((F.col("b.n") >= F.col("n") * min_fold) & (F.col("b.seq") != F.col("seq")))

@@ -70,3 +70,10 @@ def test_chimeras_read_their_counts_once(spark):
 
     df, made = counted(spark, [("a", "AAAACCCC", 100), ("a", "GGGGTTTT", 90), ("a", "AAAATTTT", 3)])
     assert {r["seq"] for r in reads.bimeras(df).where("is_bimera").collect()} == {"AAAATTTT"} and made.value == 3
+
+
+def test_neighbours_read_their_counts_once(spark):
+    from taxaspark.operators import reads
+
+    df, made = counted(spark, [("a", "AAAA", 100), ("a", "AAAT", 9), ("a", "AATT", 1), ("a", "GGGG", 5)])
+    assert {r["seq"]: r["centre"] for r in reads.denoise(df).collect()} == {"AAAA": "AAAA", "AAAT": "AAAA", "AATT": "AAAA", "GGGG": "GGGG"} and made.value == 4
