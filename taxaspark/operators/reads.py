@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaspark.functions import dna, kmers
@@ -40,16 +41,52 @@ def _trimmed(read: Column, trunc_q: int, trunc_len: int) -> Column:
     return F.when(keep.isNotNull(), F.struct(F.substr(read["seq"], F.lit(1), keep).alias("seq"), F.substr(read["qual"], F.lit(1), keep).alias("qual")))
 
 
-def filter_pairs(pairs: DataFrame, trunc_len: tuple[int, int] = (0, 0), max_ee: tuple[float, float] = (2, 5), trunc_q: int = 2, min_len: int = 20, max_len: int | None = None) -> DataFrame:
-    """Trim both mates and keep pairs whose mates both pass: length, no N, expected errors."""
-    rows = pairs.withColumns({f"r{i}": trim_read(F.col(f"r{i}"), trunc_q, trunc_len[i - 1]) for i in (1, 2)})
-    good = F.lit(True)
-    for i in (1, 2):
-        seq, qual = F.col(f"r{i}.seq"), F.col(f"r{i}.qual")
-        good = good & (F.length(seq) >= min_len) & ~seq.contains("N") & (dna.expected_errors(qual) <= max_ee[i - 1])
-        if max_len is not None:
-            good = good & (F.length(seq) <= max_len)
-    return rows.where(good)
+def filter_pairs(pairs: DataFrame, trunc_len: tuple[int, int] = (0, 0), max_ee: tuple[float, float] = (2, 5), trunc_q: int = 2, min_len: int = 20, max_len: int | None = None, errors: bool = False) -> DataFrame:
+    """Trim both mates and keep pairs whose mates both pass: length, no N, expected errors, which ``errors`` adds as ee1 and ee2.
+
+    The same rules as ``trim_read`` and ``dna.expected_errors``, for whole batches.
+    """
+
+    def mate(read: pa.StructArray, i: int) -> tuple[np.ndarray, pa.StructArray, np.ndarray]:
+        seq, qual = (read.field(f) for f in (names[i].index("seq"), names[i].index("qual")))
+        (raw, at), (marks, begin) = dna.flat(seq), dna.flat(qual)
+        length, held = np.diff(at), np.diff(begin)
+        bad = np.append(np.flatnonzero((marks >= 33) & (marks <= 33 + trunc_q)), len(marks))
+        first = bad[np.searchsorted(bad, begin[:-1])] - begin[:-1]
+        keep = np.where(first < held, first, length)
+        good = ~np.asarray(pc.is_null(read)) & ~np.asarray(pc.is_null(seq))
+        if trunc_len[i] > 0:
+            good &= keep >= trunc_len[i]
+            keep = np.minimum(keep, trunc_len[i])
+        size, cut = np.minimum(keep, length), np.minimum(keep, held)
+        unknown = np.concatenate([[0], np.cumsum(raw == ord("N"))])
+        good &= (size >= min_len) & (unknown[at[:-1] + size] == unknown[at[:-1]])
+        good &= size <= (max_len if max_len is not None else size)
+        own = np.flatnonzero(good)
+        ee = np.zeros(len(size))
+        ee[own] = dna.summed_errors(marks, begin[own], cut[own])
+        good &= ee <= max_ee[i]
+        return good, lambda rows: pa.StructArray.from_arrays([_heads(raw, at, size, rows), pc.if_else(pc.is_null(qual.take(pa.array(rows))), None, _heads(marks, begin, cut, rows))], ["seq", "qual"]), ee
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in dna.slices(batches):
+            made = [mate(b.column(f"r{i + 1}"), i) for i in (0, 1)]
+            rows = np.flatnonzero(made[0][0] & made[1][0])
+            columns = {c: b.column(c).take(pa.array(rows)) for c in others} | {f"r{i + 1}": made[i][1](rows) for i in (0, 1)}
+            extra = [pa.array(made[i][2][rows]) for i in (0, 1)] if errors else []
+            yield pa.RecordBatch.from_arrays([*(columns[c] for c in every), *extra], [*every, *(["ee1", "ee2"] if errors else [])])
+
+    names = [pairs.schema[f"r{i}"].dataType.names for i in (1, 2)]
+    every = pairs.columns
+    others = [c for c in every if c not in ("r1", "r2")]
+    kinds = [f"`{f.name}` {'struct<seq: string, qual: string>' if f.name in ('r1', 'r2') else f.dataType.simpleString()}" for f in pairs.schema.fields]
+    return pairs.mapInArrow(run, ", ".join([*kinds, *(["ee1 double", "ee2 double"] if errors else [])]))
+
+
+def _heads(raw: np.ndarray, at: np.ndarray, size: np.ndarray, rows: np.ndarray) -> pa.Array:
+    """The first ``size`` letters of the strings ``rows``."""
+    ends = np.concatenate([[0], np.cumsum(size[rows])])
+    return dna.fixed(raw[np.arange(ends[-1]) + np.repeat(at[rows] - ends[:-1], size[rows])], ends)
 
 
 def quality_trim(read: Column, window: int = 4, mean: int = 20) -> Column:

@@ -77,3 +77,20 @@ def test_neighbours_read_their_counts_once(spark):
 
     df, made = counted(spark, [("a", "AAAA", 100), ("a", "AAAT", 9), ("a", "AATT", 1), ("a", "GGGG", 5)])
     assert {r["seq"]: r["centre"] for r in reads.denoise(df).collect()} == {"AAAA": "AAAA", "AAAT": "AAAA", "AATT": "AAAA", "GGGG": "GGGG"} and made.value == 4
+
+
+def test_pairs_are_filtered_in_batches(spark):
+    from taxaspark.operators import reads
+
+    rng = np.random.default_rng(5)
+    read = lambda n: ("".join(rng.choice(list("ACGTN"), n, p=[0.249] * 4 + [0.004])), "".join(chr(33 + x) for x in rng.choice([2, 10, 20, 30, 40], n, p=[0.004, 0.046, 0.1, 0.25, 0.6])))
+    rows = [(i, read(int(rng.integers(0, 120))), read(int(rng.integers(15, 90)))) for i in range(400)] + [(400, None, read(60)), (401, (None, None), read(60)), (402, ("ACGT" * 20, None), ("ACGT" * 20, "I" * 80))]
+    df = spark.createDataFrame(rows, "id int, r1 struct<seq:string,qual:string>, r2 struct<seq:string,qual:string>").repartition(3)
+    for cut in ((0, 0), (40, 30)):
+        trimmed = df.withColumns({f"r{i}": reads.trim_read(F.col(f"r{i}"), 2, cut[i - 1]) for i in (1, 2)})
+        ok = F.lit(True)
+        for i, most in ((1, 2), (2, 5)):
+            ok = ok & (F.length(f"r{i}.seq") >= 20) & ~F.col(f"r{i}.seq").contains("N") & (dna.expected_errors(F.col(f"r{i}.qual")) <= most) & (F.length(f"r{i}.seq") <= 100)
+        want = trimmed.where(ok).withColumns({f"ee{i}": dna.expected_errors(F.col(f"r{i}.qual")) for i in (1, 2)}).collect()
+        got = reads.filter_pairs(df, cut, max_len=100, errors=True).collect()
+        assert len(want) > 20 and sorted(want) == sorted(got)
