@@ -122,10 +122,11 @@ def aligned(first: list[str], second: list[str]) -> tuple[np.ndarray, np.ndarray
         if len(i):
             j = d - i
             same = a[:, i - 1] == b[:, j - 1]
-            options = np.stack([before[:, i - 1] + np.where(same, MATCH, MISS), last[:, i - 1] + MISS, last[:, i] + MISS])
-            pick = options.argmax(0)
-            now[:, i] = np.take_along_axis(options, pick[None], 0)[0]
-            steps[:, i, j] = pick + 1
+            straight = before[:, i - 1] + np.where(same, MATCH, MISS).astype(np.int32)
+            up, left = last[:, i - 1] + MISS, last[:, i] + MISS
+            top = np.maximum(np.maximum(straight, up), left)
+            now[:, i] = top
+            steps[:, i, j] = np.where(straight == top, DIAGONAL, np.where(up == top, UP, LEFT))
         i = np.arange(max(0, d - wb), min(wa, d) + 1)
         j = d - i
         ends = ((i == la[:, None]) & (j <= lb[:, None])) | ((j == lb[:, None]) & (i <= la[:, None]))
@@ -167,6 +168,84 @@ def merged_mate(a: str, qa: str, b: str, qb: str, end: np.ndarray, steps: np.nda
     return head + body + tail, match, errors, over or over_start
 
 
+_TURNED = str.maketrans(dna.IUPAC, dna.COMPLEMENT)
+
+
+def _planes(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two bit planes (plane, word, row) of the bases, lengths, and rows that hold nothing but A, C, G, T."""
+    letters, length = _padded(texts)
+    wide = np.zeros((len(texts), words * 64), np.uint8)
+    wide[:, : letters.shape[1]] = letters
+    bits = lambda x: np.packbits(x, axis=1, bitorder="little").view(np.uint64).T.copy()
+    pure = (_MASK[letters] > 0).sum(1) == length
+    return np.stack([bits((wide == ord("C")) | (wide == ord("T"))), bits((wide == ord("G")) | (wide == ord("T")))]), length, pure
+
+
+def _down(x: np.ndarray, by: int) -> np.ndarray:
+    """Words (first axis but one) moved down by so many bits."""
+    whole, rest = divmod(by, 64)
+    out = np.zeros_like(x)
+    n = x.shape[-2] - whole
+    if n > 0:
+        out[..., :n, :] = x[..., whole:, :] >> np.uint64(rest)
+        if rest:
+            out[..., : n - 1, :] |= x[..., whole + 1 :, :] << np.uint64(64 - rest)
+    return out
+
+
+def clear_overlaps(first: list[str], second: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs whose best alignment, as ``aligned`` finds it, surely is an overlap without error: whether, places of the first before the second, bases.
+
+    Let one diagonal have all its T bases equal, and every other whole diagonal a lower score. A better or equal alignment with a gap has
+    e errors, T + 8e equal bases in at most e + 1 runs, and e <= (m - T) / 8, where m is the shorter length. Its longest run has
+    (T + 8e) / (e + 1) bases; if no other diagonal has such a run, it lies on the clear one, which has T. The other 8e lie in at
+    most e runs on diagonals at most e away, so one of these has a run of 8. Where neither is found, no such alignment exists.
+    All pairs of a batch are compared at once, 64 bases in a word.
+    """
+    words = max(1, -(-max(map(len, [*first, *second]), default=1) // 64))
+    (a, la, pure), (b, lb, also) = _planes(first, words), _planes(second, words)
+    least, n = np.minimum(la, lb), len(first)
+    offsets = np.arange(-int(lb.max(initial=0)) + 1, int(la.max(initial=0)))
+    filled = np.packbits(np.arange(words * 64) < np.arange(words * 64 + 1)[:, None], axis=1, bitorder="little").view(np.uint64).T
+    run8, run16 = np.zeros((2, len(offsets), n), bool)
+    best, at, perfect = np.zeros(n, np.int64), np.full(n, -1), np.zeros(n, bool)
+    twice = np.zeros(n, bool)
+    for k, d in enumerate(offsets.tolist()):
+        size = np.maximum(np.minimum(la - max(d, 0), lb - max(-d, 0)), 0)
+        x, y = (_down(a, d), b) if d >= 0 else (a, _down(b, -d))
+        same = ~((x[0] ^ y[0]) | (x[1] ^ y[1])) & filled[:, size]
+        hits = np.bitwise_count(same).sum(0, dtype=np.int64)
+        value = hits * MATCH + (size - hits) * MISS
+        twice = np.where(value > best, False, twice | ((value == best) & (value > 0)))
+        better = value > best
+        best, at, perfect = np.where(better, value, best), np.where(better, k, at), np.where(better, hits == size, perfect)
+        for step in (1, 2, 4):
+            same = same & _down(same, step)
+        run8[k] = same.any(0)
+        run16[k] = (same & _down(same, 8)).any(0)
+    sure = pure & also & perfect & ~twice & (at >= 0)
+    most = np.maximum(least - best, 0) // -MISS  # errors that a gapped alignment may have
+    run = 8 + np.minimum((best - 8) / (most + 1), (best - 8) / 2)  # least (T + 8e) / (e + 1)
+    long16, long8 = run > 15, run > 7
+    there = np.arange(len(offsets))[:, None] == at
+    other16, other8 = (run16 & ~there).any(0), (run8 & ~there).any(0)
+    near = ((run8 & ~there) & (np.abs(np.arange(len(offsets))[:, None] - at) <= most)).any(0)
+    sure &= (most == 0) | (~near & ((long16 & ~other16) | (long8 & ~other8)))
+    return sure, np.where(sure, offsets[np.maximum(at, 0)] if len(offsets) else 0, 0), np.where(sure, best, 0)
+
+
+def _joined(a: str, b: str, d: int, trim_overhang: bool) -> str:
+    """Two texts of which ``b`` starts ``d`` places after the start of ``a`` and that are equal where both stand."""
+    if d >= 0:
+        whole = a + b[len(a) - d :]
+        return whole[: d + len(b)] if trim_overhang and d + len(b) < len(a) else whole
+    size = min(len(a), len(b) + d)
+    head = "" if trim_overhang else b[:-d]
+    if size == len(a):
+        return head + a + b[len(a) - d :]
+    return head + (a[:size] if trim_overhang else a)
+
+
 def merge_pairs_aligned(pairs: DataFrame, min_overlap: int = 12, max_mismatch: int = 0, trim_overhang: bool = False) -> DataFrame:
     """``pairs`` with ``merged``, ``overlap`` and ``errors``: mate 1 aligned with the reverse complement of mate 2, gaps included.
 
@@ -176,16 +255,29 @@ def merge_pairs_aligned(pairs: DataFrame, min_overlap: int = 12, max_mismatch: i
 
     @F.pandas_udf("merged string, overlap int, errors int")
     def merge(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for a, qa, b, qb in batches:
-            out = []
-            for k in range(0, len(a), 64):
-                part = [x.iloc[k : k + 64].fillna("").tolist() for x in (a, qa, b, qb)]
+        for batch in batches:
+            every = [x.fillna("").tolist() for x in batch]
+            every[2] = [x[::-1].translate(_TURNED) for x in every[2]]
+            out: list = [None] * len(every[0])
+            for k in range(0, len(out), 4096):
+                one, two = every[0][k : k + 4096], every[2][k : k + 4096]
+                sure, offset, same = clear_overlaps(one, two)
+                for x in np.flatnonzero(sure).tolist():
+                    text, match = _joined(one[x], two[x], int(offset[x]), trim_overhang), int(same[x])
+                    out[k + x] = (text if match >= min_overlap and max_mismatch >= 0 else None, match, 0)
+            alike: dict[tuple, int] = {}  # copies are aligned once
+            copies = {x: alike.setdefault(tuple(y[x] for y in every), x) for x, row in enumerate(out) if row is None}
+            rest = list(alike.values())
+            for k in range(0, len(rest), 64):
+                own = rest[k : k + 64]
+                part = [[x[i] for i in own] for x in every]
                 ends, _, steps = aligned(part[0], part[2])
-                for x, (one, q1, two, q2) in enumerate(zip(*part, strict=True)):
-                    text, match, errors, _ = merged_mate(one, q1, two, q2, ends[x], steps[x], trim_overhang)
-                    good = match >= min_overlap and errors <= max_mismatch
-                    out.append((text if good else None, match, errors))
+                for x, (a, qa, b, qb) in enumerate(zip(*part, strict=True)):
+                    text, match, errors, _ = merged_mate(a, qa, b, qb, ends[x], steps[x], trim_overhang)
+                    out[own[x]] = (text if match >= min_overlap and errors <= max_mismatch else None, match, errors)
+            for x, y in copies.items():
+                out[x] = out[y]
             yield pd.DataFrame(out, columns=["merged", "overlap", "errors"])
 
-    got = merge(F.col("r1.seq"), F.col("r1.qual"), dna.reverse_complement(F.col("r2.seq")), F.reverse("r2.qual"))
+    got = merge(F.col("r1.seq"), F.col("r1.qual"), F.col("r2.seq"), F.reverse("r2.qual"))
     return pairs.withColumn("_m", got).where("_m.merged IS NOT NULL").select(*[F.col(f"`{c}`") for c in pairs.columns], "_m.merged", "_m.overlap", "_m.errors")

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +111,26 @@ def test_trimming_with_gaps_and_cut_off_primers(spark):
     assert got[1]["r1"]["seq"] == got[2]["r1"]["seq"] == got[3]["r1"]["seq"] == body
     assert got[1]["r2"]["seq"] == got[3]["r2"]["seq"] == dna.reverse_complement_text(body)
     assert all(x["r1"]["seq"] == x["r1"]["qual"] for x in got.values())
+
+
+def test_clear_overlaps_are_those_of_the_programme():
+    rng = np.random.default_rng(1)
+    draw = lambda n, p=None: "".join(rng.choice(list("ACGT"), n, p=p))
+    first, second = [], []
+    for t in range(600):
+        s, n = draw(100, [0.5, 0.3, 0.1, 0.1] if t % 3 == 0 else None), int(rng.integers(10, 100))
+        if t % 5 == 0:
+            s = draw(int(rng.integers(1, 12))) * 100
+        if t % 2:
+            first, second = [*first, s[:80]], [*second, s[20:100]]
+        else:
+            first, second = [*first, s[: int(rng.integers(1, n + 1))]], [*second, s[int(rng.integers(0, n)) : n]]
+    sure, offset, same = A.clear_overlaps(first, second)
+    assert sure[1::2].mean() > 0.6
+    ends, _, steps = A.aligned(first, second)
+    for x in np.flatnonzero(sure):
+        for trim in (True, False):
+            want = A.merged_mate(first[x], "I" * len(first[x]), second[x], "I" * len(second[x]), ends[x], steps[x], trim)
+            assert (A._joined(first[x], second[x], int(offset[x]), trim), same[x], 0) == want[:3]
+    many = [draw(100) for _ in range(4096)]
+    assert A.clear_overlaps([s[:80] for s in many], [s[20:] for s in many])[0].mean() > 0.99
