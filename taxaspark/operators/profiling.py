@@ -69,6 +69,22 @@ def report(calls: DataFrame, hits: DataFrame, names: DataFrame | None = None, ra
     return every.select("sample", idx.cast("long").alias("idx"), "depth", F.format_string("%6.2f", 100.0 * F.col("clade_reads") / F.col("_all")).alias("pct"), "clade_reads", "direct_reads", "total_minimizers", "distinct_minimizers", "rank", "taxid", "name")
 
 
+def distinct_below(rows: DataFrame, keys: list[str], path: str, value: str) -> DataFrame:
+    """(keys, node, n): distinct non-null values of the rows below every node of the tree, the root (an empty path) included.
+
+    The rows of a value are sorted by path, so each brings in the nodes that its path doesn't share with the one before. What a task holds are
+    rows that are sorted, which spill; no row is made for a node that its value has already been counted for.
+    """
+    own = rows.where(F.col(value).isNotNull()).select(*keys, F.col(path).alias("_path"), F.col(value).alias("_value"))
+    before = F.lag("_path").over(Window.partitionBy(*keys, "_value").orderBy("_path"))
+    met = own.withColumn("_before", before).where("_before IS NULL OR _before <> _path")
+    differ = F.array_position(F.zip_with("_path", "_before", lambda a, b: a.eqNullSafe(b)), False)
+    shared = F.when(differ > 0, differ - 1).otherwise(F.least(F.size("_path"), F.size("_before")))
+    first = F.when(F.col("_before").isNull(), 0).otherwise(shared + 1).cast("int")
+    nodes = F.transform(F.sequence(first, F.size("_path")), lambda i: F.slice("_path", F.lit(1), i))
+    return met.where(first <= F.size("_path")).select(*keys, F.explode(nodes).alias("node")).groupBy(*keys, "node").agg(F.count("*").alias("n"))
+
+
 def _called(counts: Counter) -> tuple[str, ...]:
     """The path with most k-mers on it; of equal ones the common part."""
     score = {p: sum(n for q, n in counts.items() if p[: len(q)] == q) for p in counts}

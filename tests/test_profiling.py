@@ -83,3 +83,14 @@ def test_kmer_distribution_equals_calling_every_window(spark):
         assert {(r["taxid"], r["called"]): r["n"] for r in got.collect()} == want
     share = {(r["anc_taxid"], r["taxid"]): r["share"] for r in P.kmer_share(got).collect()}
     assert abs(sum(v for (_, t), v in share.items() if t == "s1") - 1) < 1e-12 and 0 < share["g1", "s1"] < 1
+
+
+def test_distinct_values_below_nodes(spark):
+    from pyspark.sql import functions as F
+
+    from taxaspark.operators import profiling
+
+    rows = [("a", p, v) for p, v in (("r/x", 1), ("r/x", 1), ("r/y", 1), ("q", 1), ("r", 2), ("r/x", 2), ("", 3), ("r/x", None))] + [("b", "r/x", 1)]
+    df = spark.createDataFrame(rows, "s string, p string, v long").withColumn("p", F.when(F.col("p") == "", F.array().cast("array<string>")).otherwise(F.split("p", "/")))
+    got = {(r["s"], "/".join(r["node"])): r["n"] for r in profiling.distinct_below(df, ["s"], "p", "v").collect()}
+    assert got == {("a", ""): 3, ("a", "r"): 2, ("a", "r/x"): 2, ("a", "r/y"): 1, ("a", "q"): 1, ("b", ""): 1, ("b", "r"): 1, ("b", "r/x"): 1}
