@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -131,8 +132,11 @@ def _distinct(owner: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return owner[new], codes[new]
 
 
-def kmer_rows(rows: DataFrame, keep: list[str], k: int, distinct: bool = False, canonical: bool = False, both_strands: bool = False) -> DataFrame:
-    """(keep, kmer) for every k-mer of column seq; ``both_strands`` gives those of the reverse complement too."""
+def kmer_rows(rows: DataFrame, keep: list[str], k: int, distinct: bool = False, canonical: bool = False, both_strands: bool = False, among: np.ndarray | None = None) -> DataFrame:
+    """(keep, kmer) for every k-mer of column seq; ``both_strands`` gives those of the reverse complement too.
+
+    ``among``, a ``code_filter``, leaves out k-mers that surely aren't known, before anything is sorted or handed on.
+    """
     if k > LARGEST:
         raise ValueError(f"k is at most {LARGEST}")
 
@@ -145,6 +149,9 @@ def kmer_rows(rows: DataFrame, keep: list[str], k: int, distinct: bool = False,
                 back = back << 2 | 3 - (rest & 3)
                 rest >>= 2
             owner, codes = np.concatenate([owner, owner]), np.concatenate([codes, back])
+        if among is not None:
+            good = flagged(among, codes)
+            owner, codes = owner[good], codes[good]
         owner, codes = _distinct(owner, codes) if distinct else (owner, codes)
         return owner, [pa.array(codes, pa.int64())]
 
@@ -161,14 +168,17 @@ def distinct_numbers(rows: DataFrame, keep: list[str], k: int, canonical: bool =
     return _rows(rows, keep, "n long", made)
 
 
-def minimizer_rows(rows: DataFrame, keep: list[str], k: int, l: int, distinct: bool = False) -> DataFrame:
-    """(keep, minimizer, first) for every k-mer: ``first`` is 1 where its minimizer isn't that of the k-mer before."""
+def minimizer_rows(rows: DataFrame, keep: list[str], k: int, l: int, distinct: bool = False, among: np.ndarray | None = None) -> DataFrame:
+    """(keep, minimizer, first) for every k-mer: ``first`` is 1 where its minimizer isn't that of the k-mer before; ``among`` as in ``kmer_rows``."""
 
     def made(seqs: pa.Array) -> tuple[np.ndarray, list[pa.Array]]:
         owner, codes = minimizers(seqs, k, l)
         owner, codes = _distinct(owner, codes) if distinct else (owner, codes)
         first = np.ones(len(codes), np.int32)
         first[1:] = (codes[1:] != codes[:-1]) | (owner[1:] != owner[:-1])
+        if among is not None:
+            good = flagged(among, codes)
+            owner, codes, first = owner[good], codes[good], first[good]
         return owner, [pa.array(codes, pa.int64()), pa.array(first)]
 
     return _rows(rows, keep, "minimizer long, first int", made)
@@ -197,3 +207,38 @@ def least_rows(rows: DataFrame, keep: list[str], k: int, l: int) -> DataFrame:
         return owner[at], [pa.array((at - offsets[owner[at]] + 1).astype(np.int32)), fixed(letters)]
 
     return _rows(rows, keep, "pos int, minimizer string", made)
+
+
+#: Bits of a filter of known codes, in buckets as Spark's bitmaps have them (2 MB, whatever the number of codes).
+FILTER = 1 << 24
+
+
+def _places(codes: np.ndarray) -> np.ndarray:
+    return ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64)
+
+
+def code_filter(known: DataFrame, column: str) -> np.ndarray:
+    """Flags of the places (hashes of 24 bits) of the codes in ``column``: what isn't flagged is surely not among them.
+
+    Spark makes the bits; what comes to the driver has at most ``FILTER`` bits. Many codes flag all places, and then nothing is left out.
+    """
+
+    @F.pandas_udf("long")
+    def place(codes: pd.Series) -> pd.Series:
+        return pd.Series(_places(codes.to_numpy(np.int64)))
+
+    rows = known.where(F.col(column).isNotNull()).select(place(F.col(column)).alias("p"))
+    bits = rows.groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).toPandas()
+    out = np.zeros(FILTER + (1 << 15), np.uint8)
+    for b, m in zip(bits["b"].tolist(), bits["m"].tolist(), strict=True):
+        # Bucket 1 begins at 1, bucket 0 holds 0 alone.
+        part = np.unpackbits(np.frombuffer(bytes(m), np.uint8), bitorder="little")
+        at = (b - 1) * len(part) + 1 if b else 0
+        out[at : at + len(part)] |= part if b else part * (np.arange(len(part)) == 0).astype(np.uint8)
+    return np.packbits(out)
+
+
+def flagged(found: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Whether the places of codes are flagged."""
+    at = _places(codes)
+    return (found[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0

@@ -276,8 +276,9 @@ def contaminant_hits(reads: DataFrame, refs: DataFrame, k: int = 31, distance: i
         known = known.select(F.explode(near).alias("kmer")).distinct()
     elif distance:
         raise ValueError("distance is 0 or 1")
-    own = kmers.kmer_rows(reads, ["read_id"], k, distinct=True)
-    return own.join(if_small(known), "kmer", "left_semi").groupBy("read_id").agg(F.count("*").alias("hits"))
+    known = if_small(known)
+    own = kmers.kmer_rows(reads, ["read_id"], k, distinct=True, among=kmers.code_filter(known, "kmer"))
+    return own.join(known, "kmer", "left_semi").groupBy("read_id").agg(F.count("*").alias("hits"))
 
 
 def remove_contaminants(reads: DataFrame, refs: DataFrame, k: int = 31, min_share: float | None = None, distance: int = 0) -> DataFrame:

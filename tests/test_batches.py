@@ -94,3 +94,12 @@ def test_pairs_are_filtered_in_batches(spark):
         want = trimmed.where(ok).withColumns({f"ee{i}": dna.expected_errors(F.col(f"r{i}.qual")) for i in (1, 2)}).collect()
         got = reads.filter_pairs(df, cut, max_len=100, errors=True).collect()
         assert len(want) > 20 and sorted(want) == sorted(got)
+
+
+def test_code_filter_keeps_every_known_code(spark):
+    from taxaspark.functions import kmers
+
+    rng = np.random.default_rng(2)
+    codes = np.append(rng.integers(0, 1 << 60, 3000), 0)  # place 0 stands in a bucket of its own
+    found = kmers.code_filter(spark.createDataFrame([(int(c),) for c in codes] + [(None,)], "kmer long"), "kmer")
+    assert kmers.flagged(found, codes).all() and kmers.flagged(found, rng.integers(0, 1 << 60, 10_000)).mean() < 0.01
