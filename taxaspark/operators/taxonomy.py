@@ -59,9 +59,11 @@ def classify_reads(reads: DataFrame, database: DataFrame, k: int, l: int, confid
     moves up until its clade holds ``confidence`` of the read's k-mers, and needs ``min_groups``
     runs of k-mers with one minimizer. Reads without a call have an empty path and null taxon.
     """
-    each = kmers.minimizer_rows(reads, ["read_id"], k, l)
-    # Only k-mers of the database go on, so what is shuffled is the hits.
-    taxa = each.join(if_small(database), "minimizer").groupBy("read_id", "path").agg(F.count("*").alias("n"), F.sum("first").alias("groups"))
+    database = if_small(database)
+    each = kmers.minimizer_rows(reads, ["read_id"], k, l, among=kmers.code_filter(database, "minimizer"))
+    # Only k-mers of the database go on, so what is shuffled is the hits; they are made once for both groupings.
+    taxa = each.join(database, "minimizer").groupBy("read_id", "path").agg(F.count("*").alias("n"), F.sum("first").alias("groups"))
+    taxa = settle(taxa)
     hits = taxa.groupBy("read_id").agg(F.sum("n").alias("n_hits"), F.sum("groups").alias("n_groups"))
     totals = reads.select("read_id", (F.length("seq") - (k - 1)).cast("long").alias("n_kmers")).where("n_kmers > 0").groupBy("read_id").agg(F.sum("n_kmers").alias("n_kmers"))
     totals = totals.join(hits, "read_id", "left").fillna(0, ["n_hits", "n_groups"])
