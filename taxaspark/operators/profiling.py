@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaspark.functions import kmers
-from taxaspark.operators.joins import if_small
+from taxaspark.operators.joins import if_small, settle
 
 #: Rank codes by depth below the root, which is R.
 RANKS = ("D", "P", "C", "O", "F", "G", "S")
@@ -19,8 +19,9 @@ RANKS = ("D", "P", "C", "O", "F", "G", "S")
 
 def minimizer_hits(reads: DataFrame, database: DataFrame, k: int, l: int) -> DataFrame:
     """(sample, path, minimizer): a row for every run of k-mers with one minimizer of the database, in ``reads`` (sample, read_id, seq)."""
-    each = kmers.minimizer_rows(reads, ["sample", "read_id"], k, l).where("first = 1")
-    return each.join(if_small(database), "minimizer").select("sample", "path", "minimizer")
+    database = if_small(database)
+    each = kmers.minimizer_rows(reads, ["sample", "read_id"], k, l, among=kmers.code_filter(database, "minimizer")).where("first = 1")
+    return each.join(database, "minimizer").select("sample", "path", "minimizer")
 
 
 def report(calls: DataFrame, hits: DataFrame, names: DataFrame | None = None, ranks: tuple[str, ...] = RANKS, exact: bool = False, bits: int = 14) -> DataFrame:
@@ -35,7 +36,7 @@ def report(calls: DataFrame, hits: DataFrame, names: DataFrame | None = None, ra
     Reads and hits are summed per taxon first, so what goes up the tree are taxa, not reads.
     """
     of = F.coalesce(F.col("path"), F.array().cast("array<string>"))
-    own = calls.groupBy("sample", of.alias("path")).agg(F.count("*").alias("n"))
+    own = settle(calls.groupBy("sample", of.alias("path")).agg(F.count("*").alias("n")))  # read by five branches, so made once
     up = F.explode(F.transform(F.sequence(F.lit(0), F.size("path")), lambda i: F.slice("path", F.lit(1), i)))
     empty = F.size("path") == 0
     clades = own.where(~empty).select("sample", up.alias("node"), "n").groupBy("sample", "node").agg(F.sum("n").alias("clade_reads"))
