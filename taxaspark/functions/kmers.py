@@ -98,13 +98,18 @@ def _parted_minimizers(seqs: pa.Array, k: int, l: int) -> tuple[np.ndarray, np.n
     return np.array(owners, np.int64)[owner], codes
 
 
-def canonical_codes(codes: np.ndarray, k: int) -> np.ndarray:
-    """The smaller of each code and that of its reverse complement."""
+def turned_codes(codes: np.ndarray, k: int) -> np.ndarray:
+    """Codes of the reverse complements."""
     back, rest = np.zeros_like(codes), codes.copy()
     for _ in range(k):
         back = back << 2 | 3 - (rest & 3)
         rest >>= 2
-    return np.minimum(codes, back)
+    return back
+
+
+def canonical_codes(codes: np.ndarray, k: int) -> np.ndarray:
+    """The smaller of each code and that of its reverse complement."""
+    return np.minimum(codes, turned_codes(codes, k))
 
 
 def _rows(rows: DataFrame, keep: list[str], schema: str, made: Callable[[pa.Array], tuple[np.ndarray, list[pa.Array]]], max_bytes: int = 1 << 20) -> DataFrame:
@@ -143,12 +148,7 @@ def kmer_rows(rows: DataFrame, keep: list[str], k: int, distinct: bool = False,
     def made(seqs: pa.Array) -> tuple[np.ndarray, list[pa.Array]]:
         owner, codes = windows(seqs, k, canonical)
         if both_strands:
-            back = np.zeros_like(codes)
-            rest = codes.copy()
-            for _ in range(k):
-                back = back << 2 | 3 - (rest & 3)
-                rest >>= 2
-            owner, codes = np.concatenate([owner, owner]), np.concatenate([codes, back])
+            owner, codes = np.concatenate([owner, owner]), np.concatenate([codes, turned_codes(codes, k)])
         if among is not None:
             good = flagged(among, codes)
             owner, codes = owner[good], codes[good]
@@ -242,3 +242,34 @@ def flagged(found: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Whether the places of codes are flagged."""
     at = _places(codes)
     return (found[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+
+
+def rows_with(rows: DataFrame, k: int, among: np.ndarray, max_bytes: int = 1 << 17) -> DataFrame:
+    """``rows`` without those whose column seq surely has no known k-mer. ``among`` is a ``code_filter`` of known k-mers and their reverse complements.
+
+    Both of a k-mer and its reverse complement have to be flagged; parts of a batch are so small that their codes stay in the cache.
+    """
+    if k > LARGEST:
+        raise ValueError(f"k is at most {LARGEST}")
+
+    def known(seqs: pa.Array) -> np.ndarray:
+        out = np.zeros(len(seqs), bool)
+        bases, offsets = _bases(seqs)
+        if len(bases) < k:
+            return out
+        codes = _codes(bases, k)
+        at = np.flatnonzero(flagged(among, codes))
+        at = at[flagged(among, turned_codes(codes[at], k))]
+        owner = np.searchsorted(offsets, at, "right") - 1
+        bad = np.concatenate([[0], np.cumsum(bases > 3)])
+        out[owner[(at + k <= offsets[owner + 1]) & (bad[at + k] == bad[at])]] = True
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            step = max(1, int(b.num_rows * max_bytes / max(1, b.nbytes)))
+            parts = [known(b.column("seq").slice(at, step)) for at in range(0, b.num_rows, step)]
+            if any(p.any() for p in parts):
+                yield b.filter(pa.array(np.concatenate(parts)))
+
+    return rows.mapInArrow(run, rows.schema)

@@ -1,6 +1,7 @@
 """Mapping of reads to references: sampled seeds, chains of seeds on near diagonals, banded alignment.
 
-Seeds are exact k-mers, of which a hash keeps a share, alike on both sides. Read seeds meet the references' in a join; a
+Seeds are exact k-mers, of which a hash keeps a share, alike on both sides. Reads that surely have no seed of the references are
+left out by one look at their k-mers; the seeds of the others meet the references' in a join; a
 chain is the seeds of a read, strand and reference whose diagonals lie within one band. The chains with the most
 seeds of a read are aligned with the reference around their diagonal, all bases of the read and free ends of the reference, and the one
 with the fewest edits counts. References are cut into overlapping tiles, so that an alignment needs one tile and no task a
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaspark.functions import dna, kmers
@@ -41,6 +42,17 @@ def seeds(rows: DataFrame, keep: list[str], k: int, share: int) -> DataFrame:
     return kmers._rows(rows, keep, "seed long, pos long", made)
 
 
+def _both_ways(index: DataFrame, k: int) -> DataFrame:
+    """(seed): the seeds of ``index`` and their reverse complements."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            codes = b.column("seed").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([codes, kmers.turned_codes(codes, k)]))], ["seed"])
+
+    return index.select("seed").mapInArrow(run, "seed long")
+
+
 def edits(reads: list[str], parts: list[str], band: int) -> np.ndarray:
     """Fewest edits of each read against its part of a reference, whose ends are free; the part starts ``band`` bases before the diagonal.
 
@@ -80,15 +92,17 @@ def map_reads(reads: DataFrame, refs: DataFrame, k: int = 21, share: int = 3, mi
     tiles = settle(tiles.select("ref_id", "from", F.substr("seq", F.greatest(F.col("from") - 2 * band, F.lit(0)).cast("int") + 1, F.lit(TILE + max_read + 5 * band)).alias("seq")))
     lead = F.least(F.col("from"), F.lit(2 * band).cast("long"))
     index = seeds(tiles, ["ref_id", "from"], k, share).withColumn("at", F.col("pos") + F.col("from") - lead).where((F.col("at") >= F.col("from")) & (F.col("at") < F.col("from") + TILE)).select("seed", "ref_id", "at")
-    own = reads.where((F.length("seq") >= k) & (F.length("seq") <= max_read))
-    both = settle(own.select("read_id", F.lit("+").alias("strand"), "seq").unionByName(own.select("read_id", F.lit("-").alias("strand"), dna.reverse_complement(F.col("seq")).alias("seq"))))
-    met = seeds(both, ["read_id", "strand"], k, share).join(if_small(index), "seed").select("read_id", "strand", "ref_id", "pos", (F.col("at") - F.col("pos")).alias("diagonal"))
+    index = if_small(index)
+    own = kmers.rows_with(reads.select("read_id", "seq").where((F.length("seq") >= k) & (F.length("seq") <= max_read)), k, kmers.code_filter(_both_ways(index, k), "seed"))
+    strands = F.array(F.struct(F.lit("+").alias("strand"), "seq"), F.struct(F.lit("-").alias("strand"), dna.reverse_complement(F.col("seq")).alias("seq")))
+    both = settle(own.select("read_id", F.explode(strands).alias("s")).select("read_id", "s.strand", "s.seq"))
+    met = seeds(both, ["read_id", "strand"], k, share).join(index, "seed").select("read_id", "strand", "ref_id", "pos", (F.col("at") - F.col("pos")).alias("diagonal"))
     # Diagonals within a band share one of two buckets.
     half = F.array(F.floor(F.col("diagonal") / band), F.floor(F.col("diagonal") / band) - 1)
     chains = met.select("read_id", "strand", "ref_id", "pos", "diagonal", F.explode(half).alias("bucket")).groupBy("read_id", "strand", "ref_id", "bucket")
     chains = chains.agg(F.count_distinct("pos").alias("n"), F.min("diagonal").alias("diagonal"))
-    best = chains.groupBy("read_id").agg(F.max("n").alias("n"))
-    top = chains.join(best, ["read_id", "n"]).select("read_id", "strand", "ref_id", "diagonal").distinct()
+    chains = chains.withColumn("best", F.max("n").over(Window.partitionBy("read_id")))
+    top = chains.where("n = best").select("read_id", "strand", "ref_id", "diagonal").distinct()
     start = F.greatest(F.col("diagonal"), F.lit(0))
     placed = top.withColumn("from", F.floor(start / TILE) * TILE).join(both, ["read_id", "strand"]).join(tiles.withColumnRenamed("seq", "tile"), ["ref_id", "from"])
 

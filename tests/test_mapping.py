@@ -78,3 +78,25 @@ def test_pairs(spark):
     left = lambda need: {r["pair_id"] for r in M.screen_pairs(df, refs, need).collect()}
     assert left("concordant") == {"far", "same strand", "one", "none"}
     assert left("both") == {"one", "none"} and left("either") == {"none"}
+
+
+def test_only_reads_with_a_known_seed_are_turned_and_sought(spark, monkeypatch):
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    ref = word(2000)
+    rows = [(i, word(100)) for i in range(2000)]
+    for i, at in enumerate(range(0, 1800, 60)):
+        read = changed(rng, ref[at : at + 110], 2, 1, 0)
+        rows.append((3000 + i, dna.reverse_complement_text(read) if i % 2 else read))
+    rows += [(4000, ref[:50] + "N" + ref[51:100]), (4001, None), (4002, word(2000) + ref[:30])]
+    df, refs = spark.createDataFrame(rows, "read_id long, seq string"), spark.createDataFrame([("h", ref)], "ref_id string, seq string")
+    made, settle = [], M.settle
+    monkeypatch.setattr(M, "settle", lambda table: made.append(settle(table)) or made[-1])
+    got = {tuple(r) for r in M.map_reads(df, refs).collect()}
+    assert sum(t.count() for t in made if "strand" in t.columns) <= 100
+    # The same places where nothing is left out beforehand.
+    full = M.kmers.np.full(1 << 22, 255, M.kmers.np.uint8)
+    monkeypatch.setattr(M.kmers, "code_filter", lambda *_: full)
+    made.clear()
+    assert got == {tuple(r) for r in M.map_reads(df, refs).collect()} and {i for i, *_ in got} == {*range(3000, 3030), 4000}
+    assert sum(t.count() for t in made if "strand" in t.columns) > 4000
