@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaspark.functions import kmers
@@ -16,6 +16,9 @@ from taxaspark.operators.joins import if_small, settle
 #: Rank codes by depth below the root, which is R.
 RANKS = ("D", "P", "C", "O", "F", "G", "S")
 
+#: Rows of hits that a task takes when distinct values are counted.
+PART = 1 << 18
+
 
 def minimizer_hits(reads: DataFrame, database: DataFrame, k: int, l: int) -> DataFrame:
     """(sample, path, minimizer): a row for every run of k-mers with one minimizer of the database, in ``reads`` (sample, read_id, seq)."""
@@ -37,28 +40,27 @@ def report(calls: DataFrame, hits: DataFrame, names: DataFrame | None = None, ra
     """
     of = F.coalesce(F.col("path"), F.array().cast("array<string>"))
     own = settle(calls.groupBy("sample", of.alias("path")).agg(F.count("*").alias("n")))  # read by five branches, so made once
-    up = F.explode(F.transform(F.sequence(F.lit(0), F.size("path")), lambda i: F.slice("path", F.lit(1), i)))
     empty = F.size("path") == 0
-    clades = own.where(~empty).select("sample", up.alias("node"), "n").groupBy("sample", "node").agg(F.sum("n").alias("clade_reads"))
-    direct = own.where(~empty).select("sample", F.col("path").alias("node"), F.col("n").alias("direct_reads"))
+    level = F.posexplode(_nodes("path")).alias("at", "node")
+    here = F.when(F.col("at") == F.size("path"), F.col("n"))
+    clades = own.where(~empty).select("sample", "path", "n", level).groupBy("sample", "node").agg(F.sum("n").alias("clade_reads"), F.coalesce(F.sum(here), F.lit(0)).alias("direct_reads"))
     if exact:
-        sums = hits.groupBy("sample", "path", "minimizer").agg(F.count("*").alias("m"))
-        seen = sums.select("sample", up.alias("node"), "minimizer", "m").groupBy("sample", "node").agg(F.sum("m").alias("total_minimizers"), F.count_distinct("minimizer").alias("distinct_minimizers"))
+        seen = counted_below(hits, ["sample"], "path", "minimizer").withColumnsRenamed({"total": "total_minimizers", "distinct": "distinct_minimizers"})
     else:
         sums = hits.groupBy("sample", "path").agg(F.count("*").alias("m"), F.hll_sketch_agg("minimizer", bits).alias("h"))
-        seen = sums.select("sample", up.alias("node"), "m", "h").groupBy("sample", "node").agg(F.sum("m").alias("total_minimizers"), F.hll_sketch_estimate(F.hll_union_agg("h")).alias("distinct_minimizers"))
-    nodes = clades.join(direct, ["sample", "node"], "left").join(seen, ["sample", "node"], "left").na.fill(0, ["direct_reads", "total_minimizers", "distinct_minimizers"])
+        seen = sums.select("sample", F.explode(_nodes("path")).alias("node"), "m", "h").groupBy("sample", "node").agg(F.sum("m").alias("total_minimizers"), F.hll_sketch_estimate(F.hll_union_agg("h")).alias("distinct_minimizers"))
+    numbers = ["clade_reads", "direct_reads", "total_minimizers", "distinct_minimizers"]
+    nodes = settle(clades.join(seen, ["sample", "node"], "left").na.fill(0, numbers[2:]))
     # The order is that of the clade reads and taxa on the way down.
-    way = nodes.select("sample", "node", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("node")), lambda i: F.slice("node", F.lit(1), i))).alias("at", "above"))
-    way = way.join(clades.select("sample", F.col("node").alias("above"), "clade_reads"), ["sample", "above"])
-    step = F.struct("at", (-F.col("clade_reads")).alias("less"), F.coalesce(F.try_element_at("above", F.lit(-1)), F.lit("")).alias("taxon"))
-    order = way.groupBy("sample", "node").agg(F.sort_array(F.collect_list(step)).alias("order"))
-    rows = nodes.join(order, ["sample", "node"])
+    way = nodes.select("sample", "node", *numbers, F.posexplode(_nodes("node")).alias("at", "above"))
+    way = way.join(nodes.select("sample", F.col("node").alias("above"), F.col("clade_reads").alias("reads")), ["sample", "above"])
+    step = F.struct("at", (-F.col("reads")).alias("less"), F.coalesce(F.try_element_at("above", F.lit(-1)), F.lit("")).alias("taxon"))
+    rows = way.groupBy("sample", "node", *numbers).agg(F.sort_array(F.collect_list(step)).alias("order"))
     depth = F.size("node")
     lowest = F.lit(len(ranks))
     rank = F.when(depth == 0, "R").when(depth <= lowest, F.try_element_at(F.array(*[F.lit(r) for r in ranks]), F.greatest(depth, F.lit(1)))).otherwise(F.concat(F.lit(ranks[-1]), (depth - lowest).cast("string")))
     taxid = F.when(depth == 0, F.lit("1")).otherwise(F.try_element_at("node", F.lit(-1)))
-    rows = rows.select("sample", depth.alias("depth"), rank.alias("rank"), taxid.alias("taxid"), "clade_reads", "direct_reads", "total_minimizers", "distinct_minimizers", "order")
+    rows = rows.select("sample", depth.alias("depth"), rank.alias("rank"), taxid.alias("taxid"), *numbers, "order")
     if names is not None:
         rows = rows.join(if_small(names.select("taxid", "name")), "taxid", "left")
     name = F.coalesce("name", F.when(F.col("depth") == 0, "root"), "taxid") if names is not None else F.when(F.col("depth") == 0, "root").otherwise(F.col("taxid"))
@@ -70,6 +72,33 @@ def report(calls: DataFrame, hits: DataFrame, names: DataFrame | None = None, ra
     return every.select("sample", idx.cast("long").alias("idx"), "depth", F.format_string("%6.2f", 100.0 * F.col("clade_reads") / F.col("_all")).alias("pct"), "clade_reads", "direct_reads", "total_minimizers", "distinct_minimizers", "rank", "taxid", "name")
 
 
+def _nodes(path: str) -> Column:
+    """All nodes on the way to a path, the root (empty) first."""
+    return F.transform(F.sequence(F.lit(0), F.size(path)), lambda i: F.slice(path, F.lit(1), i))
+
+
+def _first_new(path: str, before: str) -> Column:
+    """Depth of the first node of ``path`` that isn't on the way to ``before``; 0 if that is null."""
+    differ = F.array_position(F.zip_with(path, before, lambda a, b: a.eqNullSafe(b)), False)
+    shared = F.when(differ > 0, differ - 1).otherwise(F.least(F.size(path), F.size(before)))
+    return F.when(F.col(before).isNull(), 0).otherwise(shared + 1).cast("int")
+
+
+def counted_below(rows: DataFrame, keys: list[str], path: str, value: str) -> DataFrame:
+    """(keys, node, total, distinct): rows, and distinct non-null values, below every node of the tree, the root (an empty path) included.
+
+    Rows are dealt by value to as many tasks as their number asks for (``PART`` rows each), where those of one value and path become one. Sorted by path, each
+    of these brings in the nodes that it doesn't share with the one before. What goes up the tree are the sums of a path, not rows.
+    """
+    own = settle(rows.select(*keys, F.col(path).alias("_path"), F.col(value).alias("_value")))
+    dealt = own.repartition(max(1, -(-own.count() // PART)), *keys, "_value").groupBy(*keys, "_value", "_path").agg(F.count("*").alias("_m"))
+    met = dealt.withColumn("_before", F.lag("_path").over(Window.partitionBy(*keys, "_value").orderBy("_path")))
+    first = F.when(F.col("_value").isNotNull(), _first_new("_path", "_before"))
+    sums = met.groupBy(*keys, "_path", first.alias("_first")).agg(F.sum("_m").alias("_m"), F.count("*").alias("_d"))
+    new = F.when(F.col("_at") >= F.col("_first"), F.col("_d")).otherwise(0)
+    return sums.select(*keys, "_first", "_m", "_d", F.posexplode(_nodes("_path")).alias("_at", "node")).groupBy(*keys, "node").agg(F.sum("_m").alias("total"), F.sum(new).alias("distinct"))
+
+
 def distinct_below(rows: DataFrame, keys: list[str], path: str, value: str) -> DataFrame:
     """(keys, node, n): distinct non-null values of the rows below every node of the tree, the root (an empty path) included.
 
@@ -79,9 +108,7 @@ def distinct_below(rows: DataFrame, keys: list[str], path: str, value: str) -> D
     own = rows.where(F.col(value).isNotNull()).select(*keys, F.col(path).alias("_path"), F.col(value).alias("_value"))
     before = F.lag("_path").over(Window.partitionBy(*keys, "_value").orderBy("_path"))
     met = own.withColumn("_before", before).where("_before IS NULL OR _before <> _path")
-    differ = F.array_position(F.zip_with("_path", "_before", lambda a, b: a.eqNullSafe(b)), False)
-    shared = F.when(differ > 0, differ - 1).otherwise(F.least(F.size("_path"), F.size("_before")))
-    first = F.when(F.col("_before").isNull(), 0).otherwise(shared + 1).cast("int")
+    first = _first_new("_path", "_before")
     nodes = F.transform(F.sequence(first, F.size("_path")), lambda i: F.slice("_path", F.lit(1), i))
     return met.where(first <= F.size("_path")).select(*keys, F.explode(nodes).alias("node")).groupBy(*keys, "node").agg(F.count("*").alias("n"))
 

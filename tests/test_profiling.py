@@ -1,6 +1,7 @@
 """Reports and k-mer distributions against plain computations."""
 
 import random
+import re
 from collections import Counter
 
 from taxaspark.functions import kmers
@@ -94,3 +95,27 @@ def test_distinct_values_below_nodes(spark):
     df = spark.createDataFrame(rows, "s string, p string, v long").withColumn("p", F.when(F.col("p") == "", F.array().cast("array<string>")).otherwise(F.split("p", "/")))
     got = {(r["s"], "/".join(r["node"])): r["n"] for r in profiling.distinct_below(df, ["s"], "p", "v").collect()}
     assert got == {("a", ""): 3, ("a", "r"): 2, ("a", "r/x"): 2, ("a", "r/y"): 1, ("a", "q"): 1, ("b", ""): 1, ("b", "r"): 1, ("b", "r/x"): 1}
+
+
+def test_counts_below_nodes_are_dealt_by_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(P, "PART", 100)
+    rng = random.Random(5)
+    paths = [[], ["a"], ["a", "b"], ["a", "b", "c"], ["a", "bc"], ["d"], ["d", "b"], ["d", "b", "c"], None]
+    # One value in a third of all rows, null values, repeated rows.
+    rows = [(rng.choice("st"), rng.choice(paths), rng.choice([7, None, rng.randrange(300)])) for _ in range(3000)]
+    total, distinct = Counter(), {}
+    for sample, path, value in rows:
+        for i in range(len(path) + 1 if path is not None else 0):
+            node = sample, tuple(path[:i])
+            total[node] += 1
+            distinct.setdefault(node, set()).update({value} - {None})
+    hits = spark.createDataFrame(rows, "sample string, path array<string>, minimizer long")
+    plans, settle = [], P.settle
+    monkeypatch.setattr(P, "settle", lambda table: plans.append(table._jdf.queryExecution().optimizedPlan().toString()) or settle(table))
+    got = {(r["sample"], tuple(r["node"])): (r["total"], r["distinct"]) for r in P.counted_below(hits, ["sample"], "path", "minimizer").collect()}
+    assert got == {node: (n, len(distinct[node])) for node, n in total.items()}
+    calls = spark.createDataFrame([("s", i, p) for i, p in enumerate(paths)], "sample string, read_id long, path array<string>")
+    for r in P.report(calls, hits, exact=True).where("taxid IN ('1', 'bc')").collect():
+        node = "s", ("a", "bc") if r["taxid"] == "bc" else ()
+        assert (r["total_minimizers"], r["distinct_minimizers"]) == (total[node], len(distinct[node]))
+    assert any(re.search(r"RepartitionByExpression \[[^\]]*\], 30\b", p) for p in plans)
