@@ -111,7 +111,7 @@ def read_profiles(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return bins, mates.groupBy("sample", "mate", F.length("qual").alias("length")).agg(F.count("*").alias("n"))
 
 
-def amplicon_run(pairs: DataFrame, refs: DataFrame, settings: dict, work: str, forward: str, reverse: str, contaminants: DataFrame | None = None, omega: float = 1e-40, pool: bool | str = False, bases: int = 100_000_000) -> tuple[dict[str, DataFrame], dict]:
+def amplicon_run(pairs: DataFrame, refs: DataFrame, settings: dict, work: str, forward: str, reverse: str, contaminants: DataFrame | None = None, omega: float = 1e-40, pool: bool | str = False) -> tuple[dict[str, DataFrame], dict]:
     """The whole amplicon run from pairs (sample, pair_id, r1, r2) to the table: stages, and the record of what it decided.
 
     The probe measures the references' amplicons; it gives the expected length and the length window. Truncation is decided from
@@ -149,7 +149,7 @@ def amplicon_run(pairs: DataFrame, refs: DataFrame, settings: dict, work: str, f
     # Pairs of equal mates are one row from here on.
     equal = kept("equal", out["filtered"].groupBy("sample", F.col("r1.seq").alias("s1"), F.col("r2.seq").alias("s2")).agg(F.count("*").alias("n")))
     for i in (1, 2):
-        own = denoising.denoise_reads(out["filtered"].select("sample", f"r{i}.seq", f"r{i}.qual"), None, omega, pool, omega, bases=bases)
+        own = denoising.denoise_reads(out["filtered"].select("sample", f"r{i}.seq", f"r{i}.qual"), None, omega, pool, omega)
         equal = equal.join(own.where("centre IS NOT NULL").select("sample", F.col("seq").alias(f"s{i}"), F.col("centre").alias(f"c{i}")), ["sample", f"s{i}"])
     met = kept("explained", equal.groupBy("sample", "c1", "c2").agg(F.sum("n").alias("n")))
     sure = lambda x: F.struct(F.col(x).alias("seq"), F.repeat(F.lit("I"), F.length(x)).alias("qual"))
