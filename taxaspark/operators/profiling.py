@@ -19,6 +19,9 @@ RANKS = ("D", "P", "C", "O", "F", "G", "S")
 #: Rows of hits that a task takes when distinct values are counted.
 PART = 1 << 18
 
+#: Paths (about) up to which they go through a shuffle as numbers; their table is broadcast.
+PATHS = 1 << 17
+
 
 def minimizer_hits(reads: DataFrame, database: DataFrame, k: int, l: int) -> DataFrame:
     """(sample, path, minimizer): a row for every run of k-mers with one minimizer of the database, in ``reads`` (sample, read_id, seq)."""
@@ -84,6 +87,33 @@ def _first_new(path: str, before: str) -> Column:
     return F.when(F.col(before).isNull(), 0).otherwise(shared + 1).cast("int")
 
 
+def _numbered(rows: DataFrame, several: int) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` with the number of their ``_path`` as ``_code``, and the table (_code, _path) of the paths; rows with a null path go.
+
+    Numbers rise in the order of the paths and are narrower than these in a shuffle and a sort. With more than ``PATHS`` paths (``several`` tells about how
+    many) the paths are their own codes, and there is no table.
+    """
+    if several > PATHS:
+        return rows.where(F.col("_path").isNotNull()).withColumnRenamed("_path", "_code"), None
+    paths = settle(rows.select("_path").where(F.col("_path").isNotNull()).distinct().orderBy("_path").select(F.monotonically_increasing_id().alias("_code"), "_path"))
+    return rows.join(F.broadcast(paths), "_path").drop("_path"), paths
+
+
+def _brought(rows: DataFrame, keys: list[str], paths: DataFrame | None) -> DataFrame:
+    """``rows`` (keys, _value, _code) with ``_first``, the depth of the first node that isn't on the way to the path before theirs among those of the value."""
+    rows = rows.withColumn("_before", F.lag("_code").over(Window.partitionBy(*keys, "_value").orderBy("_code")))
+    if paths is None:
+        return rows.withColumn("_first", _first_new("_code", "_before"))
+    before = paths.select(F.col("_code").alias("_before"), F.col("_path").alias("_last"))
+    return rows.join(F.broadcast(paths), "_code").join(F.broadcast(before), "_before", "left").withColumn("_first", _first_new("_path", "_last")).drop("_path", "_last")
+
+
+def _up(sums: DataFrame, paths: DataFrame | None) -> DataFrame:
+    """``sums`` of every ``_code`` for all nodes on its way, as ``_at`` (depth) and ``node``."""
+    named = sums.withColumnRenamed("_code", "_path") if paths is None else sums.join(F.broadcast(paths), "_code")
+    return named.select(*[c for c in sums.columns if c != "_code"], F.posexplode(_nodes("_path")).alias("_at", "node"))
+
+
 def counted_below(rows: DataFrame, keys: list[str], path: str, value: str) -> DataFrame:
     """(keys, node, total, distinct): rows, and distinct non-null values, below every node of the tree, the root (an empty path) included.
 
@@ -91,12 +121,13 @@ def counted_below(rows: DataFrame, keys: list[str], path: str, value: str) -> Da
     of these brings in the nodes that it doesn't share with the one before. What goes up the tree are the sums of a path, not rows.
     """
     own = settle(rows.select(*keys, F.col(path).alias("_path"), F.col(value).alias("_value")))
-    dealt = own.repartition(max(1, -(-own.count() // PART)), *keys, "_value").groupBy(*keys, "_value", "_path").agg(F.count("*").alias("_m"))
-    met = dealt.withColumn("_before", F.lag("_path").over(Window.partitionBy(*keys, "_value").orderBy("_path")))
-    first = F.when(F.col("_value").isNotNull(), _first_new("_path", "_before"))
-    sums = met.groupBy(*keys, "_path", first.alias("_first")).agg(F.sum("_m").alias("_m"), F.count("*").alias("_d"))
+    count, several = own.agg(F.count("*"), F.approx_count_distinct("_path")).first()
+    coded, paths = _numbered(own, several)
+    dealt = coded.repartition(max(1, -(-count // PART)), *keys, "_value").groupBy(*keys, "_value", "_code").agg(F.count("*").alias("_m"))
+    first = F.when(F.col("_value").isNotNull(), F.col("_first"))
+    sums = _brought(dealt, keys, paths).groupBy(*keys, "_code", first.alias("_first")).agg(F.sum("_m").alias("_m"), F.count("*").alias("_d"))
     new = F.when(F.col("_at") >= F.col("_first"), F.col("_d")).otherwise(0)
-    return sums.select(*keys, "_first", "_m", "_d", F.posexplode(_nodes("_path")).alias("_at", "node")).groupBy(*keys, "node").agg(F.sum("_m").alias("total"), F.sum(new).alias("distinct"))
+    return _up(sums, paths).groupBy(*keys, "node").agg(F.sum("_m").alias("total"), F.sum(new).alias("distinct"))
 
 
 def distinct_below(rows: DataFrame, keys: list[str], path: str, value: str) -> DataFrame:

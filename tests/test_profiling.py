@@ -119,3 +119,50 @@ def test_counts_below_nodes_are_dealt_by_number_of_rows(spark, monkeypatch):
         node = "s", ("a", "bc") if r["taxid"] == "bc" else ()
         assert (r["total_minimizers"], r["distinct_minimizers"]) == (total[node], len(distinct[node]))
     assert any(re.search(r"RepartitionByExpression \[[^\]]*\], 30\b", p) for p in plans)
+
+
+ODD = [[], ["a"], ["a", "b"], ["a", "b", "c"], ["ab"], [""], ["", "b"], None]
+
+
+def below(rows):
+    """Rows and distinct values below every node, in Python's own sets."""
+    total, values = Counter(), {}
+    for sample, path, value in rows:
+        for i in range(len(path) + 1 if path is not None else 0):
+            total[sample, tuple(path[:i])] += 1
+            values.setdefault((sample, tuple(path[:i])), set()).update({value} - {None})
+    return {node: (n, len(values[node])) for node, n in total.items()}
+
+
+def test_paths_are_dealt_as_numbers_and_counted_alike_without(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(rng.choice(["s", "t", None]), rng.choice(ODD), rng.choice([7, None, rng.randrange(60)])) for _ in range(1500)]
+    for some in (rows, [r for r in rows if r[1] is None], []):
+        df = spark.createDataFrame(some, "sample string, path array<string>, minimizer long")
+        want = below(some)
+        for most, number in ((P.PATHS, True), (3, False)):
+            monkeypatch.setattr(P, "PATHS", most)
+            counted = P.counted_below(df, ["sample"], "path", "minimizer")
+            assert {(r["sample"], tuple(r["node"])): (r["total"], r["distinct"]) for r in counted.collect()} == want
+            if some is rows:
+                for plan in (x._jdf.queryExecution().optimizedPlan().toString() for x in (counted,)):
+                    assert bool(re.search(r"lag\(_code#\d+L,", plan)) == number
+            monkeypatch.undo()
+
+
+def test_numbers_of_paths_rise_in_their_order(spark):
+    some = [*ODD, [None], ["a", None], ["a", None, "c"]]
+    coded, table = P._numbered(spark.createDataFrame([(p,) for p in some * 2], "_path array<string>"), 10)
+    assert coded.count() == 2 * (len(some) - 1)
+    paths = [r["_path"] for r in table.orderBy("_code").collect()]
+    assert paths == sorted((p for p in some if p is not None), key=lambda p: [(x is not None, x or "") for x in p])
+
+
+def test_null_taxa_are_counted_as_with_whole_paths(spark, monkeypatch):
+    # A null taxon that a value's longer path has after a shorter one isn't counted as new, with numbers as with paths.
+    rows = [("s", p, v) for v, some in ((1, [["a"], ["a", None, "c"]]), (2, [["a", None]]), (3, [["a"], ["a", None]]), (4, [["a", "b"], ["a", None, "c"]])) for p in some]
+    df = spark.createDataFrame(rows, "sample string, path array<string>, minimizer long")
+    for most in (P.PATHS, 0):
+        monkeypatch.setattr(P, "PATHS", most)
+        got = {tuple(r["node"]): (r["total"], r["distinct"]) for r in P.counted_below(df, ["sample"], "path", "minimizer").collect()}
+        assert got == {(): (7, 4), ("a",): (7, 4), ("a", None): (4, 3), ("a", None, "c"): (2, 2), ("a", "b"): (1, 1)}
