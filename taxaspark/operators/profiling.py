@@ -134,14 +134,13 @@ def distinct_below(rows: DataFrame, keys: list[str], path: str, value: str) -> D
     """(keys, node, n): distinct non-null values of the rows below every node of the tree, the root (an empty path) included.
 
     The rows of a value are sorted by path, so each brings in the nodes that its path doesn't share with the one before. What a task holds are
-    rows that are sorted, which spill; no row is made for a node that its value has already been counted for.
+    rows that are sorted, which spill; what goes up the tree are the sums of a path, not rows.
     """
-    own = rows.where(F.col(value).isNotNull()).select(*keys, F.col(path).alias("_path"), F.col(value).alias("_value"))
-    before = F.lag("_path").over(Window.partitionBy(*keys, "_value").orderBy("_path"))
-    met = own.withColumn("_before", before).where("_before IS NULL OR _before <> _path")
-    first = _first_new("_path", "_before")
-    nodes = F.transform(F.sequence(first, F.size("_path")), lambda i: F.slice("_path", F.lit(1), i))
-    return met.where(first <= F.size("_path")).select(*keys, F.explode(nodes).alias("node")).groupBy(*keys, "node").agg(F.count("*").alias("n"))
+    own = settle(rows.where(F.col(value).isNotNull()).select(*keys, F.col(path).alias("_path"), F.col(value).alias("_value")))
+    coded, paths = _numbered(own, own.agg(F.approx_count_distinct("_path")).first()[0])
+    met = _brought(coded, keys, paths).where("_before IS NULL OR _before <> _code")
+    sums = met.groupBy(*keys, "_code", "_first").agg(F.count("*").alias("_d"))
+    return _up(sums, paths).where("_at >= _first").groupBy(*keys, "node").agg(F.sum("_d").alias("n"))
 
 
 def _called(counts: Counter) -> tuple[str, ...]:

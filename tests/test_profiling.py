@@ -142,10 +142,11 @@ def test_paths_are_dealt_as_numbers_and_counted_alike_without(spark, monkeypatch
         want = below(some)
         for most, number in ((P.PATHS, True), (3, False)):
             monkeypatch.setattr(P, "PATHS", most)
-            counted = P.counted_below(df, ["sample"], "path", "minimizer")
+            counted, distinct = P.counted_below(df, ["sample"], "path", "minimizer"), P.distinct_below(df, ["sample"], "path", "minimizer")
             assert {(r["sample"], tuple(r["node"])): (r["total"], r["distinct"]) for r in counted.collect()} == want
+            assert {(r["sample"], tuple(r["node"])): r["n"] for r in distinct.collect()} == {k: d for k, (_, d) in want.items() if d}
             if some is rows:
-                for plan in (x._jdf.queryExecution().optimizedPlan().toString() for x in (counted,)):
+                for plan in (x._jdf.queryExecution().optimizedPlan().toString() for x in (counted, distinct)):
                     assert bool(re.search(r"lag\(_code#\d+L,", plan)) == number
             monkeypatch.undo()
 
@@ -166,3 +167,4 @@ def test_null_taxa_are_counted_as_with_whole_paths(spark, monkeypatch):
         monkeypatch.setattr(P, "PATHS", most)
         got = {tuple(r["node"]): (r["total"], r["distinct"]) for r in P.counted_below(df, ["sample"], "path", "minimizer").collect()}
         assert got == {(): (7, 4), ("a",): (7, 4), ("a", None): (4, 3), ("a", None, "c"): (2, 2), ("a", "b"): (1, 1)}
+        assert {tuple(r["node"]): r["n"] for r in P.distinct_below(df, ["sample"], "path", "minimizer").collect()} == {k: d for k, (_, d) in got.items()}
