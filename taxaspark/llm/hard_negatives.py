op12_hard_negatives: anchors meet only rows of their labels, tile bounds only where no rows are held

Symptom: the query spends 768 to 882 CPU seconds a GB (two runs) on 0.02 GB, 582 to 664 of them in Python.
Evidence: a profile of both sweeps over those vectors in one process: 7.6 s of 18.9 in np.partition (lower ends of every tile and plane), most of the rest in passes over blocks of 2,048 by 2,048 scores, nine tenths of them of pairs whose labels rule them out.
Fix: anchors go through a tile 128 at once in the order of their labels; where labels must be the same, only rows of these labels are multiplied. Lower ends within a tile are sought only while an anchor of the part holds too few rows. Bounds are compared in the scores' own type. Planes and intervals are as before.
Effect: at 0.6 GB of input CPU 356 -> 243 s, shuffle 0.03 -> 0.03 GB, spill 0.00 -> 0.00 GB, read 0.06 -> 0.06 GB, longest task 10 -> 4 s, most memory of a task 69 -> 69 MB; at 6 GB of input CPU 6287 -> 2389 s, shuffle 2.10 -> 2.10 GB, spill 0.00 -> 0.00 GB, read 0.62 -> 0.62 GB, longest task 21 -> 7 s, most memory of a task 503 -> 503 MB; with hot keys, at 0.6 GB of input CPU 329 -> 255 s, shuffle 0.02 -> 0.02 GB, spill 0.00 -> 0.00 GB, read 0.05 -> 0.05 GB, longest task 6 -> 4 s, most memory of a task 69 -> 69 MB.

@@ -6,7 +6,7 @@ rows past one block of anchors. Within a tile the planes are multiplied most sig
 ``p`` planes still to come, a product lies between ``sum + (2**p - 1) * negative`` and ``sum +
 (2**p - 1) * positive``, the sums of the anchor's negative and positive components. A candidate
 goes as soon as its interval can't reach what its anchor holds already, or lies outside the anchor's
-window. While many candidates are left a plane is one matrix product, later only the pairs that
+window. Where labels must be the same, only rows of an anchor's label and its neighbours' are multiplied. While many candidates are left a plane is one matrix product, later only the pairs that
 remain are multiplied. Products are exact: the number type follows from the largest possible score.
 
 The first sweep finds each anchor's positives, the second its negatives below each positive. A sweep
@@ -16,8 +16,9 @@ gives the best few per anchor and group of rows, never pairs, and a window merge
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,10 @@ from taxaspark.llm.common import cut
 
 #: Rows of a tile, anchors of a block (about), rows of a group (at least), groups (at most).
 TILE, BLOCK, GROUP, GROUPS = 2048, 2048, 8192, 1024
+#: Anchors of a block that are multiplied with a tile at once.
+AT_ONCE = 128
+#: Bytes of a tile's planes that are kept unpacked from one part of the anchors to the next.
+PLANES_HELD = 32 << 20
 #: Below this share of candidates only the remaining pairs are multiplied.
 SPARSE = 1 / 16
 PAIRS_AT_ONCE = 50_000
@@ -75,10 +80,25 @@ class Shape:
         u = v.astype(np.int64) & ((1 << self.planes) - 1)
         return b"".join(np.packbits(((u >> k) & 1).astype(bool).ravel()).tobytes() for k in range(self.planes - 1, -1, -1))
 
+    def bits(self, data: bytes, k: int, rows: int) -> np.ndarray:
+        """The ``k``-th plane of a tile, as bytes 0 and 1."""
+        size = -(-rows * self.dims // 8)
+        return np.unpackbits(np.frombuffer(data, np.uint8, size, k * size), count=rows * self.dims).reshape(rows, self.dims)
+
     def plane(self, data: bytes, k: int, rows: int) -> np.ndarray:
         """The ``k``-th plane of a tile, as 0 and 1."""
-        size = -(-rows * self.dims // 8)
-        return np.unpackbits(np.frombuffer(data, np.uint8, size, k * size), count=rows * self.dims).reshape(rows, self.dims).astype(self.kind)
+        return self.bits(data, k, rows).astype(self.kind)
+
+    def within(self, score: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether scores (anchors, rows) lie in each anchor's [low, high], whole numbers or infinite."""
+        if self.kind is np.float32:  # scores stay below 2**24, and up to there every whole number has its own value
+            low, high = (np.clip(x, -(1 << 24), 1 << 24).astype(np.float32) for x in (low, high))
+        else:
+            score = score.astype(np.float64, copy=False)
+        fits = score >= low[:, None]
+        if high.min(initial=np.inf) < (1 << 24 if self.kind is np.float32 else np.inf):
+            fits &= score <= high[:, None]
+        return fits
 
 
 class Sweep:
@@ -93,12 +113,16 @@ class Sweep:
         self.low, self.high = low.astype(np.float64), high.astype(np.float64)
         self.need = self.low.copy()  # the least score that can still enter
         self.positive, self.negative = np.maximum(self.v, 0).sum(1), np.minimum(self.v, 0).sum(1)
+        self.parts = [p for p in np.array_split(np.argsort(label, kind="stable"), -(-len(label) // AT_ONCE) or 1) if len(p)]
         # goal (anchor * goals + goal), score, no id, id of the rows held
         self.best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64))
         self.products = 0  # component products made, for the tests
 
     def add(self, data: bytes, row: np.ndarray, label: np.ndarray, no_id: np.ndarray, ids: np.ndarray) -> None:
-        at, to, score = self._remaining(data, row, label)
+        held = max(1, PLANES_HELD // max(1, len(row) * self.shape.dims))
+        plane = lru_cache(held)(lambda k: self.shape.bits(data, k, len(row)))
+        found = [self._remaining(plane, row, label, part, rows) for part, rows in self._meeting(label)]
+        at, to, score = (np.concatenate(x) for x in zip((np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.shape.kind)), *found, strict=True))
         goals = self.low.shape[1]
         at, to, score = np.repeat(at, goals), np.repeat(to, goals), np.repeat(score, goals)
         goal = np.tile(np.arange(goals), len(at) // goals) if goals else at
@@ -115,48 +139,59 @@ class Sweep:
         self.need.ravel()[where] = np.maximum(self.need.ravel()[where], cols[1][full])
         self.best = tuple(c[held] for c in cols)
 
-    def _remaining(self, data: bytes, row: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Anchor, row of the tile and exact score of the pairs that no interval ruled out."""
-        shape, n = self.shape, len(row)
-        alive = (self.label[:, None] == label) == self.same
-        alive &= self.row[:, None] != row
-        alive &= (self.low <= self.high).any(1)[:, None] if self.low.shape[1] else False
-        least, most = self.need.min(1, initial=np.inf), self.high.max(1, initial=-np.inf)
+    def _meeting(self, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Anchors in parts, and the rows of a tile that may be wanted for them: where labels must be the same, those from the part's least to its greatest."""
+        order = np.argsort(label, kind="stable")
+        for part in self.parts:
+            first, last = np.searchsorted(label[order], self.label[part[0]]), np.searchsorted(label[order], self.label[part[-1]], "right")
+            rows = order[first:last] if self.same else np.arange(len(label))
+            if len(rows):
+                yield part, rows
+
+    def _remaining(self, plane: Callable[[int], np.ndarray], row: np.ndarray, label: np.ndarray, part: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Anchor (of ``part``), row of the tile (of ``rows``) and exact score of the pairs that no interval ruled out."""
+        shape, n, v = self.shape, len(rows), self.v[part]
+        need, highest, positive, negative = self.need[part], self.high[part], self.positive[part], self.negative[part]
+        alive = (self.label[part][:, None] == label[rows]) == self.same
+        alive &= self.row[part][:, None] != row[rows]
+        alive &= (self.low[part] <= highest).any(1)[:, None] if self.low.shape[1] else False
+        least, most = need.min(1, initial=np.inf), highest.max(1, initial=-np.inf)
+        # Only an anchor that doesn't hold enough rows yet has no bound of its own.
+        open_ = self.low.shape[1] == 1 and n > self.keep and highest.min(initial=np.inf) == np.inf and least.min(initial=np.inf) == -np.inf
         total = np.zeros(alive.shape, shape.kind)
         pairs = None
         for k in range(shape.planes):
             left = shape.planes - 1 - k
             weight = shape.kind(-(1 << left) if k == 0 else 1 << left)
             slack = (1 << left) - 1
-            bits = shape.plane(data, k, n)
+            bits = plane(k)
             if pairs is None:
-                total += weight * (self.v @ bits.T)
-                self.products += self.v.size * n
-                low, high = self.negative * shape.kind(slack), self.positive * shape.kind(slack)
-                if self.low.shape[1] == 1 and self.high.min(initial=np.inf) == np.inf and n > self.keep:
+                total += (weight * v) @ bits[rows].astype(shape.kind).T
+                self.products += v.size * n
+                low, high = negative * shape.kind(slack), positive * shape.kind(slack)
+                if open_:
                     # The keep-th best lower end within the tile is as good as a row held.
                     ends = np.where(alive, total.astype(np.float64), -np.inf)
                     least = np.maximum(least, np.partition(ends, n - self.keep, 1)[:, n - self.keep] + low)
-                alive &= total.astype(np.float64) >= (least - high)[:, None]
-                alive &= total.astype(np.float64) <= (most - low)[:, None]
+                alive &= shape.within(total, least - high, most - low)
                 if np.count_nonzero(alive) <= SPARSE * alive.size:
                     pairs = np.nonzero(alive)
                     score = total[pairs]
             else:
                 at, to = pairs
                 for i in range(0, len(at), PAIRS_AT_ONCE):
-                    part = slice(i, i + PAIRS_AT_ONCE)
-                    score[part] += weight * np.einsum("ij,ij->i", self.v[at[part]], bits[to[part]])
+                    some = slice(i, i + PAIRS_AT_ONCE)
+                    score[some] += weight * np.einsum("ij,ij->i", v[at[some]], bits[rows[to[some]]])
                 self.products += len(at) * shape.dims
-                high, low = score + self.positive[at] * shape.kind(slack), score + self.negative[at] * shape.kind(slack)
+                high, low = score + positive[at] * shape.kind(slack), score + negative[at] * shape.kind(slack)
                 keep = np.zeros(len(at), bool)
                 for g in range(self.low.shape[1]):
-                    keep |= (high >= np.maximum(self.need[at, g], least[at])) & (low <= self.high[at, g])
+                    keep |= (high >= np.maximum(need[at, g], least[at])) & (low <= highest[at, g])
                 pairs, score = (at[keep], to[keep]), score[keep]
         if pairs is None:
             pairs = np.nonzero(alive)
             score = total[pairs]
-        return (*pairs, score)
+        return part[pairs[0]], rows[pairs[1]], score
 
 
 def _tiles(base: DataFrame, shape: Shape, groups: int) -> DataFrame:

@@ -72,6 +72,52 @@ def test_intervals_save_products():
     assert sweep.products < 0.8 * v[:50].size * 1500 * shape.planes  # of all planes for all pairs
 
 
+def streamed(v, label, anchors, low, high, keep, same, tile=500):
+    shape = H.Shape.of(v.shape[1], float(np.abs(v).max()))
+    sweep = H.Sweep(shape, v[anchors], np.asarray(anchors), label[anchors], low, high, keep, same)
+    for i in range(0, len(v), tile):
+        n = len(v[i : i + tile])
+        sweep.add(shape.slice(v[i : i + tile]), np.arange(i, i + n), label[i : i + tile], np.zeros(n, bool), np.arange(i, i + n))
+    return sweep
+
+
+def test_only_rows_of_the_label_are_multiplied(monkeypatch):
+    rng = np.random.default_rng(1)
+    v, label = np.floor(256 * rng.normal(0, 0.125, (2000, 16))).astype(np.int64), rng.integers(0, 10, 2000)
+    anchors, calls, partition = np.arange(0, 2000, 5), [], np.partition
+    monkeypatch.setattr(np, "partition", lambda x, *a: calls.append(x.shape) or partition(x, *a))
+    none = np.full((400, 1), -np.inf)
+    sweep = streamed(v, label, anchors, none, -none, 5, True)
+    score = np.where(label[anchors][:, None] == label, v[anchors] @ v.T, -(1 << 40))
+    score[np.arange(400), anchors] = -(1 << 40)
+    assert sweep.best[1].reshape(400, 5).tolist() == np.sort(score, 1)[:, :-6:-1].tolist()
+    assert sweep.products < 0.5 * v[anchors].size * 2000 * sweep.shape.planes
+    # Rows held from the first tile bound the others: their lower ends aren't looked for.
+    assert calls and sum(a * b for a, b in calls) <= 400 * 500 * sweep.shape.planes
+
+
+@pytest.mark.parametrize("scale,kind", [(1, np.float32), (1e4, np.float64), (1e6, np.int64)])
+def test_parts_of_anchors_and_few_planes_held_give_the_same(monkeypatch, scale, kind):
+    rng = np.random.default_rng(2)
+    v, label = np.floor(scale * rng.normal(0, 20, (300, 7))).astype(np.int64), rng.integers(-2, 5, 300)
+    anchors = np.arange(0, 300, 4)
+    goal = np.sort(rng.integers(1, int(800 * scale * scale), (75, 3)).astype(float), 1)
+    wanted = None
+    for at_once, held in ((1000, 1 << 30), (7, 1 << 30), (3, 1)):
+        monkeypatch.setattr(H, "AT_ONCE", at_once)
+        monkeypatch.setattr(H, "PLANES_HELD", held)
+        got = [streamed(v, label, anchors, *args, tile=90) for args in ((np.full((75, 1), -np.inf), np.full((75, 1), np.inf), 5, True), (goal // 2, goal, 3, False))]
+        assert got[0].shape.kind is kind and len(got[1].best[0])
+        found = [[c.tolist() for c in sweep.best] for sweep in got]
+        wanted = wanted or found
+        assert found == wanted
+    score = v[anchors] @ v.T
+    for place, i in enumerate(anchors):
+        fits = [score[place, j] for j in range(300) if label[j] != label[i] and goal[place, 1] // 2 <= score[place, j] <= goal[place, 1]]
+        mine = np.asarray(found[1][0]) == place * 3 + 1
+        assert np.asarray(found[1][1])[mine].tolist() == sorted(fits, reverse=True)[:3]
+
+
 def test_planes_give_the_numbers_back():
     v = np.array([[-256, 255, 0], [1, -1, 127]])
     shape = H.Shape.of(3, 256.0)
